@@ -99,8 +99,8 @@ def slug(c) -> Column:
 
 
 # The accent list of the catalogue builder's slug variant.
-VARIANT_ACCENTS_FROM = "éèêëàâäîïôöùûüç"
-VARIANT_ACCENTS_TO = "eeeeaaaiioouuuc"
+VARIANT_ACCENTS_FROM = "éèêëàâäüùûöôîïç"
+VARIANT_ACCENTS_TO = "eeeeaaauuuooiic"
 
 
 def variant_slug(c) -> Column:

@@ -1,0 +1,20 @@
+"""Bindings of the operators to the benchmark tables, with their DuckDB oracle SQL.
+
+``registry()`` maps a query name to ``(callable(spark, sf_dir) -> DataFrame, sql or None)``.
+"""
+
+from __future__ import annotations
+
+
+def registry() -> dict:
+    from carlot.plans import scalar_queries, store_queries
+    out: dict = {}
+    for mod in (scalar_queries, store_queries):
+        out.update(mod.QUERIES)
+    for name in ("resolve_queries", "extract_queries", "ingest_queries", "catalog_queries"):
+        try:
+            mod = __import__(f"carlot.plans.{name}", fromlist=["QUERIES"])
+        except ImportError:
+            continue
+        out.update(mod.QUERIES)
+    return out
