@@ -121,16 +121,20 @@ def parse_cards(html: str, layout: int = 1, href_marker: str = "/offres/") -> li
 
 
 def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
-               id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+               id_col: str = "page_id", html_col: str = "html", extra: Sequence[str] = ()) -> DataFrame:
     """C1 / C2 — one row per card: ``page_id, card_pos, attrs, text, img, href, error``.
 
     A page that fails to parse yields one row with ``error`` set and no card (D15: the
-    failure is isolated to that page).
+    failure is isolated to that page). ``extra`` string columns of the page are carried
+    through to its cards (no join back to the pages is needed).
     """
+    extra = list(extra)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = {"page_id": [], "card_pos": [], "attrs": [], "text": [], "img": [], "href": [], "error": []}
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
+            out.update({c: [] for c in extra})
+            for row_i, (pid, html) in enumerate(zip(pdf["page_id"], pdf["html"])):
+                ex = {c: pdf[c].iat[row_i] for c in extra}
                 try:
                     cards = parse_cards(html, layout, href_marker)
                     err = None
@@ -138,20 +142,24 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
                     cards, err = [], f"{type(e).__name__}: {e}"
                 if err is not None:
                     for k, v in (("page_id", pid), ("card_pos", None), ("attrs", None), ("text", None),
-                                 ("img", None), ("href", None), ("error", err)):
+                                 ("img", None), ("href", None), ("error", err), *ex.items()):
                         out[k].append(v)
                 for i, c in enumerate(cards):
                     out["page_id"].append(pid)
                     out["card_pos"].append(i)
-                    out["attrs"].append(list(c["attrs"].items()))
+                    out["attrs"].append(dict(c["attrs"]))
                     out["text"].append(c["text"])
                     out["img"].append(c["img"])
                     out["href"].append(c["href"])
                     out["error"].append(None)
+                    for k, v in ex.items():
+                        out[k].append(v)
             yield pd.DataFrame(out)
 
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
-    return src.mapInPandas(run, CARD_SCHEMA)
+    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"),
+                       *[F.col(c).cast("string").alias(c) for c in extra])
+    schema = CARD_SCHEMA + "".join(f", `{c}` string" for c in extra)
+    return src.mapInPandas(run, schema)
 
 
 def clean_lines(text, drop: Sequence[str] = ()) -> Column:

@@ -126,10 +126,9 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
                  .where(F.col("score") >= cutoff))
         fz = pairs.groupBy("slug_in").agg(
             F.max_by("make", F.struct("score", "mslug")).alias("m_fuzzy"))
-        rest4 = rest.join(fz, "slug_in", "left_anti")
     else:
         fz = None
-        rest4 = rest
+    rest4 = rest  # E4 on the same remainder; a fuzzy hit wins in the final coalesce
 
     # Containment either way, first catalogue slug in dict order wins.
     lens = _lengths(by_slug, "mslug")
@@ -223,7 +222,8 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
                   .where(F.col("score") >= cutoff))
         fz = scored.groupBy("make", "slug_in").agg(
             F.max_by("cmodel", F.struct("score", "mslug")).alias("m_fuzzy"))
-        rest = rest.join(fz.select("make", "slug_in"), ["make", "slug_in"], "left_anti")
+        # E8/E9 below run on the same remainder (cheap equi-joins) and lose to a fuzzy
+        # hit in the final coalesce, so the scored stage is consumed exactly once.
     else:
         fz = None
 
