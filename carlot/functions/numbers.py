@@ -74,4 +74,4 @@ def year_after_slash(c) -> Column:
 def is_year_like(c) -> Column:
     """J30 — digits of the value form one 4-digit number within 1990–2030."""
     d = F.regexp_replace(_as_col(c), "[^0-9]", "")
-    return d.rlike("^[0-9]{4}$") & d.cast("int").between(1990, 2030)
+    return d.rlike("^[0-9]{4}$") & d.try_cast("int").between(1990, 2030)

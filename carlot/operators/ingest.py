@@ -158,9 +158,10 @@ def dump_rows(items: DataFrame, mapping: dict[str, str], brands: DataFrame, word
 
 
 def import_dump(store: DataFrame, items: DataFrame, brands: DataFrame, words: DataFrame,
-                **kw) -> tuple[DataFrame, DataFrame]:
-    """K13 — A1 → F1/F2/F3 → C6 → D3/D4 → B4. Returns ``(new_store, inserted)``."""
+                order: Sequence[str] = ("lien_annonce",), **kw) -> tuple[DataFrame, DataFrame]:
+    """K13 — A1 → F1/F2/F3 → C6 → D3/D4 → B4. Returns ``(new_store, inserted)``.
+
+    ``order`` decides which duplicate item wins inside the batch (first wins)."""
     mapping = detect_roles(items)
     rows = dump_rows(items, mapping, brands, words, **kw)
-    return insert_absent(store, rows.withColumn("_ord", F.monotonically_increasing_id()),
-                         "lien_annonce", ["_ord"])
+    return insert_absent(store, rows, "lien_annonce", list(order))
