@@ -43,8 +43,9 @@ def first_nonzero(a: Column, b: Column) -> Column:
 def display_number(c, unit: str) -> Column:
     """J12 / J13 — keep digits and single spaces, append the unit; ``N/A`` when empty."""
     ws = WS()
-    d = pystrip(F.regexp_replace(_as_col(c), "[^\\p{Nd}" + ws[1:-1] + "]", ""))
-    d = pystrip(F.regexp_replace(d, ws + "+", " "))
+    # keep digits and whitespace; whitespace runs → one space; strip
+    d = F.regexp_replace(_as_col(c), "[^\\p{Nd}" + ws[1:-1] + "]+", "")
+    d = F.trim(F.regexp_replace(d, ws + "+", " "))
     return F.when(d != "", F.concat(d, F.lit(" " + unit))).otherwise(F.lit("N/A"))
 
 

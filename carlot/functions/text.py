@@ -75,10 +75,15 @@ def squash(c) -> Column:
     return F.trim(F.regexp_replace(_as_col(c), WS() + "+", " "))
 
 
+@lru_cache(maxsize=1)
+def whitespace_chars() -> str:
+    return "".join(chr(cp) for cp in range(sys.maxunicode + 1) if chr(cp).isspace())
+
+
 def pystrip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    ws = WS()
-    return F.regexp_replace(_as_col(c), f"^{ws}+|{ws}+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace (a set-based
+    ``trim``, no regex)."""
+    return F.trim(_as_col(c), F.lit(whitespace_chars()))
 
 
 def strip_marks(c) -> Column:

@@ -30,7 +30,7 @@ from carlot.functions.codes import MAKE_ALIASES, MAKE_FUZZY_CUTOFF, MODEL_FUZZY_
 from carlot.functions.numbers import year_prefix4
 from carlot.functions.similarity import compatible_lengths, ratio
 from carlot.functions.text import is_short_or_numeric, nospace, pystrip, slug
-from carlot.session import sized_broadcast
+from carlot.session import cut_lineage, sized_broadcast
 
 
 @dataclass
@@ -90,8 +90,8 @@ def make_tables(cat: Catalog, spark) -> dict[str, DataFrame]:
     mk = cat.makes.select("make_pos", "make", slug("make").alias("mslug"))
     exact = mk.groupBy("mslug").agg(F.min_by("make", "make_pos").alias("make"))
     # dict {slug: make}: key order = first occurrence, value = last writer
-    by_slug = mk.groupBy("mslug").agg(F.min("make_pos").alias("first_pos"),
-                                      F.max_by("make", "make_pos").alias("make"))
+    by_slug = cut_lineage(mk.groupBy("mslug").agg(F.min("make_pos").alias("first_pos"),
+                                                  F.max_by("make", "make_pos").alias("make")))
     aliases = cat.aliases if cat.aliases is not None else alias_table(spark)
     alias_ok = (aliases.join(cat.makes.select(F.col("make").alias("target")), "target", "left_semi")
                 .groupBy("alias_slug").agg(F.max("target").alias("target")))
@@ -114,7 +114,8 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
 
     d = (values.select("raw_make").where(F.col("raw_make").isNotNull() & (F.col("raw_make") != ""))
          .distinct().withColumn("slug_in", slug("raw_make")))
-    d = d.join(exact, "slug_in", "left").join(alias, "slug_in", "left")
+    # the distinct vocabulary is read by every later stage: materialise it once
+    d = cut_lineage(d.join(exact, "slug_in", "left").join(alias, "slug_in", "left"))
     d = d.withColumn("m12", F.coalesce("m_exact", "m_alias"))
     rest = d.where(F.col("m12").isNull() & (F.col("slug_in") != "")).select("slug_in").distinct()
 
@@ -161,8 +162,8 @@ def model_tables(cat: Catalog) -> dict[str, DataFrame]:
     mm = cat.models.where(F.col("model").isNotNull()).select(
         "make", "model_pos", "model", slug("model").alias("mslug"))
     # per make, dict {slug: model}: key order = first occurrence, value = last writer
-    by_slug = mm.groupBy("make", "mslug").agg(F.min("model_pos").alias("first_pos"),
-                                              F.max_by("model", "model_pos").alias("model"))
+    by_slug = cut_lineage(mm.groupBy("make", "mslug").agg(F.min("model_pos").alias("first_pos"),
+                                                          F.max_by("model", "model_pos").alias("model")))
     # {nospace(slug): model} built by iterating the dict above: last key wins
     ns = (by_slug.withColumn("ns", nospace("mslug"))
           .groupBy("make", "ns").agg(F.max_by("model", "first_pos").alias("model")))
@@ -189,9 +190,9 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
     by_slug, ns = t["by_slug"], t["nospace"]
     has_models = cat.models.where(F.col("model").isNotNull()).select("make").distinct()
     known = cat.makes.select("make").distinct()
-    p = (p.join(sized_broadcast(has_models.withColumn("has_models", F.lit(True))), "make", "left")
-         .join(sized_broadcast(known.withColumn("known_make", F.lit(True))), "make", "left")
-         .withColumn("slug_in", slug("raw_model")))
+    p = cut_lineage(p.join(sized_broadcast(has_models.withColumn("has_models", F.lit(True))), "make", "left")
+                    .join(sized_broadcast(known.withColumn("known_make", F.lit(True))), "make", "left")
+                    .withColumn("slug_in", slug("raw_model")))
 
     work = p.where(F.col("has_models")).select("make", "slug_in").distinct()
 
@@ -209,6 +210,7 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
     w = (w.join(ex, ["make", "slug_in"], "left")
          .withColumn("_k", nospace("slug_in")).join(nsb, ["make", "_k"], "left").drop("_k"))
     cols += [("exact", "m_exact"), ("nospace", "m_nospace")]
+    w = cut_lineage(w)
     rest = w.where(F.coalesce(*[F.col(c) for _, c in cols]).isNull()).select("make", "slug_in")
 
     # Guarded similarity on the remainder only; equi-join on compatible length.

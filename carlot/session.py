@@ -34,6 +34,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
@@ -79,5 +80,6 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     Above the bound the table is returned unhinted and AQE chooses the join from
     measured sizes.
     """
-    n = df.count()
+    df = cut_lineage(df)  # computed once, reused by every stage; survives executor loss
+    n = df.count()        # reads the checkpoint, cheap
     return F.broadcast(df) if n <= max_rows else df
