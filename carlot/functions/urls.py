@@ -25,8 +25,8 @@ def absolute_link(href, base: str, path_prefix: str = "/",
     * ``http…`` → query dropped;
     * starting with ``path_prefix`` → ``base`` + path, query dropped;
     * else, when a ``guid`` column is given and non-empty →
-      ``base + offer_path + "{make}-{model}-{guid}"`` (make / model lowered, spaces → ``-``,
-      empty parts skipped);
+      ``base + offer_path + "{make}-{model}" + "-" + guid`` (make / model lowered,
+      spaces → ``-``, empty parts skipped; the ``-`` before the guid is always there);
     * else ``N/A``.
     """
     h = F.coalesce(_as_col(href), F.lit(""))
@@ -40,8 +40,7 @@ def absolute_link(href, base: str, path_prefix: str = "/",
             return F.when(v != "", v)
 
         slug = F.concat_ws("-", part(make), part(model))
-        synth = F.concat(F.lit(base + offer_path),
-                         F.when(slug != "", F.concat(slug, F.lit("-"))).otherwise(F.lit("")), g)
+        synth = F.concat(F.lit(base + offer_path), slug, F.lit("-"), g)
         out = out.when(g != "", synth)
     return out.otherwise(F.lit("N/A"))
 
