@@ -42,6 +42,8 @@ def latest_version(spark: SparkSession, base: str) -> DataFrame:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(base)
     fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        raise FileNotFoundError(f"no table under {base}")
     versions = sorted(
         (s.getPath().getName() for s in fs.listStatus(p)
          if s.isDirectory() and s.getPath().getName().startswith("v=")
