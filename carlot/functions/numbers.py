@@ -14,25 +14,27 @@ def price_to_double(c) -> Column:
     ``"12.990 €"`` → 12.99 (kept as in the reference); ``"1.2.3"`` → NULL (the reference
     raises there).
     """
-    s = pystrip(F.regexp_replace(_as_col(c), "[€ \\x{202F}\\x{A0}]", ""))
-    ok = F.regexp_replace(s, r"\.", "").rlike("^[0-9]+$")
-    return F.when(ok, s.try_cast("double"))
+    s = pystrip(F.regexp_replace(_as_col(c), "[€ \\x{202F}\\x{A0}]+", ""))
+    # digits and dots with at least one digit, else NULL; "1.2.3" fails the cast → NULL.
+    # (one reference to the input: a CASE would evaluate it twice)
+    return F.nullif(F.regexp_extract(s, r"^([0-9.]*[0-9][0-9.]*)$", 1), F.lit("")).try_cast("double")
 
 
 def mileage_to_double(c) -> Column:
     """J9 — as J8 with ``km`` removed and no dots allowed."""
-    s = pystrip(F.regexp_replace(F.regexp_replace(_as_col(c), "km", ""), "[ \\x{202F}\\x{A0}]", ""))
-    return F.when(s.rlike("^[0-9]+$"), s.try_cast("double"))
+    s = pystrip(F.regexp_replace(_as_col(c), "km|[ \\x{202F}\\x{A0}]+", ""))
+    return F.nullif(F.regexp_extract(s, "^([0-9]+)$", 1), F.lit("")).try_cast("double")
 
 
 def digits_to_long(c, repair: bool = True) -> Column:
     """J10 / J19 — every non-digit removed, then integer; NULL when no digit is left.
 
-    ``"12,50 €"`` → 1250 (kept). Input is first passed through the mojibake repair.
+    ``"12,50 €"`` → 1250 (kept). The definition repairs mojibake first; that step can
+    be skipped exactly: re-reading Latin-1 bytes as UTF-8 only touches bytes ≥ 0x80, so
+    it never adds or removes an ASCII digit.
     """
-    s = repair_encoding(c) if repair else _as_col(c)
-    d = F.regexp_replace(s, "[^0-9]", "")
-    return F.when(d != "", d.try_cast("long"))
+    d = F.regexp_replace(_as_col(c), "[^0-9]+", "")
+    return F.nullif(d, F.lit("")).try_cast("long")
 
 
 def first_nonzero(a: Column, b: Column) -> Column:
@@ -46,7 +48,7 @@ def display_number(c, unit: str) -> Column:
     # keep digits and whitespace; whitespace runs → one space; strip
     d = F.regexp_replace(_as_col(c), "[^\\p{Nd}" + ws[1:-1] + "]+", "")
     d = F.trim(F.regexp_replace(d, ws + "+", " "))
-    return F.when(d != "", F.concat(d, F.lit(" " + unit))).otherwise(F.lit("N/A"))
+    return F.coalesce(F.concat(F.nullif(d, F.lit("")), F.lit(" " + unit)), F.lit("N/A"))
 
 
 def registration_split(c) -> tuple[Column, Column]:

@@ -48,6 +48,21 @@ def WS() -> str:
     return whitespace_class()
 
 
+# Python str.splitlines() boundaries
+LINE_BREAK_CHARS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+
+
+@lru_cache(maxsize=1)
+def inline_whitespace_class() -> str:
+    """Whitespace that is not a line boundary (what ``split()`` squashes inside a line)."""
+    return _ranges_class([cp for cp in range(sys.maxunicode + 1)
+                          if chr(cp).isspace() and chr(cp) not in LINE_BREAK_CHARS])
+
+
+def line_break_class() -> str:
+    return _ranges_class([ord(ch) for ch in LINE_BREAK_CHARS])
+
+
 @lru_cache(maxsize=1)
 def _decompose_table() -> tuple[str, str]:
     """``translate`` arguments mapping each precomposed BMP character to its canonical
@@ -98,8 +113,8 @@ def slug(c) -> Column:
     NULL stays NULL (the reference maps a falsy input to ``""``).
     """
     s = strip_marks(F.lower(_as_col(c)))
-    s = F.regexp_replace(s, "/", " ")
-    s = F.regexp_replace(s, "(?:[-_]|" + WS() + ")+", " ")
+    # "/" → space, then runs of "-", "_" and whitespace → one space: one character class
+    s = F.regexp_replace(s, "[-_/" + WS()[1:-1] + "]+", " ")
     return F.trim(s)
 
 

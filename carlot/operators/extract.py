@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from carlot.functions.codes import BLOCK_MARKERS_1, CARD_FUELS, CARD_GEARBOXES, blocked, decode_fuel
 from carlot.functions.numbers import registration_split
-from carlot.functions.text import WS, _as_col, squash, title_case
+from carlot.functions.text import WS, _as_col, inline_whitespace_class, line_break_class, squash, title_case
 from carlot.functions.urls import absolute_link
 
 CARD_SCHEMA = ("page_id long, card_pos int, attrs map<string,string>, text string, "
@@ -163,8 +163,13 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
 
 
 def clean_lines(text, drop: Sequence[str] = ()) -> Column:
-    """D2 — ``text.splitlines()`` → whitespace-squashed, non-empty lines (minus ``drop``)."""
-    lines = F.transform(F.split(_as_col(text), _LINE_BREAKS), lambda l: squash(l))
+    """D2 — ``text.splitlines()`` → whitespace-squashed, non-empty lines (minus ``drop``).
+
+    One regex pass over the whole text squashes in-line whitespace to single spaces;
+    splitting on line boundaries and a plain ``trim`` per line then finish the job
+    (no regex per line)."""
+    flat = F.regexp_replace(_as_col(text), inline_whitespace_class() + "+", " ")
+    lines = F.transform(F.split(flat, line_break_class()), lambda l: F.trim(l))
     keep = lambda l: (l != "") & ~l.isin(list(drop)) if drop else (l != "")
     return F.filter(lines, keep)
 
@@ -250,62 +255,87 @@ def _digits_display(l: Column, unit: str) -> Column:
     return F.when(d != "", F.concat(d, F.lit(" " + unit))).otherwise(F.lit("N/A"))
 
 
-def classify_card_lines(lines: Column, fuels: Sequence[str] = CARD_FUELS,
-                        gearboxes: Sequence[str] = CARD_GEARBOXES) -> Column:
+def classify_card_lines(df: DataFrame, lines_col: str, out: str = "card",
+                        fuels: Sequence[str] = CARD_FUELS, gearboxes: Sequence[str] = CARD_GEARBOXES) -> DataFrame:
     """C4 / G3 / G4 / D8 — layout-2 state machine over bullet-free lines.
 
     Returns ``struct(disponibilite, titre, version, finition, carburant, boite, annee,
     autonomie, kilometrage, mensualite, economie, prix, prix_origine)``.
     Lines 3–7 fill fuel / gearbox / trim; lines 6+ fill year, range, mileage (first
-    hit), monthly and saving (last hit) and collect prices in order.
+    hit), monthly and saving (last hit) and collect prices in order. Line features are
+    computed once per line (one lower-casing, one scan per test) before the folds, and
+    each fold result is its own column (folds are not code-generated, so a repeated
+    reference would re-run them).
     """
     NA = F.lit("N/A")
-    head = F.slice(lines, 4, 5)
-    init1 = F.struct(NA.alias("carburant"), NA.alias("boite"), NA.alias("finition"))
+    lines = F.col(lines_col)
 
-    def step1(acc, l):
+    def head_features(l):
         low = F.lower(l)
-        return (F.when((acc["carburant"] == "N/A") & _kw(low, fuels), acc.withField("carburant", l))
-                .when((acc["boite"] == "N/A") & _kw(low, gearboxes), acc.withField("boite", l))
+        return F.struct(l.alias("l"), _kw(low, fuels).alias("fuel"), _kw(low, gearboxes).alias("gear"))
+
+    head = F.transform(F.slice(lines, 4, 5), head_features)
+    init1 = F.struct(NA.alias("carburant"), NA.alias("boite"), NA.alias("finition"))
+
+    def step1(acc, x):
+        return (F.when((acc["carburant"] == "N/A") & x["fuel"], acc.withField("carburant", x["l"]))
+                .when((acc["boite"] == "N/A") & x["gear"], acc.withField("boite", x["l"]))
                 .when((acc["finition"] == "N/A") & (acc["carburant"] == "N/A") & (acc["boite"] == "N/A"),
-                      acc.withField("finition", l))
+                      acc.withField("finition", x["l"]))
                 .otherwise(acc))
 
-    r1 = F.aggregate(head, init1, step1)
-    tail = F.slice(lines, 7, 1 << 30)
+    df = df.withColumn("_r1", F.aggregate(head, init1, step1))
+    r1 = F.col("_r1")
+
+    def tail_features(l):
+        low = F.lower(l)
+        wltp = F.contains(low, F.lit("wltp"))
+        monthly_low = F.contains(low, F.lit("/mois"))
+        euro = F.contains(l, F.lit("€"))
+        return F.struct(
+            l.alias("l"),
+            _is_annee(l).alias("annee"),
+            wltp.alias("wltp"),
+            (F.contains(low, F.lit("km")) & ~wltp).alias("km"),
+            monthly_low.alias("monthly"),
+            (F.contains(low, F.lit("conomisez")) |
+             (euro & F.contains(l, F.lit("%")) & l.rlike(r"-\p{Nd}+%"))).alias("saving"),
+            (euro & ~F.contains(l, F.lit("/mois")) & l.rlike(r"\p{Nd}")).alias("price"))
+
+    tail = F.transform(F.slice(lines, 7, 1 << 30), tail_features)
     init2 = F.struct(NA.alias("annee"), NA.alias("autonomie"), NA.alias("kilometrage"),
                      NA.alias("mensualite"), NA.alias("economie"),
                      F.array().cast("array<string>").alias("prix"))
 
-    def step2(acc, l):
-        return (F.when(_is_annee(l) & (acc["annee"] == "N/A"), acc.withField("annee", l))
-                .when(_is_wltp(l) & (acc["autonomie"] == "N/A"), acc.withField("autonomie", l))
-                .when(_is_km(l) & (acc["kilometrage"] == "N/A"), acc.withField("kilometrage", _digits_display(l, "km")))
-                .when(_is_monthly(l), acc.withField("mensualite", l))
-                .when(_is_saving(l), acc.withField("economie", l))
-                .when(_is_price(l), acc.withField("prix", F.concat(acc["prix"], F.array(_digits_display(l, "€")))))
+    def step2(acc, x):
+        return (F.when(x["annee"] & (acc["annee"] == "N/A"), acc.withField("annee", x["l"]))
+                .when(x["wltp"] & (acc["autonomie"] == "N/A"), acc.withField("autonomie", x["l"]))
+                .when(x["km"] & (acc["kilometrage"] == "N/A"), acc.withField("kilometrage", _digits_display(x["l"], "km")))
+                .when(x["monthly"], acc.withField("mensualite", x["l"]))
+                .when(x["saving"], acc.withField("economie", x["l"]))
+                .when(x["price"], acc.withField("prix", F.concat(acc["prix"], F.array(_digits_display(x["l"], "€")))))
                 .otherwise(acc))
 
-    r2 = F.aggregate(tail, init2, step2)
+    df = df.withColumn("_r2", F.aggregate(tail, init2, step2))
+    r2 = F.col("_r2")
     n = F.size(lines)
     carb = r1["carburant"]
     carb = F.when((carb != "N/A") & (carb.isin("O", "Unknown") | (F.length(carb) <= 2)), NA).otherwise(carb)
-    return F.struct(
+    return df.withColumn(out, F.struct(
         _get_or_na(lines, 0).alias("disponibilite"),
         F.when(n > 2, squash(F.concat(F.get(lines, 1), F.lit(" "), F.get(lines, 2)))).otherwise(NA).alias("titre"),
         F.when(n > 2, F.get(lines, 2)).otherwise(NA).alias("version"),
         r1["finition"].alias("finition"), carb.alias("carburant"), r1["boite"].alias("boite"),
         r2["annee"].alias("annee"), r2["autonomie"].alias("autonomie"), r2["kilometrage"].alias("kilometrage"),
         r2["mensualite"].alias("mensualite"), r2["economie"].alias("economie"),
-        _get_or_na(r2["prix"], 0).alias("prix"), _get_or_na(r2["prix"], 1).alias("prix_origine"))
+        _get_or_na(r2["prix"], 0).alias("prix"), _get_or_na(r2["prix"], 1).alias("prix_origine"))).drop("_r1", "_r2")
 
 
 def cards_to_listing_b(cards: DataFrame, base_url: str, source: str = "aramisauto") -> DataFrame:
     """C4 — layout-2 card → listing (attributes ``makerid`` / ``modelid`` + line classifier)."""
     a = F.col("attrs")
-    lines = clean_lines(F.col("text"), drop=["•"])
-    return (cards.where(F.col("error").isNull())
-            .withColumn("_c", classify_card_lines(lines))
+    base = cards.where(F.col("error").isNull()).withColumn("_lines", clean_lines(F.col("text"), drop=["•"]))
+    return (classify_card_lines(base, "_lines", "_c")
             .select("page_id", "card_pos", "_c.titre",
                     title_case(F.coalesce(a["makerid"], F.lit("N/A"))).alias("marque"),
                     F.upper(F.coalesce(a["modelid"], F.lit("N/A"))).alias("modele"),

@@ -16,6 +16,7 @@ from carlot.operators.quality import catalogue_member, coverage, distinct_misses
 from carlot.operators.resolve import (lookup_generation, lookup_generation_exact, resolve_listings,
                                       resolve_makes, resolve_models)
 from carlot.plans.common import sql_ws, table
+from carlot.session import cut_lineage
 from carlot.sources.catalog import catalog_from_long
 
 WS = sql_ws()
@@ -30,9 +31,10 @@ def sql_slug(expr: str) -> str:
 def part_catalog(spark, sf):
     p = table(spark, sf, "part")
     cat = catalog_from_long(p, "p_type", "p_name", "p_partkey")
-    # catalogue-sized tables, reused by every stage and size check: keep them in memory
-    cat.makes = cat.makes.cache()
-    cat.models = cat.models.cache()
+    # catalogue tables are read by every stage and size check: derive them from the
+    # source table once (reliable checkpoint in the shared folder)
+    cat.makes = cut_lineage(cat.makes)
+    cat.models = cut_lineage(cat.models)
     cat.aliases = cat.makes.select(F.lower(F.substring("make", 1, 3)).alias("alias_slug"), F.col("make").alias("target"))
     return cat
 

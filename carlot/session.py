@@ -76,10 +76,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast a catalogue-side table only after proving its size.
 
-    The count runs on the catalogue (hundreds to thousands of rows), so it is cheap.
-    Above the bound the table is returned unhinted and AQE chooses the join from
-    measured sizes.
+    The count runs on a catalogue-sized table whose inputs are materialised once
+    (``cut_lineage`` on the catalogue), so it is cheap. Above the bound the table is
+    returned unhinted and AQE chooses the join from measured sizes.
     """
-    df = cut_lineage(df)  # computed once, reused by every stage; survives executor loss
-    n = df.count()        # reads the checkpoint, cheap
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
