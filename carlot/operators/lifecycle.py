@@ -192,3 +192,20 @@ def sheet_prune(sheet: DataFrame, probes: DataFrame, link_col: str = "lien") ->
     st = F.when(checkable, sheet_status(F.col("p.status"), F.col("p.html"), F.col("p.error")))
     return j.select(*[sheet[c] for c in sheet.columns], st.alias("statut")).where(
         F.coalesce(F.col("statut"), F.lit("")) != "MORT")
+
+
+def renormalize_backfill(store: DataFrame, cat, fuzzy: bool = True) -> DataFrame:
+    """K2 — re-run model resolution over the whole store and return the change set
+    ``(id, old, modele_unifie)`` of rows whose resolved model differs (D9); rows with an
+    empty make or model are skipped. Apply it with ``store.patch(..., "id", ["modele_unifie"])``.
+
+    Resolution runs once per distinct (make, model) pair, not per row."""
+    from carlot.operators.resolve import resolve_models
+    from carlot.operators.store import changed_only
+    base = store.where((F.coalesce(F.col("marque"), F.lit("")) != "") &
+                       (F.coalesce(F.col("modele"), F.lit("")) != ""))
+    res = resolve_models(base.select(F.col("marque").alias("raw_make"), F.col("modele").alias("raw_model")),
+                         cat, fuzzy=fuzzy).select("raw_make", "raw_model", F.col("model").alias("_new"))
+    j = base.join(res, (base["marque"] == res["raw_make"]) & (base["modele"] == res["raw_model"]))
+    return changed_only(j, "_new", "modele_unifie").select(
+        "id", F.col("modele_unifie").alias("old"), F.col("_new").alias("modele_unifie"))

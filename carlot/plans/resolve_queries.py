@@ -344,7 +344,32 @@ COVERAGE_MISSES_SQL = _SQL_COVERAGE_BASE + """
 SELECT source, raw_make, raw_model, min(p_partkey) AS first_pos FROM j WHERE NOT found GROUP BY ALL
 """
 
+def renormalize_backfill_q(spark, sf):
+    """K2 — stored listings whose resolved model changed (change set only)."""
+    from carlot.operators.lifecycle import renormalize_backfill
+    p = table(spark, sf, "part")
+    mk, md = _model_inputs(p)
+    k = F.col("p_size") % 3
+    store = p.select(F.col("p_partkey").alias("id"), mk.alias("marque"), md.alias("modele"),
+                     F.when(k == 0, F.col("p_name")).when(k == 1, F.lit(None)).otherwise(md)
+                     .cast("string").alias("modele_unifie"))
+    return renormalize_backfill(store, part_catalog(spark, sf), fuzzy=False)
+
+
+RENORMALIZE_BACKFILL_SQL = f"""
+WITH {SQL_CATALOG},
+{sql_model_resolution(SQL_MODEL_INPUTS)},
+st AS (SELECT p_partkey AS id, i.raw_make AS marque, i.raw_model AS modele,
+              CASE p_size % 3 WHEN 0 THEN p_name WHEN 1 THEN NULL ELSE i.raw_model END AS modele_unifie
+       FROM part JOIN ({SQL_MODEL_INPUTS}) i USING (p_partkey))
+SELECT st.id, st.modele_unifie AS old, res.model AS modele_unifie
+FROM st JOIN res ON st.marque = res.raw_make AND st.modele = res.raw_model
+WHERE coalesce(st.marque, '') <> '' AND coalesce(st.modele, '') <> ''
+  AND res.model <> coalesce(st.modele_unifie, '')
+"""
+
 QUERIES = {
+    "renormalize_backfill": (renormalize_backfill_q, RENORMALIZE_BACKFILL_SQL),
     "make_resolve": (make_resolve, MAKE_RESOLVE_SQL),
     "model_resolve": (model_resolve, MODEL_RESOLVE_SQL),
     "model_resolve_fuzzy": (model_resolve_fuzzy, None),

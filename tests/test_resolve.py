@@ -94,3 +94,14 @@ def test_resolve_listings_keeps_rows(spark, small_catalog, small_generations):
     assert len(out) == 4
     assert sorted((r.modele_unifie or "", r.generation) for r in out) == [
         ("", "N/A"), ("208", "208 2"), ("208", "208 2"), ("208", "208 2")]
+
+
+def test_override_stage(spark, small_catalog):
+    """E19 (optional): a manual (make slug, raw slug) → label table, off by default."""
+    from dataclasses import replace
+    ov = spark.createDataFrame([("bmw", "420", "SERIE 4")], "make_slug string, raw_slug string, label string")
+    cat = replace(small_catalog, overrides=ov)
+    pairs = spark.createDataFrame([("BMW", "420")], "raw_make string, raw_model string")
+    assert resolve_models(pairs, cat).collect()[0].model == "420"
+    r = resolve_models(pairs, cat, use_overrides=True).collect()[0]
+    assert (r.model, r.model_stage) == ("SERIE 4", "override")
