@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from carlot.functions.codes import SAFE_THRESHOLDS, SHEET_DEAD_TEXTS, SOLD_TEXT_1, UNAVAILABLE_URL_MARK_2
 from carlot.functions.urls import url_key
 from carlot.operators.store import patch
+from carlot.session import sized_broadcast
 
 PROBED_SOURCES = ["autoscout24", "aramisauto"]
 
@@ -150,13 +151,15 @@ def gate_report(store: DataFrame, as_of, thresholds: DataFrame | None = None,
     th = thresholds if thresholds is not None else spark.createDataFrame(
         list(SAFE_THRESHOLDS.items()), "source string, min_recent int")
     is_recent = recent(store, as_of, hours)
-    counts = store.join(th.select("source"), "source", "left_semi").groupBy("source").agg(
+    th = sized_broadcast(th, max_rows=100_000)  # one row per source: a configuration table
+    srcs = th.select("source")
+    counts = store.join(srcs, "source", "left_semi").groupBy("source").agg(
         F.count_if(is_recent).cast("long").alias("recent_count"))
     verdict = (th.join(counts, "source", "left")
                .select("source", F.coalesce("recent_count", F.lit(0)).cast("long").alias("recent_count"),
                        F.col("min_recent").alias("threshold"),
                        (F.coalesce("recent_count", F.lit(0)) >= F.col("min_recent")).alias("allowed")))
-    cand = store.where(~is_recent).join(th.select("source"), "source", "left_semi")
+    cand = store.where(~is_recent).join(srcs, "source", "left_semi")
     # row_number() <= k lets Spark insert a partial WindowGroupLimit before the shuffle,
     # so a hot source ships at most k rows per map task.
     w = Window.partitionBy("source").orderBy("last_seen_at", "id")
