@@ -15,7 +15,7 @@ def iso_utc(ts) -> Column:
 
 def cutoff(as_of, days: int = 0, hours: int = 0) -> Column:
     """J31 — ``as_of − days − hours`` (``as_of`` a timestamp text or column)."""
-    t = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+    t = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
     return t - F.make_dt_interval(days=F.lit(days), hours=F.lit(hours))
 
 

@@ -23,7 +23,8 @@ PROBED_SOURCES = ["autoscout24", "aramisauto"]
 
 
 def _ts(as_of) -> Column:
-    return F.lit(as_of).cast("timestamp") if not isinstance(as_of, Column) else as_of
+    # wall-clock literal: compared with TIMESTAMP_NTZ columns without any session-zone shift
+    return F.lit(as_of).cast("timestamp_ntz") if not isinstance(as_of, Column) else as_of
 
 
 def stale(store: DataFrame, as_of, days: int, sources: Sequence[str] | str | None = None) -> DataFrame:

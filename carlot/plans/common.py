@@ -36,7 +36,7 @@ def store_from_events(spark: SparkSession, sf_dir: str, before: str | None = Non
     """One stored row per link: first event id, last time seen, price at that time."""
     v = listing_view(spark, sf_dir)
     if before is not None:
-        v = v.where(F.col("last_seen_at") < F.lit(before).cast("timestamp"))
+        v = v.where(F.col("last_seen_at") < F.lit(before).cast("timestamp_ntz"))
     return v.groupBy("lien_annonce", "source").agg(
         F.min("event_id").alias("id"),
         F.max("last_seen_at").alias("last_seen_at"),

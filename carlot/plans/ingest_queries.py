@@ -145,7 +145,7 @@ def dump_import(spark, sf):
     items = dump_items(spark, sf)
     mapping = detect_roles(items)
     brands, words = title_brand_tables(spark, sf)
-    rows = dump_rows(items, mapping, brands, words, seen_at=F.lit(AS_OF).cast("timestamp"))
+    rows = dump_rows(items, mapping, brands, words, seen_at=F.lit(AS_OF).cast("timestamp_ntz"))
     rows = rows.withColumn("_o", F.regexp_extract("lien_image", r"/(\d+)\.jpg$", 1).cast("long"))
     store = rows.where(F.col("_o") < 300)
     _, inserted = insert_absent(store.drop("_o"), rows, "lien_annonce", ["_o"])

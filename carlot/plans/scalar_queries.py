@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carlot.functions.codes import decode_fuel
+from carlot.functions.codes import decode_fuel, url_has_keyword
 from carlot.functions.numbers import digits_to_long, display_number, first_nonzero, mileage_to_double, price_to_double
 from carlot.functions.text import force_mojibake, repair_encoding, slug, title_case
 from carlot.functions.urls import absolute_link, next_page_url, page_url, url_key
@@ -190,7 +190,32 @@ SELECT code,
 FROM c GROUP BY ALL
 """
 
+# keywords for the D11 binding: fragments that occur in the benchmark pages' URLs and links
+# (the tool's own list targets API request URLs, which these pages do not contain)
+BINDING_URL_KEYWORDS = ["blog", "page=", "utm_", "ref=", "/The"]
+
+
+def url_keywords(spark, sf):
+    """D11 — captured URLs (page URLs and every link of every page) kept when they hold a keyword."""
+    p = table(spark, sf, "pages")
+    links = p.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1))
+                     .alias("link_pos", "url"))
+    allu = p.select("page_id", F.lit(-1).alias("link_pos"), "url").unionByName(links)
+    return allu.where(url_has_keyword(F.col("url"), BINDING_URL_KEYWORDS)).select("page_id", F.col("link_pos").cast("int").alias("link_pos"), "url")
+
+
+URL_KEYWORDS_SQL = """
+WITH links AS (
+  SELECT page_id, -1 AS link_pos, url FROM pages
+  UNION ALL
+  SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS link_pos, unnest(l) AS url
+  FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages))
+SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, url FROM links
+WHERE """ + " OR ".join(f"contains(url, '{w}')" for w in BINDING_URL_KEYWORDS) + """
+"""
+
 QUERIES = {
+    "url_keywords": (url_keywords, URL_KEYWORDS_SQL),
     "slug_text": (slug_text, SLUG_TEXT_SQL),
     "title_case_brand": (title_case_brand, TITLE_CASE_BRAND_SQL),
     "repair_encoding": (repair_encoding_q, REPAIR_ENCODING_SQL),

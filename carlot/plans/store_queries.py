@@ -31,7 +31,7 @@ WHERE rn = 1
 
 def _batch(spark, sf):
     v = listing_view(spark, sf)
-    return v.where(F.col("last_seen_at") >= F.lit(SPLIT_TS).cast("timestamp")).select(
+    return v.where(F.col("last_seen_at") >= F.lit(SPLIT_TS).cast("timestamp_ntz")).select(
         "event_id", "lien_annonce", "source", "prix", "last_seen_at")
 
 
