@@ -20,14 +20,12 @@ def pending_makes(all_makes: DataFrame, done: DataFrame) -> DataFrame:
 
 def add_makes(cat: Catalog, additions: DataFrame) -> Catalog:
     """I3 — add makes (with their models) only when absent; new makes go last, in
-    patch order. ``additions``: (add_pos, make, model_pos, model)."""
-    from pyspark.sql import Window
+    patch order. ``additions``: (add_pos ≥ 0, make, model_pos, model); a new make's
+    position is ``max(existing) + 1 + its first add_pos`` (order-preserving, no window)."""
     new = additions.select("make").distinct().join(cat.makes.select("make"), "make", "left_anti")
     base = cat.makes.agg(F.coalesce(F.max("make_pos") + 1, F.lit(0))).first()[0]  # one scalar
     first = additions.join(new, "make").groupBy("make").agg(F.min("add_pos").alias("_o"))
-    new_makes = first.select(
-        (F.lit(base) + F.row_number().over(Window.orderBy("_o", "make")) - 1).cast("int").alias("make_pos"),
-        "make")
+    new_makes = first.select((F.lit(base) + F.col("_o")).cast("long").alias("make_pos"), "make")
     new_models = additions.join(new, "make").where(F.col("model").isNotNull()).select("make", "model_pos", "model")
     return Catalog(cat.makes.unionByName(new_makes), cat.models.unionByName(new_models), cat.aliases, cat.overrides)
 
@@ -45,7 +43,7 @@ def append_models(cat: Catalog, extra: DataFrame) -> Catalog:
     from pyspark.sql import Window
     added = (cand.join(nxt, "make", "left")
              .withColumn("model_pos", (F.coalesce("_b", F.lit(0)) +
-                                       F.row_number().over(Window.partitionBy("make").orderBy("_o")) - 1).cast("int"))
+                                       F.row_number().over(Window.partitionBy("make").orderBy("_o")) - 1).cast("long"))
              .select("make", "model_pos", "model"))
     return Catalog(cat.makes, cat.models.unionByName(added), cat.aliases, cat.overrides)
 

@@ -27,9 +27,9 @@ def catalog_aliases(spark, sf):
 
 _SQL_CAT = """
 cat_m AS (SELECT p_type AS make, min(p_partkey) AS o FROM part GROUP BY p_type),
-mk AS (SELECT make, row_number() OVER (ORDER BY o) - 1 AS make_pos FROM cat_m),
+mk AS (SELECT make, o AS make_pos FROM cat_m),
 cat_md AS (SELECT p_type AS make, p_name AS model, min(p_partkey) AS o FROM part GROUP BY ALL),
-mm AS (SELECT make, model, row_number() OVER (PARTITION BY make ORDER BY o) - 1 AS model_pos FROM cat_md)"""
+mm AS (SELECT make, model, o AS model_pos FROM cat_md)"""
 
 CATALOG_ALIASES_SQL = f"""
 WITH {_SQL_CAT},
@@ -59,35 +59,36 @@ def catalog_patch(spark, sf):
     additions = p.where(F.col("p_size") >= 45).select(
         F.col("p_partkey").alias("add_pos"),
         F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise(F.col("p_type")).alias("make"),
-        F.col("p_partkey").cast("int").alias("model_pos"), F.col("p_name").alias("model"))
+        F.col("p_partkey").alias("model_pos"), F.col("p_name").alias("model"))
     extra = p.where(F.col("p_size") <= 3).select(
-        F.col("p_type").alias("make"), F.col("p_partkey").cast("int").alias("model_pos"),
+        F.col("p_type").alias("make"), F.col("p_partkey").alias("model_pos"),
         F.when(F.col("p_size") == 1, F.col("p_name")).otherwise(F.upper("p_name")).alias("model"))
     out = append_models(add_makes(cat, additions), extra)
     mk = out.makes
-    return out.models.join(mk, "make").select("make_pos", "make", "model_pos", "model")
+    return out.models.join(mk, "make").select(F.col("make_pos").cast("long"), "make",
+                                              F.col("model_pos").cast("long"), "model")
 
 
 CATALOG_PATCH_SQL = f"""
 WITH {_SQL_CAT},
 add AS (SELECT p_partkey AS add_pos, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE p_type END AS make,
-               CAST(p_partkey AS INTEGER) AS model_pos, p_name AS model FROM part WHERE p_size >= 45),
+               p_partkey AS model_pos, p_name AS model FROM part WHERE p_size >= 45),
 newm AS (SELECT make, min(add_pos) AS o FROM add WHERE make NOT IN (SELECT make FROM mk) GROUP BY make),
 mk2 AS (SELECT make, make_pos FROM mk UNION ALL
-        SELECT make, (SELECT max(make_pos) + 1 FROM mk) + row_number() OVER (ORDER BY o, make) - 1 FROM newm),
+        SELECT make, (SELECT max(make_pos) + 1 FROM mk) + o FROM newm),
 mm2 AS (SELECT make, model_pos, model FROM mm UNION ALL
         SELECT make, model_pos, model FROM add WHERE make IN (SELECT make FROM newm) AND model IS NOT NULL),
-ex AS (SELECT p_type AS make, CAST(p_partkey AS INTEGER) AS model_pos,
+ex AS (SELECT p_type AS make, p_partkey AS model_pos,
               CASE WHEN p_size = 1 THEN p_name ELSE upper(p_name) END AS model FROM part WHERE p_size <= 3),
 cand AS (SELECT make, model, min(model_pos) AS o FROM ex
          WHERE make IN (SELECT make FROM mk2)
            AND NOT EXISTS (SELECT 1 FROM mm2 WHERE mm2.make = ex.make AND mm2.model = ex.model)
          GROUP BY make, model),
 nxt AS (SELECT make, max(model_pos) + 1 AS b FROM mm2 GROUP BY make),
-added AS (SELECT cand.make, CAST(coalesce(nxt.b, 0) + row_number() OVER (PARTITION BY cand.make ORDER BY cand.o) - 1 AS INTEGER) AS model_pos,
+added AS (SELECT cand.make, CAST(coalesce(nxt.b, 0) + row_number() OVER (PARTITION BY cand.make ORDER BY cand.o) - 1 AS BIGINT) AS model_pos,
                  cand.model FROM cand LEFT JOIN nxt ON cand.make = nxt.make),
 allm AS (SELECT * FROM mm2 UNION ALL SELECT * FROM added)
-SELECT CAST(mk2.make_pos AS INTEGER) AS make_pos, allm.make, CAST(allm.model_pos AS INTEGER) AS model_pos, allm.model
+SELECT CAST(mk2.make_pos AS BIGINT) AS make_pos, allm.make, CAST(allm.model_pos AS BIGINT) AS model_pos, allm.model
 FROM allm JOIN mk2 ON allm.make = mk2.make
 """
 

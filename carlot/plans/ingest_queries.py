@@ -8,7 +8,6 @@ table (types as brands, first name words as model words).
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from carlot.functions.text import title_case
@@ -97,8 +96,9 @@ SELECT role, field, hits FROM b WHERE rn = 1 AND hits > 0
 def title_brand_tables(spark, sf):
     p = table(spark, sf, "part")
     b = p.select(title_case(F.lower("p_type")).alias("brand")).distinct()
-    w = Window.orderBy(F.length("brand").desc(), "brand")
-    brands = b.select((F.row_number().over(w) - 1).cast("int").alias("priority"), "brand",
+    # priority = longest brand first, then by name: a sortable key, no ranking window
+    brands = b.select(F.struct((-F.length("brand")).alias("neg_len"), F.col("brand").alias("name")).alias("priority"),
+                      "brand",
                       F.lower("brand").alias("brand_lower"), F.length("brand").alias("blen"),
                       F.when(F.length("brand") <= 5, F.upper("brand")).otherwise(F.col("brand")).alias("canonical"))
     words = p.groupBy(F.lower(F.split("p_name", " ").getItem(0)).alias("word")).agg(

@@ -54,25 +54,19 @@ def catalog_from_dict(spark: SparkSession, d: dict[str, list[str]], with_aliases
 def catalog_from_long(df: DataFrame, make_col: str, model_col: str, order_col: str,
                       with_aliases: bool = False) -> Catalog:
     """Catalogue derived from a table: makes and models ordered by their first
-    appearance in ``order_col`` (a deterministic position, not arrival order)."""
+    appearance in ``order_col`` (a deterministic position, not arrival order).
+
+    The first-appearance value itself is the position: only the order of positions
+    matters downstream, so no ranking window (and no single-task sort) is needed."""
     firsts = df.groupBy(make_col, model_col).agg(F.min(order_col).alias("_o"))
-    mk_first = firsts.groupBy(make_col).agg(F.min("_o").alias("_mo"))
-    makes = mk_first.select(
-        (F.dense_rank().over(_w("_mo")) - 1).cast("int").alias("make_pos"), F.col(make_col).alias("make"))
-    models = firsts.select(
-        F.col(make_col).alias("make"),
-        (F.dense_rank().over(_w("_o", make_col)) - 1).cast("int").alias("model_pos"),
-        F.col(model_col).alias("model"))
+    makes = firsts.groupBy(make_col).agg(F.min("_o").cast("long").alias("make_pos")).select(
+        "make_pos", F.col(make_col).alias("make"))
+    models = firsts.select(F.col(make_col).alias("make"), F.col("_o").cast("long").alias("model_pos"),
+                           F.col(model_col).alias("model"))
     spark = df.sparkSession
     return Catalog(makes, models, alias_table(spark) if with_aliases else None)
 
 
-def _w(order: str, part: str | None = None):
-    from pyspark.sql import Window
-    w = Window.orderBy(order) if part is None else Window.partitionBy(part).orderBy(order)
-    return w
-
-
 def load_generation_catalog(spark: SparkSession, path: str) -> DataFrame:
     """A3 — generation catalogue as (key_pos, model, gens array<struct<gen,from,to>>)."""
     if not os.path.exists(path) and not path.startswith(("s3", "hdfs", "gs:", "abfs", "dbfs")):
