@@ -86,14 +86,15 @@ def field_role_scores(items: DataFrame, prefix: str = "text-body-2",
                       fuel_words: Sequence[str] = DUMP_FUEL_KEYWORDS) -> DataFrame:
     """F1 — per candidate column: non-empty count and year / km / fuel hit counts.
 
-    ``unpivot`` turns candidate columns into rows, then one hash aggregate (partial
-    before the shuffle) counts per field.
+    Candidate columns become (field, value) rows (an explode of structs — an unpivot),
+    then one hash aggregate (partial before the shuffle) counts per field.
     """
     cands = sorted(c for c in items.columns if c.startswith(prefix))
     if not cands:
         raise ValueError(f"no candidate columns starting with {prefix!r}")
-    long = items.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cands]).unpivot(
-        [], cands, "field", "raw")
+    long = items.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").cast("string").alias("raw")) for c in cands])).alias("x")
+    ).select("x.field", "x.raw")
     v = pystrip(repair_encoding(F.col("raw")))
     low = F.lower(v)
     fuel = F.lit(False)
