@@ -30,7 +30,7 @@ from carlot.functions.codes import MAKE_ALIASES, MAKE_FUZZY_CUTOFF, MODEL_FUZZY_
 from carlot.functions.numbers import year_prefix4
 from carlot.functions.similarity import compatible_lengths, ratio
 from carlot.functions.text import is_short_or_numeric, nospace, pystrip, slug
-from carlot.session import cut_lineage, sized_broadcast
+from carlot.session import bounded_broadcast, cut_lineage, sized_broadcast
 
 
 @dataclass
@@ -78,10 +78,33 @@ def _all_substrings(s: Column) -> Column:
         lambda L: F.transform(F.sequence(F.lit(1), n - L + F.lit(1)), lambda i: F.substr(s, i, L))))))
 
 
-def _lengths(df: DataFrame, col: str, min_len: int = 1) -> list[int]:
-    """Distinct lengths of a catalogue column (bounded by the catalogue, collected)."""
-    rows = df.select(F.length(col).alias("n")).where(F.col("n") >= min_len).distinct().collect()
-    return sorted(r["n"] for r in rows)
+def catalog_facts(cat: Catalog) -> dict[str, tuple[int, list[int]]]:
+    """Row counts and distinct slug lengths of makes, models and aliases, measured in one
+    aggregate job and kept on the catalogue object.
+
+    Every table the cascade broadcasts is derived from these three, so its size has a
+    proven bound: ≤ n rows per slug table, ≤ n·L(L+1)/2 rows for all substrings of slugs
+    of length ≤ L."""
+    facts = getattr(cat, "_facts", None)
+    if facts is not None:
+        return facts
+    spark = cat.makes.sparkSession
+    aliases = cat.aliases if cat.aliases is not None else alias_table(spark)
+    parts = (cat.makes.select(F.lit("make").alias("k"), slug("make").alias("s"))
+             .unionByName(cat.models.where(F.col("model").isNotNull())
+                          .select(F.lit("model").alias("k"), slug("model").alias("s")))
+             .unionByName(aliases.select(F.lit("alias").alias("k"), F.col("alias_slug").alias("s"))))
+    rows = parts.groupBy("k").agg(F.count("*").alias("n"), F.collect_set(F.length("s")).alias("lens")).collect()
+    facts = {"make": (0, []), "model": (0, []), "alias": (0, [])}
+    for r in rows:
+        facts[r["k"]] = (int(r["n"]), sorted(int(x) for x in r["lens"] if x is not None))
+    cat._facts = facts
+    return facts
+
+
+def _substring_bound(n: int, lens: list[int]) -> int:
+    L = max(lens) if lens else 0
+    return n * L * (L + 1) // 2
 
 
 # ───────────────────────────── makes ─────────────────────────────
@@ -90,8 +113,8 @@ def make_tables(cat: Catalog, spark) -> dict[str, DataFrame]:
     mk = cat.makes.select("make_pos", "make", slug("make").alias("mslug"))
     exact = mk.groupBy("mslug").agg(F.min_by("make", "make_pos").alias("make"))
     # dict {slug: make}: key order = first occurrence, value = last writer
-    by_slug = cut_lineage(mk.groupBy("mslug").agg(F.min("make_pos").alias("first_pos"),
-                                                  F.max_by("make", "make_pos").alias("make")))
+    by_slug = mk.groupBy("mslug").agg(F.min("make_pos").alias("first_pos"),
+                                      F.max_by("make", "make_pos").alias("make"))
     aliases = cat.aliases if cat.aliases is not None else alias_table(spark)
     alias_ok = (aliases.join(cat.makes.select(F.col("make").alias("target")), "target", "left_semi")
                 .groupBy("alias_slug").agg(F.max("target").alias("target")))
@@ -108,8 +131,11 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
     """
     spark = values.sparkSession
     t = make_tables(cat, spark)
-    exact = sized_broadcast(t["exact"].select(F.col("mslug").alias("slug_in"), F.col("make").alias("m_exact")))
-    alias = sized_broadcast(t["alias"].select(F.col("alias_slug").alias("slug_in"), F.col("target").alias("m_alias")))
+    facts = catalog_facts(cat)
+    n_mk, mk_lens = facts["make"]
+    exact = bounded_broadcast(t["exact"].select(F.col("mslug").alias("slug_in"), F.col("make").alias("m_exact")), n_mk)
+    alias = bounded_broadcast(t["alias"].select(F.col("alias_slug").alias("slug_in"), F.col("target").alias("m_alias")),
+                              facts["alias"][0])
     by_slug = t["by_slug"]
 
     d = (values.select("raw_make").where(F.col("raw_make").isNotNull() & (F.col("raw_make") != ""))
@@ -120,7 +146,7 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
     rest = d.where(F.col("m12").isNull() & (F.col("slug_in") != "")).select("slug_in").distinct()
 
     if fuzzy:
-        cand = sized_broadcast(by_slug.select("mslug", "make", F.length("mslug").alias("clen")))
+        cand = bounded_broadcast(by_slug.select("mslug", "make", F.length("mslug").alias("clen")), n_mk)
         pairs = (rest.withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff)))
                  .join(cand, "clen")
                  .withColumn("score", ratio("mslug", "slug_in"))
@@ -132,12 +158,12 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
     rest4 = rest  # E4 on the same remainder; a fuzzy hit wins in the final coalesce
 
     # Containment either way, first catalogue slug in dict order wins.
-    lens = _lengths(by_slug, "mslug")
-    a = sized_broadcast(by_slug.select(F.col("mslug").alias("sub"), "first_pos", "make"))
+    lens = mk_lens
+    a = bounded_broadcast(by_slug.select(F.col("mslug").alias("sub"), "first_pos", "make"), n_mk)
     fwd = (rest4.withColumn("sub", F.explode(_substrings_of_lengths(F.col("slug_in"), lens)))
            .join(a, "sub").select("slug_in", "first_pos", "make"))
-    cat_subs = sized_broadcast(by_slug.select(F.explode(_all_substrings(F.col("mslug"))).alias("slug_in"),
-                                              "first_pos", "make"), max_rows=2_000_000)
+    cat_subs = bounded_broadcast(by_slug.select(F.explode(_all_substrings(F.col("mslug"))).alias("slug_in"),
+                                                "first_pos", "make"), _substring_bound(n_mk, mk_lens), max_rows=2_000_000)
     bwd = rest4.join(cat_subs, "slug_in").select("slug_in", "first_pos", "make")
     ct = fwd.unionByName(bwd).groupBy("slug_in").agg(F.min_by("make", "first_pos").alias("m_contains"))
 
@@ -162,8 +188,8 @@ def model_tables(cat: Catalog) -> dict[str, DataFrame]:
     mm = cat.models.where(F.col("model").isNotNull()).select(
         "make", "model_pos", "model", slug("model").alias("mslug"))
     # per make, dict {slug: model}: key order = first occurrence, value = last writer
-    by_slug = cut_lineage(mm.groupBy("make", "mslug").agg(F.min("model_pos").alias("first_pos"),
-                                                          F.max_by("model", "model_pos").alias("model")))
+    by_slug = mm.groupBy("make", "mslug").agg(F.min("model_pos").alias("first_pos"),
+                                              F.max_by("model", "model_pos").alias("model"))
     # {nospace(slug): model} built by iterating the dict above: last key wins
     ns = (by_slug.withColumn("ns", nospace("mslug"))
           .groupBy("make", "ns").agg(F.max_by("model", "first_pos").alias("model")))
@@ -190,8 +216,11 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
     by_slug, ns = t["by_slug"], t["nospace"]
     has_models = cat.models.where(F.col("model").isNotNull()).select("make").distinct()
     known = cat.makes.select("make").distinct()
-    p = cut_lineage(p.join(sized_broadcast(has_models.withColumn("has_models", F.lit(True))), "make", "left")
-                    .join(sized_broadcast(known.withColumn("known_make", F.lit(True))), "make", "left")
+    facts = catalog_facts(cat)
+    n_mk = facts["make"][0]
+    n_md, md_lens = facts["model"]
+    p = cut_lineage(p.join(bounded_broadcast(has_models.withColumn("has_models", F.lit(True)), n_mk), "make", "left")
+                    .join(bounded_broadcast(known.withColumn("known_make", F.lit(True)), n_mk), "make", "left")
                     .withColumn("slug_in", slug("raw_model")))
 
     work = p.where(F.col("has_models")).select("make", "slug_in").distinct()
@@ -205,8 +234,8 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
             .groupBy("make_slug", "slug_in").agg(F.max("m_override").alias("m_override")))
         w = w.withColumn("make_slug", slug("make")).join(ov, ["make_slug", "slug_in"], "left").drop("make_slug")
         cols.append(("override", "m_override"))
-    ex = sized_broadcast(by_slug.select("make", F.col("mslug").alias("slug_in"), F.col("model").alias("m_exact")))
-    nsb = sized_broadcast(ns.select("make", F.col("ns").alias("_k"), F.col("model").alias("m_nospace")))
+    ex = bounded_broadcast(by_slug.select("make", F.col("mslug").alias("slug_in"), F.col("model").alias("m_exact")), n_md)
+    nsb = bounded_broadcast(ns.select("make", F.col("ns").alias("_k"), F.col("model").alias("m_nospace")), n_md)
     w = (w.join(ex, ["make", "slug_in"], "left")
          .withColumn("_k", nospace("slug_in")).join(nsb, ["make", "_k"], "left").drop("_k"))
     cols += [("exact", "m_exact"), ("nospace", "m_nospace")]
@@ -215,8 +244,8 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
 
     # Guarded similarity on the remainder only; equi-join on compatible length.
     if fuzzy:
-        cand = sized_broadcast(by_slug.select("make", "mslug", F.col("model").alias("cmodel"),
-                                              F.length("mslug").alias("clen")))
+        cand = bounded_broadcast(by_slug.select("make", "mslug", F.col("model").alias("cmodel"),
+                                                F.length("mslug").alias("clen")), n_md)
         scored = (rest.where(~is_short_or_numeric(F.col("slug_in")))
                   .withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff)))
                   .join(cand, ["make", "clen"])
@@ -230,18 +259,18 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
         fz = None
 
     # Catalogue slug (len >= 2) inside the input; longest, then first in dict order.
-    lens = _lengths(by_slug, "mslug", min_len=2)
-    cb = sized_broadcast(by_slug.where(F.length("mslug") >= 2).select(
-        "make", F.col("mslug").alias("sub"), "first_pos", F.col("model").alias("cmodel")))
+    lens = [L for L in md_lens if L >= 2]
+    cb = bounded_broadcast(by_slug.where(F.length("mslug") >= 2).select(
+        "make", F.col("mslug").alias("sub"), "first_pos", F.col("model").alias("cmodel")), n_md)
     e8 = (rest.withColumn("sub", F.explode(_substrings_of_lengths(F.col("slug_in"), lens)))
           .join(cb, ["make", "sub"])
           .groupBy("make", "slug_in")
           .agg(F.max_by("cmodel", F.struct(F.length("sub"), -F.col("first_pos"))).alias("m_contains")))
 
     # Input (len >= 2) inside a catalogue slug; longest catalogue slug first.
-    subs = sized_broadcast(by_slug.select(
+    subs = bounded_broadcast(by_slug.select(
         "make", F.explode(_all_substrings(F.col("mslug"))).alias("slug_in"),
-        F.length("mslug").alias("clen"), "first_pos", F.col("model").alias("cmodel")), max_rows=5_000_000)
+        F.length("mslug").alias("clen"), "first_pos", F.col("model").alias("cmodel")), _substring_bound(n_md, md_lens), max_rows=5_000_000)
     e9 = (rest.where(F.length("slug_in") >= 2).join(subs, ["make", "slug_in"]).groupBy("make", "slug_in")
           .agg(F.max_by("cmodel", F.struct("clen", -F.col("first_pos"))).alias("m_contained")))
 

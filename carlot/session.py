@@ -82,3 +82,11 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def bounded_broadcast(df: DataFrame, bound: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` when a proven upper bound on its row count is within the limit.
+
+    Used for tables derived from a catalogue whose size was measured once (a derived
+    table cannot have more rows than its bound, e.g. one row per catalogue slug)."""
+    return F.broadcast(df) if bound <= max_rows else df
