@@ -25,9 +25,14 @@ ROLES = ("annee", "km", "carburant")
 
 
 def read_dumps(spark, paths: Sequence[str] | str) -> DataFrame:
-    """A1 — JSON-array dump files, every value as text, with the source file name."""
+    """A1 — JSON-array dump files, every value as text, with the source file name and the
+    item's position (``_file``, ``_pos``: file order, as the files are concatenated).
+
+    A multi-line JSON file is read whole by one task, so the generated id increases in
+    item order inside a file and is the same on a recomputation."""
     return (spark.read.option("multiLine", True).option("primitivesAsString", True).json(paths)
-            .withColumn("_file", F.input_file_name()))
+            .withColumn("_file", F.input_file_name())
+            .withColumn("_pos", F.monotonically_increasing_id()))
 
 
 def strip_noise_prefix(title: Column, prefixes: Sequence[str] = TITLE_NOISE_PREFIXES) -> Column:
@@ -147,6 +152,7 @@ def dump_rows(items: DataFrame, mapping: dict[str, str], brands: DataFrame, word
     year = digits_to_long(c(f_year))
     fuel = repair_encoding(c(f_fuel)) if f_fuel else F.lit("")
     rows = base.select(
+        *[F.col(k) for k in ("_file", "_pos") if k in items.columns],
         pystrip(repair_encoding(c(title_col))).alias("titre"),
         prix.alias("prix"), km.alias("kilometrage"), year.cast("string").alias("date_voiture"),
         F.col("marque"), F.col("modele"), F.col("modele").alias("modele_unifie"),
@@ -159,10 +165,14 @@ def dump_rows(items: DataFrame, mapping: dict[str, str], brands: DataFrame, word
 
 
 def import_dump(store: DataFrame, items: DataFrame, brands: DataFrame, words: DataFrame,
-                order: Sequence[str] = ("lien_annonce",), **kw) -> tuple[DataFrame, DataFrame]:
+                order: Sequence[str] | None = None, **kw) -> tuple[DataFrame, DataFrame]:
     """K13 — A1 → F1/F2/F3 → C6 → D3/D4 → B4. Returns ``(new_store, inserted)``.
 
-    ``order`` decides which duplicate item wins inside the batch (first wins)."""
+    Inside the batch the first item per link wins, in ``order`` (default: file order,
+    ``_file`` then ``_pos`` from ``read_dumps``)."""
     mapping = detect_roles(items)
     rows = dump_rows(items, mapping, brands, words, **kw)
-    return insert_absent(store, rows, "lien_annonce", list(order))
+    order = list(order) if order else [c for c in ("_file", "_pos") if c in rows.columns] or ["lien_annonce"]
+    new_store, inserted = insert_absent(store, rows, "lien_annonce", order)
+    drop = [c for c in ("_file", "_pos") if c in inserted.columns]
+    return new_store.drop(*drop), inserted.drop(*drop)

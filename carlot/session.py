@@ -55,7 +55,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
-        local = tempfile.mkdtemp(prefix="carlot-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(lineage cuts must survive the loss of an executor)")
+        local = tempfile.mkdtemp(prefix="carlot-ckpt-")  # local mode only (tests, bench)
         sc.setCheckpointDir(local)
         current = sc.getCheckpointDir()
     return current
