@@ -207,8 +207,9 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
     ``UNMATCHED`` (no stage hit), as the rejected-rows output (B6).
     """
     make_fuzzy = fuzzy if make_fuzzy is None else make_fuzzy
-    p = (pairs.select("raw_make", "raw_model")
-         .where(F.col("raw_model").isNotNull() & (F.col("raw_model") != "")).distinct())
+    # one pass over the (possibly expensive, possibly huge) input: its distinct pairs
+    p = cut_lineage(pairs.select("raw_make", "raw_model")
+                    .where(F.col("raw_model").isNotNull() & (F.col("raw_model") != "")).distinct())
     mk = resolve_makes(p.select("raw_make"), cat, fuzzy=make_fuzzy)
     p = p.join(mk, "raw_make", "left")
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from carlot.operators.extract import cards_to_listing_a, html_cards
 from carlot.operators.resolve import Catalog, resolve_listings
 from carlot.operators.store import first_per_key, to_store_rows, upsert
+from carlot.session import cut_lineage
 from carlot.sources.sinks import latest_version, write_version
 
 PAGES_SCHEMA = "page_id long, url string, html string"
@@ -27,7 +28,7 @@ def listings_from_pages(pages: DataFrame, cat: Catalog, base_url: str, gens: Dat
     cards = html_cards(pages, layout=1, href_marker=href_marker, extra=["url"])
     cards = cards.withColumn("href", F.when(F.coalesce(F.col("href"), F.lit("")) == "", F.col("url"))
                              .otherwise(F.col("href")))
-    listings = cards_to_listing_a(cards, base_url, source=source, href_marker=href_marker)
+    listings = cut_lineage(cards_to_listing_a(cards, base_url, source=source, href_marker=href_marker))
     return resolve_listings(listings, cat, gens=gens, fuzzy=False)
 
 
