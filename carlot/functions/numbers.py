@@ -14,7 +14,7 @@ def price_to_double(c) -> Column:
     ``"12.990 €"`` → 12.99 (kept as in the reference); ``"1.2.3"`` → NULL (the reference
     raises there).
     """
-    s = pystrip(F.regexp_replace(_as_col(c), "[€ \\x{202F}\\x{A0}]+", ""))
+    s = pystrip(F.translate(_as_col(c), "€ \u202f\u00a0", ""))
     # digits and dots with at least one digit, else NULL; "1.2.3" fails the cast → NULL.
     # (one reference to the input: a CASE would evaluate it twice)
     return F.nullif(F.regexp_extract(s, r"^([0-9.]*[0-9][0-9.]*)$", 1), F.lit("")).try_cast("double")
@@ -22,7 +22,7 @@ def price_to_double(c) -> Column:
 
 def mileage_to_double(c) -> Column:
     """J9 — as J8 with ``km`` removed and no dots allowed."""
-    s = pystrip(F.regexp_replace(_as_col(c), "km|[ \\x{202F}\\x{A0}]+", ""))
+    s = pystrip(F.translate(F.replace(_as_col(c), F.lit("km"), F.lit("")), " \u202f\u00a0", ""))
     return F.nullif(F.regexp_extract(s, "^([0-9]+)$", 1), F.lit("")).try_cast("double")
 
 

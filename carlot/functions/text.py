@@ -85,9 +85,19 @@ def _decompose_table() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
+@lru_cache(maxsize=1)
+def _to_space_table() -> tuple[str, str]:
+    ws = whitespace_chars()
+    return ws, " " * len(ws)
+
+
 def squash(c) -> Column:
-    """J7 — collapse whitespace runs to one space and strip (``" ".join(s.split())``)."""
-    return F.trim(F.regexp_replace(_as_col(c), WS() + "+", " "))
+    """J7 — collapse whitespace runs to one space and strip (``" ".join(s.split())``).
+
+    Every whitespace character becomes a space (``translate``: a per-character map
+    lookup), then runs of spaces collapse — no large character-class regex."""
+    src, dst = _to_space_table()
+    return F.trim(F.regexp_replace(F.translate(_as_col(c), src, dst), " {2,}", " "))
 
 
 @lru_cache(maxsize=1)
@@ -101,21 +111,36 @@ def pystrip(c) -> Column:
     return F.trim(_as_col(c), F.lit(whitespace_chars()))
 
 
+@lru_cache(maxsize=1)
+def _mark_chars() -> str:
+    return "".join(chr(cp) for cp in range(sys.maxunicode + 1)
+                   if not 0xD800 <= cp <= 0xDFFF and unicodedata.category(chr(cp)) == "Mn")
+
+
 def strip_marks(c) -> Column:
-    """Canonical decomposition followed by removal of non-spacing marks."""
+    """Canonical decomposition followed by removal of non-spacing marks (one
+    ``translate``: precomposed → base, marks deleted)."""
+    src, dst = _decompose_table()
+    return F.translate(_as_col(c), src + _mark_chars(), dst)
+
+
+@lru_cache(maxsize=1)
+def _slug_table() -> tuple[str, str]:
     src, dst = _decompose_table()
-    return F.regexp_replace(F.translate(_as_col(c), src, dst), r"\p{Mn}+", "")
+    seps = "-_/" + whitespace_chars()
+    return src + seps + _mark_chars(), dst + " " * len(seps)
 
 
 def slug(c) -> Column:
     """J1 — lower, decompose, drop marks, ``/``→space, ``[-_\\s]+``→space, strip.
 
+    One ``translate`` maps precomposed letters to their base, separators and
+    whitespace to a space and deletes combining marks; runs of spaces then collapse.
     NULL stays NULL (the reference maps a falsy input to ``""``).
     """
-    s = strip_marks(F.lower(_as_col(c)))
-    # "/" → space, then runs of "-", "_" and whitespace → one space: one character class
-    s = F.regexp_replace(s, "[-_/" + WS()[1:-1] + "]+", " ")
-    return F.trim(s)
+    src, dst = _slug_table()
+    s = F.translate(F.lower(_as_col(c)), src, dst)
+    return F.trim(F.regexp_replace(s, " {2,}", " "))
 
 
 # The accent list of the catalogue builder's slug variant.

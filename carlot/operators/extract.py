@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from carlot.functions.codes import BLOCK_MARKERS_1, CARD_FUELS, CARD_GEARBOXES, blocked, decode_fuel
 from carlot.functions.numbers import registration_split
-from carlot.functions.text import WS, _as_col, inline_whitespace_class, line_break_class, squash, title_case
+from carlot.functions.text import (LINE_BREAK_CHARS, WS, _as_col, line_break_class, squash, title_case,
+                                  whitespace_chars)
 from carlot.functions.urls import absolute_link
 
 CARD_SCHEMA = ("page_id long, card_pos int, attrs map<string,string>, text string, "
@@ -162,13 +163,18 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
     return src.mapInPandas(run, schema)
 
 
+def _inline_to_space() -> tuple[str, str]:
+    chars = "".join(ch for ch in whitespace_chars() if ch not in LINE_BREAK_CHARS)
+    return chars, " " * len(chars)
+
+
 def clean_lines(text, drop: Sequence[str] = ()) -> Column:
     """D2 — ``text.splitlines()`` → whitespace-squashed, non-empty lines (minus ``drop``).
 
     One regex pass over the whole text squashes in-line whitespace to single spaces;
     splitting on line boundaries and a plain ``trim`` per line then finish the job
     (no regex per line)."""
-    flat = F.regexp_replace(_as_col(text), inline_whitespace_class() + "+", " ")
+    flat = F.regexp_replace(F.translate(_as_col(text), *_inline_to_space()), " {2,}", " ")
     lines = F.transform(F.split(flat, line_break_class()), lambda l: F.trim(l))
     keep = lambda l: (l != "") & ~l.isin(list(drop)) if drop else (l != "")
     return F.filter(lines, keep)
