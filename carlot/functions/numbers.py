@@ -39,7 +39,7 @@ def digits_to_long(c, repair: bool = True) -> Column:
 
 def first_nonzero(a: Column, b: Column) -> Column:
     """J11 — ``a or b`` over two parsed numbers."""
-    return F.when(a.isNotNull() & (a != 0), a).otherwise(b)
+    return F.coalesce(F.nullif(a, F.lit(0)), b)  # a referenced once
 
 
 def display_number(c, unit: str) -> Column:

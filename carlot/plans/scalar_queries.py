@@ -82,14 +82,18 @@ def parse_price(spark, sf):
     km_text = F.concat(F.regexp_replace(F.format_number(km, 0), ",", " "), F.lit(" km"))
     dw, dc = _price_parts(F.col("l_discount") * 100)
     disc_text = F.concat(dw.cast("string"), F.lit(","), dc, F.lit(" €"))
-    return li.select(
+    # the display texts are inputs here: build them once, in their own projection
+    texts = li.select("l_orderkey", "l_linenumber", price_dot.alias("price_dot"), price_comma.alias("price_comma"),
+                      km_text.alias("km_text"), disc_text.alias("disc_text"))
+    pc = F.col("price_comma")
+    return texts.select(
         "l_orderkey", "l_linenumber",
-        price_to_double(price_dot).alias("prix"),
-        mileage_to_double(km_text).alias("km"),
-        digits_to_long(price_comma).alias("cents"),
-        display_number(F.concat(F.lit("Prix : "), price_comma), "€").alias("prix_affiche"),
-        display_number(km_text, "km").alias("km_affiche"),
-        first_nonzero(digits_to_long(disc_text), digits_to_long(price_comma)).alias("best"),
+        price_to_double(F.col("price_dot")).alias("prix"),
+        mileage_to_double(F.col("km_text")).alias("km"),
+        digits_to_long(pc).alias("cents"),
+        display_number(F.concat(F.lit("Prix : "), pc), "€").alias("prix_affiche"),
+        display_number(F.col("km_text"), "km").alias("km_affiche"),
+        first_nonzero(digits_to_long(F.col("disc_text")), digits_to_long(pc)).alias("best"),
     )
 
 
