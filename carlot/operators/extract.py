@@ -430,9 +430,8 @@ def jsonld_items(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> Data
     img_list = g("$.image", "array<string>")
     image = F.when(img_list.isNotNull(), F.coalesce(F.get(img_list, 0), F.lit("N/A"))) \
         .otherwise(F.coalesce(s("$.image"), F.lit("N/A")))
-    has = lambda k: F.array_contains(F.map_keys(g("$", "map<string,variant>")), F.lit(k))
-    annee = F.when(has("vehicleModelDate"), s("$.vehicleModelDate")) \
-        .when(has("modelDate"), s("$.modelDate")).otherwise(F.lit("N/A"))
+    # first present date key (a key present with a JSON null counts as absent here)
+    annee = F.coalesce(s("$.vehicleModelDate"), s("$.modelDate"), F.lit("N/A"))
     return x.select(
         *keep, "item_pos",
         F.coalesce(s("$.url"), F.lit("N/A")).alias("lien"),
