@@ -20,6 +20,7 @@ from carlot.functions.numbers import registration_split
 from carlot.functions.text import (LINE_BREAK_CHARS, WS, _as_col, line_break_class, squash, title_case,
                                   whitespace_chars)
 from carlot.functions.urls import absolute_link
+from carlot.session import spread
 
 CARD_SCHEMA = ("page_id long, card_pos int, attrs map<string,string>, text string, "
                "img string, href string, error string")
@@ -157,8 +158,8 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
                         out[k].append(v)
             yield pd.DataFrame(out)
 
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"),
-                       *[F.col(c).cast("string").alias(c) for c in extra])
+    src = spread(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"),
+                              *[F.col(c).cast("string").alias(c) for c in extra]))
     schema = CARD_SCHEMA + "".join(f", `{c}` string" for c in extra)
     return src.mapInPandas(run, schema)
 

@@ -30,7 +30,7 @@ from carlot.functions.codes import MAKE_ALIASES, MAKE_FUZZY_CUTOFF, MODEL_FUZZY_
 from carlot.functions.numbers import year_prefix4
 from carlot.functions.similarity import compatible_lengths, ratio
 from carlot.functions.text import is_short_or_numeric, nospace, pystrip, slug
-from carlot.session import bounded_broadcast, cut_lineage, sized_broadcast
+from carlot.session import bounded_broadcast, cut_lineage, sized_broadcast, spread
 
 
 @dataclass
@@ -247,7 +247,7 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
     if fuzzy:
         cand = bounded_broadcast(by_slug.select("make", "mslug", F.col("model").alias("cmodel"),
                                                 F.length("mslug").alias("clen")), n_md)
-        scored = (rest.where(~is_short_or_numeric(F.col("slug_in")))
+        scored = (spread(rest.where(~is_short_or_numeric(F.col("slug_in"))), "make", "slug_in")
                   .withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff)))
                   .join(cand, ["make", "clen"])
                   .withColumn("score", ratio("mslug", "slug_in"))

@@ -93,3 +93,16 @@ def bounded_broadcast(df: DataFrame, bound: int, max_rows: int = BROADCAST_MAX_R
     Used for tables derived from a catalogue whose size was measured once (a derived
     table cannot have more rows than its bound, e.g. one row per catalogue slug)."""
     return F.broadcast(df) if bound <= max_rows else df
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Give a CPU-heavy step (a Python UDF, HTML parsing) at least one partition per core.
+
+    Small inputs — a single row group, or a vocabulary table that AQE coalesced into one
+    partition — would otherwise run the heavy step in one task. Inputs that already have
+    enough partitions (the normal case at cluster scale) are returned unchanged, without
+    a shuffle."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, *cols) if cols else df.repartition(n)
