@@ -9,6 +9,7 @@ from carlot.functions.numbers import digits_to_long, display_number, first_nonze
 from carlot.functions.text import force_mojibake, repair_encoding, slug, title_case
 from carlot.functions.urls import absolute_link, next_page_url, page_url, url_key
 from carlot.plans.common import BASE_URL, sql_ws, table
+from carlot.session import spread
 
 WS = sql_ws()
 CASED = r"\p{Lu}\p{Ll}\p{Lt}"
@@ -16,7 +17,7 @@ CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 def slug_text(spark, sf):
     """J1 over whole document texts (length and digest of each slug)."""
-    d = table(spark, sf, "documents").select("doc_id", slug("text").alias("s"))
+    d = spread(table(spark, sf, "documents")).select("doc_id", slug("text").alias("s"))
     return d.select("doc_id", F.md5("s").alias("slug_md5"), F.length("s").cast("long").alias("slug_len"))
 
 
@@ -54,7 +55,7 @@ FROM part
 
 def repair_encoding_q(spark, sf):
     """Forced mojibake of every whole text is repaired back; clean text is untouched."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     fixed = repair_encoding(force_mojibake(F.col("text")))
     return d.select("doc_id", F.md5(fixed).alias("repaired_md5"), (fixed == F.col("text")).alias("round_trip"),
                     F.md5(repair_encoding("text")).alias("clean_md5"))
@@ -73,7 +74,7 @@ def _price_parts(col):
 
 def parse_price(spark, sf):
     """Prices / mileages written as display text, parsed back."""
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))
     whole, cents = _price_parts(F.col("l_extendedprice"))
     grouped = F.regexp_replace(F.format_number(whole, 0), ",", " ")
     price_dot = F.concat(grouped, F.lit("."), cents, F.lit(" €"))
