@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from carlot.functions.text import WS, _as_col, pystrip, repair_encoding
+from carlot.functions.text import WS, _as_col, pystrip
 
 
 def price_to_double(c) -> Column:
@@ -26,7 +26,7 @@ def mileage_to_double(c) -> Column:
     return F.nullif(F.regexp_extract(s, "^([0-9]+)$", 1), F.lit("")).try_cast("double")
 
 
-def digits_to_long(c, repair: bool = True) -> Column:
+def digits_to_long(c) -> Column:
     """J10 / J19 — every non-digit removed, then integer; NULL when no digit is left.
 
     ``"12,50 €"`` → 1250 (kept). The definition repairs mojibake first; that step can

@@ -52,13 +52,6 @@ def WS() -> str:
 LINE_BREAK_CHARS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 
-@lru_cache(maxsize=1)
-def inline_whitespace_class() -> str:
-    """Whitespace that is not a line boundary (what ``split()`` squashes inside a line)."""
-    return _ranges_class([cp for cp in range(sys.maxunicode + 1)
-                          if chr(cp).isspace() and chr(cp) not in LINE_BREAK_CHARS])
-
-
 def line_break_class() -> str:
     return _ranges_class([ord(ch) for ch in LINE_BREAK_CHARS])
 

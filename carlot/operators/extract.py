@@ -25,8 +25,6 @@ from carlot.session import spread
 CARD_SCHEMA = ("page_id long, card_pos int, attrs map<string,string>, text string, "
                "img string, href string, error string")
 
-# Python str.splitlines() boundaries
-_LINE_BREAKS = "\\r\\n|[\\n\\r\\x{B}\\x{C}\\x{1C}\\x{1D}\\x{1E}\\x{85}\\x{2028}\\x{2029}]"
 _SKIP_TEXT_IN = {"script", "style", "template"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
@@ -235,27 +233,6 @@ def _is_annee(l: Column) -> Column:
     return l.rlike(r"^20\p{Nd}{2}$")
 
 
-def _is_wltp(l: Column) -> Column:
-    return F.contains(F.lower(l), F.lit("wltp"))
-
-
-def _is_km(l: Column) -> Column:
-    return F.contains(F.lower(l), F.lit("km")) & ~_is_wltp(l)
-
-
-def _is_monthly(l: Column) -> Column:
-    return F.contains(F.lower(l), F.lit("/mois"))
-
-
-def _is_saving(l: Column) -> Column:
-    return F.contains(F.lower(l), F.lit("conomisez")) | (
-        F.contains(l, F.lit("%")) & F.contains(l, F.lit("€")) & l.rlike(r"-\p{Nd}+%"))
-
-
-def _is_price(l: Column) -> Column:
-    return l.rlike(r"\p{Nd}") & F.contains(l, F.lit("€")) & ~F.contains(l, F.lit("/mois"))
-
-
 def _digits_display(l: Column, unit: str) -> Column:
     ws = WS()
     d = squash(F.regexp_replace(l, "[^\\p{Nd}" + ws[1:-1] + "]", ""))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carlot.functions.codes import (BRAND_CANONICAL, DUMP_FUEL_KEYWORDS, MODEL_WORD_TO_BRAND,
-                                    TITLE_BRANDS, TITLE_NOISE_PREFIXES, map_literal)
+                                    TITLE_BRANDS, TITLE_NOISE_PREFIXES)
 from carlot.functions.numbers import digits_to_long, first_nonzero, is_year_like
 from carlot.functions.text import WS, pystrip, repair_encoding
 from carlot.operators.store import insert_absent
