@@ -152,9 +152,36 @@ def dump_import(spark, sf):
     return inserted.drop("_o")
 
 
+# The oracle states the detected mapping (2a = year, 2b = mileage, 2c = fuel); the
+# detection itself is checked by ``field_role_pick``.
+DUMP_IMPORT_SQL = f"""
+WITH bt AS ({BRAND_FROM_TITLE_SQL}),
+r AS (
+  SELECT p.p_partkey AS o,
+         trim(CASE p_size % 4 WHEN 0 THEN 'Vends ' || {{t}} || ' ' || p_name WHEN 1 THEN {{t}} || p_name
+              WHEN 2 THEN p_name ELSE p_brand || ' ' || p_name END) AS titre,
+         CAST(floor(p_retailprice) AS BIGINT) AS prix,
+         CAST((p.p_partkey * 7) % 200000 AS BIGINT) AS kilometrage,
+         CAST(1990 + p_size % 35 AS VARCHAR) AS date_voiture,
+         bt.marque, bt.modele, bt.modele AS modele_unifie,
+         'https://dump.example/ad/' || CAST(p.p_partkey % 1500 AS VARCHAR) AS lien_annonce,
+         'https://img.example/' || CAST(p.p_partkey AS VARCHAR) || '.jpg' AS lien_image,
+         'leboncoin' AS source,
+         CASE p_type WHEN 'ECONOMY' THEN 'Diesel' WHEN 'SMALL' THEN 'Essence' ELSE p_type END AS carburant,
+         true AS is_active, TIMESTAMP '{AS_OF}' AS last_seen_at
+  FROM part p JOIN bt ON p.p_partkey = bt.p_partkey
+  WHERE p_size <= 45),
+v AS (SELECT * FROM r WHERE prix IS NOT NULL AND prix <> 0 AND kilometrage IS NOT NULL AND kilometrage <> 0
+        AND marque IS NOT NULL AND marque <> ''),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lien_annonce ORDER BY o) AS rn FROM v) x WHERE rn = 1)
+SELECT titre, prix, kilometrage, date_voiture, marque, modele, modele_unifie, lien_annonce, lien_image, source,
+       carburant, is_active, last_seen_at
+FROM f WHERE lien_annonce NOT IN (SELECT lien_annonce FROM v WHERE o < 300)
+""".replace("{t}", _sql_title("lower(p_type)"))
+
 QUERIES = {
     "field_roles": (field_roles, FIELD_ROLES_SQL),
     "field_role_pick": (field_role_pick, FIELD_ROLE_PICK_SQL),
     "brand_from_title": (brand_from_title, BRAND_FROM_TITLE_SQL),
-    "dump_import": (dump_import, None),
+    "dump_import": (dump_import, DUMP_IMPORT_SQL),
 }
