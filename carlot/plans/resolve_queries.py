@@ -179,14 +179,14 @@ def model_resolve_fuzzy(spark, sf):
     return resolve_models(pairs, part_catalog(spark, sf), fuzzy=True)
 
 
-def listing_resolution(spark, sf):
+def listing_resolution(spark, sf, fuzzy: bool = True):
     """K1 — listings resolved (make, model, generation) and counted per result."""
     p = table(spark, sf, "part")
     mk, md = _model_inputs(p)
     year = (F.lit(2010) + F.col("p_size") % 15).cast("string")
     listings = p.select("p_partkey", mk.alias("marque"), md.alias("modele"), year.alias("annee"))
     gens = part_generations(spark, sf)
-    out = resolve_listings(listings, part_catalog(spark, sf), gens=gens, fuzzy=True)
+    out = resolve_listings(listings, part_catalog(spark, sf), gens=gens, fuzzy=fuzzy)
     return out.groupBy("make_resolved", "modele_unifie", "generation").agg(F.count("*").cast("long").alias("n"))
 
 
@@ -368,7 +368,39 @@ WHERE coalesce(st.marque, '') <> '' AND coalesce(st.modele, '') <> ''
   AND res.model <> coalesce(st.modele_unifie, '')
 """
 
+def listing_resolution_exact(spark, sf):
+    """K1 with the similarity stages off: join-back, generation lookup and counts checked
+    against SQL (the flagship above runs the full cascade)."""
+    return listing_resolution(spark, sf, fuzzy=False)
+
+
+LISTING_RESOLUTION_EXACT_SQL = f"""
+WITH {SQL_CATALOG},
+{sql_model_resolution(SQL_MODEL_INPUTS)},
+pg0 AS (SELECT upper(p_name) AS model, min(p_size) AS s FROM part GROUP BY 1),
+pg AS (SELECT row_number() OVER (ORDER BY model) - 1 AS key_pos, model, 2010 + s % 5 AS y FROM pg0),
+piv AS (SELECT key_pos, model, 1 AS gpos, model || ' 1' AS gen, y AS f, y + 3 AS t FROM pg
+        UNION ALL SELECT key_pos, model, 2, model || ' 2', y + 3, y + 6 FROM pg
+        UNION ALL SELECT key_pos, model, 3, model || ' 3', y + 8, 9999 FROM pg),
+rws AS (SELECT i.p_partkey, i.raw_make AS marque, i.raw_model AS modele,
+               CAST(2010 + p.p_size % 15 AS VARCHAR) AS annee
+        FROM ({SQL_MODEL_INPUTS}) i JOIN part p ON i.p_partkey = p.p_partkey),
+k1 AS (SELECT r.*, res.make AS make_resolved, coalesce(res.model, r.modele) AS modele_unifie FROM rws r
+       LEFT JOIN res ON r.marque IS NOT DISTINCT FROM res.raw_make AND r.modele = res.raw_model),
+gx AS (SELECT *, upper(trim(modele_unifie)) AS gkey,
+              TRY_CAST(trim(substr(trim(annee), 1, 4)) AS INTEGER) AS yr FROM k1),
+gsl AS (SELECT {sql_slug('model')} AS s, arg_min(model, key_pos) AS model FROM pg GROUP BY 1),
+gp AS (SELECT gx.p_partkey, coalesce(ek.model, sk.model) AS k2 FROM gx
+       LEFT JOIN pg ek ON ek.model = gx.gkey LEFT JOIN gsl sk ON sk.s = {sql_slug('gx.gkey')}),
+gr AS (SELECT gx.p_partkey, arg_min(piv.gen, piv.gpos) AS gen FROM gx JOIN gp ON gx.p_partkey = gp.p_partkey
+       JOIN piv ON piv.model = gp.k2 AND gx.yr BETWEEN piv.f AND piv.t
+       WHERE gx.modele_unifie IS NOT NULL AND gx.modele_unifie <> '' GROUP BY gx.p_partkey)
+SELECT make_resolved, modele_unifie, coalesce(gr.gen, 'N/A') AS generation, CAST(count(*) AS BIGINT) AS n
+FROM gx LEFT JOIN gr ON gx.p_partkey = gr.p_partkey GROUP BY ALL
+"""
+
 QUERIES = {
+    "listing_resolution_exact": (listing_resolution_exact, LISTING_RESOLUTION_EXACT_SQL),
     "renormalize_backfill": (renormalize_backfill_q, RENORMALIZE_BACKFILL_SQL),
     "make_resolve": (make_resolve, MAKE_RESOLVE_SQL),
     "model_resolve": (model_resolve, MODEL_RESOLVE_SQL),
