@@ -191,17 +191,18 @@ def listing_resolution(spark, sf, fuzzy: bool = True):
 
 
 def part_generations(spark, sf):
-    """Generations per model name: two overlapping intervals and an open one, by rule."""
+    """Generations per model name: two overlapping intervals and an open one, by rule.
+
+    Keys are ordered by name; the key itself serves as the (order-only) position, so no
+    ranking window is needed."""
     p = table(spark, sf, "part")
     keys = p.groupBy(F.upper("p_name").alias("model")).agg(F.min("p_size").alias("s"))
-    from pyspark.sql import Window
-    w = Window.orderBy("model")
     y = F.lit(2010) + F.col("s") % 5
     gens = F.array(
         F.struct(F.concat(F.col("model"), F.lit(" 1")).alias("gen"), y.cast("int").alias("from"), (y + 3).cast("int").alias("to")),
         F.struct(F.concat(F.col("model"), F.lit(" 2")).alias("gen"), (y + 3).cast("int").alias("from"), (y + 6).cast("int").alias("to")),
         F.struct(F.concat(F.col("model"), F.lit(" 3")).alias("gen"), (y + 8).cast("int").alias("from"), F.lit(9999).alias("to")))
-    return keys.select((F.row_number().over(w) - 1).cast("int").alias("key_pos"), "model", gens.alias("gens"))
+    return keys.select(F.col("model").alias("key_pos"), "model", gens.alias("gens"))
 
 
 # generations from orders
