@@ -122,8 +122,10 @@ def expiry_run(store: DataFrame, probes: DataFrame | None, as_of, mode: str = "a
                                                               if k in ("batch", "stale_days", "source")})
                      .withColumn("mode", F.lit("http")))
     if mode in ("ttl", "all"):
-        parts.append(ttl_expiry_run(store, as_of, **{k: v for k, v in kw.items() if k in ("ttl_days",)})
-                     .withColumn("mode", F.lit("ttl")))
+        ttl_kw = {"ttl_days": kw["ttl_days"]} if "ttl_days" in kw else {}
+        if "ttl_source" in kw:
+            ttl_kw["source"] = kw["ttl_source"]
+        parts.append(ttl_expiry_run(store, as_of, **ttl_kw).withColumn("mode", F.lit("ttl")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -266,6 +266,31 @@ SELECT page_id, lien, statut FROM j WHERE coalesce(statut, '') <> 'MORT'
 """
 
 
+def _expiry_inputs(spark, sf):
+    st = store_from_events(spark, sf).withColumn(
+        "source", F.when(F.col("source") == "view", "autoscout24").when(F.col("source") == "click", "aramisauto")
+        .otherwise(F.col("source")))
+    k = F.col("id") % 6
+    probes = st.select(
+        F.col("lien_annonce").alias("lien"),
+        F.when(k == 0, 404).when(k == 1, 500).when(k == 2, None).otherwise(200).cast("int").alias("status"),
+        F.when(k == 3, F.concat("lien_annonce", F.lit("/moved"))).otherwise(F.col("lien_annonce")).alias("final_url"),
+        F.when(k == 4, F.lit("annonce n'est malheureusement plus disponible")).otherwise(F.lit("ok")).alias("html"),
+        F.when(k <= 1, F.lit("http")).when(k == 2, F.lit("url")).alias("error"))
+    store = st.withColumn("source", F.when(F.col("id") % 11 == 0, F.lit("purchase")).otherwise(F.col("source")))
+    return store, probes
+
+
+def expiry_flags(spark, sf):
+    """K9 + K8 — http then TTL change sets, applied to the store (``is_expired`` and the
+    new ``expire_reason``)."""
+    from carlot.operators.lifecycle import expiry_run, flag_expired
+    store, probes = _expiry_inputs(spark, sf)
+    cs = expiry_run(store, probes, AS_OF, mode="all", batch=200, stale_days=1,
+                    source=["autoscout24", "aramisauto", "purchase"], ttl_days=7, ttl_source="purchase")
+    return flag_expired(store, cs).select("id", "lien_annonce", "source", "is_expired", "expire_reason")
+
+
 def http_expiry(spark, sf):
     """K6 — stale → oldest N → eligibility → probe classification → change set.
 
@@ -323,7 +348,24 @@ SELECT id, lien_annonce, source, CASE WHEN skip THEN 'skipped' ELSE 'checked' EN
 FROM r
 """
 
+EXPIRY_FLAGS_SQL = f"""
+WITH h AS ({HTTP_EXPIRY_SQL}),
+s0 AS ({sql_store_from_events()}),
+s AS (SELECT id, lien_annonce, last_seen_at, is_expired,
+        CASE WHEN id % 11 = 0 THEN 'purchase'
+             WHEN source = 'view' THEN 'autoscout24' WHEN source = 'click' THEN 'aramisauto' ELSE source END AS source
+      FROM s0),
+t AS (SELECT id, 'lbc_ttl:7j' AS reason FROM s
+      WHERE NOT is_expired AND source = 'purchase' AND last_seen_at < TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY),
+u AS (SELECT id, max(reason) AS expire_reason FROM
+        (SELECT id, reason FROM h WHERE expired UNION ALL SELECT id, reason FROM t) c GROUP BY id)
+SELECT s.id, s.lien_annonce, s.source, CASE WHEN u.id IS NOT NULL THEN true ELSE s.is_expired END AS is_expired,
+       u.expire_reason
+FROM s LEFT JOIN u ON s.id = u.id
+"""
+
 QUERIES = {
+    "expiry_flags": (expiry_flags, EXPIRY_FLAGS_SQL),
     "dedup_first": (dedup_first, DEDUP_FIRST_SQL),
     "upsert_latest": (upsert_latest, UPSERT_LATEST_SQL),
     "insert_absent": (insert_absent_q, INSERT_ABSENT_SQL),
