@@ -20,7 +20,7 @@ from carlot.functions.numbers import registration_split
 from carlot.functions.text import (LINE_BREAK_CHARS, WS, _as_col, line_break_class, squash, title_case,
                                   whitespace_chars)
 from carlot.functions.urls import absolute_link
-from carlot.session import spread
+from carlot.session import ship_package, spread
 
 CARD_SCHEMA = ("page_id long, card_pos int, attrs map<string,string>, text string, "
                "img string, href string, error string")
@@ -129,6 +129,7 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
     through to its cards (no join back to the pages is needed).
     """
     extra = list(extra)
+    ship_package(pages.sparkSession)  # the HTML flattening runs in Python workers
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = {"page_id": [], "card_pos": [], "attrs": [], "text": [], "img": [], "href": [], "error": []}

@@ -30,7 +30,7 @@ from carlot.functions.codes import MAKE_ALIASES, MAKE_FUZZY_CUTOFF, MODEL_FUZZY_
 from carlot.functions.numbers import year_prefix4
 from carlot.functions.similarity import compatible_lengths, ratio
 from carlot.functions.text import is_short_or_numeric, nospace, pystrip, slug
-from carlot.session import bounded_broadcast, cut_lineage, sized_broadcast, spread
+from carlot.session import bounded_broadcast, cut_lineage, ship_package, sized_broadcast, spread
 
 
 @dataclass
@@ -130,6 +130,8 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
     matched the first catalogue make there).
     """
     spark = values.sparkSession
+    if fuzzy:
+        ship_package(spark)  # the similarity UDF runs in Python workers
     t = make_tables(cat, spark)
     facts = catalog_facts(cat)
     n_mk, mk_lens = facts["make"]
@@ -207,6 +209,8 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
     ``UNMATCHED`` (no stage hit), as the rejected-rows output (B6).
     """
     make_fuzzy = fuzzy if make_fuzzy is None else make_fuzzy
+    if fuzzy:
+        ship_package(pairs.sparkSession)  # the similarity UDF runs in Python workers
     # one pass over the (possibly expensive, possibly huge) input: its distinct pairs
     p = cut_lineage(pairs.select("raw_make", "raw_model")
                     .where(F.col("raw_model").isNotNull() & (F.col("raw_model") != "")).distinct())

@@ -106,3 +106,31 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= n:
         return df
     return df.repartition(n, *cols) if cols else df.repartition(n)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``carlot`` importable by the Python workers (pandas UDF, ``mapInPandas``).
+
+    The package is zipped once per application and distributed with ``addPyFile``, the
+    programmatic form of ``--py-files``. The zip is written next to the driver process;
+    Spark's file server distributes it to every executor, including ones started later."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import carlot
+    pkg = os.path.dirname(os.path.abspath(carlot.__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="carlot-pyfiles-"), "carlot.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
