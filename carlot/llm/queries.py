@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.llm import bpe, line_dedup, secrets, simhash, suffix_dedup, token_files
+from carlot.llm import bpe, line_dedup, secrets, simhash, sketch, suffix_dedup, token_files
 from carlot.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -17,6 +17,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"), depth=50)
 
@@ -58,6 +62,7 @@ FROM marked GROUP BY doc_id
 
 QUERIES = {
     "op2_bpe": (op2_bpe, None),
+    "op5_fingerprints": (op5_fingerprints, None),
     "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op7_simhash": (op7_simhash, None),
     "op8_line_dedup": (op8_line_dedup, LINE_DEDUP_SQL),
