@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carlot.llm.common import arrow_map, id_and_text, record_batch, written
+from carlot.session import ship_package
 
 SHARDS = 64
 FILTER_BYTES = 48 << 20
@@ -299,36 +300,51 @@ def lost_keys(index: LineIndex, held: DataFrame) -> DataFrame:
     return exact.groupBy("doc_id").agg(F.flatten(F.transform(keys, lambda k: F.array(k["hi"], k["lo"]))).alias("lost"))
 
 
+def kept_lines(min_chars: int):
+    """Pandas UDF (text, lost) -> struct(n_lines, n_dropped, kept_text)."""
+
+    @F.pandas_udf("n_lines bigint, n_dropped bigint, kept_text string")
+    def cut(texts, lost):
+        import pandas as pd
+        out: tuple[list, list, list] = ([], [], [])
+        for text, keys in zip(texts, lost, strict=True):
+            lines = text.split("\n")
+            n = len(lines)
+            if keys is not None:
+                halves = np.asarray(keys, "<i8").tobytes()
+                gone = {halves[i:i + 16] for i in range(0, len(halves), 16)}
+                lines = [x for x in lines if not (is_long(k := line_key(x.encode()), min_chars) and digest_of(k) in gone)]
+                text = "\n".join(lines)
+            for column, value in zip(out, (n, n - len(lines), text), strict=True):
+                column.append(value)
+        return pd.DataFrame({"n_lines": out[0], "n_dropped": out[1], "kept_text": out[2]})
+
+    return cut
+
+
+def _cut(docs: DataFrame, index: LineIndex | None, min_chars: int, min_docs: int) -> DataFrame:
+    """``docs`` with the struct ``__cut``."""
+    index = index or build_index(docs, min_chars, min_docs)
+    lost = lost_keys(index, index.postings).select(F.col("doc_id").alias("__id"), F.col("lost").alias("__lost"))
+    ship_package(docs.sparkSession)
+    joined = docs.join(lost, docs["doc_id"].eqNullSafe(F.col("__id")), "left")
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    return joined.withColumn("__cut", kept_lines(index.min_chars)(text, F.col("__lost"))).drop("__id", "__lost")
+
+
 def dedup_lines(docs: DataFrame, index: LineIndex | None = None, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped, kept_text.
 
     With an ``index`` the documents must be among its own; without one it is built from them."""
-    index = index or build_index(docs, min_chars, min_docs)
-    texts = id_and_text(docs)
-    id_kind = texts.schema["doc_id"].dataType.simpleString()
-    lost = lost_keys(index, index.postings).withColumnRenamed("doc_id", "lost_id")
-    joined = texts.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left").select("doc_id", "text", "lost")
-    fields = [("doc_id", id_kind), ("n_lines", "bigint"), ("n_dropped", "bigint"), ("kept_text", "string")]
-    least = index.min_chars
+    return _cut(docs, index, min_chars, min_docs).select("doc_id", "__cut.*")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                n_lines, n_dropped, kept = [], [], []
-                for text, lost in zip(part.column(1).to_pylist(), part.column(2), strict=True):
-                    lines = text.split("\n")
-                    n_lines.append(len(lines))
-                    if lost.is_valid:
-                        halves = lost.values.to_numpy(zero_copy_only=False).astype("<i8").tobytes()
-                        gone = {halves[i:i + 16] for i in range(0, len(halves), 16)}
-                        lines = [x for x in lines if not (is_long(k := line_key(x.encode()), least) and digest_of(k) in gone)]
-                        text = "\n".join(lines)
-                    n_dropped.append(n_lines[-1] - len(lines))
-                    kept.append(text)
-                yield record_batch([part.column(0), n_lines, n_dropped, kept], fields)
-
-    return arrow_map(joined, run, fields)
+
+def rewrite_documents(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """``docs`` with all its columns: shared lines are gone from ``text``, ``n_chars`` follows."""
+    cut = _cut(docs, None, min_chars, min_docs)
+    new = {"text": F.col("__cut.kept_text"), "n_chars": F.char_length("__cut.kept_text").cast("bigint")}
+    kinds = dict(docs.dtypes)
+    return cut.select(*[new[c].cast(kinds[c]).alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
 def line_digests(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:

@@ -6,17 +6,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.llm import bpe, line_dedup, secrets, simhash, sketch, suffix_dedup, token_files
+from carlot.llm import bpe, decontaminate, licenses, line_dedup, secrets, simhash, sketch, suffix_dedup, token_files, toxicity
 from carlot.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_texts(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -61,7 +74,10 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES = {
+    "op1_toxicity": (op1_toxicity, None),
     "op2_bpe": (op2_bpe, None),
+    "op3_licenses": (op3_licenses, None),
+    "op4_decontaminate": (op4_decontaminate, None),
     "op5_fingerprints": (op5_fingerprints, None),
     "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op7_simhash": (op7_simhash, None),
