@@ -19,7 +19,9 @@ import hashlib
 import heapq
 import json
 import re
+import sys
 import unicodedata
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -28,10 +30,9 @@ from pyspark.sql import DataFrame
 
 from carlot.llm.common import map_texts
 
-FIELDS = [("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
+assert sys.byteorder == "little" and array("I").itemsize == 4
 
-#: Space next to other white space: there a piece's tokens depend on its neighbours.
-WIDE_SPACE = re.compile(r"\s | \s")
+FIELDS = [("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
 
 
 def byte_characters() -> dict[int, str]:
@@ -69,7 +70,7 @@ class PreTokens:
         return any(unicodedata.category(c) == "Cn" for c in text if c > "Ԁ")
 
 
-class _Bounded(dict):
+class Bounded(dict):
     """A dict that makes missing values and starts anew when it holds ``limit`` of them."""
 
     def __init__(self, make, limit: int):
@@ -102,8 +103,9 @@ class ByteBpe:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.merges.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
         self.cut = PreTokens(pattern).cut
-        self.words = _Bounded(lambda w: np.array(self.word_ids(w), "<u4").tobytes(), cached)
-        self.pieces = _Bounded(self._piece, cached)
+        self.words = Bounded(self._word, cached)
+        #: What stands behind a space, up to the next one -> ids of both; None where that depends on neighbours.
+        self.pieces = Bounded(self._piece, cached)
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def merge(self, data: bytes) -> list[int]:
@@ -137,11 +139,15 @@ class ByteBpe:
     def word_ids(self, word: str) -> list[int]:
         return self.merge(word.encode())
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a space and what stands up to the next one."""
+    def _word(self, word: str) -> bytes:
+        return array("I", self.word_ids(word)).tobytes()
+
+    def _piece(self, piece: str) -> bytes | None:
         if piece.isalpha():
-            return np.array(self.word_ids(" " + piece), "<u4").tobytes()
-        if piece[-1:] in (",", ".") and piece[:-1].isalpha():
+            return self._word(" " + piece)
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            return None
+        if piece[-1] in ",." and piece[:-1].isalpha():
             return self.pieces[piece[:-1]] + self.words[piece[-1]]
         return self._joined(self.cut(" " + piece))
 
@@ -149,11 +155,14 @@ class ByteBpe:
         return b"".join(map(self.words.__getitem__, words))
 
     def _plain(self, text: str) -> bytes:
-        if WIDE_SPACE.search(text):
-            return self._joined(self.cut(text))
-        # no pre-token reaches over a lone space from the left: each piece is cut by itself
         head, *pieces = text.split(" ")
-        return self._joined(self.cut(head)) + b"".join(map(self.pieces.__getitem__, pieces))
+        # no pre-token reaches over a lone space from the left: each piece is cut by itself
+        if not head[-1:].isspace():
+            try:
+                return self._joined(self.cut(head)) + b"".join(map(self.pieces.__getitem__, pieces))
+            except TypeError:
+                pass  # a piece of None: spaces next to other white space
+        return self._joined(self.cut(text))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carlot.llm.bpe import ByteBpe, byte_characters, read_spec
+from carlot.llm.bpe import ByteBpe, Bounded, byte_characters, read_spec
 from carlot.llm.common import arrow_map, id_and_text, record_batch
 from carlot.session import shared_scratch_dir
 
@@ -104,14 +104,12 @@ class LibraryBpe(ByteBpe):
         from tokenizers import Tokenizer
         super().__init__(spec, cached=cached)
         self.model = Tokenizer.from_str(spec).model
-        self.shown = {b: ord(c) for b, c in byte_characters().items()}
+        of_byte = byte_characters()
+        #: Character -> its bytes as the vocabulary writes them.
+        self.shown = Bounded(lambda c: "".join(of_byte[b] for b in c.encode()), 1 << 16)
 
     def word_ids(self, word: str) -> list[int]:
-        if word.isascii() and word.isalnum():
-            shown = word
-        else:
-            shown = word.encode().decode("latin-1").translate(self.shown)
-        return [t.id for t in self.model.tokenize(shown)]
+        return [t.id for t in self.model.tokenize("".join(map(self.shown.__getitem__, word)))]
 
 
 _ENCODERS: dict[tuple, LibraryBpe] = {}
