@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from carlot.functions.codes import MAKE_FUZZY_CUTOFF, MODEL_FUZZY_CUTOFF
 from carlot.functions.numbers import year_after_slash
 from carlot.operators.quality import catalogue_member, coverage, distinct_misses
 from carlot.operators.resolve import (lookup_generation, lookup_generation_exact, resolve_listings,
@@ -88,25 +89,66 @@ md_ns AS (SELECT make, regexp_replace(mslug, '{WS}+', '', 'g') AS k, arg_max(mod
           FROM md_by GROUP BY ALL)"""
 
 
-def sql_make_resolution(inputs: str) -> str:
+def _sql_longest_block(a: str, b: str) -> str:
+    """Longest common substring of two texts as ``length * 1000 - start`` (0: none): the
+    longest, then the one that starts first in ``a`` (texts under 1000 characters)."""
+    return (f"coalesce(list_max(flatten(list_transform(range(1, len({a}) + 1), lambda i: list_transform("
+            f"range(1, len({a}) - i + 2), lambda n: CASE WHEN strpos({b}, substr({a}, i, n)) > 0 THEN n * 1000 - i ELSE 0 END)))), 0)")
+
+
+def sql_ratio(name: str, pairs: str) -> str:
+    """CTE text ``name(a, b, ratio)``: Ratcliff-Obershelp similarity of the pairs.
+
+    A work queue: each row is a pair of segments with its longest common block (first in
+    ``a``, then in ``b``); what stands left and right of the block is queued in turn."""
+    n, i = "((best + 999) // 1000)", "(((best + 999) // 1000) * 1000 - best)"
+    j = f"strpos(y, substr(x, {i}, {n}))"
+    return f"""
+{name}_p AS (SELECT DISTINCT a, b FROM ({pairs}) z),
+{name}_q AS (
+  SELECT a, b, a AS x, b AS y, {_sql_longest_block('a', 'b')} AS best FROM {name}_p
+  UNION ALL
+  SELECT a, b, x, y, {_sql_longest_block('x', 'y')} AS best FROM (
+    SELECT a, b, unnest([substr(x, 1, {i} - 1), substr(x, {i} + {n})]) AS x,
+           unnest([substr(y, 1, {j} - 1), substr(y, {j} + {n})]) AS y
+    FROM {name}_q WHERE best > 0) c
+  WHERE x <> '' AND y <> ''),
+{name} AS (SELECT a, b, 2.0 * sum((best + 999) // 1000) / (len(a) + len(b)) AS ratio
+           FROM {name}_q GROUP BY a, b)"""
+
+
+def sql_make_resolution(inputs: str, fuzzy: bool = True) -> str:
     """CTE text ``mres(raw_make, make, make_stage)`` over a query yielding ``raw_make``."""
+    similar = f"""{sql_ratio("mr", """SELECT k.mslug AS a, ms.slug_in AS b FROM (SELECT DISTINCT slug_in FROM ms) ms, mk_by k
+      WHERE ms.slug_in <> '' AND k.mslug <> '' AND 2.0 * least(len(k.mslug), len(ms.slug_in)) >= 0.79 * (len(k.mslug) + len(ms.slug_in))""")},
+mz AS (SELECT mr.b AS slug_in, arg_max(k.make, (mr.ratio, k.mslug)) AS m FROM mr JOIN mk_by k ON k.mslug = mr.a
+       WHERE mr.ratio >= {MAKE_FUZZY_CUTOFF} GROUP BY mr.b)""" if fuzzy else """
+mz AS (SELECT '' AS slug_in, '' AS m WHERE false)"""
     return f"""
 mi AS (SELECT DISTINCT raw_make FROM ({inputs}) q WHERE raw_make IS NOT NULL AND raw_make <> ''),
 ms AS (SELECT raw_make, {sql_slug('raw_make')} AS slug_in FROM mi),
+{similar.strip()},
 mc AS (SELECT ms.slug_in, arg_min(b.make, b.first_pos) AS m FROM (SELECT DISTINCT slug_in FROM ms) ms
        JOIN mk_by b ON ms.slug_in <> '' AND (contains(ms.slug_in, b.mslug) OR contains(b.mslug, ms.slug_in))
        GROUP BY ms.slug_in),
-mres AS (SELECT ms.raw_make, coalesce(e.m, a.target, c.m, ms.raw_make) AS make,
+mres AS (SELECT ms.raw_make, coalesce(e.m, a.target, z.m, c.m, ms.raw_make) AS make,
            CASE WHEN e.m IS NOT NULL THEN 'exact' WHEN a.target IS NOT NULL THEN 'alias'
-                WHEN c.m IS NOT NULL THEN 'contains' END AS make_stage
+                WHEN z.m IS NOT NULL THEN 'fuzzy' WHEN c.m IS NOT NULL THEN 'contains' END AS make_stage
          FROM ms LEFT JOIN mk_exact e ON ms.slug_in = e.mslug
                  LEFT JOIN mk_alias a ON ms.slug_in = a.alias_slug
+                 LEFT JOIN mz z ON ms.slug_in = z.slug_in
                  LEFT JOIN mc c ON ms.slug_in = c.slug_in)"""
 
 
-def sql_model_resolution(inputs: str) -> str:
+def sql_model_resolution(inputs: str, fuzzy: bool = True) -> str:
     """CTE text ``res(raw_make, raw_model, make, make_stage, model, model_stage, reject_reason, slug_in)``."""
-    return f"""{sql_make_resolution(inputs)},
+    similar = f"""{sql_ratio("dr", """SELECT k.mslug AS a, r.slug_in AS b FROM rest r JOIN md_by k ON r.make = k.make
+      WHERE k.mslug <> '' AND NOT (len(trim(r.slug_in)) <= 4 OR (regexp_full_match(trim(r.slug_in), '[a-z0-9 ]{1,6}') AND regexp_matches(r.slug_in, '[0-9]')))
+        AND 2.0 * least(len(k.mslug), len(r.slug_in)) >= 0.59 * (len(k.mslug) + len(r.slug_in))""")},
+e7 AS (SELECT r.make, r.slug_in, arg_max(k.model, (dr.ratio, k.mslug)) AS m FROM rest r JOIN md_by k ON r.make = k.make
+       JOIN dr ON dr.a = k.mslug AND dr.b = r.slug_in WHERE dr.ratio >= {MODEL_FUZZY_CUTOFF} GROUP BY ALL)""" if fuzzy else """
+e7 AS (SELECT '' AS make, '' AS slug_in, '' AS m WHERE false)"""
+    return f"""{sql_make_resolution(inputs, fuzzy)},
 pr AS (SELECT DISTINCT raw_make, raw_model FROM ({inputs}) q WHERE raw_model IS NOT NULL AND raw_model <> ''),
 pm AS (SELECT pr.raw_make, pr.raw_model, mres.make, mres.make_stage, {sql_slug('pr.raw_model')} AS slug_in,
               mres.make IN (SELECT make FROM mm) AS has_models, mres.make IN (SELECT make FROM mk) AS known_make
@@ -116,14 +158,16 @@ w1 AS (SELECT w.make, w.slug_in, ex.model AS m_exact, ns.model AS m_nospace FROM
        LEFT JOIN md_by ex ON w.make = ex.make AND w.slug_in = ex.mslug
        LEFT JOIN md_ns ns ON w.make = ns.make AND regexp_replace(w.slug_in, '{WS}+', '', 'g') = ns.k),
 rest AS (SELECT make, slug_in FROM w1 WHERE m_exact IS NULL AND m_nospace IS NULL),
+{similar.strip()},
 e8 AS (SELECT r.make, r.slug_in, arg_max(b.model, length(b.mslug) * 1000000 - b.first_pos) AS m FROM rest r
        JOIN md_by b ON r.make = b.make AND length(b.mslug) >= 2 AND contains(r.slug_in, b.mslug) GROUP BY ALL),
 e9 AS (SELECT r.make, r.slug_in, arg_max(b.model, length(b.mslug) * 1000000 - b.first_pos) AS m FROM rest r
        JOIN md_by b ON r.make = b.make AND length(r.slug_in) >= 2 AND contains(b.mslug, r.slug_in) GROUP BY ALL),
-hits AS (SELECT w1.make, w1.slug_in, coalesce(m_exact, m_nospace, e8.m, e9.m) AS model,
+hits AS (SELECT w1.make, w1.slug_in, coalesce(m_exact, m_nospace, e7.m, e8.m, e9.m) AS model,
            CASE WHEN m_exact IS NOT NULL THEN 'exact' WHEN m_nospace IS NOT NULL THEN 'nospace'
-                WHEN e8.m IS NOT NULL THEN 'contains' WHEN e9.m IS NOT NULL THEN 'contained' END AS model_stage
-         FROM w1 LEFT JOIN e8 ON w1.make = e8.make AND w1.slug_in = e8.slug_in
+                WHEN e7.m IS NOT NULL THEN 'fuzzy' WHEN e8.m IS NOT NULL THEN 'contains' WHEN e9.m IS NOT NULL THEN 'contained' END AS model_stage
+         FROM w1 LEFT JOIN e7 ON w1.make = e7.make AND w1.slug_in = e7.slug_in
+                 LEFT JOIN e8 ON w1.make = e8.make AND w1.slug_in = e8.slug_in
                  LEFT JOIN e9 ON w1.make = e9.make AND w1.slug_in = e9.slug_in),
 res AS (SELECT pm.raw_make, pm.raw_model, pm.make, pm.make_stage, coalesce(hits.model, pm.raw_model) AS model,
           hits.model_stage,
@@ -144,7 +188,7 @@ def make_resolve(spark, sf):
 
 MAKE_RESOLVE_SQL = f"""
 WITH {SQL_CATALOG},
-{sql_make_resolution(f"SELECT {SQL_MAKE_INPUT} AS raw_make FROM part")}
+{sql_make_resolution(f"SELECT {SQL_MAKE_INPUT} AS raw_make FROM part", fuzzy=False)}
 SELECT raw_make, make, make_stage FROM mres
 """
 
@@ -159,7 +203,7 @@ def model_resolve(spark, sf):
 
 MODEL_RESOLVE_SQL = f"""
 WITH {SQL_CATALOG},
-{sql_model_resolution(SQL_MODEL_INPUTS)}
+{sql_model_resolution(SQL_MODEL_INPUTS, fuzzy=False)}
 SELECT * FROM res
 """
 
@@ -171,14 +215,22 @@ def _drop_letter(p):
 
 def model_resolve_fuzzy(spark, sf):
     """Full cascade with the similarity stages (E3, E7 via J4) on names with one letter
-    dropped and makes with one letter doubled. No SQL oracle: checked in tests against
-    a brute-force evaluation of the definition."""
+    dropped and makes with one letter doubled."""
     p = table(spark, sf, "part")
     raw_make = F.concat(F.col("p_type"), F.substring("p_type", -1, 1))
     pairs = p.select(raw_make.alias("raw_make"), _drop_letter(p).alias("raw_model"))
     return resolve_models(pairs, part_catalog(spark, sf), fuzzy=True)
 
 
+MODEL_RESOLVE_FUZZY_SQL = f"""
+WITH RECURSIVE {SQL_CATALOG},
+{sql_model_resolution("""SELECT p_type || right(p_type, 1) AS raw_make,
+       substr(p_name, 1, (p_size % (length(p_name) - 1)) + 1) || substr(p_name, (p_size % (length(p_name) - 1)) + 3) AS raw_model
+     FROM part""")}
+SELECT * FROM res
+"""
+
+
 def listing_resolution(spark, sf, fuzzy: bool = True):
     """K1 — listings resolved (make, model, generation) and counted per result."""
     p = table(spark, sf, "part")
@@ -311,7 +363,7 @@ def _coverage_base(spark, sf):
     mk, md = _model_inputs(p)
     rows = p.select("p_partkey", F.col("p_brand").alias("source"), mk.alias("raw_make"), md.alias("raw_model"))
     cat = part_catalog(spark, sf)
-    res = resolve_models(rows, cat, fuzzy=False).select("raw_make", "raw_model", "make", "model")
+    res = resolve_models(rows, cat).select("raw_make", "raw_model", "make", "model")
     j = rows.join(res, ["raw_make", "raw_model"], "left")
     return catalogue_member(j, cat, "make", "model")
 
@@ -327,7 +379,7 @@ def coverage_misses(spark, sf):
 
 
 _SQL_COVERAGE_BASE = f"""
-WITH {SQL_CATALOG},
+WITH RECURSIVE {SQL_CATALOG},
 {sql_model_resolution(SQL_MODEL_INPUTS)},
 rows AS ({SQL_MODEL_INPUTS}),
 j AS (SELECT rows.*, res.make, res.model,
@@ -354,11 +406,11 @@ def renormalize_backfill_q(spark, sf):
     store = p.select(F.col("p_partkey").alias("id"), mk.alias("marque"), md.alias("modele"),
                      F.when(k == 0, F.col("p_name")).when(k == 1, F.lit(None)).otherwise(md)
                      .cast("string").alias("modele_unifie"))
-    return renormalize_backfill(store, part_catalog(spark, sf), fuzzy=False)
+    return renormalize_backfill(store, part_catalog(spark, sf))
 
 
 RENORMALIZE_BACKFILL_SQL = f"""
-WITH {SQL_CATALOG},
+WITH RECURSIVE {SQL_CATALOG},
 {sql_model_resolution(SQL_MODEL_INPUTS)},
 st AS (SELECT p_partkey AS id, i.raw_make AS marque, i.raw_model AS modele,
               CASE p_size % 3 WHEN 0 THEN p_name WHEN 1 THEN NULL ELSE i.raw_model END AS modele_unifie
@@ -375,9 +427,10 @@ def listing_resolution_exact(spark, sf):
     return listing_resolution(spark, sf, fuzzy=False)
 
 
-LISTING_RESOLUTION_EXACT_SQL = f"""
-WITH {SQL_CATALOG},
-{sql_model_resolution(SQL_MODEL_INPUTS)},
+def _listing_resolution_sql(fuzzy: bool) -> str:
+    return f"""
+WITH {'RECURSIVE ' if fuzzy else ''}{SQL_CATALOG},
+{sql_model_resolution(SQL_MODEL_INPUTS, fuzzy)},
 pg0 AS (SELECT upper(p_name) AS model, min(p_size) AS s FROM part GROUP BY 1),
 pg AS (SELECT row_number() OVER (ORDER BY model) - 1 AS key_pos, model, 2010 + s % 5 AS y FROM pg0),
 piv AS (SELECT key_pos, model, 1 AS gpos, model || ' 1' AS gen, y AS f, y + 3 AS t FROM pg
@@ -400,13 +453,17 @@ SELECT make_resolved, modele_unifie, coalesce(gr.gen, 'N/A') AS generation, CAST
 FROM gx LEFT JOIN gr ON gx.p_partkey = gr.p_partkey GROUP BY ALL
 """
 
+
+LISTING_RESOLUTION_SQL = _listing_resolution_sql(True)
+LISTING_RESOLUTION_EXACT_SQL = _listing_resolution_sql(False)
+
 QUERIES = {
     "listing_resolution_exact": (listing_resolution_exact, LISTING_RESOLUTION_EXACT_SQL),
     "renormalize_backfill": (renormalize_backfill_q, RENORMALIZE_BACKFILL_SQL),
     "make_resolve": (make_resolve, MAKE_RESOLVE_SQL),
     "model_resolve": (model_resolve, MODEL_RESOLVE_SQL),
-    "model_resolve_fuzzy": (model_resolve_fuzzy, None),
-    "listing_resolution": (listing_resolution, None),
+    "model_resolve_fuzzy": (model_resolve_fuzzy, MODEL_RESOLVE_FUZZY_SQL),
+    "listing_resolution": (listing_resolution, LISTING_RESOLUTION_SQL),
     "generation_lookup": (generation_lookup, GENERATION_LOOKUP_SQL),
     "generation_backfill": (generation_backfill, GENERATION_BACKFILL_SQL),
     "generation_reindex": (generation_reindex, GENERATION_REINDEX_SQL),

@@ -23,13 +23,13 @@ PAGES_SCHEMA = "page_id long, url string, html string"
 
 
 def listings_from_pages(pages: DataFrame, cat: Catalog, base_url: str, gens: DataFrame | None = None,
-                        source: str = "pages", href_marker: str = "/") -> DataFrame:
+                        source: str = "pages", href_marker: str = "/", fuzzy: bool = True) -> DataFrame:
     """K14 transform shared by the batch and the streaming job (no aggregation)."""
     cards = html_cards(pages, layout=1, href_marker=href_marker, extra=["url"])
     cards = cards.withColumn("href", F.when(F.coalesce(F.col("href"), F.lit("")) == "", F.col("url"))
                              .otherwise(F.col("href")))
     listings = cut_lineage(cards_to_listing_a(cards, base_url, source=source, href_marker=href_marker))
-    return resolve_listings(listings, cat, gens=gens, fuzzy=False)
+    return resolve_listings(listings, cat, gens=gens, fuzzy=fuzzy)
 
 
 def apply_batch(spark: SparkSession, batch: DataFrame, store_base: str, seen_at=None) -> str:

@@ -1,94 +1,54 @@
-"""The full cascade (with the similarity stages) against a direct evaluation of its
-definition: loops over the catalogue, stdlib similarity, first hit wins."""
+"""The similarity ratio: hand-derived vectors, the length bound, and the SQL of the oracle."""
 
-import re
-import unicodedata
-from difflib import get_close_matches
+import random
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from carlot.plans.resolve_queries import model_resolve_fuzzy, part_catalog
-
-SF = "/root/testdata/sf0.001"
-
-
-def _slug(s):
-    if not s:
-        return ""
-    s = unicodedata.normalize("NFD", s.lower().strip())
-    s = "".join(c for c in s if unicodedata.category(c) != "Mn").replace("/", " ")
-    return re.sub(r"[-_\s]+", " ", s).strip()
-
-
-def _guarded(s):
-    s = s.strip()
-    return len(s) <= 4 or bool(re.match(r"^[a-z0-9\s]{1,6}$", s) and re.search(r"\d", s))
-
-
-def brute_make(raw, db, aliases):
-    if not raw:
-        return raw
-    s = _slug(raw)
-    for m in db:
-        if _slug(m) == s:
-            return m
-    if s in aliases and aliases[s] in db:
-        return aliases[s]
-    by_slug = {}
-    for m in db:
-        by_slug[_slug(m)] = m
-    hit = get_close_matches(s, by_slug.keys(), n=1, cutoff=0.8)
-    if hit:
-        return by_slug[hit[0]]
-    if s:
-        for k, m in by_slug.items():
-            if s in k or k in s:
-                return m
-    return raw
-
-
-def brute_model(raw_make, raw_model, db, aliases):
-    if not raw_model:
-        return raw_model
-    models = db.get(brute_make(raw_make, db, aliases), [])
-    if not models:
-        return raw_model
-    s = _slug(raw_model)
-    by_slug = {}
-    for m in models:
-        by_slug[_slug(m)] = m
-    if s in by_slug:
-        return by_slug[s]
-    ns = {re.sub(r"\s+", "", k): v for k, v in by_slug.items()}
-    if re.sub(r"\s+", "", s) in ns:
-        return ns[re.sub(r"\s+", "", s)]
-    if not _guarded(s):
-        hit = get_close_matches(s, by_slug.keys(), n=1, cutoff=0.6)
-        if hit:
-            return by_slug[hit[0]]
-    ranked = sorted(by_slug.items(), key=lambda kv: -len(kv[0]))
-    for k, v in ranked:
-        if len(k) >= 2 and k in s:
-            return v
-    for k, v in ranked:
-        if len(s) >= 2 and s in k:
-            return v
-    return raw_model
-
-
-def test_fuzzy_cascade_matches_definition(spark):
-    cat = part_catalog(spark, SF)
-    makes = [r.make for r in cat.makes.orderBy("make_pos").collect()]
-    db = {m: [] for m in makes}
-    for r in cat.models.orderBy("make", "model_pos").collect():
-        db[r.make].append(r.model)
-    aliases = {r.alias_slug: r.target for r in cat.aliases.collect()}
-    got = model_resolve_fuzzy(spark, SF).select("raw_make", "raw_model", "make", "model").collect()
-    assert len(got) > 50
-    stages = {r.model_stage for r in model_resolve_fuzzy(spark, SF).select("model_stage").distinct().collect()}
-    assert "fuzzy" in stages
-    bad = [(r.raw_make, r.raw_model, r.make, r.model, brute_make(r.raw_make, db, aliases),
-            brute_model(r.raw_make, r.raw_model, db, aliases))
-           for r in got
-           if (r.make, r.model) != (brute_make(r.raw_make, db, aliases), brute_model(r.raw_make, r.raw_model, db, aliases))]
-    assert not bad, bad[:5]
+from carlot.functions.similarity import compatible_lengths, ratio, ratio_py
+from carlot.operators.resolve import resolve_makes, resolve_models
+from carlot.plans.resolve_queries import sql_ratio
+from carlot.sources.catalog import catalog_from_dict
+
+VECTORS = [("abcd", "bcde", 0.75), ("abc", "abc", 1.0), ("abc", "xyz", 0.0), ("golf", "gol", 6 / 7),
+           ("ab cd", "cd ab", 0.4), ("tide", "diet", 0.25), ("diet", "tide", 0.5)]
+
+
+@pytest.mark.parametrize(("a", "b", "expected"), VECTORS)
+def test_vectors(spark, a, b, expected):
+    got = spark.createDataFrame([(a, b)], "a string, b string").select(ratio("a", "b")).first()[0]
+    assert got == pytest.approx(expected)
+
+
+def test_sql_of_the_oracle():
+    rng = random.Random(4)
+    text = lambda: "".join(rng.choice("abcde ") for _ in range(rng.randint(1, 14)))
+    pairs = sorted({(text(), text()) for _ in range(400)})
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (a VARCHAR, b VARCHAR)")
+    con.executemany("INSERT INTO p VALUES (?, ?)", pairs)
+    got = con.execute(f"WITH RECURSIVE {sql_ratio('r', 'SELECT a, b FROM p')} SELECT a, b, ratio FROM r").fetchall()
+    assert len(got) == len(pairs)
+    assert all(x == pytest.approx(ratio_py(a, b)) for a, b, x in got)
+
+
+@pytest.mark.parametrize("cutoff", [0.6, 0.8])
+def test_no_length_that_reaches_the_cutoff_is_left_out(spark, cutoff):
+    rows = spark.range(1, 40).select("id", compatible_lengths(F.col("id").cast("int"), cutoff).alias("m")).collect()
+    for r in rows:
+        assert set(r["m"]) >= {m for m in range(1, 200) if 2 * min(r["id"], m) / (r["id"] + m) >= cutoff}
+
+
+def test_stage_order(spark):
+    """Exact before similar before contained; short and numeric names are never similar."""
+    cat = catalog_from_dict(spark, {"Renault": ["Clio", "Megane", "Grand Scenic"], "Peugeot": ["208", "2008"]})
+    makes = {r["raw_make"]: (r["make"], r["make_stage"]) for r in resolve_makes(
+        spark.createDataFrame([("renault",), ("Renaut",), ("Peugeot France SA",), ("Zzz",)], "raw_make string"), cat).collect()}
+    assert makes == {"renault": ("Renault", "exact"), "Renaut": ("Renault", "fuzzy"),
+                     "Peugeot France SA": ("Peugeot", "contains"), "Zzz": ("Zzz", None)}
+    pairs = [("Renault", "MEGANE"), ("Renault", "Meganne"), ("Renault", "Scenic"), ("Peugeot", "207"), ("Peugeot", "208 gti line")]
+    models = {r["raw_model"]: (r["model"], r["model_stage"]) for r in resolve_models(
+        spark.createDataFrame(pairs, "raw_make string, raw_model string"), cat).collect()}
+    assert models == {"MEGANE": ("Megane", "exact"), "Meganne": ("Megane", "fuzzy"), "Scenic": ("Grand Scenic", "fuzzy"),
+                      "207": ("207", None), "208 gti line": ("208", "contains")}
