@@ -44,10 +44,10 @@ from carlot.llm.common import arrow_map, ddl, id_and_text, record_batch, written
 
 GRAM = 16
 RUN = 32  # windows in a run at most, so that a run's verdict fits a 32-bit mask
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_DOCS = 60_000
 BLOCK_BYTES = 1 << 18
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 NO_ID = -(1 << 63)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
