@@ -71,23 +71,28 @@ class PreTokens:
 
 
 class Bounded(dict):
-    """A dict that makes missing values and starts anew when it holds ``limit`` of them."""
+    """A dict that makes missing values. When it holds ``limit`` of them it starts anew, but
+    values that are asked for again come back from the one before."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.before = make, limit, {}
 
     def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.before = self.copy()
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
 class ByteBpe:
     """Encoder and decoder over one tokenizer file (its JSON text)."""
 
-    def __init__(self, spec: str, pattern: str = public_tokenizers.PATTERN, cached: int = 500_000):
+    def __init__(self, spec: str, pattern: str = public_tokenizers.PATTERN, cached: int = 300_000):
         spec = json.loads(spec)
         model = spec["model"]
         vocab = model["vocab"]
@@ -148,7 +153,7 @@ class ByteBpe:
         if not piece or piece[0].isspace() or piece[-1].isspace():
             return None
         if piece[-1] in ",." and piece[:-1].isalpha():
-            return self.pieces[piece[:-1]] + self.words[piece[-1]]
+            return (self.pieces.get(piece[:-1]) or self._word(" " + piece[:-1])) + self.words[piece[-1]]
         return self._joined(self.cut(" " + piece))
 
     def _joined(self, words: list[str]) -> bytes:

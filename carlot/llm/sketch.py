@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carlot.llm.common import id_and_text, written
+from carlot.llm.common import id_and_text, id_ranges, written
 
 TABLES, CELLS = 3, 8
 ROUNDS = 12
@@ -156,18 +156,6 @@ def differences(pairs: DataFrame) -> DataFrame:
 
 # --- documents, their edits and successors -------------------------------------------------
 
-def id_ranges(docs: DataFrame, ranges: int) -> Column:
-    """Number of the id range of ``doc_id``: a binary search in quantiles (a power of two of them)."""
-    fractions = [i / ranges for i in range(1, ranges)]
-    edges = docs.agg(F.percentile_approx("doc_id", fractions, 10 * ranges).alias("q")).first()["q"]
-    if not edges:
-        return F.lit(0)
-    quantiles = F.array(*[F.lit(e).cast("bigint") for e in edges])
-    halves = F.array(*[F.lit(ranges >> i) for i in range(1, ranges.bit_length())])
-    return F.coalesce(F.aggregate(halves, F.lit(0), lambda low, half: F.when(
-        F.get(quantiles, low + half - 1) < F.col("doc_id"), low + half).otherwise(low)), F.lit(0))
-
-
 def with_successor(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """(doc_id, text, digests, next): ``next`` is struct(text, digests) of the next document."""
     spark = docs.sparkSession

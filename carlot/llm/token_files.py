@@ -14,7 +14,7 @@ their first id in the shard: Spark's writer commits them on any shared store, wh
 at all, whichever executors are lost. ``read_tokens`` unpacks blocks in parallel;
 ``read_document`` reads the blocks of one document only, by the pushed-down id bounds.
 
-Scale: one range shuffle of the texts on ``doc_id``; encoding, packing and unpacking are
+Scale: one shuffle of the texts, by ranges of ``doc_id``; encoding, packing and unpacking are
 per-partition work. Positions over all files need one total a shard (as many rows as there
 are files).
 
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carlot.llm.bpe import ByteBpe, Bounded, byte_characters, read_spec
-from carlot.llm.common import arrow_map, id_and_text, record_batch
+from carlot.llm.common import arrow_map, id_and_text, id_ranges, record_batch
 from carlot.session import shared_scratch_dir
 
 BLOCK_IDS = 1 << 16
@@ -100,7 +100,7 @@ class LibraryBpe(ByteBpe):
     """The tokenizers library's model behind the cache of pre-tokens: each pre-token that
     isn't known yet goes through the library once, and texts are joined from them."""
 
-    def __init__(self, spec: str, cached: int = 500_000):
+    def __init__(self, spec: str, cached: int = 300_000):
         from tokenizers import Tokenizer
         super().__init__(spec, cached=cached)
         self.model = Tokenizer.from_str(spec).model
@@ -160,7 +160,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int | None, path: str
         if waiting:
             yield flush()
 
-    in_order = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # ranges of ids by quantiles, a partition each: the quantiles read the ids alone
+    partitions = 1 << (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    in_order = texts.repartitionById(partitions, id_ranges(texts, partitions)).sortWithinPartitions("doc_id", "text")
     arrow_map(in_order, run, fields).write.parquet(path)
 
 
