@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carlot.llm import toxicity as tx
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 @pytest.fixture(scope="module")
@@ -26,8 +26,8 @@ def test_held_out_accuracy(tables, lexicon):
     assert len(rows) > 50
     toxic = [r["score"] for r in rows if r["toxic"]]
     clean = [r["score"] for r in rows if not r["toxic"]]
-    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.93
-    assert np.mean([a > b for a in toxic for b in clean]) > 0.75
+    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.97
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.9
     assert np.mean([s >= 0.5 for s in clean]) < 0.03
 
 
