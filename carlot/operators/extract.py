@@ -32,21 +32,23 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 class _CardParser(HTMLParser):
     """Collects cards from one page.
 
-    ``layout=1``: every ``<article>`` (attrs, text nodes joined by newline, first
-    ``img@src``, first ``a@href`` containing ``href_marker``).
+    ``layout=1``: every ``<article>``, nested ones too, in document order (attrs, text
+    nodes joined by newline, ``src`` of the first ``img``, first ``a@href`` containing
+    ``href_marker``).
     ``layout=2``: every ``<a class="product-card">``; text of the first
     ``.product-card-content-wrapper`` inside it when present, else of the anchor.
+
+    Open cards form a stack, so a text node belongs to all cards around it. A
+    self-closing tag is opened and closed at once; a missing end tag is closed by that of
+    an element around it.
     """
 
     def __init__(self, layout: int, href_marker: str):
         super().__init__(convert_charrefs=True)
         self.layout, self.marker = layout, href_marker
         self.cards: list[dict] = []
+        self.open: list[dict] = []  # cards around the current place
         self.stack: list[str] = []
-        self.cur: dict | None = None
-        self.cur_depth = 0
-        self.wrap_depth: int | None = None
-        self.skip = 0
 
     def _is_card(self, tag: str, attrs: dict) -> bool:
         if self.layout == 1:
@@ -55,61 +57,52 @@ class _CardParser(HTMLParser):
 
     def handle_starttag(self, tag, attrs_list):
         attrs = {k: (v if v is not None else "") for k, v in attrs_list}
-        if tag in _SKIP_TEXT_IN:
-            self.skip += 1
-        if self.cur is None and self._is_card(tag, attrs):
-            self.cur = {"attrs": attrs, "parts": [], "wparts": [], "img": "", "href": ""}
-            self.cur_depth = len(self.stack) + 1
-        elif self.cur is not None:
-            if tag == "img" and not self.cur["img"]:
-                self.cur["img"] = attrs.get("src", "")
-            if self.layout == 1 and tag == "a" and not self.cur["href"] and self.marker in attrs.get("href", "") \
-                    and "href" in attrs:
-                self.cur["href"] = attrs["href"]
-            if self.layout == 2 and self.wrap_depth is None and not self.cur.get("has_wrap") and \
+        depth = len(self.stack) + 1
+        for card in self.open:
+            if tag == "img" and card["img"] is None:
+                card["img"] = attrs.get("src", "")
+            if self.layout == 1 and tag == "a" and card["href"] is None and self.marker in attrs.get("href", ""):
+                card["href"] = attrs.get("href", "")
+            if self.layout == 2 and not card["has_wrap"] and \
                     "product-card-content-wrapper" in (attrs.get("class") or "").split():
-                self.wrap_depth = len(self.stack) + 1
-                self.cur["has_wrap"] = True
+                card["has_wrap"], card["wrap_depth"] = True, depth
+        if self._is_card(tag, attrs):
+            card = {"attrs": attrs, "parts": [], "wparts": [], "img": None, "href": None, "depth": depth,
+                    "has_wrap": False, "wrap_depth": None}
+            self.cards.append(card)
+            self.open.append(card)
         if tag not in _VOID:
             self.stack.append(tag)
 
     def handle_startendtag(self, tag, attrs_list):
         self.handle_starttag(tag, attrs_list)
-        if tag not in _VOID and self.stack and self.stack[-1] == tag:
-            self.stack.pop()
+        if tag not in _VOID:
+            self.handle_endtag(tag)
+        if tag in self.CDATA_CONTENT_ELEMENTS:
+            self.clear_cdata_mode()
 
     def handle_endtag(self, tag):
-        if tag in _SKIP_TEXT_IN and self.skip:
-            self.skip -= 1
         if tag in _VOID or tag not in self.stack:
             return
         while self.stack:
-            top = self.stack.pop()
-            depth = len(self.stack) + 1
-            if self.wrap_depth is not None and depth == self.wrap_depth:
-                self.wrap_depth = None
-            if self.cur is not None and depth == self.cur_depth:
-                self._close()
+            depth, top = len(self.stack), self.stack.pop()
+            for card in self.open:
+                if card["wrap_depth"] == depth:
+                    card["wrap_depth"] = None
+            self.open = [c for c in self.open if c["depth"] != depth]
             if top == tag:
                 break
 
     def handle_data(self, data):
-        if self.cur is not None and not self.skip:
-            self.cur["parts"].append(data)
-            if self.wrap_depth is not None:
-                self.cur["wparts"].append(data)
-
-    def _close(self):
-        c = self.cur
-        parts = c["wparts"] if (self.layout == 2 and c.get("has_wrap")) else c["parts"]
-        href = c["href"] if self.layout == 1 else c["attrs"].get("href", "")
-        self.cards.append({"attrs": c["attrs"], "text": "\n".join(parts), "img": c["img"], "href": href})
-        self.cur = None
+        if self.open and not any(t in _SKIP_TEXT_IN for t in self.stack):
+            for card in self.open:
+                card["parts"].append(data)
+                if card["wrap_depth"] is not None:
+                    card["wparts"].append(data)
 
-    def close(self):
-        super().close()
-        if self.cur is not None:
-            self._close()
+    def found(self) -> list[dict]:
+        return [{"attrs": c["attrs"], "text": "\n".join(c["wparts"] if c["has_wrap"] else c["parts"]), "img": c["img"] or "",
+                 "href": (c["href"] or "") if self.layout == 1 else c["attrs"].get("href", "")} for c in self.cards]
 
 
 def parse_cards(html: str, layout: int = 1, href_marker: str = "/offres/") -> list[dict]:
@@ -117,7 +110,29 @@ def parse_cards(html: str, layout: int = 1, href_marker: str = "/offres/") -> li
     p = _CardParser(layout, href_marker)
     p.feed(html or "")
     p.close()
-    return p.cards
+    return p.found()
+
+
+class _AnchorParser(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hrefs: list[str] = []
+
+    def handle_starttag(self, tag, attrs_list):
+        if tag == "a":
+            self.hrefs += [v or "" for k, v in attrs_list if k == "href"][:1]
+
+
+def parse_anchors(html: str) -> list[str]:
+    """``href`` of every ``a`` that has one, in document order."""
+    p = _AnchorParser()
+    p.feed(html or "")
+    p.close()
+    return p.hrefs
+
+
+#: Cards handed on at once from a batch of pages.
+CARDS_AT_ONCE = 256
 
 
 def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
@@ -130,32 +145,24 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
     """
     extra = list(extra)
     ship_package(pages.sparkSession)  # the HTML flattening runs in Python workers
+    names = ["page_id", "card_pos", "attrs", "text", "img", "href", "error", *extra]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = {"page_id": [], "card_pos": [], "attrs": [], "text": [], "img": [], "href": [], "error": []}
-            out.update({c: [] for c in extra})
+            rows: list[tuple] = []
             for row_i, (pid, html) in enumerate(zip(pdf["page_id"], pdf["html"])):
-                ex = {c: pdf[c].iat[row_i] for c in extra}
+                ex = [pdf[c].iat[row_i] for c in extra]
                 try:
                     cards = parse_cards(html, layout, href_marker)
-                    err = None
                 except Exception as e:  # noqa: BLE001 — isolate the page
-                    cards, err = [], f"{type(e).__name__}: {e}"
-                if err is not None:
-                    for k, v in (("page_id", pid), ("card_pos", None), ("attrs", None), ("text", None),
-                                 ("img", None), ("href", None), ("error", err), *ex.items()):
-                        out[k].append(v)
-                for i, c in enumerate(cards):
-                    out["page_id"].append(pid)
-                    out["card_pos"].append(i)
-                    out["attrs"].append(dict(c["attrs"]))
-                    out["text"].append(c["text"])
-                    out["img"].append(c["img"])
-                    out["href"].append(c["href"])
-                    out["error"].append(None)
-                    for k, v in ex.items():
-                        out[k].append(v)
-            yield pd.DataFrame(out)
+                    rows.append((pid, None, None, None, None, None, f"{type(e).__name__}: {e}", *ex))
+                    cards = []
+                rows += [(pid, i, dict(c["attrs"]), c["text"], c["img"], c["href"], None, *ex) for i, c in enumerate(cards)]
+                if len(rows) >= CARDS_AT_ONCE:  # whole pages of text: never a whole batch's cards at once
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     src = spread(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"),
                               *[F.col(c).cast("string").alias(c) for c in extra]))
@@ -365,6 +372,28 @@ def guid_links(anchors: DataFrame, href_marker: str = "/offres/") -> DataFrame:
             .groupBy("page_id", "guid").agg(F.min_by("path", "a_pos").alias("path")))
 
 
+def page_anchors(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """(page_id, a_pos, href) of every anchor with a link."""
+    ship_package(pages.sparkSession)
+
+    @F.pandas_udf("array<string>")
+    def hrefs(html: pd.Series) -> pd.Series:
+        return html.map(parse_anchors)
+
+    return spread(pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html"))).select(
+        "page_id", F.posexplode(hrefs("html")).alias("a_pos", "href"))
+
+
+def with_guid_links(cards: DataFrame, links: DataFrame) -> DataFrame:
+    """E18 — each card's ``href`` from the page's anchors by its guid (``data-guid``, else
+    ``id``); an empty text where no anchor has it."""
+    guid = F.coalesce(F.col("attrs")["data-guid"], F.col("attrs")["id"], F.lit(""))
+    c = cards.withColumn("_guid", guid)
+    found = links.select(F.col("page_id").alias("_page"), F.col("guid").alias("_g"), "path")
+    return (c.join(found, (c["page_id"] == found["_page"]) & (c["_guid"] == found["_g"]), "left")
+            .withColumn("href", F.coalesce("path", F.lit(""))).drop("_page", "_g", "path", "_guid"))
+
+
 # ── JSON-LD ──
 
 _ITEM_TYPES = ("Car", "Vehicle", "Product")
@@ -375,8 +404,10 @@ def jsonld_items(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> Data
 
     A block is a list of items, an ``ItemList`` (``itemListElement[].item`` or the
     element itself) or one ``Car`` / ``Vehicle`` / ``Product``; anything else yields
-    nothing, and an unparsable block is skipped (D15). Polymorphic fields (brand,
-    mileage, image) are read with both shapes.
+    nothing, and an unparsable block is skipped (D15). Empty items (NULL, ``{}``, ``""``,
+    ``0``, ``[]``, ``false``) are passed over; the first item that is no object, or whose offers
+    are none, ends its block. Polymorphic fields (brand, mileage, image) are read with both
+    shapes; an absent one is ``N/A``, and a price of 0 counts as none.
     """
     v = F.try_parse_json(F.col(json_col))
     typ = F.try_variant_get(v, "$['@type']", "string")
@@ -386,7 +417,18 @@ def jsonld_items(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> Data
     items = (F.when(as_list.isNotNull(), as_list)
              .when(typ == "ItemList", from_list)
              .when(typ.isin(*_ITEM_TYPES), F.array(v)))
-    x = df.select(*keep, F.posexplode(items).alias("item_pos", "it"))
+    # what a JSON value is, from its text: falsy values, objects
+    text = lambda e: F.to_json(e)
+    falsy = lambda e: e.isNull() | F.is_variant_null(e) | text(e).isin("{}", '""', "0", "0.0", "[]", "false")
+    # offers may be absent, but not null or anything other than an object
+    offers = lambda e: F.try_variant_get(e, "$.offers", "variant")
+    sound = lambda e: text(e).startswith("{") & (offers(e).isNull() | F.coalesce(F.to_json(offers(e)).startswith("{"), F.lit(True)))
+    kept = F.filter(items, lambda e: ~falsy(e))
+    # items before the first unsound one
+    marked = F.aggregate(kept, F.struct(F.array().cast("array<variant>").alias("ok"), F.lit(True).alias("go")),
+                         lambda acc, e: F.when(acc["go"] & sound(e), F.struct(F.concat(acc["ok"], F.array(e)).alias("ok"), F.lit(True).alias("go")))
+                         .otherwise(F.struct(acc["ok"].alias("ok"), F.lit(False).alias("go"))))
+    x = df.select(*keep, F.posexplode(marked["ok"]).alias("item_pos", "it"))
 
     def g(path: str, t: str = "string") -> Column:
         return F.try_variant_get(F.col("it"), path, t)
@@ -394,15 +436,17 @@ def jsonld_items(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> Data
     def s(path: str) -> Column:  # Python str() of a scalar; objects → NULL here
         return g(path, "string")
 
-    price = F.coalesce(F.when(s("$.offers.price") != "", s("$.offers.price")),
-                       F.when(s("$.offers.lowPrice") != "", s("$.offers.lowPrice")))
+    def truthy(path: str) -> Column:
+        return F.when(~s(path).isin("", "false") & ~(F.coalesce(F.to_json(g(path, "variant")), F.lit("")).isin("0", "0.0")), s(path))
+
+    price = F.coalesce(truthy("$.offers.price"), truthy("$.offers.lowPrice"))
     currency = F.coalesce(s("$.offers.priceCurrency"), F.lit("EUR"))
     odo_obj = g("$.mileageFromOdometer", "map<string,variant>")
     km = F.when(odo_obj.isNotNull(), F.coalesce(s("$.mileageFromOdometer.value"), F.lit("N/A"))) \
-        .otherwise(F.coalesce(s("$.mileageFromOdometer"), F.lit("{}")))
+        .otherwise(F.coalesce(s("$.mileageFromOdometer"), F.lit("N/A")))
     brand_obj = g("$.brand", "map<string,variant>")
     marque = F.when(brand_obj.isNotNull(), F.coalesce(s("$.brand.name"), F.lit("N/A"))) \
-        .otherwise(F.coalesce(s("$.brand"), F.lit("{}")))
+        .otherwise(F.coalesce(s("$.brand"), F.lit("N/A")))
     eng_obj = g("$.vehicleEngine", "map<string,variant>")
     puissance = F.when(eng_obj.isNotNull(), F.coalesce(s("$.vehicleEngine.enginePower"), F.lit("N/A"))) \
         .otherwise(F.lit("N/A"))

@@ -172,7 +172,7 @@ def import_dump(store: DataFrame, items: DataFrame, brands: DataFrame, words: Da
     ``_file`` then ``_pos`` from ``read_dumps``)."""
     mapping = detect_roles(items)
     rows = dump_rows(items, mapping, brands, words, **kw)
-    order = list(order) if order else [c for c in ("_file", "_pos") if c in rows.columns] or ["lien_annonce"]
-    new_store, inserted = insert_absent(store, rows, "lien_annonce", order)
+    order = list(order) if order else [c for c in ("_file", "_pos") if c in rows.columns]
+    new_store, inserted = insert_absent(store, rows, "lien_annonce", batch_order=order)
     drop = [c for c in ("_file", "_pos") if c in inserted.columns]
     return new_store.drop(*drop), inserted.drop(*drop)

@@ -2,8 +2,10 @@
 safety-gated stale report, sheet liveness (D5–D7, D12, H1, H2, F4, F6, K2–K11).
 
 Live HTTP probing is not a Spark job; its *results* are a table
-``(lien, source, status int, final_url, html, error)`` with ``error`` in
-``http | url | other | NULL``, and every decision below is a join + ``CASE`` on it.
+``(lien, source, status int, final_url, html, error, probed_at)`` with ``error`` in
+``http | url | other | NULL``, and every decision below is a join + ``CASE`` on it. Of
+several probes of a link the latest counts; a link without one is ``not_probed``, never
+active. Page texts are reduced to a flag where they are read, before any shuffle.
 ``as_of`` is always a parameter (a timestamp literal) so runs are repeatable.
 """
 
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from carlot.functions.codes import SAFE_THRESHOLDS, SHEET_DEAD_TEXTS, SOLD_TEXT_1, UNAVAILABLE_URL_MARK_2
 from carlot.functions.urls import url_key
 from carlot.operators.store import patch
-from carlot.session import sized_broadcast
+from carlot.session import BROADCAST_MAX_ROWS
 
 PROBED_SOURCES = ["autoscout24", "aramisauto"]
 
@@ -35,9 +37,10 @@ def stale(store: DataFrame, as_of, days: int, sources: Sequence[str] | str | Non
     return store.where(cond & F.col("source").isin(srcs))
 
 
-def oldest_first(df: DataFrame, n: int) -> DataFrame:
-    """H1 — the ``n`` oldest rows (``ORDER BY last_seen_at, id LIMIT n``; a top-N sort)."""
-    return df.orderBy("last_seen_at", "id").limit(n)
+def oldest_first(df: DataFrame, n: int | None) -> DataFrame:
+    """H1 — the ``n`` oldest rows (``ORDER BY last_seen_at, id LIMIT n``; a top-N sort);
+    all rows without a limit."""
+    return df if n is None else df.orderBy("last_seen_at", "id").limit(n)
 
 
 def ttl_due(store: DataFrame, as_of, ttl_days: int, source: str) -> DataFrame:
@@ -62,6 +65,13 @@ def classify_probe(lien: Column, source: Column, status: Column, final_url: Colu
                    html: Column, error: Column, sold_text: str = SOLD_TEXT_1,
                    unavailable_mark: str = UNAVAILABLE_URL_MARK_2) -> Column:
     """K5 — probe outcome → ``struct(expired boolean, reason string)``."""
+    sold = F.contains(F.coalesce(html, F.lit("")), F.lit(sold_text))
+    return classify_outcome(lien, source, status, final_url, sold, error, unavailable_mark)
+
+
+def classify_outcome(lien: Column, source: Column, status: Column, final_url: Column, sold: Column,
+                     error: Column, unavailable_mark: str = UNAVAILABLE_URL_MARK_2) -> Column:
+    """K5 with the page text already reduced to ``sold``."""
     def out(expired: bool, reason) -> Column:
         r = F.lit(reason) if isinstance(reason, str) else reason
         return F.struct(F.lit(expired).alias("expired"), r.alias("reason"))
@@ -74,7 +84,7 @@ def classify_probe(lien: Column, source: Column, status: Column, final_url: Colu
         .when(http_err & status.isin(404, 410), out(True, F.concat(F.lit("http_"), code)))
         .when(http_err, out(False, F.concat(F.lit("http_"), code, F.lit("_ambigu"))))
         .when(source == "autoscout24",
-              F.when(F.contains(F.coalesce(html, F.lit("")), F.lit(sold_text)), out(True, "texte_expiration"))
+              F.when(sold, out(True, "texte_expiration"))
               .when(url_key(final_url) != url_key(lien), out(True, "url_redirect"))
               .otherwise(out(False, "active")))
         .when(source == "aramisauto",
@@ -84,26 +94,56 @@ def classify_probe(lien: Column, source: Column, status: Column, final_url: Colu
     )
 
 
-def http_expiry_run(store: DataFrame, probes: DataFrame, as_of, batch: int = 500,
-                    stale_days: int = 2, source: str | None = None, **classify_kw) -> DataFrame:
-    """K6 — D5 → H1 → D12 → K5 → change set.
+def latest_probe(probes: DataFrame, text_flag: Column, time_col: str = "probed_at") -> DataFrame:
+    """One row per link, ``(_plien, p struct(status, final_url, flag, error))``: its latest probe
+    (of probes at one time the greatest). ``text_flag`` is computed from the page text here, so
+    the text itself is never shuffled."""
+    final = F.col("final_url") if "final_url" in probes.columns else F.lit(None).cast("string")
+    slim = probes.select(F.col("lien").alias("_plien"), F.col(time_col).alias("_at"), F.struct(
+        F.col("status"), final.alias("final_url"), text_flag.alias("flag"), F.col("error")).alias("p"))
+    return slim.where(F.col("_plien").isNotNull()).groupBy("_plien").agg(
+        F.max_by("p", F.struct(F.col("_at").isNotNull(), "_at", "p")).alias("p"))
+
+
+def http_expiry_run(store: DataFrame, probes: DataFrame, as_of, batch: int | None = 500,
+                    stale_days: int = 2, source: str | Sequence[str] | None = None,
+                    sold_text: str = SOLD_TEXT_1, unavailable_mark: str = UNAVAILABLE_URL_MARK_2) -> DataFrame:
+    """K6 — D5 → H1 → D12 → K5 → change set; ``batch=None`` takes every stale listing.
 
     Returns one row per selected listing: ``id, lien_annonce, source, last_seen_at,
-    status (checked | skipped), expired, reason``. Only rows with ``expired`` go to the
-    flag step (K8). Probe results are joined on the link (deduplicated to one per link).
-    """
+    status (checked | skipped | not_probed), expired, reason, expire_reason``. Only rows with
+    ``expired`` go to the flag step (K8), with their ``expire_reason``."""
     picked = oldest_first(stale(store, as_of, stale_days, source), batch)
-    p = probes.groupBy(F.col("lien").alias("_plien")).agg(
-        F.max(F.struct("status", "final_url", "html", "error")).alias("p"))
+    links = picked.select(F.col("lien_annonce").alias("lien")).distinct()
+    if batch is not None and batch <= BROADCAST_MAX_ROWS:
+        links = F.broadcast(links)  # at most ``batch`` rows
+    wanted = probes.join(links, "lien", "left_semi")
+    p = latest_probe(wanted, F.contains(F.coalesce(F.col("html"), F.lit("")), F.lit(sold_text)))
     j = picked.join(p, picked["lien_annonce"] == p["_plien"], "left")
-    elig = eligibility(F.col("lien_annonce"), F.col("source"))
-    res = classify_probe(F.col("lien_annonce"), F.col("source"), F.col("p.status"), F.col("p.final_url"),
-                         F.col("p.html"), F.col("p.error"), **classify_kw)
+    probed = F.col("_plien").isNotNull()
+    eligible = eligibility(F.col("lien_annonce"), F.col("source")) == "eligible"
+    res = classify_outcome(F.col("lien_annonce"), F.col("source"), F.col("p.status"), F.col("p.final_url"),
+                           F.col("p.flag"), F.col("p.error"), unavailable_mark)
+    checked = eligible & probed
     return j.select(
         "id", "lien_annonce", "source", "last_seen_at",
-        F.when(elig == "skipped", F.lit("skipped")).otherwise(F.lit("checked")).alias("status"),
-        F.when(elig == "eligible", res["expired"]).alias("expired"),
-        F.when(elig == "eligible", res["reason"]).alias("reason"))
+        F.when(~eligible, F.lit("skipped")).when(~probed, F.lit("not_probed")).otherwise(F.lit("checked")).alias("status"),
+        F.when(checked, res["expired"]).alias("expired"),
+        F.when(checked, res["reason"]).alias("reason"),
+        F.when(checked & res["expired"], F.concat(F.lit("http_check:"), res["reason"])).alias("expire_reason"))
+
+
+def run_counters(change_set: DataFrame) -> DataFrame:
+    """F6 — one row of counters of a run: checked, expired, unclear (checked, neither active nor
+    expired), skipped, not_probed."""
+    is_ = F.col("status")
+    expired = F.coalesce(F.col("expired"), F.lit(False))
+    return change_set.agg(
+        F.count_if(is_ == "checked").cast("long").alias("checked"),
+        F.count_if(expired).cast("long").alias("expired"),
+        F.count_if((is_ == "checked") & ~expired & (F.col("reason") != "active")).cast("long").alias("unclear"),
+        F.count_if(is_ == "skipped").cast("long").alias("skipped"),
+        F.count_if(is_ == "not_probed").cast("long").alias("not_probed"))
 
 
 def ttl_expiry_run(store: DataFrame, as_of, ttl_days: int = 7, source: str = "leboncoin") -> DataFrame:
@@ -111,31 +151,31 @@ def ttl_expiry_run(store: DataFrame, as_of, ttl_days: int = 7, source: str = "le
     return ttl_due(store, as_of, ttl_days, source).select(
         "id", "lien_annonce", "source", "last_seen_at",
         F.lit("expired").alias("status"), F.lit(True).alias("expired"),
-        F.lit(f"lbc_ttl:{ttl_days}j").alias("reason"))
+        F.lit(f"lbc_ttl:{ttl_days}j").alias("reason"), F.lit(f"lbc_ttl:{ttl_days}j").alias("expire_reason"))
 
 
-def expiry_run(store: DataFrame, probes: DataFrame | None, as_of, mode: str = "all", **kw) -> DataFrame:
-    """K9 — ``http`` / ``ttl`` / ``all`` (http first) as one change set."""
+def expiry_run(store: DataFrame, probes: DataFrame | None, as_of, mode: str = "all", *,
+               batch: int | None = None, stale_days: int = 2, source: str | Sequence[str] | None = None,
+               ttl_days: int = 7, ttl_source: str = "leboncoin") -> DataFrame:
+    """K9 — ``http`` / ``ttl`` / ``all`` (http first) as one change set; no limit unless ``batch``."""
+    if mode not in ("http", "ttl", "all"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode != "ttl" and probes is None:
+        raise ValueError(f"mode {mode!r} needs probe results")
     parts = []
-    if mode in ("http", "all") and probes is not None:
-        parts.append(http_expiry_run(store, probes, as_of, **{k: v for k, v in kw.items()
-                                                              if k in ("batch", "stale_days", "source")})
-                     .withColumn("mode", F.lit("http")))
+    if mode in ("http", "all"):
+        parts.append(http_expiry_run(store, probes, as_of, batch, stale_days, source).withColumn("mode", F.lit("http")))
     if mode in ("ttl", "all"):
-        ttl_kw = {"ttl_days": kw["ttl_days"]} if "ttl_days" in kw else {}
-        if "ttl_source" in kw:
-            ttl_kw["source"] = kw["ttl_source"]
-        parts.append(ttl_expiry_run(store, as_of, **ttl_kw).withColumn("mode", F.lit("ttl")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(ttl_expiry_run(store, as_of, ttl_days, ttl_source).withColumn("mode", F.lit("ttl")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def flag_expired(store: DataFrame, change_set: DataFrame) -> DataFrame:
-    """K8 — set ``is_expired`` (and, new, ``expire_reason``) for expired rows of a change set."""
+    """K8 — set ``is_expired`` (and, new, ``expire_reason``) for expired rows of a change set.
+    A listing that several runs expire takes the reason of the first of them (http before ttl)."""
+    run = F.col("mode") if "mode" in change_set.columns else F.lit("")  # "http" sorts before "ttl"
     upd = (change_set.where(F.col("expired"))
-           .groupBy("id").agg(F.max("reason").alias("expire_reason"))
+           .groupBy("id").agg(F.min_by("expire_reason", F.struct(run.alias("mode"), "expire_reason")).alias("expire_reason"))
            .withColumn("is_expired", F.lit(True)))
     s = store if "expire_reason" in store.columns else store.withColumn("expire_reason", F.lit(None).cast("string"))
     return patch(s, upd, "id", ["is_expired", "expire_reason"])
@@ -154,48 +194,61 @@ def gate_report(store: DataFrame, as_of, thresholds: DataFrame | None = None,
     th = thresholds if thresholds is not None else spark.createDataFrame(
         list(SAFE_THRESHOLDS.items()), "source string, min_recent int")
     is_recent = recent(store, as_of, hours)
-    th = sized_broadcast(th, max_rows=100_000)  # one row per source: a configuration table
-    srcs = th.select("source")
-    counts = store.join(srcs, "source", "left_semi").groupBy("source").agg(
+    n = th.count()  # one row per source: a configuration table, broadcast only if it is one
+
+    def small(df: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(df) if rows <= BROADCAST_MAX_ROWS else df
+
+    counts = store.join(small(th.select("source"), n), "source", "left_semi").groupBy("source").agg(
         F.count_if(is_recent).cast("long").alias("recent_count"))
     verdict = (th.join(counts, "source", "left")
                .select("source", F.coalesce("recent_count", F.lit(0)).cast("long").alias("recent_count"),
                        F.col("min_recent").alias("threshold"),
                        (F.coalesce("recent_count", F.lit(0)) >= F.col("min_recent")).alias("allowed")))
-    cand = store.where(~is_recent).join(srcs, "source", "left_semi")
+    cand = store.where(~is_recent).join(small(verdict, n), "source")
     # row_number() <= k lets Spark insert a partial WindowGroupLimit before the shuffle,
-    # so a hot source ships at most k rows per map task.
+    # so a hot source ships at most k rows per map task; the ranks come back to the
+    # candidates as a table of at most k rows per source
     w = Window.partitionBy("source").orderBy("last_seen_at", "id")
-    ranked = cand.select("source", "id", "lien_annonce", "last_seen_at",
-                         F.row_number().over(w).alias("rn")).where(F.col("rn") <= sample)
-    full = cand.select("source", "id", "lien_annonce", "last_seen_at")
-    out = (full.join(ranked.select("id", "rn"), "id", "left")
-           .join(F.broadcast(verdict), "source", "left"))
+    ranked = cand.select("source", "last_seen_at", "id", F.row_number().over(w).alias("rn")).where(F.col("rn") <= sample)
+    out = cand.join(small(ranked.select("id", "rn"), n * sample), "id", "left")
     return out.select("source", "id", "lien_annonce", "last_seen_at", "recent_count", "threshold",
                       "allowed", F.col("rn").cast("int").alias("sample_rank"))
 
 
+def has_dead_text(html: Column, dead_texts: Sequence[str] = SHEET_DEAD_TEXTS) -> Column:
+    low = F.lower(F.coalesce(html, F.lit("")))
+    dead = F.lit(False)
+    for t in dead_texts:
+        dead = dead | F.contains(low, F.lit(t))
+    return dead
+
+
 def sheet_status(status: Column, html: Column, error: Column,
                  dead_texts: Sequence[str] = SHEET_DEAD_TEXTS) -> Column:
     """K11 — ``MORT`` (404/410 or a sold text), ``ERREUR`` (403 or a failed probe), else ``ACTIF``."""
-    low = F.lower(F.coalesce(html, F.lit("")))
-    dead_text = F.lit(False)
-    for t in dead_texts:
-        dead_text = dead_text | F.contains(low, F.lit(t))
+    return sheet_outcome(status, has_dead_text(html, dead_texts), error)
+
+
+def sheet_outcome(status: Column, dead: Column, error: Column) -> Column:
+    """K11 with the page text already reduced to ``dead``."""
     return (F.when(error.isNotNull() & (error != "http"), F.lit("ERREUR"))
             .when(status.isin(404, 410), F.lit("MORT"))
             .when(status == 403, F.lit("ERREUR"))
-            .when(dead_text, F.lit("MORT"))
+            .when(dead, F.lit("MORT"))
             .otherwise(F.lit("ACTIF")))
 
 
-def sheet_prune(sheet: DataFrame, probes: DataFrame, link_col: str = "lien") -> DataFrame:
+def sheet_prune(sheet: DataFrame, probes: DataFrame, link_col: str = "lien",
+                dead_texts: Sequence[str] = SHEET_DEAD_TEXTS) -> DataFrame:
     """K11 + D10 — probe every ``http…`` link, drop ``MORT`` rows, keep everything else
-    (rows without an ``http`` link are not checked and stay)."""
-    p = probes.groupBy(F.col("lien").alias("_plien")).agg(F.max(F.struct("status", "html", "error")).alias("p"))
+    (rows without an ``http`` link are not checked, links without a probe are ``NON_SONDE``;
+    both stay)."""
+    p = latest_probe(probes, has_dead_text(F.col("html"), dead_texts))
     j = sheet.join(p, sheet[link_col] == p["_plien"], "left")
     checkable = F.coalesce(F.col(link_col).startswith("http"), F.lit(False))
-    st = F.when(checkable, sheet_status(F.col("p.status"), F.col("p.html"), F.col("p.error")))
+    st = (F.when(checkable & F.col("_plien").isNull(), F.lit("NON_SONDE"))
+          .when(checkable, sheet_outcome(F.col("p.status"), F.col("p.flag"), F.col("p.error"))))
     return j.select(*[sheet[c] for c in sheet.columns], st.alias("statut")).where(
         F.coalesce(F.col("statut"), F.lit("")) != "MORT")
 

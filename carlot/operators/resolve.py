@@ -302,12 +302,15 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
         "model_stage", reason.alias("reject_reason"), "slug_in")
 
 
-def rejected_rows(resolved: DataFrame) -> DataFrame:
-    """B6 — unmatched values grouped with counts (``reason, make, slug, raw``)."""
-    return (resolved.where(F.col("reject_reason").isNotNull())
+def rejected_rows(resolved: DataFrame, listings: DataFrame) -> DataFrame:
+    """B6 — unmatched values (``reason, make, slug, raw``) with the number of ``listings``
+    (columns ``raw_make, raw_model``) that have them; ``resolved`` holds distinct pairs."""
+    seen = listings.groupBy("raw_make", "raw_model").agg(F.count("*").alias("n"))
+    bad = resolved.where(F.col("reject_reason").isNotNull())
+    return (bad.join(seen, ["raw_make", "raw_model"])
             .groupBy(F.col("reject_reason").alias("reason"), "make",
                      F.col("slug_in").alias("slug"), F.col("raw_model").alias("raw"))
-            .agg(F.count("*").alias("n")))
+            .agg(F.sum("n").cast("long").alias("n")))
 
 
 # ─────────────────────────── generations ───────────────────────────

@@ -6,8 +6,8 @@ DataFrame, writing is a separate step; see ``carlot.sources.sinks.write_version`
 
 Scale notes
 -----------
-* First/last-per-key is a hash aggregate of ``min``/``max`` over a struct whose first
-  fields are the ordering keys. Partial aggregation runs before the shuffle, so a hot
+* First/last-per-key is an aggregate of ``min_by``/``max_by`` (the row by its ordering
+  keys, so rows may hold maps). Partial aggregation runs before the shuffle, so a hot
   key (even a third of all rows) leaves each map task as one row — no task ever holds
   a whole group, unlike ``row_number`` over a window.
 * Rows whose key is NULL are split off before any keyed join / aggregate (they would
@@ -34,11 +34,11 @@ def _key_ok(key: str) -> Column:
 
 
 def _pick_per_key(df: DataFrame, key: str, order: Sequence[str], last: bool) -> DataFrame:
-    cols = df.columns
-    packed = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                      F.struct(*[F.col(c) for c in cols]).alias("_row"))
-    agg = F.max(packed) if last else F.min(packed)
-    return df.groupBy(key).agg(agg.alias("_m")).select("_m._row.*")
+    if not order:
+        raise ValueError("the order of rows with one key must be given")
+    pick = F.max_by if last else F.min_by
+    row = pick(F.struct(*[F.col(c) for c in df.columns]), F.struct(*[F.col(o) for o in order]))
+    return df.groupBy(F.col(key).alias("_key")).agg(row.alias("_row")).select("_row.*")
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -47,7 +47,7 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def last_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Last row per key in ``order`` (batch dedup before an upsert, Q15)."""
+    """Last row per key in ``order``; rows with an empty / NULL key are dropped."""
     return _pick_per_key(df.where(_key_ok(key)), key, order, last=True)
 
 
@@ -81,20 +81,21 @@ def to_store_rows(listings: DataFrame, seen_at: Column | None = None) -> DataFra
     )
 
 
-def upsert(store: DataFrame, batch: DataFrame, key: str = "lien_annonce",
-           batch_order: Sequence[str] | None = None) -> DataFrame:
+def upsert(store: DataFrame, batch: DataFrame, key: str = "lien_annonce", *,
+           batch_order: Sequence[str]) -> DataFrame:
     """B3 — merge ``batch`` into ``store`` on ``key``.
 
     Columns present in the batch overwrite (even with NULL); columns absent from the
     batch keep the stored value; unseen keys are inserted. The batch is first reduced
-    to its last row per key in ``batch_order`` (default: as given, by the key itself).
-    Batch rows with an empty key cannot conflict and are appended.
+    to its last row per key in ``batch_order`` (required: nothing in a table says which
+    row came last). An empty text is a key like any other; rows with a NULL key cannot
+    conflict and are appended.
     """
-    order = list(batch_order) if batch_order else [key]
-    b_keyed = last_per_key(batch, key, order)
-    b_loose = batch.where(~_key_ok(key) | F.col(key).isNull())
-    s_keyed = store.where(F.col(key).isNotNull())
-    s_loose = store.where(F.col(key).isNull())
+    is_key = F.col(key).isNotNull()
+    b_keyed = _pick_per_key(batch.where(is_key), key, batch_order, last=True)
+    b_loose = batch.where(~is_key)
+    s_keyed = store.where(is_key)
+    s_loose = store.where(~is_key)
 
     s = s_keyed.select(*[F.col(c).alias(f"s__{c}") for c in store.columns])
     b = b_keyed.select(*[F.col(c).alias(f"b__{c}") for c in batch.columns], F.lit(True).alias("b__present"))
@@ -116,16 +117,18 @@ def upsert(store: DataFrame, batch: DataFrame, key: str = "lien_annonce",
             .unionByName(b_loose, allowMissingColumns=True))
 
 
-def insert_absent(store: DataFrame, batch: DataFrame, key: str = "lien_annonce",
-                  batch_order: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def insert_absent(store: DataFrame, batch: DataFrame, key: str = "lien_annonce", *,
+                  batch_order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """B4 / E14 — append batch rows whose key is not stored yet; old rows never change.
 
-    Returns ``(new_table, inserted_rows)``. Within the batch the first row per key wins.
+    Returns ``(new_table, inserted_rows)``. Within the batch the first row per key in
+    ``batch_order`` wins. An empty text is a key; rows with a NULL key never conflict and
+    are all inserted.
     """
-    order = list(batch_order) if batch_order else [key]
-    fresh = first_per_key(batch, key, order)
-    stored_keys = store.select(key).where(F.col(key).isNotNull())
-    inserted = fresh.join(stored_keys, key, "left_anti")
+    is_key = F.col(key).isNotNull()
+    fresh = _pick_per_key(batch.where(is_key), key, batch_order, last=False)
+    stored_keys = store.select(key).where(is_key)
+    inserted = fresh.join(stored_keys, key, "left_anti").select(*batch.columns).unionByName(batch.where(~is_key))
     return store.unionByName(inserted, allowMissingColumns=True), inserted
 
 

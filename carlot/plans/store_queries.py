@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carlot.functions.text import title_case
-from carlot.operators.lifecycle import (classify_probe, gate_report, http_expiry_run, sheet_prune, stale,
-                                        oldest_first, ttl_expiry_run)
+from carlot.operators.lifecycle import (classify_probe, expiry_run, flag_expired, gate_report, http_expiry_run,
+                                        oldest_first, run_counters, sheet_prune, stale, ttl_expiry_run)
 from carlot.operators.store import changed_only, first_per_key, insert_absent, patch, upsert
 from carlot.plans.common import (AS_OF, SPLIT_TS, SQL_LISTING_VIEW, listing_view, sql_store_from_events,
                                  store_from_events, table)
@@ -29,8 +29,21 @@ WHERE rn = 1
 """
 
 
+def _odd_links(df):
+    """Every 40th user's links are missing, every 41st user's are empty texts."""
+    user = F.regexp_extract("lien_annonce", r"^/l/(\d+)/", 1).cast("int")
+    return df.withColumn("lien_annonce", F.when(user % 40 == 7, F.lit(None)).when(user % 41 == 5, F.lit(""))
+                         .otherwise(F.col("lien_annonce")))
+
+
+SQL_ODD_LINKS = """
+  SELECT * REPLACE (CASE WHEN CAST(regexp_extract(lien_annonce, '^/l/(\\d+)/', 1) AS INTEGER) % 40 = 7 THEN NULL
+                         WHEN CAST(regexp_extract(lien_annonce, '^/l/(\\d+)/', 1) AS INTEGER) % 41 = 5 THEN ''
+                         ELSE lien_annonce END AS lien_annonce) FROM"""
+
+
 def _batch(spark, sf):
-    v = listing_view(spark, sf)
+    v = _odd_links(listing_view(spark, sf))
     return v.where(F.col("last_seen_at") >= F.lit(SPLIT_TS).cast("timestamp_ntz")).select(
         "event_id", "lien_annonce", "source", "prix", "last_seen_at")
 
@@ -46,16 +59,19 @@ def upsert_latest(spark, sf):
 
 UPSERT_LATEST_SQL = f"""
 WITH s AS ({sql_store_from_events(SPLIT_TS)}),
+v AS ({SQL_ODD_LINKS} ({SQL_LISTING_VIEW}) v WHERE last_seen_at >= TIMESTAMP '{SPLIT_TS}'),
 b AS (
   SELECT lien_annonce, source, prix, last_seen_at FROM (
     SELECT *, row_number() OVER (PARTITION BY lien_annonce ORDER BY last_seen_at DESC, event_id DESC) AS rn
-    FROM ({SQL_LISTING_VIEW}) v WHERE last_seen_at >= TIMESTAMP '{SPLIT_TS}') t WHERE rn = 1)
+    FROM v WHERE lien_annonce IS NOT NULL) t WHERE rn = 1)
 SELECT s.id, coalesce(b.lien_annonce, s.lien_annonce) AS lien_annonce,
        CASE WHEN b.lien_annonce IS NOT NULL THEN b.source ELSE s.source END AS source,
        CASE WHEN b.lien_annonce IS NOT NULL THEN b.prix ELSE s.prix END AS prix,
        CASE WHEN b.lien_annonce IS NOT NULL THEN b.last_seen_at ELSE s.last_seen_at END AS last_seen_at,
        s.is_expired
 FROM s FULL OUTER JOIN b ON s.lien_annonce = b.lien_annonce
+UNION ALL
+SELECT NULL, lien_annonce, source, prix, last_seen_at, NULL FROM v WHERE lien_annonce IS NULL
 """
 
 
@@ -70,14 +86,17 @@ def insert_absent_q(spark, sf):
 
 INSERT_ABSENT_SQL = f"""
 WITH s AS ({sql_store_from_events(SPLIT_TS)}),
+v AS ({SQL_ODD_LINKS} ({SQL_LISTING_VIEW}) v WHERE last_seen_at >= TIMESTAMP '{SPLIT_TS}'),
 b AS (
   SELECT event_id AS id, lien_annonce, source, prix, last_seen_at FROM (
     SELECT *, row_number() OVER (PARTITION BY lien_annonce ORDER BY last_seen_at, event_id) AS rn
-    FROM ({SQL_LISTING_VIEW}) v WHERE last_seen_at >= TIMESTAMP '{SPLIT_TS}') t WHERE rn = 1)
+    FROM v WHERE lien_annonce IS NOT NULL) t WHERE rn = 1)
 SELECT id, lien_annonce, source, prix, last_seen_at FROM s
 UNION ALL
 SELECT id, lien_annonce, source, prix, last_seen_at FROM b
 WHERE lien_annonce NOT IN (SELECT lien_annonce FROM s)
+UNION ALL
+SELECT event_id, lien_annonce, source, prix, last_seen_at FROM v WHERE lien_annonce IS NULL
 """
 
 
@@ -238,14 +257,22 @@ SELECT page_id, source, starts_with(r, 'x:') AS expired, regexp_replace(r, '^x:'
 """
 
 
+def _repeated(probes, k):
+    """Every ninth link without a probe, every fourth with an older one (gone) as well."""
+    at = F.lit(AS_OF).cast("timestamp_ntz")
+    last = probes.withColumn("probed_at", at).where(k % 9 != 4)
+    older = (probes.where(k % 4 == 1).withColumn("status", F.lit(410)).withColumn("error", F.lit("http"))
+             .withColumn("probed_at", at - F.make_dt_interval(days=F.lit(3))))
+    return last.unionByName(older.where(k % 9 != 4))
+
+
 def sheet_prune_q(spark, sf):
     """K11 + D10 — a sheet of links (some not absolute), dead rows removed."""
     p = table(spark, sf, "pages")
     lien = F.when(F.col("page_id") % 5 == 0, F.regexp_extract("url", r"^https?://[^/]+(/.*)?$", 1)) \
         .otherwise(F.col("url"))
     sheet = p.select("page_id", lien.alias("lien"))
-    probes = _probes(spark, sf).select("lien", "status", "html", "error")
-    return sheet_prune(sheet, probes).select("page_id", "lien", "statut")
+    return sheet_prune(sheet, _repeated(_probes(spark, sf), F.col("page_id"))).select("page_id", "lien", "statut")
 
 
 SHEET_PRUNE_SQL = f"""
@@ -255,64 +282,63 @@ WITH sheet AS (
 p AS ({SQL_PROBES}),
 j AS (SELECT sheet.page_id, sheet.lien,
         CASE WHEN coalesce(starts_with(sheet.lien, 'http'), false) THEN
-          CASE WHEN p.error IS NOT NULL AND p.error <> 'http' THEN 'ERREUR'
+          CASE WHEN p.lien IS NULL THEN 'NON_SONDE'
+               WHEN p.error IS NOT NULL AND p.error <> 'http' THEN 'ERREUR'
                WHEN p.status IN (404, 410) THEN 'MORT'
                WHEN p.status = 403 THEN 'ERREUR'
                WHEN contains(lower(coalesce(p.html, '')), 'plus disponible')
                  OR contains(lower(coalesce(p.html, '')), 'véhicule vendu') THEN 'MORT'
                ELSE 'ACTIF' END END AS statut
-      FROM sheet LEFT JOIN p ON sheet.lien = p.lien)
+      FROM sheet LEFT JOIN (SELECT * FROM p WHERE page_id % 9 <> 4) p ON sheet.lien = p.lien)
 SELECT page_id, lien, statut FROM j WHERE coalesce(statut, '') <> 'MORT'
 """
 
 
 def _expiry_inputs(spark, sf):
+    """Listings of the ``events`` view with probed sources, and probe results by their ids."""
     st = store_from_events(spark, sf).withColumn(
         "source", F.when(F.col("source") == "view", "autoscout24").when(F.col("source") == "click", "aramisauto")
         .otherwise(F.col("source")))
     k = F.col("id") % 6
-    probes = st.select(
-        F.col("lien_annonce").alias("lien"),
+    probes = _repeated(st.select(
+        "id", F.col("lien_annonce").alias("lien"),
         F.when(k == 0, 404).when(k == 1, 500).when(k == 2, None).otherwise(200).cast("int").alias("status"),
         F.when(k == 3, F.concat("lien_annonce", F.lit("/moved"))).otherwise(F.col("lien_annonce")).alias("final_url"),
         F.when(k == 4, F.lit("annonce n'est malheureusement plus disponible")).otherwise(F.lit("ok")).alias("html"),
-        F.when(k <= 1, F.lit("http")).when(k == 2, F.lit("url")).alias("error"))
+        F.when(k <= 1, F.lit("http")).when(k == 2, F.lit("url")).alias("error")), F.col("id"))
     store = st.withColumn("source", F.when(F.col("id") % 11 == 0, F.lit("purchase")).otherwise(F.col("source")))
     return store, probes
 
 
+EXPIRY_SOURCES = ["autoscout24", "aramisauto", "purchase"]
+
+
 def expiry_flags(spark, sf):
-    """K9 + K8 — http then TTL change sets, applied to the store (``is_expired`` and the
-    new ``expire_reason``)."""
-    from carlot.operators.lifecycle import expiry_run, flag_expired
+    """K9 + K8 — http (no limit), then TTL change sets, applied to the store (``is_expired`` and
+    the new ``expire_reason``)."""
     store, probes = _expiry_inputs(spark, sf)
-    cs = expiry_run(store, probes, AS_OF, mode="all", batch=200, stale_days=1,
-                    source=["autoscout24", "aramisauto", "purchase"], ttl_days=7, ttl_source="purchase")
+    cs = expiry_run(store, probes, AS_OF, stale_days=1, source=EXPIRY_SOURCES, ttl_days=7, ttl_source="autoscout24")
     return flag_expired(store, cs).select("id", "lien_annonce", "source", "is_expired", "expire_reason")
 
 
 def http_expiry(spark, sf):
-    """K6 — stale → oldest N → eligibility → probe classification → change set.
+    """K6 — stale → oldest N → eligibility → latest probe → classification → change set."""
+    store, probes = _expiry_inputs(spark, sf)
+    return http_expiry_run(store, probes, AS_OF, batch=200, stale_days=1, source=EXPIRY_SOURCES).select(
+        "id", "lien_annonce", "source", "status", "expired", "reason", "expire_reason")
 
-    Listings of the ``events`` view carry probed sources; probe results are
-    synthesised per link from the event ids."""
-    st = store_from_events(spark, sf).withColumn(
-        "source", F.when(F.col("source") == "view", "autoscout24").when(F.col("source") == "click", "aramisauto")
-        .otherwise(F.col("source")))
-    k = F.col("id") % 6
-    probes = st.select(
-        F.col("lien_annonce").alias("lien"),
-        F.when(k == 0, 404).when(k == 1, 500).when(k == 2, None).otherwise(200).cast("int").alias("status"),
-        F.when(k == 3, F.concat("lien_annonce", F.lit("/moved"))).otherwise(F.col("lien_annonce")).alias("final_url"),
-        F.when(k == 4, F.lit("annonce n'est malheureusement plus disponible")).otherwise(F.lit("ok")).alias("html"),
-        F.when(k <= 1, F.lit("http")).when(k == 2, F.lit("url")).alias("error"))
-    stale_all = st.withColumn("source", F.when(F.col("id") % 11 == 0, F.lit("purchase")).otherwise(F.col("source")))
-    return http_expiry_run(stale_all, probes, AS_OF, batch=200, stale_days=1,
-                           source=["autoscout24", "aramisauto", "purchase"]).select(
-        "id", "lien_annonce", "source", "status", "expired", "reason")
+
+def run_counters_q(spark, sf):
+    """F6 — counters of an unlimited http run."""
+    store, probes = _expiry_inputs(spark, sf)
+    return run_counters(http_expiry_run(store, probes, AS_OF, batch=None, stale_days=1, source=EXPIRY_SOURCES))
 
 
-HTTP_EXPIRY_SQL = f"""
+def _http_expiry_sql(limit: str) -> str:
+    return HTTP_EXPIRY_TEMPLATE.replace("LIMIT 200", limit)
+
+
+HTTP_EXPIRY_TEMPLATE = f"""
 WITH s0 AS ({sql_store_from_events()}),
 s AS (SELECT id, lien_annonce, last_seen_at, is_expired,
         CASE WHEN id % 11 = 0 THEN 'purchase'
@@ -324,10 +350,10 @@ pr AS (SELECT lien_annonce AS lien,
          CASE WHEN id % 6 = 3 THEN lien_annonce || '/moved' ELSE lien_annonce END AS final_url,
          CASE WHEN id % 6 = 4 THEN 'annonce n''est malheureusement plus disponible' ELSE 'ok' END AS html,
          CASE WHEN id % 6 <= 1 THEN 'http' WHEN id % 6 = 2 THEN 'url' END AS error
-       FROM s),
+       FROM s WHERE id % 9 <> 4),
 picked AS (SELECT * FROM s WHERE NOT is_expired AND last_seen_at < TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY
            AND source IN ('autoscout24', 'aramisauto', 'purchase') ORDER BY last_seen_at, id LIMIT 200),
-j AS (SELECT picked.*, pr.status AS st, pr.final_url, pr.html, pr.error,
+j AS (SELECT picked.*, pr.lien IS NULL AS missing, pr.status AS st, pr.final_url, pr.html, pr.error,
         lien_annonce IS NULL OR lien_annonce = '' OR source NOT IN ('autoscout24', 'aramisauto') AS skip
       FROM picked LEFT JOIN pr ON picked.lien_annonce = pr.lien),
 r AS (SELECT *, CASE WHEN error = 'url' THEN 'url_error'
@@ -342,30 +368,41 @@ r AS (SELECT *, CASE WHEN error = 'url' THEN 'url_error'
        WHEN source = 'aramisauto' THEN
          CASE WHEN contains(coalesce(final_url, ''), 'vehicle-not-available') THEN 'x:url_redirect' ELSE 'active' END
        ELSE 'source_inconnue' END AS rr FROM j)
-SELECT id, lien_annonce, source, CASE WHEN skip THEN 'skipped' ELSE 'checked' END AS status,
-       CASE WHEN NOT skip THEN starts_with(rr, 'x:') END AS expired,
-       CASE WHEN NOT skip THEN regexp_replace(rr, '^x:', '') END AS reason
+SELECT id, lien_annonce, source, CASE WHEN skip THEN 'skipped' WHEN missing THEN 'not_probed' ELSE 'checked' END AS status,
+       CASE WHEN NOT skip AND NOT missing THEN starts_with(rr, 'x:') END AS expired,
+       CASE WHEN NOT skip AND NOT missing THEN regexp_replace(rr, '^x:', '') END AS reason,
+       CASE WHEN NOT skip AND NOT missing AND starts_with(rr, 'x:') THEN 'http_check:' || substr(rr, 3) END AS expire_reason
 FROM r
 """
+HTTP_EXPIRY_SQL = _http_expiry_sql("LIMIT 200")
+RUN_COUNTERS_SQL = f"""
+WITH h AS ({_http_expiry_sql("")})
+SELECT CAST(count(*) FILTER (WHERE status = 'checked') AS BIGINT) AS checked,
+       CAST(count(*) FILTER (WHERE expired) AS BIGINT) AS expired,
+       CAST(count(*) FILTER (WHERE status = 'checked' AND NOT expired AND reason <> 'active') AS BIGINT) AS unclear,
+       CAST(count(*) FILTER (WHERE status = 'skipped') AS BIGINT) AS skipped,
+       CAST(count(*) FILTER (WHERE status = 'not_probed') AS BIGINT) AS not_probed
+FROM h
+"""
 
 EXPIRY_FLAGS_SQL = f"""
-WITH h AS ({HTTP_EXPIRY_SQL}),
+WITH h AS ({_http_expiry_sql("")}),
 s0 AS ({sql_store_from_events()}),
 s AS (SELECT id, lien_annonce, last_seen_at, is_expired,
         CASE WHEN id % 11 = 0 THEN 'purchase'
              WHEN source = 'view' THEN 'autoscout24' WHEN source = 'click' THEN 'aramisauto' ELSE source END AS source
       FROM s0),
-t AS (SELECT id, 'lbc_ttl:7j' AS reason FROM s
-      WHERE NOT is_expired AND source = 'purchase' AND last_seen_at < TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY),
-u AS (SELECT id, max(reason) AS expire_reason FROM
-        (SELECT id, reason FROM h WHERE expired UNION ALL SELECT id, reason FROM t) c GROUP BY id)
-SELECT s.id, s.lien_annonce, s.source, CASE WHEN u.id IS NOT NULL THEN true ELSE s.is_expired END AS is_expired,
-       u.expire_reason
-FROM s LEFT JOIN u ON s.id = u.id
+t AS (SELECT id FROM s
+      WHERE NOT is_expired AND source = 'autoscout24' AND last_seen_at < TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY),
+x AS (SELECT id, expire_reason FROM h WHERE expired)
+SELECT s.id, s.lien_annonce, s.source, x.id IS NOT NULL OR t.id IS NOT NULL OR s.is_expired AS is_expired,
+       CASE WHEN x.id IS NOT NULL THEN x.expire_reason WHEN t.id IS NOT NULL THEN 'lbc_ttl:7j' END AS expire_reason
+FROM s LEFT JOIN x ON s.id = x.id LEFT JOIN t ON s.id = t.id
 """
 
 QUERIES = {
     "expiry_flags": (expiry_flags, EXPIRY_FLAGS_SQL),
+    "run_counters": (run_counters_q, RUN_COUNTERS_SQL),
     "dedup_first": (dedup_first, DEDUP_FIRST_SQL),
     "upsert_latest": (upsert_latest, UPSERT_LATEST_SQL),
     "insert_absent": (insert_absent_q, INSERT_ABSENT_SQL),

@@ -21,9 +21,20 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+#: Quotes are doubled, white space stays, values with line breaks are quoted. NULL is an
+#: empty field, an empty text a quoted one.
+CSV_OPTIONS = {"sep": ";", "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False, "nullValue": None, "emptyValue": '""'}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """B2 — ``;``-separated, header row, column order of the DataFrame."""
-    df.write.mode(mode).option("sep", ";").option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read back what ``write_csv`` wrote. Files with line breaks in values are one split each."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS | {"multiLine": True, "emptyValue": ""}).csv(path)
 
 
 def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
@@ -57,7 +68,7 @@ def latest_version(spark: SparkSession, base: str) -> DataFrame:
 def csv_roundtrip(df: DataFrame) -> DataFrame:
     path = shared_scratch_dir(df.sparkSession, "csv")
     write_csv(df, path)
-    return df.sparkSession.read.schema(df.schema).option("sep", ";").option("header", True).csv(path)
+    return read_csv(df.sparkSession, path, df.schema)
 
 
 def json_roundtrip(df: DataFrame) -> DataFrame:

@@ -73,3 +73,38 @@ def test_guid_links(spark):
     a = spark.createDataFrame([(1, 0, "/offres/x-a-b-c-d-e?q"), (1, 1, "/offres/y-a-b-c-d-e"), (1, 2, "/p")],
                               "page_id long, a_pos int, href string")
     assert [(r.guid, r.path) for r in guid_links(a).collect()] == [("a-b-c-d-e", "/offres/x-a-b-c-d-e")]
+
+
+def test_self_closing_nested_and_sourceless(spark):
+    from carlot.operators.extract import parse_cards
+    html = ('<article id="a"><script src="x"/><p>one</p><img alt="no source"><img src="late.jpg">'
+            '<article id="b">two<a href="/offres/b">l</a></article>three</article><article id="c"/>after<article id="d">four</article>')
+    cards = {c["attrs"]["id"]: c for c in parse_cards(html)}
+    assert list(cards) == ["a", "b", "c", "d"]
+    assert cards["a"]["text"] == "one\ntwo\nl\nthree"
+    assert cards["a"]["img"] == "" and cards["a"]["href"] == "/offres/b"
+    assert (cards["b"]["text"], cards["c"]["text"], cards["d"]["text"]) == ("two\nl", "", "four")
+
+
+def test_guid_links(spark):
+    from carlot.operators.extract import guid_links, html_cards, page_anchors, with_guid_links
+    guid = "dfd82e9d-5166-42c7-8c3f-4f205e278cdf"
+    html = (f'<a href="/offres/x-{guid}?utm=1">a</a><a href="/offres/y-{guid}">b</a><a>none</a>'
+            f'<article data-guid="{guid}">one</article><article id="other">two</article>')
+    pages = spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")
+    cards = with_guid_links(html_cards(pages), guid_links(page_anchors(pages)))
+    assert sorted((r.card_pos, r.href) for r in cards.collect()) == [(0, f"/offres/x-{guid}"), (1, "")]
+
+
+def test_jsonld_missing_empty_and_bad_items(spark):
+    import json
+
+    from carlot.operators.extract import jsonld_items
+    full = {"url": "u", "brand": {"name": "B"}, "offers": {"price": 0, "lowPrice": 5, "priceCurrency": "CHF"}, "mileageFromOdometer": {"value": 7}}
+    blocks = [json.dumps(x) for x in (
+        {"@type": "Car", "url": "only"}, [full, None, {}, "", 0, {"url": "last"}], [{"url": "good"}, "x", {"url": "never"}],
+        [{"url": "good2"}, {"url": "bad", "offers": [1]}, {"url": "never"}], {"@type": "Thing"}, 5)] + ["not json"]
+    rows = jsonld_items(spark.createDataFrame([(i, b) for i, b in enumerate(blocks)], "i int, b string"), "b", ["i"]).collect()
+    got = {(r.i, r.item_pos): (r.lien, r.marque, r.prix, r.kilometrage) for r in rows}
+    assert got == {(0, 0): ("only", "N/A", "N/A", "N/A"), (1, 0): ("u", "B", "5 CHF", "7"), (1, 1): ("last", "N/A", "N/A", "N/A"),
+                   (2, 0): ("good", "N/A", "N/A", "N/A"), (3, 0): ("good2", "N/A", "N/A", "N/A")}

@@ -58,7 +58,8 @@ def test_ratio_is_asymmetric():
 def test_rejects(spark, small_catalog):
     pairs = spark.createDataFrame([("BMW", "420"), ("BMW", "420"), ("Aixam", "City")],
                                   "raw_make string, raw_model string")
-    rej = {(r.reason, r.raw): r for r in rejected_rows(resolve_models(pairs, small_catalog)).collect()}
+    rej = {(r.reason, r.raw): r for r in rejected_rows(resolve_models(pairs, small_catalog), pairs.unionByName(pairs)).collect()}
+    assert {k: r.n for k, r in rej.items()} == {("UNMATCHED", "420"): 4, ("NO_MODELS", "City"): 2}
     assert set(rej) == {("UNMATCHED", "420"), ("NO_MODELS", "City")}
 
 

@@ -29,6 +29,6 @@ def test_sheet_scan_and_prune(spark):
     assert links.count() == 4
     probes = spark.createDataFrame([("https://a/1", 404, None, None), ("https://a/2", 200, "ok", None),
                                     ("https://a/3", 200, "Plus disponible", None)],
-                                   "lien string, status int, html string, error string")
+                                   "lien string, status int, html string, error string").withColumn("probed_at", F.lit("2024-01-01").cast("timestamp_ntz"))
     kept = sorted((r.lien, r.statut) for r in sheet_prune(links, probes).collect())
     assert kept == [("https://a/2", "ACTIF"), ("notes", None)]

@@ -2,13 +2,15 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from carlot.operators.lifecycle import (classify_probe, flag_expired, gate_report, http_expiry_run, sheet_status,
-                                        ttl_expiry_run)
-from carlot.operators.store import first_per_key, insert_absent, to_store_rows, upsert
+from carlot.operators.lifecycle import (classify_probe, expiry_run, flag_expired, gate_report, http_expiry_run,
+                                        run_counters, sheet_prune, sheet_status, ttl_expiry_run)
+from carlot.operators.store import first_per_key, insert_absent, last_per_key, to_store_rows, upsert
 
 PROBE_SCHEMA = "lien string, source string, status int, final_url string, html string, error string"
+TIMED = PROBE_SCHEMA + ", probed_at timestamp_ntz"
 
 
 def test_probe_vectors(spark):
@@ -81,8 +83,11 @@ def _life_store(spark):
 
 def test_http_and_ttl_runs(spark):
     store = _life_store(spark)
-    probes = spark.createDataFrame([("https://a/1", "autoscout24", 410, None, None, "http"),
-                                    ("https://a/2", "autoscout24", 200, "https://a/2", "ok", None)], PROBE_SCHEMA)
+    t = lambda d: dt.datetime(2024, 1, d)
+    probes = spark.createDataFrame([("https://a/1", "autoscout24", 410, None, None, "http", t(20)),
+                                    ("https://a/1", "autoscout24", 503, None, None, "http", t(19)),
+                                    ("https://a/2", "autoscout24", 404, None, None, "http", t(19)),
+                                    ("https://a/2", "autoscout24", 200, "https://a/2", "ok", None, t(20))], TIMED)
     cs = http_expiry_run(store, probes, "2024-01-31 00:00:00", batch=10, stale_days=2,
                          source=["autoscout24", "aramisauto"])
     got = sorted((r.id, r.status, r.expired, r.reason) for r in cs.collect())
@@ -90,6 +95,15 @@ def test_http_and_ttl_runs(spark):
     ttl = ttl_expiry_run(store, "2024-01-31 00:00:00", ttl_days=7, source="leboncoin")
     assert [r.id for r in ttl.collect()] == [5]
     flagged = flag_expired(store, cs)
+    assert {r.id: r.expire_reason for r in flagged.collect() if r.expire_reason} == {1: "http_check:http_410"}
+    everything = expiry_run(store, probes, "2024-01-31 00:00:00", ttl_source="autoscout24")
+    both = {r.id: r.expire_reason for r in flag_expired(store, everything).collect() if r.is_expired}
+    assert both == {1: "http_check:http_410", 2: "lbc_ttl:7j", 3: None}
+    unprobed = http_expiry_run(store, probes.where("lien <> 'https://a/2'"), "2024-01-31 00:00:00", batch=None)
+    assert {r.id: (r.status, r.expired) for r in unprobed.collect()}[2] == ("not_probed", None)
+    assert tuple(run_counters(unprobed).first()) == (1, 1, 0, 1, 1)
+    with pytest.raises(ValueError):
+        expiry_run(store, None, "2024-01-31 00:00:00", mode="http")
     assert {r.id: r.is_expired for r in flagged.collect()} == {1: True, 2: False, 3: True, 4: False, 5: False, 6: False}
 
 
@@ -110,3 +124,43 @@ def test_store_row_typing(spark):
                                "titre string, prix string, kilometrage string, date_mec string, annee string, lien string, image string")
     r = to_store_rows(df).collect()[0]
     assert (r.prix, r.kilometrage, r.date_voiture, r.generation, r.lien_annonce) == (29999.0, 12000.0, "03/2019", "N/A", "l")
+
+
+def test_sheet_without_probe_or_with_several(spark):
+    sheet = spark.createDataFrame([("http://x/1",), ("http://x/2",), ("http://x/3",), ("/local",), (None,)], "lien string")
+    t = lambda d: dt.datetime(2024, 1, d)
+    probes = spark.createDataFrame([("http://x/1", "s", 404, None, None, None, t(1)), ("http://x/1", "s", 200, None, "ok", None, t(2)),
+                                    ("http://x/2", "s", 200, None, "Véhicule VENDU", None, t(1))], TIMED)
+    got = {r.lien: r.statut for r in sheet_prune(sheet, probes).collect()}
+    assert got == {"http://x/1": "ACTIF", "http://x/3": "NON_SONDE", "/local": None, None: None}
+
+
+def test_page_texts_never_cross_a_shuffle(spark):
+    probes = spark.createDataFrame([], TIMED)
+    store = _life_store(spark)
+    for df in (http_expiry_run(store, probes, "2024-01-31 00:00:00"), sheet_prune(probes.select("lien"), probes)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for exchange in plan.split("Exchange")[1:]:
+            below = exchange.split("\n", 2)[1]
+            assert "html" not in below or "Contains" in below, below
+
+
+def test_empty_and_missing_keys(spark):
+    store = spark.createDataFrame([(1, "a"), (2, None)], "id long, lien_annonce string")
+    batch = spark.createDataFrame([(5, ""), (6, ""), (7, None), (8, None), (9, "a")], "id long, lien_annonce string")
+    once = upsert(store, batch, batch_order=["id"])
+    assert sorted((r.lien_annonce or "-", r.id) for r in once.collect()) == [("", 6), ("-", 2), ("-", 7), ("-", 8), ("a", 9)] or \
+        sorted((repr(r.lien_annonce), r.id) for r in once.collect()) == [("''", 6), ("'a'", 9), ("None", 2), ("None", 7), ("None", 8)]
+    keyed = batch.where("lien_annonce is not null")
+    twice = upsert(upsert(store, keyed, batch_order=["id"]), keyed, batch_order=["id"])
+    assert twice.where("lien_annonce = ''").count() == 1
+    _, inserted = insert_absent(store, batch, batch_order=["id"])
+    assert sorted((repr(r.lien_annonce), r.id) for r in inserted.collect()) == [("''", 5), ("None", 7), ("None", 8)]
+
+
+def test_picks_carry_maps_and_need_an_order(spark):
+    df = spark.createDataFrame([("k", 1, {"a": "x"}), ("k", 2, {"a": "y"})], "lien string, o int, m map<string,string>")
+    assert first_per_key(df, "lien", ["o"]).first().m == {"a": "x"}
+    assert last_per_key(df, "lien", ["o"]).first().m == {"a": "y"}
+    with pytest.raises(ValueError):
+        first_per_key(df, "lien", [])
