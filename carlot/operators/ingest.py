@@ -19,7 +19,7 @@ from carlot.functions.codes import (BRAND_CANONICAL, DUMP_FUEL_KEYWORDS, MODEL_W
 from carlot.functions.numbers import digits_to_long, first_nonzero, is_year_like
 from carlot.functions.text import WS, pystrip, repair_encoding
 from carlot.operators.store import insert_absent
-from carlot.session import sized_broadcast
+from carlot.session import bounded_broadcast, cut_lineage, sized_broadcast
 
 ROLES = ("annee", "km", "carburant")
 
@@ -58,26 +58,27 @@ def brand_model_from_title(df: DataFrame, title_col: str, brands: DataFrame, wor
                            out_brand: str = "marque", out_model: str = "modele") -> DataFrame:
     """J25 — J14 → J24 → E15 (brand prefix, list priority) → E16 (first word) → (NULL, first word).
 
-    E15 is an equi-join: each title contributes its prefixes of the lengths that occur
-    in the (small, size-checked) brand list, joined on the lowered prefix; the best
-    priority wins. No nested-loop join.
+    E15 is one lookup for each length that occurs in the (small, size-checked) brand list:
+    the title's prefix of that length is looked up in a broadcast table, and the best priority
+    of the hits wins. Titles are neither shuffled nor made distinct.
     """
-    lens = sorted({r["blen"] for r in brands.select("blen").distinct().collect()})
     ws = WS()
+    b = cut_lineage(brands.groupBy("brand_lower", "blen").agg(F.min(F.struct("priority", "blen", "canonical")).alias("b")))
+    w = cut_lineage(words.groupBy(F.col("word").alias("_fw")).agg(F.min("word_brand").alias("word_brand")))
+    by_length = {r["blen"]: r["n"] for r in b.groupBy("blen").agg(F.count("*").alias("n")).collect()}  # one row a length
     t = (df.withColumn("_t", strip_noise_prefix(pystrip(repair_encoding(F.col(title_col)))))
          .withColumn("_tl", F.lower("_t")))
-    # resolved once per distinct lowered title, then joined back on it
-    titles = t.select("_tl").where(F.col("_tl").isNotNull()).distinct()
-    cands = (titles.select("_tl", F.explode(F.array(*[F.lit(L) for L in lens])).alias("blen"))
-             .where(F.length("_tl") >= F.col("blen"))
-             .withColumn("brand_lower", F.col("_tl").substr(F.lit(1), F.col("blen"))))
-    bb = sized_broadcast(brands.select("brand_lower", "blen", "priority", "canonical"))
-    best = (cands.join(bb, ["brand_lower", "blen"])
-            .groupBy("_tl").agg(F.min(F.struct("priority", "blen", "canonical")).alias("_b")))
-    wb = sized_broadcast(words.select(F.col("word").alias("_fw"), "word_brand"))
-    t = (t.join(best, "_tl", "left")
-         .withColumn("_fw", F.get(F.split(F.col("_tl"), ws + "+"), 0))
-         .join(wb, "_fw", "left"))
+    hits = []
+    for length, n in sorted(by_length.items()):
+        own = bounded_broadcast(b.where(F.col("blen") == length).select(
+            F.col("brand_lower").alias(f"_p{length}"), F.col("b").alias(f"_b{length}")), n)
+        t = t.withColumn("_p", F.when(F.length("_tl") >= length, F.substring("_tl", 1, length)))
+        t = t.join(own, t["_p"] == own[f"_p{length}"], "left").drop("_p", f"_p{length}")
+        hits.append(f"_b{length}")
+    none = F.lit(None).cast(b.schema["b"].dataType)
+    t = t.withColumn("_b", F.least(*hits) if len(hits) > 1 else F.col(hits[0]) if hits else none).drop(*hits)
+    wb = sized_broadcast(w)
+    t = t.withColumn("_fw", F.get(F.split(F.col("_tl"), ws + "+"), 0)).join(wb, "_fw", "left")
     first_of = lambda c: F.get(F.split(pystrip(c), ws + "+"), 0)
     rest = pystrip(F.expr("substring(_t, _b.blen + 1)"))
     brand = F.when(F.col("_b").isNotNull(), F.col("_b.canonical")).otherwise(F.col("word_brand"))

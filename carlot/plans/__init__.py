@@ -7,14 +7,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from carlot.plans import scalar_queries, store_queries
+    from carlot.plans import (catalog_queries, extract_queries, ingest_queries, resolve_queries, scalar_queries,
+                              store_queries)
     out: dict = {}
-    for mod in (scalar_queries, store_queries):
-        out.update(mod.QUERIES)
-    for name in ("resolve_queries", "extract_queries", "ingest_queries", "catalog_queries"):
-        try:
-            mod = __import__(f"carlot.plans.{name}", fromlist=["QUERIES"])
-        except ImportError:
-            continue
+    for mod in (scalar_queries, store_queries, resolve_queries, extract_queries, ingest_queries, catalog_queries):
         out.update(mod.QUERIES)
     return out

@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carlot.functions.text import title_case
-from carlot.operators.ingest import best_roles, brand_model_from_title, detect_roles, dump_rows, field_role_scores
-from carlot.operators.store import insert_absent
+from carlot.operators.ingest import (best_roles, brand_model_from_title, detect_roles, dump_rows, field_role_scores,
+                                     import_dump)
 from carlot.plans.common import AS_OF, table
 from carlot.plans.scalar_queries import _sql_title
+from carlot.session import cut_lineage
 
 CANDS = ["text-body-2a", "text-body-2b", "text-body-2c", "text-body-2d"]
 
@@ -140,16 +141,14 @@ LEFT JOIN wd ON wd.w = split_part(lower(t1.t), ' ', 1)
 def dump_import(spark, sf):
     """K13 — detect field roles, type the items, insert the ones whose link is new.
 
-    The store holds what an earlier import of the first 300 items produced; within the
+    The store holds what an earlier import of every seventh item produced; within the
     batch the first item (by part key) per link wins."""
-    items = dump_items(spark, sf)
-    mapping = detect_roles(items)
+    items = dump_items(spark, sf).withColumn("_pos", F.regexp_extract("absolute src", r"/(\d+)\.jpg$", 1).cast("long"))
     brands, words = title_brand_tables(spark, sf)
-    rows = dump_rows(items, mapping, brands, words, seen_at=F.lit(AS_OF).cast("timestamp_ntz"))
-    rows = rows.withColumn("_o", F.regexp_extract("lien_image", r"/(\d+)\.jpg$", 1).cast("long"))
-    store = rows.where(F.col("_o") < 300)
-    _, inserted = insert_absent(store.drop("_o"), rows, "lien_annonce", ["_o"])
-    return inserted.drop("_o")
+    seen = F.lit(AS_OF).cast("timestamp_ntz")
+    earlier = dump_rows(items.where(F.col("_pos") % 7 == 0), detect_roles(items), brands, words, seen_at=seen)
+    _, inserted = import_dump(cut_lineage(earlier.drop("_pos")), items, brands, words, seen_at=seen)
+    return inserted
 
 
 # The oracle states the detected mapping (2a = year, 2b = mileage, 2c = fuel); the
@@ -176,7 +175,7 @@ v AS (SELECT * FROM r WHERE prix IS NOT NULL AND prix <> 0 AND kilometrage IS NO
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lien_annonce ORDER BY o) AS rn FROM v) x WHERE rn = 1)
 SELECT titre, prix, kilometrage, date_voiture, marque, modele, modele_unifie, lien_annonce, lien_image, source,
        carburant, is_active, last_seen_at
-FROM f WHERE lien_annonce NOT IN (SELECT lien_annonce FROM v WHERE o < 300)
+FROM f WHERE lien_annonce NOT IN (SELECT lien_annonce FROM v WHERE o % 7 = 0)
 """.replace("{t}", _sql_title("lower(p_type)"))
 
 QUERIES = {

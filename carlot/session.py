@@ -15,8 +15,9 @@ BROADCAST_MAX_ROWS = 200_000
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "carlot") -> SparkSession:
-    """Local / test session with the settings the jobs are designed around.
+                app_name: str = "carlot", checkpoint_dir: str | None = None) -> SparkSession:
+    """Local / test session with the settings the jobs are designed around. ``checkpoint_dir``
+    is for tests and benches, where the launcher names no shared folder.
 
     On a cluster the session comes from the launcher and only the SQL confs below
     matter: AQE (runtime coalescing, skew-join splitting, broadcast conversion by
@@ -35,9 +36,10 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
+    if checkpoint_dir and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -45,8 +47,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is read from the session; a folder of our own is set only
-    when none is configured (local runs and tests).
+    It is read from the session; lineage cuts must survive the loss of an executor, so a cluster
+    must name it. Only a local master, whose one process sees any folder, gets one of its own
+    where none is set (tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,12 +57,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current:
             sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir()
     if not current:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
-                               "(lineage cuts must survive the loss of an executor)")
-        local = tempfile.mkdtemp(prefix="carlot-ckpt-")  # local mode only (tests, bench)
-        sc.setCheckpointDir(local)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="carlot-checkpoints-"))
         current = sc.getCheckpointDir()
     return current
 

@@ -8,8 +8,6 @@ and list order carry meaning (first match wins); the generation catalogue is
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +18,19 @@ MODELS_SCHEMA = "make string, model_pos int, model string"
 GENS_SCHEMA = "key_pos int, model string, gens array<struct<gen:string,`from`:int,`to`:int>>"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does the path exist, on whatever file system its scheme (or the default one) names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _whole_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
 def load_make_catalog(spark: SparkSession, path: str, with_aliases: bool = True) -> Catalog:
     """A2 — make→models catalogue; a missing file gives an empty catalogue."""
-    if not os.path.exists(path) and not path.startswith(("s3", "hdfs", "gs:", "abfs", "dbfs")):
+    if not path_exists(spark, path):
         return Catalog(spark.createDataFrame([], MAKES_SCHEMA), spark.createDataFrame([], MODELS_SCHEMA),
                        alias_table(spark) if with_aliases else None)
     raw = _whole_json(spark, path).select(
@@ -69,7 +73,7 @@ def catalog_from_long(df: DataFrame, make_col: str, model_col: str, order_col: s
 
 def load_generation_catalog(spark: SparkSession, path: str) -> DataFrame:
     """A3 — generation catalogue as (key_pos, model, gens array<struct<gen,from,to>>)."""
-    if not os.path.exists(path) and not path.startswith(("s3", "hdfs", "gs:", "abfs", "dbfs")):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], GENS_SCHEMA)
     raw = _whole_json(spark, path).select(F.from_json(
         "value", "map<string,array<struct<gen:string,`from`:int,`to`:int>>>").alias("m"))
