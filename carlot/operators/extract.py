@@ -192,7 +192,7 @@ def _get_or_na(arr: Column, i: int) -> Column:
 
 
 def cards_to_listing_a(cards: DataFrame, base_url: str, source: str = "autoscout24",
-                       href_marker: str = "/offres/") -> DataFrame:
+                       href_marker: str = "/offres/", keep: Sequence[str] = ()) -> DataFrame:
     """C3 — layout-1 card → listing by attributes and line positions.
 
     0 title, 1 version, 9 power, 10 seller, 11 place (0-based, ``N/A`` when absent).
@@ -210,7 +210,7 @@ def cards_to_listing_a(cards: DataFrame, base_url: str, source: str = "autoscout
     date_mec, annee = registration_split(F.coalesce(a["data-first-registration"], F.lit("")))
     prix_raw, km_raw = F.coalesce(a["data-price"], F.lit("")), F.coalesce(a["data-mileage"], F.lit(""))
     return cards.where(F.col("error").isNull()).withColumn("_lines", lines).select(
-        "page_id", "card_pos",
+        *keep, "page_id", "card_pos",
         squash(F.concat(l0, F.lit(" "), _get_or_na(F.col("_lines"), 1))).alias("titre"),
         marque.alias("marque"), modele.alias("modele"),
         _get_or_na(F.col("_lines"), 1).alias("version"),
@@ -323,12 +323,13 @@ def classify_card_lines(df: DataFrame, lines_col: str, out: str = "card",
         _get_or_na(r2["prix"], 0).alias("prix"), _get_or_na(r2["prix"], 1).alias("prix_origine"))).drop("_r1", "_r2")
 
 
-def cards_to_listing_b(cards: DataFrame, base_url: str, source: str = "aramisauto") -> DataFrame:
+def cards_to_listing_b(cards: DataFrame, base_url: str, source: str = "aramisauto",
+                       keep: Sequence[str] = ()) -> DataFrame:
     """C4 — layout-2 card → listing (attributes ``makerid`` / ``modelid`` + line classifier)."""
     a = F.col("attrs")
     base = cards.where(F.col("error").isNull()).withColumn("_lines", clean_lines(F.col("text"), drop=["•"]))
     return (classify_card_lines(base, "_lines", "_c")
-            .select("page_id", "card_pos", "_c.titre",
+            .select(*keep, "page_id", "card_pos", "_c.titre",
                     title_case(F.coalesce(a["makerid"], F.lit("N/A"))).alias("marque"),
                     F.upper(F.coalesce(a["modelid"], F.lit("N/A"))).alias("modele"),
                     "_c.version", "_c.finition", "_c.prix", "_c.prix_origine", "_c.economie", "_c.mensualite",

@@ -7,9 +7,10 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from carlot.plans import (catalog_queries, extract_queries, ingest_queries, resolve_queries, scalar_queries,
-                              store_queries)
+    from carlot.plans import (catalog_queries, extract_queries, ingest_queries, load_queries, resolve_queries,
+                              scalar_queries, store_queries)
     out: dict = {}
-    for mod in (scalar_queries, store_queries, resolve_queries, extract_queries, ingest_queries, catalog_queries):
+    for mod in (scalar_queries, store_queries, resolve_queries, extract_queries, ingest_queries, catalog_queries,
+                load_queries):
         out.update(mod.QUERIES)
     return out
