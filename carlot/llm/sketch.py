@@ -1,13 +1,13 @@
 """Operator 5: document fingerprints by invertible Bloom lookup sketches (native operations only).
 
 A fingerprint is a sketch of the set of a text's paragraph digests: 24 cells in three tables of
-eight; each digest falls into one cell of each table, and a cell holds how many digests it got and
-their xor. Sketches subtract cell by cell, which cancels what two versions share; *peeling* then
-recovers the rest: a cell of one digest is recognised by its count and the check bits inside the
-digest, gives that digest away, and taking it out of its other cells uncovers further ones.
+eight; each digest falls into one cell of each table, and a cell holds how many digests it got, their
+xor, and the xor of their check values. Sketches subtract cell by cell, which cancels what two
+versions share; *peeling* then recovers the rest: a cell of one digest is recognised by its count and
+check value, gives that digest away, and taking it out of its other cells uncovers further ones.
 
 If peeling gets stuck, the difference was too large for 24 cells: the pair is tried again with
-larger sketches, one of 24 cells for about every twelve digests, which share the digests out by
+larger sketches, one of 24 cells for about every six digests, which share the digests out by
 another hash; pairs that fail again get twice as many, until every pair is decoded. So a likeness
 (shared digests over all digests of both, as sets) is always the exact one.
 
@@ -33,49 +33,62 @@ from carlot.llm.common import id_and_text, id_ranges, written
 
 TABLES, CELLS = 3, 8
 ROUNDS = 12
-CHECK_BITS = 16
 #: Digests for one sketch of 24 cells in retries.
-SHARE = 12
+SHARE = 6
 PARAGRAPH_END = r"\n+|(?<=[.!?]) +(?=[AEIOUÀ-ÆÈ-ÏÒ-ÖÙ-Ü])"
 
 
 def paragraph_digests(text: Column) -> Column:
-    """Distinct digests: 48 bits of hash above 16 check bits, which are a hash of the 48."""
+    """Distinct 64-bit digests of a text's paragraphs."""
     paragraphs = F.filter(F.transform(F.split(text, PARAGRAPH_END), lambda p: F.trim(p)), lambda p: p != "")
-    above = F.lit(-(1 << CHECK_BITS)).cast("bigint")
-    return F.array_distinct(F.transform(F.transform(paragraphs, lambda p: F.xxhash64(p).bitwiseAND(above)),
-                                        lambda d: d.bitwiseOR(check_of(d))))
+    return F.array_distinct(F.transform(paragraphs, lambda p: F.xxhash64(p)))
 
 
 def check_of(digest: Column) -> Column:
-    return F.xxhash64(digest).bitwiseAND(F.lit((1 << CHECK_BITS) - 1).cast("bigint"))
+    return F.xxhash64(digest)
 
 
 def cell_of(digest: Column, table: int, level: int) -> Column:
-    """Cell of a digest in a table: three of its bits, other ones on each of five levels."""
-    return F.shiftrightunsigned(digest, CHECK_BITS + 9 * (level % 5) + 3 * table).bitwiseAND(F.lit(CELLS - 1).cast("bigint"))
+    """Cell of a digest in a table: three of its bits, other ones on each of seven levels."""
+    return F.shiftrightunsigned(digest, 9 * (level % 7) + 3 * table).bitwiseAND(F.lit(CELLS - 1).cast("bigint"))
 
 
-def cell(n: Column, k: Column) -> Column:
-    return F.struct(n.cast("int").alias("n"), k.cast("bigint").alias("k"))
+def cell(n: Column, k: Column, check: Column) -> Column:
+    return F.struct(n.cast("int").alias("n"), k.alias("k"), check.alias("check"))
 
 
-def xor_all(digests: Column) -> Column:
-    return F.aggregate(digests, F.lit(0).cast("bigint"), lambda a, d: a.bitwiseXOR(d))
+def xor_all(items: Column, value=lambda x: x) -> Column:
+    return F.aggregate(items, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(value(x)))
+
+
+def is_empty(c: Column) -> Column:
+    return (c["n"] == 0) & (c["k"] == 0) & (c["check"] == 0)
+
+
+def dealt(items: Column, level: int, digest=lambda x: x) -> Column:
+    """24 lists: the items by the cells that their digests fall into."""
+    cells = F.sequence(F.lit(0).cast("bigint"), F.lit(CELLS - 1).cast("bigint"))
+
+    def of(table: int) -> Column:
+        return F.transform(cells, lambda i: F.filter(items, lambda x: cell_of(digest(x), table, level) == i))
+
+    return F.concat(*map(of, range(TABLES)))
 
 
 def sketch(digests: Column, level: int = 0) -> Column:
     """The 24 cells of a set of digests."""
-    cells = F.sequence(F.lit(0).cast("bigint"), F.lit(CELLS - 1).cast("bigint"))
+    return F.transform(dealt(digests, level), lambda got: cell(F.size(got), xor_all(got), xor_all(got, check_of)))
 
-    def dealt(table: int) -> Column:
-        return F.transform(cells, lambda i: F.filter(digests, lambda d: cell_of(d, table, level) == i))
 
-    return F.transform(F.concat(*map(dealt, range(TABLES))), lambda got: cell(F.size(got), xor_all(got)))
+def signed_sketch(items: Column, level: int) -> Column:
+    """The difference of two sketches, from the digests ``d`` of both with their ``sign``."""
+    return F.transform(dealt(items, level, lambda x: x["d"]), lambda got: cell(
+        F.aggregate(got, F.lit(0), lambda n, x: n + x["sign"]),
+        xor_all(got, lambda x: x["d"]), xor_all(got, lambda x: check_of(x["d"]))))
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"])))
+    return F.zip_with(a, b, lambda x, y: cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["check"].bitwiseXOR(y["check"])))
 
 
 def let(value: Column, body) -> Column:
@@ -84,41 +97,42 @@ def let(value: Column, body) -> Column:
 
 
 def peel(cells: Column, level: int = 0) -> Column:
-    """struct(cells, found): what is left after peeling, and the number of digests recovered."""
+    """struct(cells, found, stuck): what is left after peeling, and the number of digests recovered."""
+
+    def own_cell(k: Column, place: Column) -> Column:
+        """Does digest ``k`` fall into the cell at ``place``?"""
+        index = (F.when(place < CELLS, cell_of(k, 0, level)).when(place < 2 * CELLS, cell_of(k, 1, level))
+                 .otherwise(cell_of(k, 2, level)))
+        return index == F.pmod(place, F.lit(CELLS))
 
     def is_single(c: Column, place: Column) -> Column:
-        k = c["k"]
-        above = k.bitwiseAND(F.lit(-(1 << CHECK_BITS)).cast("bigint"))
-        right = F.lit(False)
-        for t in range(TABLES):
-            right = right | (place == cell_of(k, t, level).cast("int") + CELLS * t)
-        return (F.abs(c["n"]) == 1) & (k.bitwiseAND(F.lit((1 << CHECK_BITS) - 1).cast("bigint")) == check_of(above)) & right
+        return (F.abs(c["n"]) == 1) & (c["check"] == check_of(c["k"])) & own_cell(c["k"], place)
 
-    def touches(k: Column, place: Column) -> Column:
-        own = F.when(place < CELLS, cell_of(k, 0, level)).when(place < 2 * CELLS, cell_of(k, 1, level)).otherwise(cell_of(k, 2, level))
-        return own == F.pmod(place, F.lit(CELLS))
+    def without(state: Column, singles: Column) -> Column:
+        left = F.transform(state["cells"], lambda c, place: F.aggregate(
+            F.filter(singles, lambda s: own_cell(s["k"], place)), c,
+            lambda rest, s: cell(rest["n"] - s["n"], rest["k"].bitwiseXOR(s["k"]), rest["check"].bitwiseXOR(s["check"]))))
+        return F.struct(left.alias("cells"), (state["found"] + F.size(singles)).alias("found"), F.lit(False).alias("stuck"))
 
     def turn(state: Column, _: Column) -> Column:
-        singles = F.array_distinct(F.filter(state["cells"], is_single))
-        return let(singles, lambda found: F.when(F.size(found) == 0, state).otherwise(F.struct(
-            F.transform(state["cells"], lambda c, place: F.aggregate(
-                F.filter(found, lambda s: touches(s["k"], place)), c,
-                lambda left, s: cell(left["n"] - s["n"], left["k"].bitwiseXOR(s["k"])))).alias("cells"),
-            (state["found"] + F.size(found)).alias("found"))))
-
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("found"))
+        stuck = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(True).alias("stuck"))
+        return F.when(state["stuck"], state).otherwise(let(
+            F.array_distinct(F.filter(state["cells"], is_single)),
+            lambda singles: F.when(F.size(singles) == 0, stuck).otherwise(without(state, singles))))
+
+    start = F.struct(cells.alias("cells"), F.lit(0).alias("found"), F.lit(False).alias("stuck"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
 
 
 def recovered(cells: Column, level: int = 0) -> Column:
     """How many digests the cells hold; NULL if they can't be peeled to the end."""
-    return let(peel(cells, level), lambda s: F.when(F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["k"] == 0)), s["found"]))
+    return let(peel(cells, level), lambda s: F.when(F.forall(s["cells"], is_empty), s["found"]))
 
 
 def shown(digests: Column) -> Column:
-    """A fingerprint as text: number of digests, then count and xor of each cell."""
-    cells = F.transform(sketch(digests), lambda c: F.when((c["n"] == 0) & (c["k"] == 0), F.lit("")).otherwise(
-        F.concat(c["n"].cast("string"), F.lit("."), F.lower(F.hex(c["k"])))))
+    """A fingerprint as text: number of digests, then count, xor and check value of each cell."""
+    cells = F.transform(sketch(digests), lambda c: F.when(is_empty(c), F.lit("")).otherwise(F.concat(
+        c["n"].cast("string"), F.lit("."), F.lower(F.hex(c["k"])), F.lit("."), F.lower(F.hex(c["check"])))))
     return F.concat(F.size(digests).cast("string"), F.lit(":"), F.array_join(cells, ","))
 
 
@@ -129,28 +143,32 @@ def likeness(a: Column, b: Column, different: Column) -> Column:
 
 # --- likeness of pairs ---------------------------------------------------------------------
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """(pair, different) for rows (pair, a, b) of digest arrays: the size of the symmetric difference."""
-    tried = written(pairs.select("pair", "a", "b", recovered(subtract(sketch(F.col("a")), sketch(F.col("b")))).alias("different")), "sketch-pairs")
-    done = tried.where("different is not null").select("pair", "different")
-    left, level = tried.where("different is null").select("pair", "a", "b"), 0
-    while not left.isEmpty():
+def differences(rows: DataFrame, of: str, others: list[str]) -> DataFrame:
+    """``rows`` (a unique column ``row``, arrays of digests): for each column in ``others`` the size of
+    the symmetric difference to column ``of``, as (row, other, different); ``other`` is its place."""
+    def pair(name: str, mine: Column) -> Column:
+        return recovered(subtract(mine, sketch(F.col(name))))
+
+    # the sketch of ``of`` is made once for all pairs
+    first = let(sketch(F.col(of)), lambda mine: F.array(*[pair(name, mine) for name in others]))
+    tried = written(rows.select("row", F.posexplode(first).alias("other", "different")), "sketch-pairs")
+    done = tried.where("different is not null")
+    failed, level = tried.where("different is null").select("row", "other"), 0
+    while not failed.isEmpty():
         level += 1
+        digests = F.element_at(F.array(*[F.col(name) for name in others]), F.col("other") + 1)
+        left = rows.join(failed, "row").select("row", "other", F.col(of).alias("a"), digests.alias("b"))
         parts = F.ceil((F.size("a") + F.size("b")) / SHARE) * (1 << (level - 1))
-        signed = left.select("pair", parts.cast("bigint").alias("parts"), F.explode(F.concat(
-            F.transform("a", lambda d: F.struct(d.alias("d"), F.lit(True).alias("of_a"))),
-            F.transform("b", lambda d: F.struct(d.alias("d"), F.lit(False).alias("of_a"))))).alias("s"))
+        item = lambda sign: lambda d: F.struct(d.alias("d"), F.lit(sign).alias("sign"))
+        signed = left.select("row", "other", parts.cast("bigint").alias("parts"), F.explode(F.concat(
+            F.transform("a", item(1)), F.transform("b", item(-1)))).alias("s"))
         part = F.pmod(F.xxhash64("s.d", F.lit(level)), F.col("parts"))
-        shares = signed.groupBy("pair", part.alias("part")).agg(F.collect_list("s").alias("s"))
-
-        def side(of_a: bool) -> Column:
-            return F.transform(F.filter("s", lambda x: x["of_a"] == F.lit(of_a)), lambda x: x["d"])
-
-        sizes = (shares.select("pair", recovered(subtract(sketch(side(True), level), sketch(side(False), level)), level).alias("n"))
-                 .groupBy("pair").agg(F.when(F.count("*") == F.count("n"), F.sum("n")).alias("different")))
+        shares = signed.groupBy("row", "other", part.alias("part")).agg(F.collect_list("s").alias("s"))
+        sizes = (shares.select("row", "other", recovered(signed_sketch(F.col("s"), level), level).alias("n"))
+                 .groupBy("row", "other").agg(F.when(F.count("*") == F.count("n"), F.sum("n").cast("int")).alias("different")))
         sizes = written(sizes, "sketch-retry")
         done = done.unionByName(sizes.where("different is not null"))
-        left = written(left.join(sizes.where("different is null"), "pair", "left_semi"), "sketch-left")
+        failed = sizes.where("different is null").select("row", "other")
     return done
 
 
@@ -190,13 +208,9 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
                        "digests", paragraph_digests(F.col("edited")).alias("edited_digests"), "next_digests")
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "sketch-rows")
-    pairs = rows.select(F.explode(F.array(
-        F.struct((F.col("row") * 2).alias("pair"), F.col("digests").alias("a"), F.col("edited_digests").alias("b")),
-        F.struct((F.col("row") * 2 + 1).alias("pair"), F.col("digests").alias("a"), F.col("next_digests").alias("b")))).alias("p")).select("p.*")
-    found = differences(pairs)
-    both = found.groupBy(F.shiftright("pair", 1).alias("row")).agg(
-        F.max(F.when(F.col("pair") % 2 == 0, F.col("different"))).alias("to_edited"),
-        F.max(F.when(F.col("pair") % 2 == 1, F.col("different"))).alias("to_next"))
+    found = differences(rows, "digests", ["edited_digests", "next_digests"])
+    both = found.groupBy("row").agg(F.max(F.when(F.col("other") == 0, F.col("different"))).alias("to_edited"),
+                                    F.max(F.when(F.col("other") == 1, F.col("different"))).alias("to_next"))
     a, e, x = F.size("digests"), F.size("edited_digests"), F.col("next_size")
     slim = rows.select("row", "doc_id", "n_chars", "edited_sha256", "digests", "edited_digests", F.size("next_digests").alias("next_size"))
     return slim.join(both, "row").select(
