@@ -61,10 +61,10 @@ def test_retries_until_decoded(spark):
     """Differences of up to thousands of paragraphs: far more than 24 cells hold."""
     texts = [("\n".join(f"{p} {i}" for i in range(n)), "\n".join(f"{q} {i}" for i in range(m)))
              for p, n, q, m in (("a", 3000, "b", 10), ("a", 40, "a", 60), ("a", 5, "b", 5), ("a", 0, "b", 900))]
-    pairs = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(texts)], "pair bigint, x string, y string").select(
-        "pair", sketch.paragraph_digests(F.col("x")).alias("a"), sketch.paragraph_digests(F.col("y")).alias("b"))
-    got = {r["pair"]: r["different"] for r in sketch.differences(pairs).collect()}
-    assert got == {k: len(paragraphs(a) ^ paragraphs(b)) for k, (a, b) in enumerate(texts)}
+    rows = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(texts)], "row bigint, x string, y string").select(
+        "row", sketch.paragraph_digests(F.col("x")).alias("a"), sketch.paragraph_digests(F.col("y")).alias("b"))
+    got = {(r["row"], r["other"]): r["different"] for r in sketch.differences(rows, "a", ["b", "a"]).collect()}
+    assert got == {(k, 0): len(paragraphs(a) ^ paragraphs(b)) for k, (a, b) in enumerate(texts)} | {(k, 1): 0 for k in range(len(texts))}
 
 
 def test_native_plan(spark):
