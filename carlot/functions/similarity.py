@@ -10,6 +10,7 @@ first sequence, the input value the second, as in ``get_close_matches``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -47,18 +48,14 @@ def ratio(candidate, word) -> Column:
                       F.col(word) if isinstance(word, str) else word)
 
 
-def length_bound(len_a: Column, len_b: Column) -> Column:
-    """Upper bound of the ratio from lengths alone (``real_quick_ratio``)."""
-    return F.lit(2.0) * F.least(len_a, len_b) / (len_a + len_b)
-
-
-def compatible_lengths(n: Column, cutoff: float) -> Column:
-    """Array of catalogue lengths ``m`` with ``2·min(n, m)/(n + m) ≥ cutoff``.
-
-    Used to turn the similarity candidate search into an equi-join on length: an input
-    of length ``n`` can only reach the cut-off against entries whose length lies in
+def compatible_lengths(n: Column, cutoff: float, lengths: Sequence[int]) -> Column:
+    """Those of the catalogue's ``lengths`` that an input of length ``n`` can reach the cut-off
+    against: ``m`` with ``2·min(n, m)/(n + m) ≥ cutoff``, that is within
     ``[n·c/(2−c), n·(2−c)/c]``.
+
+    Used to turn the similarity candidate search into an equi-join on length.
     """
     lo = F.ceil(n * F.lit(cutoff / (2.0 - cutoff)) - F.lit(1e-9))
     hi = F.floor(n * F.lit((2.0 - cutoff) / cutoff) + F.lit(1e-9))
-    return F.when(n > 0, F.sequence(F.greatest(lo, F.lit(1)).cast("int"), hi.cast("int")))
+    known = F.array(*[F.lit(int(m)) for m in sorted(lengths) if m > 0]).cast("array<int>")
+    return F.filter(known, lambda m: (m >= lo) & (m <= hi))

@@ -13,12 +13,6 @@ def iso_utc(ts) -> Column:
     return F.concat(F.date_format(_as_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
 
 
-def cutoff(as_of, days: int = 0, hours: int = 0) -> Column:
-    """J31 — ``as_of − days − hours`` (``as_of`` a timestamp text or column)."""
-    t = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
-    return t - F.make_dt_interval(days=F.lit(days), hours=F.lit(hours))
-
-
 def report_day(ts) -> Column:
     """J32 — first ten characters of the ISO text (``YYYY-MM-DD``)."""
     return F.date_format(_as_col(ts), "yyyy-MM-dd")

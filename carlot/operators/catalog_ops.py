@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from carlot.functions.text import variant_slug
 from carlot.operators.resolve import Catalog
+from carlot.session import sized_broadcast
 
 
 def pending_makes(all_makes: DataFrame, done: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def extend_open_end(gens: DataFrame, pairs: DataFrame, to_value: int = 9999) ->
 
     ``pairs``: (model, gen). Works inside the array (``transform`` + ``withField``)."""
     p = pairs.groupBy("model").agg(F.collect_set("gen").alias("_ext"))
-    j = gens.join(F.broadcast(p), "model", "left")
+    j = gens.join(sized_broadcast(p), "model", "left")
     upd = F.transform("gens", lambda g: F.when(
         F.coalesce(F.array_contains(F.col("_ext"), g["gen"]), F.lit(False)),
         g.withField("to", F.lit(to_value))).otherwise(g))

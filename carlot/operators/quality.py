@@ -20,6 +20,14 @@ def catalogue_member(resolved: DataFrame, cat: Catalog, make_col: str = "make",
     return j.withColumn(out, F.coalesce(F.col(out), F.lit(False))).drop("_mk", "_md")
 
 
+def catalogue_coverage(listings: DataFrame, cat: Catalog, fuzzy: bool = True) -> DataFrame:
+    """K12 — listings (``raw_make``, ``raw_model``, any other columns) with the resolved ``make`` and
+    ``model`` and whether that is in the catalogue (``found``)."""
+    from carlot.operators.resolve import resolve_models
+    res = resolve_models(listings, cat, fuzzy=fuzzy).select("raw_make", "raw_model", "make", "model")
+    return catalogue_member(listings.join(res, ["raw_make", "raw_model"], "left"), cat, "make", "model")
+
+
 def coverage(flagged: DataFrame, source_col: str = "source", found_col: str = "found") -> DataFrame:
     """F5 — matched / total / percent per source (0 rows → no row, no division)."""
     return (flagged.groupBy(source_col)

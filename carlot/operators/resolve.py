@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carlot.functions.codes import MAKE_ALIASES, MAKE_FUZZY_CUTOFF, MODEL_FUZZY_CUTOFF
-from carlot.functions.numbers import year_prefix4
+from carlot.functions.numbers import year_after_slash, year_prefix4
 from carlot.functions.similarity import compatible_lengths, ratio
 from carlot.functions.text import is_short_or_numeric, nospace, pystrip, slug
 from carlot.session import bounded_broadcast, cut_lineage, ship_package, sized_broadcast, spread
@@ -149,7 +149,7 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
 
     if fuzzy:
         cand = bounded_broadcast(by_slug.select("mslug", "make", F.length("mslug").alias("clen")), n_mk)
-        pairs = (rest.withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff)))
+        pairs = (rest.withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff, mk_lens)))
                  .join(cand, "clen")
                  .withColumn("score", ratio("mslug", "slug_in"))
                  .where(F.col("score") >= cutoff))
@@ -252,7 +252,7 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
         cand = bounded_broadcast(by_slug.select("make", "mslug", F.col("model").alias("cmodel"),
                                                 F.length("mslug").alias("clen")), n_md)
         scored = (spread(rest.where(~is_short_or_numeric(F.col("slug_in"))), "make", "slug_in")
-                  .withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff)))
+                  .withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff, md_lens)))
                   .join(cand, ["make", "clen"])
                   .withColumn("score", ratio("mslug", "slug_in"))
                   .where(F.col("score") >= cutoff))
@@ -336,9 +336,11 @@ def lookup_generation(df: DataFrame, model_col: str, year_text_col: str, gens: D
     """E11 + E12 — generation of each row: key ``upper(strip(model))``, else first
     catalogue key with the same slug; year = first four characters (J17) unless
     ``year_col`` is given; ``missing`` when nothing matches."""
+    gens = cut_lineage(gens)  # derived once; both tables have at most as many rows
+    n = gens.count()
     t = generation_tables(gens)
-    ex = sized_broadcast(t["exact"].withColumnRenamed("model", "_gkey"))
-    sl = sized_broadcast(t["slug"])
+    ex = bounded_broadcast(t["exact"].withColumnRenamed("model", "_gkey"), n)
+    sl = bounded_broadcast(t["slug"], n)
     key = F.upper(pystrip(F.col(model_col)))
     y = year_col if year_col is not None else year_prefix4(F.col(year_text_col))
     tmp = (df.withColumn("_gkey", key).withColumn("_year", y)
@@ -355,13 +357,29 @@ def lookup_generation(df: DataFrame, model_col: str, year_text_col: str, gens: D
 def lookup_generation_exact(df: DataFrame, model_col: str, year: Column, gens: DataFrame,
                             out_col: str = "generation") -> DataFrame:
     """K4 form — exact key only (case-sensitive), NULL when nothing matches."""
-    ex = sized_broadcast(gens.groupBy("model").agg(F.min_by("gens", "key_pos").alias("_gens"))
-                         .withColumnRenamed("model", "_gkey"))
+    gens = cut_lineage(gens)
+    ex = bounded_broadcast(gens.groupBy("model").agg(F.min_by("gens", "key_pos").alias("_gens"))
+                           .withColumnRenamed("model", "_gkey"), gens.count())
     tmp = df.withColumn("_gkey", F.col(model_col)).withColumn("_year", year).join(ex, "_gkey", "left")
     return (tmp.withColumn(out_col, first_interval(F.col("_gens"), F.col("_year")))
             .drop("_gkey", "_year", "_gens"))
 
 
+def generation_backfill(store: DataFrame, gens: DataFrame) -> DataFrame:
+    """K3 — change set ``(id, generation)`` of the store rows that were never tried
+    (generation NULL): the generation found, ``N/A`` where there is none."""
+    untried = store.where(F.col("generation").isNull()).select("id", "modele_unifie", "date_voiture")
+    return lookup_generation(untried, "modele_unifie", "date_voiture", gens).select("id", "generation")
+
+
+def generation_reindex(store: DataFrame, gens: DataFrame) -> DataFrame:
+    """K4 — change set ``(id, generation)`` of the store rows tried in vain (``N/A``) that have
+    one now: exact key, year behind the last ``/``."""
+    again = store.where(F.col("generation") == "N/A").select("id", "modele_unifie", "date_voiture")
+    out = lookup_generation_exact(again, "modele_unifie", year_after_slash(F.col("date_voiture")), gens)
+    return out.where(F.col("generation").isNotNull()).select("id", "generation")
+
+
 # ───────────────────────────── K1 ─────────────────────────────
 
 def resolve_listings(listings: DataFrame, cat: Catalog, make_col: str = "marque",
@@ -377,9 +395,14 @@ def resolve_listings(listings: DataFrame, cat: Catalog, make_col: str = "marque"
     res = resolve_models(pairs, cat, fuzzy=fuzzy).select(
         "raw_make", "raw_model", F.col("make").alias("make_resolved"),
         F.col("model").alias("modele_unifie"), F.col("model_stage").alias("stage"))
-    out = listings.join(
-        res, (listings[make_col].eqNullSafe(res.raw_make)) & (listings[model_col] == res.raw_model), "left"
+    # rows without a model resolve to nothing: they skip the join, where they would be one hot key
+    has_model = F.coalesce(F.col(model_col) != "", F.lit(False))
+    named, bare = listings.where(has_model), listings.where(~has_model)
+    out = named.join(
+        res, (named[make_col].eqNullSafe(res.raw_make)) & (named[model_col] == res.raw_model), "left"
     ).drop("raw_make", "raw_model")
+    none = F.lit(None).cast("string")
+    out = out.unionByName(bare.select("*", none.alias("make_resolved"), none.alias("modele_unifie"), none.alias("stage")))
     out = out.withColumn("modele_unifie", F.coalesce(F.col("modele_unifie"), F.col(model_col)))
     if gens is not None:
         out = lookup_generation(out, "modele_unifie", year_col, gens)

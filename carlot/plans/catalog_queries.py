@@ -93,20 +93,27 @@ FROM allm JOIN mk2 ON allm.make = mk2.make
 """
 
 
+def ranked_keys(keys):
+    """Numbered positions for keys in order of their names: the place in one sorted array (a
+    generation catalogue has a few hundred keys)."""
+    order = keys.agg(F.array_sort(F.collect_set("model")).alias("order"))
+    return (keys.drop("key_pos").withColumn("_one", F.lit(1)).join(F.broadcast(order.withColumn("_one", F.lit(1))), "_one")
+            .withColumn("key_pos", (F.array_position("order", F.col("model")) - 1).cast("int")).drop("order", "_one"))
+
+
 def generation_patch(spark, sf):
     """I6 then I5 / K17 — open the end of every ``<key> 2`` interval of keys starting
     with H or L, then replace (or add) whole lists per order status."""
     o = table(spark, sf, "orders")
-    gens = order_generations(spark, sf)
+    gens = ranked_keys(order_generations(spark, sf))
     pairs = gens.where(F.substring("model", 1, 1).isin("H", "L")).select(
         "model", F.concat(F.col("model"), F.lit(" 2")).alias("gen"))
     g2 = extend_open_end(gens, pairs)
     st = o.groupBy(F.when(F.col("o_orderstatus") == "F", F.lit("HIGH"))
                    .otherwise(F.concat(F.lit("STATUS "), F.col("o_orderstatus"))).alias("model")) \
         .agg(F.min(F.year("o_orderdate")).alias("y"), F.max(F.year("o_orderdate")).alias("z"))
-    from pyspark.sql import Window
-    new = st.select((F.row_number().over(Window.orderBy("model")) - 1).cast("int").alias("key_pos"), "model",
-                    F.array(F.struct(F.concat(F.col("model"), F.lit(" A")).alias("gen"), F.col("y").cast("int").alias("from"),
+    new = ranked_keys(st.withColumn("key_pos", F.col("model"))).select(
+                    "key_pos", "model", F.array(F.struct(F.concat(F.col("model"), F.lit(" A")).alias("gen"), F.col("y").cast("int").alias("from"),
                                      F.col("z").cast("int").alias("to"))).alias("gens"))
     out = replace_lists(g2, new)
     return out.select("key_pos", "model", F.posexplode("gens").alias("gen_pos", "g")).select(

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carlot.functions.codes import MAKE_FUZZY_CUTOFF, MODEL_FUZZY_CUTOFF
-from carlot.functions.numbers import year_after_slash
-from carlot.operators.quality import catalogue_member, coverage, distinct_misses
-from carlot.operators.resolve import (lookup_generation, lookup_generation_exact, resolve_listings,
-                                      resolve_makes, resolve_models)
+from carlot.operators.quality import catalogue_coverage, coverage, distinct_misses
+from carlot.operators.resolve import generation_backfill as generation_backfill_op
+from carlot.operators.resolve import generation_reindex as generation_reindex_op
+from carlot.operators.resolve import lookup_generation, resolve_listings, resolve_makes, resolve_models
 from carlot.plans.common import sql_ws, table
 from carlot.session import cut_lineage
 from carlot.sources.catalog import catalog_from_long
@@ -261,12 +261,12 @@ def part_generations(spark, sf):
 
 def order_generations(spark, sf):
     o = table(spark, sf, "orders")
-    from pyspark.sql import Window
     g = o.groupBy(F.substring("o_orderpriority", 3, 100).alias("model")).agg(F.min(F.year("o_orderdate")).alias("y"))
     iv = lambda i, f, t: F.struct(F.concat(F.col("model"), F.lit(f" {i}")).alias("gen"),
                                   f.cast("int").alias("from"), t.cast("int").alias("to"))
     y = F.col("y")
-    return g.select((F.row_number().over(Window.orderBy("model")) - 1).cast("int").alias("key_pos"), "model",
+    # keys are in order of their names, so the name itself is the position
+    return g.select(F.col("model").alias("key_pos"), "model",
                     F.array(iv(1, y, y + 2), iv(2, y + 2, y + 4), iv(3, y + 6, F.lit(9999))).alias("gens"))
 
 
@@ -327,9 +327,7 @@ FROM gx LEFT JOIN gr ON gx.id = gr.id
 
 def generation_backfill(spark, sf):
     """K3 — rows never tried (generation NULL) get a generation, ``N/A`` when none."""
-    x = _order_inputs(spark, sf).where(F.col("generation").isNull()).drop("generation")
-    return lookup_generation(x, "modele_unifie", "date_voiture", order_generations(spark, sf)).select(
-        "id", "generation")
+    return generation_backfill_op(_order_inputs(spark, sf), order_generations(spark, sf))
 
 
 GENERATION_BACKFILL_SQL = f"""
@@ -341,10 +339,7 @@ SELECT gx.id, coalesce(gr.gen, 'N/A') AS generation FROM gx LEFT JOIN gr ON gx.i
 
 def generation_reindex(spark, sf):
     """K4 — rows marked ``N/A`` retried: exact key, year after the last ``/``, update on hit only."""
-    x = _order_inputs(spark, sf).where(F.col("generation") == "N/A").drop("generation")
-    out = lookup_generation_exact(x, "modele_unifie", year_after_slash(F.col("date_voiture")),
-                                  order_generations(spark, sf), out_col="new_generation")
-    return out.where(F.col("new_generation").isNotNull()).select("id", F.col("new_generation").alias("generation"))
+    return generation_reindex_op(_order_inputs(spark, sf), order_generations(spark, sf))
 
 
 GENERATION_REINDEX_SQL = f"""
@@ -362,10 +357,7 @@ def _coverage_base(spark, sf):
     p = table(spark, sf, "part")
     mk, md = _model_inputs(p)
     rows = p.select("p_partkey", F.col("p_brand").alias("source"), mk.alias("raw_make"), md.alias("raw_model"))
-    cat = part_catalog(spark, sf)
-    res = resolve_models(rows, cat).select("raw_make", "raw_model", "make", "model")
-    j = rows.join(res, ["raw_make", "raw_model"], "left")
-    return catalogue_member(j, cat, "make", "model")
+    return catalogue_coverage(rows, part_catalog(spark, sf))
 
 
 def coverage_report(spark, sf):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 STORE_COLUMNS = ("id", "titre", "prix", "kilometrage", "date_voiture", "marque", "modele", "modele_unifie",
@@ -55,8 +55,22 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
             .withColumn("page_id", F.xxhash64("url")))
 
 
+def with_row_numbers(df: DataFrame, col: str = "row_id") -> DataFrame:
+    """Row numbers from 0 without gaps, in the order of the scan (files, then rows).
+
+    ``monotonically_increasing_id`` holds the partition and the place in it; a count per partition
+    (as many rows as there are partitions) closes the gaps."""
+    marked = df.withColumn("_id", F.monotonically_increasing_id())
+    part = F.shiftright("_id", 33)
+    counts = marked.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    joined = marked.withColumn("_part", part).join(F.broadcast(starts), "_part")  # a row a partition
+    return joined.withColumn(col, F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_start", "_id")
+
+
 def read_sheet_links(spark: SparkSession, path: str, link_col: str = "lien") -> DataFrame:
     """A10 — the link column of an exported sheet (header row skipped), with its row
     number (file order) so rows can be removed by position."""
     df = spark.read.option("header", True).csv(path)
-    return df.select(F.col(link_col).alias("lien"), F.monotonically_increasing_id().alias("row_id"))
+    return with_row_numbers(df.select(F.col(link_col).alias("lien")))

@@ -35,9 +35,9 @@ def test_sql_of_the_oracle():
 
 @pytest.mark.parametrize("cutoff", [0.6, 0.8])
 def test_no_length_that_reaches_the_cutoff_is_left_out(spark, cutoff):
-    rows = spark.range(1, 40).select("id", compatible_lengths(F.col("id").cast("int"), cutoff).alias("m")).collect()
+    rows = spark.range(1, 40).select("id", compatible_lengths(F.col("id").cast("int"), cutoff, range(1, 200)).alias("m")).collect()
     for r in rows:
-        assert set(r["m"]) >= {m for m in range(1, 200) if 2 * min(r["id"], m) / (r["id"] + m) >= cutoff}
+        assert set(r["m"]) == {m for m in range(1, 200) if 2 * min(r["id"], m) / (r["id"] + m) >= cutoff}
 
 
 def test_stage_order(spark):
