@@ -199,24 +199,3 @@ def repair_encoding(c) -> Column:
 def force_mojibake(c) -> Column:
     """UTF-8 bytes read back as Latin-1 (the damage J14 repairs)."""
     return F.decode(F.encode(_as_col(c), "UTF-8"), "ISO-8859-1")
-
-
-def contains_any(c, words: list[str], lower: bool = True) -> Column:
-    """J28 / D1 — substring test against a keyword list."""
-    s = F.lower(_as_col(c)) if lower else _as_col(c)
-    out = F.lit(False)
-    for w in words:
-        out = out | F.contains(s, F.lit(w))
-    return out
-
-
-def first_word(c) -> Column:
-    """First whitespace-delimited word (``s.split()[0]``), NULL when there is none."""
-    words = F.split(squash(_as_col(c)), " ")
-    return F.when(F.get(words, 0) != "", F.get(words, 0))
-
-
-def rest_words(c) -> Column:
-    """All words but the first, space-joined (``" ".join(s.split()[1:])``)."""
-    words = F.split(squash(_as_col(c)), " ")
-    return F.array_join(F.slice(words, 2, 1 << 30), " ")

@@ -165,7 +165,7 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
     fwd = (rest4.withColumn("sub", F.explode(_substrings_of_lengths(F.col("slug_in"), lens)))
            .join(a, "sub").select("slug_in", "first_pos", "make"))
     cat_subs = bounded_broadcast(by_slug.select(F.explode(_all_substrings(F.col("mslug"))).alias("slug_in"),
-                                                "first_pos", "make"), _substring_bound(n_mk, mk_lens), max_rows=2_000_000)
+                                                "first_pos", "make"), _substring_bound(n_mk, mk_lens), 64 + 2 * max(mk_lens, default=0))
     bwd = rest4.join(cat_subs, "slug_in").select("slug_in", "first_pos", "make")
     ct = fwd.unionByName(bwd).groupBy("slug_in").agg(F.min_by("make", "first_pos").alias("m_contains"))
 
@@ -275,7 +275,7 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
     # Input (len >= 2) inside a catalogue slug; longest catalogue slug first.
     subs = bounded_broadcast(by_slug.select(
         "make", F.explode(_all_substrings(F.col("mslug"))).alias("slug_in"),
-        F.length("mslug").alias("clen"), "first_pos", F.col("model").alias("cmodel")), _substring_bound(n_md, md_lens), max_rows=5_000_000)
+        F.length("mslug").alias("clen"), "first_pos", F.col("model").alias("cmodel")), _substring_bound(n_md, md_lens), 96 + 3 * max(md_lens, default=0))
     e9 = (rest.where(F.length("slug_in") >= 2).join(subs, ["make", "slug_in"]).groupBy("make", "slug_in")
           .agg(F.max_by("cmodel", F.struct("clen", -F.col("first_pos"))).alias("m_contained")))
 

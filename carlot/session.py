@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # Catalogue-sized tables are broadcast only below this many rows (checked with a count
 # on the catalogue itself, never on listing-sized data).
 BROADCAST_MAX_ROWS = 200_000
+#: Largest table that a proven bound lets be broadcast (the driver builds it).
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -89,12 +91,13 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return F.broadcast(df) if n <= max_rows else df
 
 
-def bounded_broadcast(df: DataFrame, bound: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` when a proven upper bound on its row count is within the limit.
+def bounded_broadcast(df: DataFrame, bound: int, row_bytes: int = 128) -> DataFrame:
+    """Broadcast ``df`` when a proven upper bound on its rows, ``row_bytes`` each at most, is
+    within the limits.
 
     Used for tables derived from a catalogue whose size was measured once (a derived
     table cannot have more rows than its bound, e.g. one row per catalogue slug)."""
-    return F.broadcast(df) if bound <= max_rows else df
+    return F.broadcast(df) if bound * row_bytes <= BROADCAST_MAX_BYTES else df
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:

@@ -38,3 +38,30 @@ def test_scan_reads_only_needed_columns(spark):
     assert schemas
     # events.props and events.value are not needed for the stale batch: pruned at the scan
     assert all("props" not in s and "value" not in s for s in schemas), schemas
+
+
+def test_titles_are_looked_up_without_an_exchange(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from carlot.operators.ingest import brand_model_from_title, brand_tables
+    brands, words = brand_tables(spark)
+    titles = spark.range(100).select(F.concat(F.lit("Vends Clio "), F.col("id").cast("string")).alias("t"))
+    df = brand_model_from_title(titles, "t", brands, words)
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    assert not re.search(r"(?<!Broadcast)Exchange", text.replace("BroadcastExchange", "Broadcast"))
+
+
+def test_generation_lookup_reads_orders_for_the_rows_only(spark):
+    assert plan(spark, "generation_lookup").count("orders.parquet]") <= 2
+
+
+def test_model_less_rows_skip_the_join_back(spark):
+    from pyspark.sql import functions as F
+
+    from carlot.operators.resolve import resolve_listings
+    from carlot.plans.resolve_queries import part_catalog
+    rows = spark.createDataFrame([(1, None, None), (2, "x", ""), (3, "ECONOMY", None)], "id int, marque string, modele string")
+    out = resolve_listings(rows, part_catalog(spark, SF)).select("id", "modele_unifie", "stage").orderBy("id").collect()
+    assert [tuple(r) for r in out] == [(1, None, None), (2, "", None), (3, None, None)]
