@@ -73,15 +73,93 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM marked GROUP BY doc_id
 """
 
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def _spans_sql(kind: str, place: int, pattern: str, value_group: int, least: int) -> str:
+    """Matches of one kind with their places: gap and match lengths add up to them."""
+    whole = f"(?s)(.*?)({pattern})"
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, {place} AS k, list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+           + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS a, length(found[i]) AS n
+  FROM (SELECT doc_id, gaps, found, vals, unnest(range(1, len(found) + 1)) AS i FROM (
+    SELECT doc_id, regexp_extract_all(text, '{whole}', 1) AS gaps, regexp_extract_all(text, '{whole}', 2) AS found,
+           regexp_extract_all(text, '{whole}', {value_group + 1}) AS vals FROM d))
+  WHERE length(vals[i]) >= {least}"""
+
+
+# These tables hold no secret of the kinds with a checksum, so all spans are base spans.
+_ASSIGN = "|".join(map(_either_case, ("password", "passwd", "secret", "token"))) + "|" + _either_case("api") + "_?" + _either_case("key")
+SECRETS_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({_spans_sql("assign", 0, f"({_ASSIGN})[" + '"' + "'']?\\x20*[:=]\\x20*[" + '"' + "'']?([A-Za-z0-9+/_.=-]+)", 3, 12)}
+  UNION ALL {_spans_sql("access", 1, "AKIA[A-Z0-9]+", 1, 18)}
+  UNION ALL {_spans_sql("hex", 2, "[0-9a-f]+", 1, 16)}),
+j AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+             count(*) FILTER (WHERE k = 2) AS n_hex, string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, k) AS spans
+      FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN j USING (doc_id)
+"""
+
+
+def _licenses_sql() -> str:
+    known = ", ".join(f"('{s}', '{name}')" for s, name in licenses.IDENTIFIERS.items())
+    rules = [("".join(f"{i}," for i in sequence), name) for name, sequence in licenses.RULES]
+    case = " ".join(f"WHEN '{sequence}' THEN '{name}'" for sequence, name in rules)
+    pattern = "|".join([*(sequence for sequence, _ in rules), "[^,]+,"])
+    normalised = (r"trim(regexp_replace(lower(regexp_replace({x}, '(?m)^[ \t]*(?:[#/*;>-]+|\(?[0-9a-z][.)])[ \t]+', ' ', 'g')), "
+                  r"'[^a-z0-9]+', ' ', 'g'))")
+    return f"""
+WITH known(sentence, name) AS (VALUES {known}),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS (SELECT doc_id, i, parts[i] AS part FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (
+        SELECT doc_id, regexp_split_to_array(text, '[.!?;:]\\s|\\n[\\s#/*;-]*\\n') AS parts FROM d))),
+whole AS (SELECT s.*, known.name FROM s LEFT JOIN known ON known.sentence = {normalised.format(x='part')}),
+lines AS (SELECT doc_id, i, l, rows[l] AS part FROM (SELECT doc_id, i, rows, unnest(range(1, len(rows) + 1)) AS l FROM (
+        SELECT doc_id, i, string_split(part, chr(10)) AS rows FROM whole WHERE name IS NULL AND contains(part, chr(10))))),
+ids AS (SELECT doc_id, i, 0 AS l, name FROM whole WHERE name IS NOT NULL
+        UNION ALL SELECT doc_id, i, l, known.name FROM lines JOIN known ON known.sentence = {normalised.format(x='part')}),
+seq AS (SELECT doc_id, count(*) AS n, string_agg(name || ',', '' ORDER BY i, l) AS seq FROM ids GROUP BY doc_id),
+hit AS (SELECT doc_id, k, CASE toks[k] {case} END AS name FROM (
+        SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS k FROM (SELECT doc_id, regexp_extract_all(seq, '{pattern}') AS toks FROM seq))),
+first AS (SELECT doc_id, name, min(k) AS k FROM hit WHERE name IS NOT NULL GROUP BY ALL),
+named AS (SELECT doc_id, string_agg(name, ';' ORDER BY k) AS licenses FROM first GROUP BY doc_id),
+loose AS (SELECT doc_id, count(*) AS n_loose FROM hit WHERE name IS NULL GROUP BY doc_id)
+SELECT d.doc_id, coalesce(seq.n, 0) AS n_sentences, coalesce(loose.n_loose, 0) AS n_loose, coalesce(named.licenses, '') AS licenses,
+       coalesce(rtrim(seq.seq, ','), '') AS sentence_ids
+FROM d LEFT JOIN seq ON d.doc_id = seq.doc_id LEFT JOIN named ON d.doc_id = named.doc_id LEFT JOIN loose ON d.doc_id = loose.doc_id
+"""
+
+
+# Hex digits stand for bytes: place p begins at character 2 p + 1.
+SUFFIX_DEDUP_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, CAST(2 * p + 1 AS INTEGER), 100) AS w FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM d)),
+f AS (SELECT w, min(doc_id) AS first FROM w GROUP BY w HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT w.doc_id, w.p, lag(w.p) OVER (PARTITION BY w.doc_id ORDER BY w.p) AS before FROM w JOIN f ON w.w = f.w WHERE w.doc_id > f.first),
+g AS (SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM r),
+spans AS (SELECT doc_id, span, min(p) AS a, max(p) + 50 AS b FROM g GROUP BY doc_id, span),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_ FROM spans),
+kept AS (SELECT g.doc_id, sum(b - a) AS removed, count(*) AS n, string_agg(substr(h, CAST(2 * from_ + 1 AS INTEGER), CAST(2 * (a - from_) AS INTEGER)), '' ORDER BY a)
+                || substr(any_value(h), CAST(2 * max(b) + 1 AS INTEGER)) AS h
+         FROM gaps g JOIN d ON g.doc_id = d.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(k.removed, 0) AS BIGINT) AS n_removed, coalesce(k.n, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_bpe": (op2_bpe, None),
-    "op3_licenses": (op3_licenses, None),
+    "op3_licenses": (op3_licenses, _licenses_sql()),
     "op4_decontaminate": (op4_decontaminate, None),
     "op5_fingerprints": (op5_fingerprints, None),
-    "op6_suffix_dedup": (op6_suffix_dedup, None),
+    "op6_suffix_dedup": (op6_suffix_dedup, SUFFIX_DEDUP_SQL),
     "op7_simhash": (op7_simhash, None),
     "op8_line_dedup": (op8_line_dedup, LINE_DEDUP_SQL),
-    "op9_secrets": (op9_secrets, None),
+    "op9_secrets": (op9_secrets, SECRETS_SQL),
     "op10_token_files": (op10_token_files, None),
 }
