@@ -25,14 +25,19 @@ ROLES = ("annee", "km", "carburant")
 
 
 def read_dumps(spark, paths: Sequence[str] | str) -> DataFrame:
-    """A1 — JSON-array dump files, every value as text, with the source file name and the
-    item's position (``_file``, ``_pos``: file order, as the files are concatenated).
+    """A1 — JSON-array dump files, every value as text, with the place of each item: ``_file``
+    (place of its path among ``paths``, file name) and ``_pos``, in the order in which the
+    files are given and read.
 
     A multi-line JSON file is read whole by one task, so the generated id increases in
     item order inside a file and is the same on a recomputation."""
-    return (spark.read.option("multiLine", True).option("primitivesAsString", True).json(paths)
-            .withColumn("_file", F.input_file_name())
-            .withColumn("_pos", F.monotonically_increasing_id()))
+    out = None
+    for i, path in enumerate([paths] if isinstance(paths, str) else paths):
+        items = (spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
+                 .withColumn("_file", F.struct(F.lit(i).alias("place"), F.input_file_name().alias("name")))
+                 .withColumn("_pos", F.monotonically_increasing_id()))
+        out = items if out is None else out.unionByName(items, allowMissingColumns=True)
+    return out
 
 
 def strip_noise_prefix(title: Column, prefixes: Sequence[str] = TITLE_NOISE_PREFIXES) -> Column:

@@ -56,6 +56,17 @@ def test_import_dump(spark):
     assert new_store.count() == 2
 
 
+def test_files_keep_the_order_in_which_they_are_given(spark, tmp_path):
+    item = dict(ITEMS[0])
+    for name, title in (("z", "Vends Clio 4"), ("a", "Vends Megane")):
+        (tmp_path / f"{name}.json").write_text(json.dumps([item | {"text-body-1": title}]), encoding="utf-8")
+    b, w = brand_tables(spark)
+    store = spark.createDataFrame([], "lien_annonce string, titre string")
+    items = read_dumps(spark, [str(tmp_path / "z.json"), str(tmp_path / "a.json")])
+    _, inserted = import_dump(store, items, b, w)
+    assert [r.modele for r in inserted.collect()] == ["Clio"]
+
+
 def test_role_detection_aborts(spark):
     df = spark.createDataFrame([("abc", "x")], "`text-body-2a` string, `text-body-2b` string")
     with pytest.raises(ValueError):
