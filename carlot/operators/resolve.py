@@ -258,31 +258,29 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
                   .where(F.col("score") >= cutoff))
         fz = scored.groupBy("make", "slug_in").agg(
             F.max_by("cmodel", F.struct("score", "mslug")).alias("m_fuzzy"))
-        # E8/E9 below run on the same remainder (cheap equi-joins) and lose to a fuzzy
-        # hit in the final coalesce, so the scored stage is consumed exactly once.
     else:
         fz = None
 
-    # Catalogue slug (len >= 2) inside the input; longest, then first in dict order.
-    lens = [L for L in md_lens if L >= 2]
-    cb = bounded_broadcast(by_slug.where(F.length("mslug") >= 2).select(
-        "make", F.col("mslug").alias("sub"), "first_pos", F.col("model").alias("cmodel")), n_md)
-    e8 = (rest.withColumn("sub", F.explode(_substrings_of_lengths(F.col("slug_in"), lens)))
-          .join(cb, ["make", "sub"])
-          .groupBy("make", "slug_in")
-          .agg(F.max_by("cmodel", F.struct(F.length("sub"), -F.col("first_pos"))).alias("m_contains")))
-
-    # Input (len >= 2) inside a catalogue slug; longest catalogue slug first.
-    subs = bounded_broadcast(by_slug.select(
-        "make", F.explode(_all_substrings(F.col("mslug"))).alias("slug_in"),
-        F.length("mslug").alias("clen"), "first_pos", F.col("model").alias("cmodel")), _substring_bound(n_md, md_lens), 96 + 3 * max(md_lens, default=0))
-    e9 = (rest.where(F.length("slug_in") >= 2).join(subs, ["make", "slug_in"]).groupBy("make", "slug_in")
-          .agg(F.max_by("cmodel", F.struct("clen", -F.col("first_pos"))).alias("m_contained")))
-
     if fz is not None:
         w = w.join(fz, ["make", "slug_in"], "left")
         cols.append(("fuzzy", "m_fuzzy"))
-    w = w.join(e8, ["make", "slug_in"], "left").join(e9, ["make", "slug_in"], "left")
+
+    # Catalogue slug (len >= 2) inside the input, E9: input (len >= 2) inside a catalogue
+    # slug; the longest catalogue slug wins, then the first in dict order. Each pair looks
+    # through the list of its own make, in the row: no explosion, no shuffle.
+    items = bounded_broadcast(by_slug.groupBy("make").agg(F.collect_list(F.struct(
+        "mslug", F.length("mslug").alias("n"), "first_pos", F.col("model").alias("cmodel"))).alias("_items")), n_md)
+    resolved = F.coalesce(*[F.col(c) for _, c in cols]).isNotNull()
+
+    def best(fits) -> Column:
+        hits = F.transform(F.filter("_items", fits), lambda i: F.struct(i["n"], -i["first_pos"], i["cmodel"].alias("cmodel")))
+        return F.when(~resolved, F.array_max(hits)["cmodel"])
+
+    slug_in = F.col("slug_in")
+    w = (w.join(items, "make", "left")
+         .withColumn("m_contains", best(lambda i: (i["n"] >= 2) & F.contains(slug_in, i["mslug"])))
+         .withColumn("m_contained", best(lambda i: (F.length(slug_in) >= 2) & F.contains(i["mslug"], slug_in)))
+         .drop("_items"))
     cols += [("contains", "m_contains"), ("contained", "m_contained")]
 
     stage = None
