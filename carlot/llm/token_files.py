@@ -25,6 +25,7 @@ blocks; a text longer than a block gets a longer block.
 
 from __future__ import annotations
 
+import gc
 import json
 import struct
 import zlib
@@ -100,7 +101,7 @@ class LibraryBpe(ByteBpe):
     """The tokenizers library's model behind the cache of pre-tokens: each pre-token that
     isn't known yet goes through the library once, and texts are joined from them."""
 
-    def __init__(self, spec: str, cached: int = 300_000):
+    def __init__(self, spec: str, cached: int = 700_000):
         from tokenizers import Tokenizer
         super().__init__(spec, cached=cached)
         self.model = Tokenizer.from_str(spec).model
@@ -109,7 +110,11 @@ class LibraryBpe(ByteBpe):
         self.shown = Bounded(lambda c: "".join(of_byte[b] for b in c.encode()), 1 << 16)
 
     def word_ids(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join(map(self.shown.__getitem__, word)))]
+        if word.isascii() and word[1:].isalnum():
+            shown = self.shown[word[0]] + word[1:]  # letters and digits stand for themselves
+        else:
+            shown = "".join(map(self.shown.__getitem__, word))
+        return [t.id for t in self.model.tokenize(shown)]
 
 
 _ENCODERS: dict[tuple, LibraryBpe] = {}
@@ -146,19 +151,26 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int | None, path: str
             return record_batch([[shard], [block], [first], [n], [ids], [min(names, default=None)],
                                  [max(names, default=None)], [make_block(waiting, width)]], fields)
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                document = np.frombuffer(encoder.encode(text.as_py()) + end, "<u4")
-                waiting.append(document)
-                ids.append(doc)
-                n += len(document)
-                if n >= block_ids:
-                    yield flush()
-                    first += n
-                    block += 1
-                    waiting, ids, n = [], [], 0
-        if waiting:
-            yield flush()
+        # nothing here makes cycles, and collections would walk through the large caches
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            for batch in batches:
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    document = np.frombuffer(encoder.encode(text.as_py()) + end, "<u4")
+                    waiting.append(document)
+                    ids.append(doc)
+                    n += len(document)
+                    if n >= block_ids:
+                        yield flush()
+                        first += n
+                        block += 1
+                        waiting, ids, n = [], [], 0
+            if waiting:
+                yield flush()
+        finally:
+            if collecting:
+                gc.enable()
 
     # ranges of ids by quantiles, a partition each: the quantiles read the ids alone
     partitions = 1 << (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
