@@ -109,7 +109,7 @@ class ByteBpe:
             self.merges.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
         self.cut = PreTokens(pattern).cut
         self.words = Bounded(self._word, cached)
-        #: What stands behind a space, up to the next one -> ids of both; None where that depends on neighbours.
+        #: What stands between spaces and line breaks -> ids; None where they depend on neighbours.
         self.pieces = Bounded(self._piece, cached)
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
@@ -148,9 +148,17 @@ class ByteBpe:
         return array("I", self.word_ids(word)).tobytes()
 
     def _piece(self, piece: str) -> bytes | None:
+        """Ids of a space and ``piece``; of ``piece`` alone if it begins with a line break."""
         if piece.isalpha():
             return self._word(" " + piece)
-        if not piece or piece[0].isspace() or piece[-1].isspace():
+        if not piece or piece[-1].isspace():
+            return None
+        if piece[0] == "\n":
+            line = piece[1:]
+            if line.isalpha():
+                return self.words["\n"] + self.words[line]
+            return None if line[0].isspace() else self.words["\n"] + self._joined(self.cut(line))
+        if piece[0].isspace():
             return None
         if piece[-1] in ",." and piece[:-1].isalpha():
             return (self.pieces.get(piece[:-1]) or self._word(" " + piece[:-1])) + self.words[piece[-1]]
@@ -160,13 +168,15 @@ class ByteBpe:
         return b"".join(map(self.words.__getitem__, words))
 
     def _plain(self, text: str) -> bytes:
-        head, *pieces = text.split(" ")
-        # no pre-token reaches over a lone space from the left: each piece is cut by itself
-        if not head[-1:].isspace():
-            try:
-                return self._joined(self.cut(head)) + b"".join(map(self.pieces.__getitem__, pieces))
-            except TypeError:
-                pass  # a piece of None: spaces next to other white space
+        # no pre-token reaches over a lone space from the left, nor over a lone line break: what
+        # stands between them is cut by itself
+        if " \n" not in text:
+            head, *pieces = text.replace("\n", " \n").split(" ")
+            if not head[-1:].isspace():
+                try:
+                    return self._joined(self.cut(head)) + b"".join(map(self.pieces.__getitem__, pieces))
+                except TypeError:
+                    pass  # a piece of None: white space next to more of it
         return self._joined(self.cut(text))
 
     def encode(self, text: str) -> bytes:

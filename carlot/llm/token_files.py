@@ -29,6 +29,7 @@ import gc
 import json
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,17 +105,17 @@ class LibraryBpe(ByteBpe):
     def __init__(self, spec: str, cached: int = 700_000):
         from tokenizers import Tokenizer
         super().__init__(spec, cached=cached)
-        self.model = Tokenizer.from_str(spec).model
+        self.tokenize = Tokenizer.from_str(spec).model.tokenize
         of_byte = byte_characters()
         #: Character -> its bytes as the vocabulary writes them.
         self.shown = Bounded(lambda c: "".join(of_byte[b] for b in c.encode()), 1 << 16)
 
-    def word_ids(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         if word.isascii() and word[1:].isalnum():
             shown = self.shown[word[0]] + word[1:]  # letters and digits stand for themselves
         else:
             shown = "".join(map(self.shown.__getitem__, word))
-        return [t.id for t in self.model.tokenize(shown)]
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
 
 _ENCODERS: dict[tuple, LibraryBpe] = {}
@@ -198,8 +199,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, first, docs, record = (batch.column(k)[row].as_py() for k in range(4))
-                block = Block(record)
+                shard, first, docs = (batch.column(k)[row].as_py() for k in range(3))
+                block = Block(batch.column(3)[row].as_buffer())
                 ids = block.ids()
                 ends = block.ends.astype("i8")
                 starts = np.concatenate(([0], ends[:-1]))
