@@ -130,10 +130,11 @@ def class_links(classes: DataFrame, max_bits: int, plan: tuple[int, int] | None
     parts = bit_blocks(blocks)
     if blocks - agree < max_bits:
         raise ValueError("too few blocks for that many differing bits")
-    value = [F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << bits) - 1)) for first, bits in parts]
-    choices = list(itertools.combinations(range(blocks), agree))
-    keyed = classes.select("fp", F.explode(F.array(*[
-        F.xxhash64(F.lit(t), *[value[k] for k in chosen]) for t, chosen in enumerate(choices)])).alias("key"))
+    # classes agree on a choice of blocks if they agree under its mask
+    masks = [sum((1 << bits) - 1 << first for first, bits in chosen) for chosen in itertools.combinations(parts, agree)]
+    signed = np.array(masks, "u8").view("i8").tolist()
+    keyed = classes.select("fp", F.posexplode(F.array(*[F.lit(m).cast("bigint") for m in signed])).alias("choice", "mask")).select(
+        "fp", F.xxhash64("choice", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
     # a key is shared by classes that agree on a choice of blocks; keys of one class alone go
     many = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     met = keyed.join(many, "key")
