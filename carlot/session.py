@@ -17,9 +17,10 @@ BROADCAST_MAX_BYTES = 64 << 20
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "carlot", checkpoint_dir: str | None = None) -> SparkSession:
+                app_name: str = "carlot", checkpoint_dir: str | None = None,
+                driver_memory: str | None = None) -> SparkSession:
     """Local / test session with the settings the jobs are designed around. ``checkpoint_dir``
-    is for tests and benches, where the launcher names no shared folder.
+    and ``driver_memory`` are for tests and benches, where no launcher sets them.
 
     On a cluster the session comes from the launcher and only the SQL confs below
     matter: AQE (runtime coalescing, skew-join splitting, broadcast conversion by
@@ -28,6 +29,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = (
         builder
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -15,7 +15,7 @@ SF_SMALL = os.environ.get("CARLOT_TEST_SF", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     from carlot.session import get_session
     s = get_session("local[4]", shuffle_partitions=4, app_name="carlot-tests",
-                    checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")))
+                    checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")), driver_memory="4g")
     yield s
     s.stop()
 
