@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carlot.llm.common import arrow_map, map_texts, record_batch, written
+from carlot.llm.common import arrow_map, id_and_text, map_texts, record_batch, written
 from carlot.session import ship_package
 
 TRAIN_ROWS = 20_000
@@ -144,7 +144,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     chosen = (label.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
               .groupBy("doc_id").agg(F.max("label").alias("label")))
     # the sample is bounded by ``rows``, so it may be broadcast
-    return docs.join(F.broadcast(chosen), "doc_id").select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "label")
+    return id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
 def counted(sample: DataFrame, candidates) -> DataFrame:
