@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carlot.functions.numbers import registration_split
+from carlot.functions.text import slug
 from carlot.functions.timefmt import iso_utc, report_day, report_minute
 from carlot.operators.catalog_ops import pending_makes
 from carlot.operators.extract import crawl_prefix
@@ -15,11 +16,9 @@ from carlot.operators.ingest import read_dumps
 from carlot.operators.quality import value_counts
 from carlot.operators.resolve import Catalog, rejected_rows, resolve_models
 from carlot.operators.store import union_sources
-from carlot.plans.common import listing_view, store_from_events, table
-from carlot.plans.common import sql_store_from_events
+from carlot.plans.common import listing_view, sql_store_from_events, store_from_events, table
 from carlot.plans.resolve_queries import (SQL_CATALOG, SQL_MODEL_INPUTS, _model_inputs, part_catalog,
                                           sql_model_resolution, sql_slug)
-from carlot.functions.text import slug
 from carlot.session import shared_scratch_dir
 from carlot.sources.sinks import latest_version, write_version
 from carlot.sources.store import count_where, read_pages, read_saved_listings, read_sheet_links, read_store

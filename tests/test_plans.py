@@ -58,8 +58,6 @@ def test_generation_lookup_reads_orders_for_the_rows_only(spark):
 
 
 def test_model_less_rows_skip_the_join_back(spark):
-    from pyspark.sql import functions as F
-
     from carlot.operators.resolve import resolve_listings
     from carlot.plans.resolve_queries import part_catalog
     rows = spark.createDataFrame([(1, None, None), (2, "x", ""), (3, "ECONOMY", None)], "id int, marque string, modele string")
