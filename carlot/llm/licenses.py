@@ -6,10 +6,11 @@ identifiers of a text, in order, are matched against ordered rules: at each plac
 whose identifiers follow one another there names a licence and uses them up; identifiers that no
 rule takes are counted as loose.
 
-Sentences end at sentence marks and blank lines, so a sentence may go over several lines; where
-that gives no known sentence, each of its lines is tried by itself (licence lines below prose that
-has no full stop). The known sentences and rules are a fixed table of a few dozen rows inside the
-code; per-row work, no shuffle, any table size.
+Texts are cut into pieces at the finest marks: line breaks, and sentence marks before white space. A
+known sentence is any number of pieces that follow one another, the longest first, so it may go over
+several lines, blank ones too, and hold sentence marks itself ("free software: you can ...",
+"v. 2.0"). The known sentences and rules are a fixed table of a few dozen rows inside the code;
+per-row work, no shuffle, any table size.
 
 Edge cases: NULL and empty texts have no licence; repeated rows give equal rows; repeated sentences
 count each time, a licence is listed once; an empty table gives an empty result; texts without any
@@ -93,7 +94,10 @@ RULES = (
 #: Every known sentence holds one of these.
 KEYWORDS = ("licen", "copyright", "permi", "warrant", "liable", "redistribut", "public", "mpl")
 KEYWORD = re.compile("|".join(KEYWORDS), re.IGNORECASE)
-SENTENCE_END = re.compile(r"(?:[.!?;:](?=\s)|\n[\s#/*;-]*\n)")
+PIECE_END = re.compile(r"\n|[.!?;:](?=\s)")
+#: List marks before the first word of a piece; those with a full stop are pieces of their own.
+NUMBERING = re.compile(r"^[^a-z0-9]*[0-9a-z]\)[ \t]")
+WORD = re.compile(r"[a-z0-9]+")
 LINE_MARKS = re.compile(r"^[ \t]*(?:[#/*;>-]+|\(?[0-9a-z][.)])[ \t]+", re.MULTILINE)
 NOT_WORD = re.compile(r"[^a-z0-9]+")
 
@@ -104,18 +108,45 @@ def normalised(sentence: str) -> str:
     return NOT_WORD.sub(" ", LINE_MARKS.sub(" ", sentence).lower()).strip()
 
 
+def word_tree() -> dict:
+    """The known sentences word by word; the identifier of one that ends is under ""."""
+    tree: dict = {}
+    for sentence, name in IDENTIFIERS.items():
+        node = tree
+        for word in normalised(sentence).split(" "):
+            node = node.setdefault(word, {})
+        node[""] = name
+    return tree
+
+
+TREE = word_tree()
+
+
+def sentence_at(pieces: list[str], at: int) -> tuple[int, str] | None:
+    """(piece behind it, identifier) of the longest known sentence that begins with a piece."""
+    node, longest = TREE, None
+    for k in range(at, len(pieces)):
+        for word in WORD.finditer(pieces[k]):
+            node = node.get(word[0])
+            if node is None:
+                return longest
+        if "" in node:
+            longest = (k + 1, node[""])
+    return longest
+
+
 def identifiers(text: str) -> list[str]:
     """Identifiers of the known sentences of a text, in order."""
     if not KEYWORD.search(text):
         return []
-    found = []
-    for sentence in SENTENCE_END.split(text):
-        if not KEYWORD.search(sentence):
-            continue
-        if name := IDENTIFIERS.get(normalised(sentence)):
-            found.append(name)
-        elif "\n" in sentence:
-            found += [name for line in sentence.split("\n") if (name := IDENTIFIERS.get(normalised(line)))]
+    cut = (NUMBERING.sub("", piece) for piece in PIECE_END.split(text.lower()))
+    pieces = [piece for piece in cut if WORD.search(piece)]
+    found, at = [], 0
+    while at < len(pieces):
+        known = sentence_at(pieces, at)
+        if known:
+            found.append(known[1])
+        at = known[0] if known else at + 1
     return found
 
 

@@ -50,5 +50,138 @@ def test_against_lines(spark, table):
     assert got == sorted(want, key=repr)
 
 
+# The standard notices, as they stand in sources and licence files. {identifiers: notice}
+NOTICES = {
+    "gpl3-later,gpl-hope,gpl-details,gpl-copy": """
+    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.
+""",
+    "gpl2-later,gpl-hope,gpl-details,gpl-copy": """/*
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ *
+ * You should have received a copy of the GNU General Public License along
+ * with this program; if not, write to the Free Software Foundation, Inc.,
+ * 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.
+ */""",
+    "mpl2-name,mpl2-copy": """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */""",
+    "apache2-name,apache2-comply,apache2-copy,apache2-law,apache2-see": """# Copyright 2020 Someone
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+""",
+    "mit-name,mit-grant,mit-notice,as-is,mit-liability": """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+""",
+    "bsd-grant,bsd-source,bsd-binary,bsd-names": """
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+(b) Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""",
+    "isc-grant": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy",
+}
+
+# Short forms of one line: known sentence, the form.
+SHORT = {
+    **{f"spdx license identifier {lic.normalised(i)}": f"SPDX-License-Identifier: {i}"
+       for i in ("MIT", "Apache-2.0", "GPL-3.0-only", "GPL-2.0-only", "MPL-2.0")},
+    **{lic.normalised(s): s for s in (
+        "Released under the MIT License.", "Licensed under the MIT license.", "This project is licensed under the MIT License.", "MIT License", "The MIT License",
+        "Licensed under the Apache License, Version 2.0", 'Licensed under the Apache License, Version 2.0 (the "License");', "Released under the Apache License, Version 2.0.", "Apache License, Version 2.0",
+        "This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3.", "Released under the GNU General Public License, version 3.",
+        "This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2.",
+        "Licensed under the Mozilla Public License, version 2.0.", "Licensed under CC0 1.0.", "This work is licensed under CC0 1.0 Universal.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        *(f"Licensed under CC {x} 4.0." for x in ("BY", "BY-SA", "BY-NC", "BY-ND")),
+        *(f"This work is licensed under a Creative Commons Attribution{x} 4.0 International License." for x in ("", "-ShareAlike", "-NonCommercial", "-NoDerivatives")))},
+}
+
+
+@pytest.mark.parametrize(("names", "notice"), NOTICES.items())
+def test_standard_notices(names, notice):
+    assert ",".join(lic.identifiers(notice)) == names
+    assert ",".join(lic.identifiers(f"prose before it\n{notice}\nprose behind it: more. And more")) == names
+    licenses, loose = lic.matched(lic.identifiers(notice))
+    assert len(licenses) == 1 and loose == 0
+
+
+@pytest.mark.parametrize(("sentence", "form"), SHORT.items())
+def test_short_forms(sentence, form):
+    name = lic.IDENTIFIERS[sentence]
+    for text in (form, f"// {form}\n// prose", f"prose: more\n<!-- {form} -->", f"  * {form.replace(' ', chr(10) + '  * ')}\n"):
+        assert lic.identifiers(text) == [name], text
+
+
+def test_each_known_sentence_has_a_standard_notice():
+    notices = " ".join(lic.normalised(x) for x in NOTICES.values())
+    notices = " ".join(w for w in notices.split(" ") if w)
+    assert [s for s in lic.IDENTIFIERS if s not in SHORT and s not in notices] == []
+
+
+def test_other_words_beside_a_sentence_do_not_match():
+    for text in ("SPDX-License-Identifier: MIT OR Apache-2.0", "Not the MIT License", "Licensed under the Apache License, Version 2.0 or later", "the mit licenses"):
+        assert lic.identifiers(text) == []
+
+
 def test_empty_table(spark):
     assert lic.scan_licenses(empty_docs(spark)).count() == 0
