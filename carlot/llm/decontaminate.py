@@ -1,18 +1,21 @@
 """Operator 4: benchmark decontamination by greedy string tiling.
 
-Texts and benchmark items are lower-cased word sequences. A document and an item that share a *seed*,
-``SEED`` words in a row, are compared by greedy string tiling: search lengths go down, at each length
-Karp-Rabin hashes of all unmarked stretches of that length are looked up, matches are extended, and
-the longest ones are marked as tiles, which never overlap. An item leaks into a document if tiles
-cover at least ``coverage`` of its words, in whatever order they stand there; so reordered passages
-are caught.
+Texts and benchmark items are lower-cased word sequences, compared by greedy string tiling: search
+lengths go down, at each length Karp-Rabin hashes of all unmarked stretches of that length are looked
+up, matches are extended, and the longest ones are marked as tiles, which never overlap. An item
+leaks into a document if tiles cover at least ``coverage`` of its words, in whatever order they stand
+there; so reordered passages are caught.
+
+The search is exact: every word of a tile stands in a common *seed*, ``SHORTEST_TILE`` words in a
+row, so tiles cover no more of an item than its seeds that the document has. Pairs for which those
+cover less than ``coverage`` are not tiled. Items shorter than a tile leak if the whole item stands
+in the document as it is, as one tile.
 
 Scale: the benchmark meets the documents as a broadcast of at most ``BENCHMARK_BYTES`` of text; a
 larger benchmark is worked off in groups of items of that size, one pass over the documents each.
-Documents are read where they lie: no shuffle on either side, no pairs but those with a common seed.
+Documents are read where they lie: no shuffle on either side, no pairs but those with common seeds.
 
-Edge cases: NULL and empty texts leak nothing; items of fewer than ``SEED`` words are too short to
-be evidence and are never reported; repeated items and rows are reported each; empty tables give
+Edge cases: NULL and empty texts and items leak nothing; repeated items and rows are reported each; empty tables give
 an empty result; very long texts are hashed in one vectorised pass.
 """
 
@@ -28,7 +31,6 @@ from pyspark.sql import functions as F
 
 from carlot.llm.common import arrow_map, id_and_text, record_batch
 
-SEED = 5
 SHORTEST_TILE = 3
 COVERAGE = 0.8
 BENCHMARK_BYTES = 32 << 20
@@ -121,48 +123,69 @@ def tiles(item: np.ndarray, text: np.ndarray, shortest: int = SHORTEST_TILE) ->
 
 
 class Benchmark:
-    """Items as numbers of words, and their seeds."""
+    """Items as numbers of words, and their seeds: all stretches of ``SHORTEST_TILE`` words, or the
+    whole item if it is shorter."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.vocabulary: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
-        seeds, owners = [], []
+        seeds: dict[int, list[np.ndarray]] = {n: [] for n in range(1, SHORTEST_TILE + 1)}
+        places: dict[int, list[np.ndarray]] = {n: [] for n in seeds}
+        end = 0
         for item_id, text in items:
             words = words_of(text)
-            if len(words) < SEED:
+            if not words:
                 continue
             numbers = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], "i8")
-            seeds.append(Hashed(numbers).stretches(SEED))
-            owners.append(np.full(len(seeds[-1]), len(self.items)))
+            n = min(len(words), SHORTEST_TILE)
+            seeds[n].append(Hashed(numbers).stretches(n))
+            places[n].append(end + np.arange(len(seeds[n][-1])))
+            end += len(words)
             self.items.append((item_id, numbers))
-        seeds = np.concatenate(seeds) if seeds else np.empty(0, "u8")
-        owners = np.concatenate(owners) if owners else np.empty(0, "i8")
-        order = np.argsort(seeds, kind="stable")
-        self.seeds, self.owners = seeds[order], owners[order]
+        self.lengths = np.array([len(numbers) for _, numbers in self.items], "i8")
+        #: item of each word of all items, one item behind the other
+        self.owner = np.repeat(np.arange(len(self.items)), self.lengths)
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by length: hashes in order, place of each among the words
+        for n in seeds:
+            if seeds[n]:
+                hashes, at = np.concatenate(seeds[n]), np.concatenate(places[n])
+                order = np.argsort(hashes, kind="stable")
+                self.seeds[n] = hashes[order], at[order]
+
+    def candidates(self, numbers: np.ndarray, coverage: float) -> np.ndarray:
+        """Items whose words stand to at least ``coverage`` in seeds that the text has too."""
+        # words that no item has are all one number: seeds hold none of them
+        foreign = np.concatenate(([0], np.cumsum(numbers < 0)))
+        hashed, covered = Hashed(numbers), []
+        for n, (seeds, at) in self.seeds.items():
+            if len(numbers) < n:
+                continue
+            places = np.flatnonzero(foreign[n:] == foreign[:-n])
+            hashes = np.unique(hashed.stretches(n)[places])
+            left, right = np.searchsorted(seeds, hashes, "left"), np.searchsorted(seeds, hashes, "right")
+            count = right - left
+            # left[0], left[0] + 1, ..., right[0] - 1, left[1], ...
+            hits = np.arange(count.sum()) + np.repeat(left - np.cumsum(count) + count, count)
+            covered += [at[hits] + k for k in range(n)]
+        words = np.unique(np.concatenate(covered)) if covered else np.empty(0, "i8")
+        items, known = np.unique(self.owner[words], return_counts=True)
+        return items[known / self.lengths[items] >= coverage]
 
     def leaks(self, text: str, coverage: float) -> list[tuple[int, float, int, int]]:
         """(item_id, share of its words that tiles cover, tiles, longest tile)."""
         get = self.vocabulary.get
         numbers = np.array([get(w, -1) for w in words_of(text)], "i8")
-        if len(numbers) < SEED or not len(self.seeds):
-            return []
-        # words that no item has are all one number: seeds hold none of them
-        foreign = np.concatenate(([0], np.cumsum(numbers < 0)))
-        places = np.flatnonzero(foreign[SEED:] == foreign[:-SEED])
-        if not len(places):
+        candidates = self.candidates(numbers, coverage).tolist()
+        if not candidates:
             return []
-        hashes = np.unique(Hashed(numbers).stretches(SEED)[places])
-        left = np.searchsorted(self.seeds, hashes, "left")
-        right = np.searchsorted(self.seeds, hashes, "right")
-        candidates = sorted({int(o) for lo, hi in zip(left, right, strict=True) for o in self.owners[lo:hi]})
         # foreign words never match: each is its own number
         text_numbers = np.where(numbers < 0, -1 - np.arange(len(numbers)), numbers)
         out = []
         for k in candidates:
             item_id, item = self.items[k]
-            found = tiles(item, text_numbers)
+            found = tiles(item, text_numbers, min(len(item), SHORTEST_TILE))
             covered = sum(n for n, _, _ in found) / len(item)
-            if covered >= coverage:
+            if found and covered >= coverage:
                 out.append((item_id, covered, len(found), max(n for n, _, _ in found)))
         return out
 

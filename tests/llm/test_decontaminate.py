@@ -78,6 +78,47 @@ def test_reordered_passages(spark, text, leaks):
     assert dc.drop_contaminated(docs, benchmark).count() == (0 if leaks else 1)
 
 
+@pytest.mark.parametrize(("text", "leaks"), [
+    # every fifth word replaced: four-word tiles, coverage exactly 0.8
+    ("the quick brown fox x over the lazy dog x nine more animals watch x", [(6, 0.8)]),
+    # in pieces of four and three words
+    ("animals watch from afar x while nine more x jumps over the lazy dog x the quick brown fox x", [(9, 1.0), (6, 1.0)]),
+    ("lazy dog while x fox jumps over the x nine more animals watch x the quick brown", [(9, 0.875), (6, 0.933333)]),
+    ("lazy dog while x fox jumps over the x nine more animals x the quick brown", [(9, 0.8125), (6, 0.866667)]),
+    # two-word pieces are no tiles
+    ("watch from x more animals x while nine x lazy dog x over the x fox jumps x quick brown", []),
+    ("it is too short for that", [(8, 1.0)]), ("too x short", []), ("short too", []),
+    ("one: WORD", [(5, 1.0)]), ("three words here", [(4, 1.0)]), ("three words x here", []),
+    ("x four words in a row", [(3, 1.0)]), ("four words in a", []),
+])
+def test_short_seeds_and_items(text, leaks):
+    items = [(9, ITEM), (8, "too short"), (7, None), (6, " ".join(ITEM.split()[:15])), (5, "word"), (4, "three words here"), (3, "words in a row")]
+    found = dc.Benchmark([(i, t or "") for i, t in items]).leaks(text, 0.8)
+    assert sorted((i, round(c, 6)) for i, c, _, _ in found) == sorted(leaks)
+
+
+def test_search_is_exact():
+    """Against tiling every pair, with no condition on seeds."""
+    rng = random.Random(4)
+    items = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 16)))) for k in range(60)]
+    benchmark, found = dc.Benchmark(items), 0
+    for _ in range(60):
+        text = " ".join(rng.choice("abcdefghx") for _ in range(rng.randint(0, 30)))
+        pieces = rng.choice(items)[1].split()
+        cut = rng.randint(0, len(pieces))
+        text = " ".join([text, *pieces[cut:], "x", *pieces[:cut]])
+        want = []
+        for k, item in items:
+            own = item.split()
+            covered = brute_tiles(own, text.split(), min(len(own), 3)) / len(own) if own else 0
+            if covered >= 0.8:
+                want.append((k, round(covered, 6)))
+        got = [(k, round(c, 6)) for k, c, _, _ in benchmark.leaks(text, 0.8)]
+        assert got == want
+        found += len(got)
+    assert found > 60
+
+
 def test_large_benchmark_in_groups(spark, monkeypatch):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = sorted(map(tuple, dc.find_leaks(all_docs(spark), benchmark).collect()))
