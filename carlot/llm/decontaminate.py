@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carlot.llm.common import arrow_map, id_and_text, record_batch
+from carlot.session import ship_package
 
 SHORTEST_TILE = 3
 COVERAGE = 0.8
@@ -201,6 +202,11 @@ def item_groups(benchmark: DataFrame, limit: int = BENCHMARK_BYTES) -> list[Data
     return [items.where(part == g) for g in range(groups)]
 
 
+def shared_items(group: DataFrame):
+    """A group's items on all workers: at most ``BENCHMARK_BYTES`` of text."""
+    return group.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in group.collect()])
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, coverage, n_tiles, longest_tile) of all leaking pairs."""
     texts = id_and_text(docs)
@@ -208,9 +214,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     fields = [("doc_id", id_kind), ("item_id", "bigint"), ("coverage", "double"), ("n_tiles", "bigint"), ("longest_tile", "bigint")]
     parts = []
     for group in item_groups(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in group.collect()])  # at most BENCHMARK_BYTES
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared_items(group)) -> Iterator[pa.RecordBatch]:
             items = Benchmark(shared.value)
             for batch in batches:
                 rows, found = [], []
@@ -230,7 +235,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs`` (all columns) into which no item leaks. Rows that repeat a doc_id share
-    its fate; rows with a NULL doc_id can't be told apart and stay."""
-    leaking = find_leaks(docs, benchmark, coverage).where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` (all columns) into which no item leaks. Each row is judged by its own text
+    where it lies, so ids that are NULL or repeated make no difference."""
+    out, place = docs, [c.lower() for c in docs.columns].index("text")
+    for group in item_groups(benchmark):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared_items(group)) -> Iterator[pa.RecordBatch]:
+            items = Benchmark(shared.value)
+            for batch in batches:
+                texts = batch.column(place).cast(pa.string())
+                yield batch.filter(pa.array([not items.leaks(text.as_py() or "", coverage) for text in texts], pa.bool_()))
+
+        ship_package(docs.sparkSession)
+        out = out.mapInArrow(run, docs.schema)
+    return out

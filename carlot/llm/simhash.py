@@ -179,8 +179,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose doc_id is the least of its component. Rows that
-    repeat a doc_id share its fate; rows with a NULL doc_id cannot be told apart and stay."""
-    found = near_duplicates(docs, shingle, max_bits)
-    out = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti").select(*docs.columns)
+    """One row (all columns) of each component: that of the least doc_id, NULL being greater than any.
+    Rows are told apart by a key that is written with them, so of rows that repeat an id, or have
+    none, exactly one stays too."""
+    key = "row_key"
+    while key in [c.lower() for c in docs.columns]:
+        key += "_"
+    keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "simhash-keyed")
+    # in the order of their fields
+    ids = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
+    found = near_duplicates(keyed.select(ids.alias("doc_id"), "text"), shingle, max_bits)
+    out = found.where("doc_id.key <> component_id.key").select(F.col("doc_id.key").alias(key))
+    return keyed.join(out, key, "left_anti").select(*docs.columns)

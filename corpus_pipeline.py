@@ -3,7 +3,7 @@ group of near-duplicates stays, documents with benchmark passages go, and what i
 
 Every stage works on all that the one before has kept. Stages return the columns of
 ``documents`` (``n_chars`` follows the text), the last one token counts and digests. Rows with a
-NULL doc_id are scored, cut and encoded like others; stages that drop by id keep them.
+NULL doc_id are scored, cut, compared and encoded like others.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7. The least doc_id of each component of 4-word SimHashes within 4 bits stays."""
+    """Operator 7. One row of each component of 4-word SimHashes within 4 bits stays, that of the least doc_id."""
     return simhash.keep_one(docs, shingle=4, max_bits=4)
 
 

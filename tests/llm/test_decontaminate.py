@@ -119,6 +119,18 @@ def test_search_is_exact():
     assert found > 60
 
 
+def test_rows_are_dropped_by_their_own_text(spark, monkeypatch):
+    """Repeated and NULL ids: a leaking row goes, its namesake stays."""
+    docs = edge_docs(spark, [(1, f"x {ITEM}"), (1, "clean"), (None, ITEM), (None, "clean too"), (None, None), (2, "watch this word")])
+    benchmark = spark.createDataFrame([(9, ITEM), (8, "this word")], "item_id bigint, text string")
+    want = [(1, "clean"), (None, None), (None, "clean too")]
+    for limit in (dc.BENCHMARK_BYTES, 10):
+        monkeypatch.setattr(dc.item_groups, "__defaults__", (limit,))
+        out = dc.drop_contaminated(docs, benchmark)
+        assert out.schema == docs.schema
+        assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_large_benchmark_in_groups(spark, monkeypatch):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = sorted(map(tuple, dc.find_leaks(all_docs(spark), benchmark).collect()))

@@ -95,3 +95,17 @@ def test_keep_one(spark):
     assert out.columns == docs.columns
     ids = [r["doc_id"] for r in out.select("doc_id").collect()]
     assert 10 in ids and 11 not in ids and ids.count(None) == 2
+
+
+def test_keep_one_row_of_each_component(spark):
+    """Rows that repeat an id or have none: exactly one of each group of copies stays, and a text of
+    its own stays whatever its namesake does."""
+    copy, other = "one two three four five six seven eight nine ten", "another text that has no copy but shares an id"
+    nameless = "only rows without an id hold this text of ten words"
+    rows = [(1, copy), (2, copy), (2, other), (3, copy), (3, copy), (None, copy), (None, nameless), (None, nameless), (None, nameless),
+            (5, "five stands twice and both rows are alike"), (5, "five stands twice and both rows are alike")]
+    docs = edge_docs(spark, rows)
+    out = simhash.keep_one(docs)
+    assert out.dtypes == docs.dtypes
+    want = [(1, copy), (2, other), (None, nameless), rows[-1]]
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted(want, key=repr)
