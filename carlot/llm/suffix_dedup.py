@@ -15,7 +15,10 @@ as one *run*:
    repeated as a whole, and done;
 3. the rest are runs at the edges of copies: the first holders of each distinct content under a
    digit that several contents share. Their windows are sorted byte by byte (eight bytes a pass),
-   dropping groups of a single document after each pass, down to ``depth``.
+   dropping groups of a single document after each pass, down to ``depth``. Under a digit with more
+   than ``SPLIT_RUNS`` distinct contents (a line that many documents hold in different
+   surroundings) windows are dealt by the hash of all their bytes instead: equal windows meet,
+   one entry a batch, and no task holds the whole digit.
 
 Scale: texts are kept as compressed batches in the shared folder, and pass 1 and 2 shuffle
 14 packed bytes a run and batch (equal runs of a batch count once, so a passage that a third of all
@@ -48,6 +51,7 @@ BATCH_BYTES = 4 << 20
 BATCH_DOCS = 60_000
 BLOCK_BYTES = 1 << 18
 SHARD_BYTES = 8 << 20
+SPLIT_RUNS = 4096  # distinct contents under a digit, above which its windows are dealt one by one
 NO_ID = -(1 << 63)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -168,7 +172,7 @@ ENTRY_FIELDS = [("shard", "int"), ("batch", "bigint"), ("docs", "binary"), ("ent
 VERDICT_FIELDS = [("batch", "bigint"), ("shard", "int"), ("verdicts", "binary")]
 EDGE_FIELDS = [("shard", "int"), ("batch", "bigint"), ("docs", "binary"), ("entries", "binary"), ("windows", "binary"), ("contents", "binary")]
 
-DONE, REPEATED, EDGE = 0, 1, 2
+DONE, REPEATED, EDGE, SPLIT = 0, 1, 2, 3
 
 
 def text_batches(docs: DataFrame) -> DataFrame:
@@ -216,8 +220,7 @@ def run_entries(batches: DataFrame, depth: int, shards: int) -> DataFrame:
                     at = slice(b.edges[s], b.edges[s + 1])
                     if at.start < at.stop:
                         docs, places = packed_docs(b.ids, b.row[at])
-                        entries = (b.digit[at].view("u1").reshape(-1, 8)[:, :5].tobytes() + b.content[at].tobytes()
-                                   + places.astype("<u2").tobytes())
+                        entries = packed_entries(b.digit[at], b.content[at], places)
                         yield record_batch([[s], [batch.column("batch")[i].as_py()], [docs], [entries]], ENTRY_FIELDS)
 
     return arrow_map(batches, run, ENTRY_FIELDS)
@@ -230,7 +233,7 @@ def group_edges(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def judge_entries(table: pa.Table) -> pa.Table:
+def judge_entries(table: pa.Table, split_runs: int) -> pa.Table:
     """Pass 1 and 2, one shard: a verdict for each entry, in the order of its batch."""
     digits, contents, docs, sizes = [], [], [], []
     for packed, data in zip(table.column("docs").to_pylist(), table.column("entries").to_pylist(), strict=True):
@@ -249,9 +252,10 @@ def judge_entries(table: pa.Table) -> pa.Table:
     content_no = np.cumsum(by_content) - 1
     first = np.flatnonzero(by_digit[by_content])  # first content of each digit
     several = np.minimum.reduceat(holder, first) != np.maximum.reduceat(holder, first)
-    edge = np.repeat(several, np.diff(np.append(first, len(holder))))
+    contents_of = np.diff(np.append(first, len(holder)))
+    edge = np.repeat(np.where(several, np.where(contents_of > split_runs, SPLIT, EDGE), DONE), contents_of)
     verdict = np.empty(len(doc), "u1")
-    verdict[order] = np.where(sorted_doc > holder[content_no], REPEATED, np.where(edge[content_no], EDGE, DONE))
+    verdict[order] = np.where(sorted_doc > holder[content_no], REPEATED, edge[content_no])
     pack = zstandard.ZstdCompressor(level=1)
     return pa.table([table.column("batch"), table.column("shard"),
                      pa.array([pack.compress(v.tobytes()) for v in np.split(verdict, np.cumsum(sizes)[:-1])], pa.binary())],
@@ -263,23 +267,57 @@ def with_verdicts(batches: DataFrame, verdicts: DataFrame, name: str) -> DataFra
     return batches.join(by_batch, "batch", "left")
 
 
-def gathered(batch: pa.RecordBatch, name: str, row: int, kind: str) -> dict[int, np.ndarray]:
+def gathered(batch: pa.RecordBatch, name: str, row: int, kind: str, shards: range | None = None) -> dict[int, np.ndarray]:
     return {v["shard"]: np.frombuffer(zstandard.ZstdDecompressor().decompress(v["verdicts"]), kind)
-            for v in batch.column(name)[row].as_py() or []}
+            for v in batch.column(name)[row].as_py() or [] if shards is None or v["shard"] in shards}
 
 
-def entry_verdicts(b: Batch, found: dict[int, np.ndarray]) -> np.ndarray:
+def entry_verdicts(found: dict[int, np.ndarray]) -> np.ndarray:
     return np.concatenate([found[s] for s in sorted(found)]) if found else np.empty(0, "u1")
 
 
+class SplitWindows:
+    """Windows of a batch's runs under split digits, and their entries: distinct (digit, hash of all
+    bytes) with the least id, by shard of that hash."""
+
+    def __init__(self, b: Batch, verdict: np.ndarray, shards: int):
+        at = np.flatnonzero(verdict == SPLIT)
+        start, windows = b.runs.start[b.first[at]], b.runs.windows[b.first[at]]
+        self.run = np.repeat(at, windows)  # entry of the batch that each window belongs to
+        self.nth = np.arange(len(self.run)) - np.repeat(np.cumsum(windows) - windows, windows)
+        places, up = np.repeat(start, windows) + self.nth, powers("up", b.depth)
+        hashes = np.empty(len(places), "u8")
+        for lo in range(0, len(places), 1 << 14):  # in blocks, to bound memory
+            own = b.data[places[lo:lo + (1 << 14), None] + np.arange(b.depth)]
+            hashes[lo:lo + (1 << 14)] = mix((_BYTE[own] * up).sum(1, dtype="u8"))
+        digit, self.doc, shard = b.digit[self.run], b.doc[self.run], (hashes % np.uint64(shards)).astype("i4")
+        order = np.lexsort((self.doc, hashes, digit, shard))
+        new = group_edges(digit[order], hashes[order])
+        first = order[new]
+        self.entry = np.empty(len(order), "i8")
+        self.entry[order] = np.cumsum(new) - 1
+        self.digit, self.hashes, self.least, self.row = digit[first], hashes[first], self.doc[first], b.row[self.run[first]]
+        self.edges = np.searchsorted(shard[first], np.arange(shards + 1))
+
+    def repeated(self, verdict: np.ndarray) -> np.ndarray:
+        """Windows that a document with a smaller id holds too, by the verdicts on the entries."""
+        return (verdict[self.entry] == REPEATED) | (self.doc > self.least[self.entry])
+
+
+def packed_entries(digit: np.ndarray, content: np.ndarray, places: np.ndarray) -> bytes:
+    return digit.view("u1").reshape(-1, 8)[:, :5].tobytes() + content.tobytes() + places.astype("<u2").tobytes()
+
+
 def edge_entries(judged: DataFrame, depth: int, shards: int) -> DataFrame:
-    """Pass 3, sending side: content of the runs whose windows must be sorted one by one."""
+    """Pass 3, sending side: content of the runs whose windows must be sorted one by one, and the
+    window entries of split digits, whose shards are numbered behind the others."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for i in range(batch.num_rows):
                 b = loaded(batch, i, depth, shards)
-                edge = np.flatnonzero(entry_verdicts(b, gathered(batch, "judged", i, "u1")) == EDGE)
+                verdict = entry_verdicts(gathered(batch, "judged", i, "u1"))
+                edge = np.flatnonzero(verdict == EDGE)
                 for s in range(shards):
                     at = edge[np.searchsorted(edge, b.edges[s]):np.searchsorted(edge, b.edges[s + 1])]
                     if len(at):
@@ -289,6 +327,14 @@ def edge_entries(judged: DataFrame, depth: int, shards: int) -> DataFrame:
                         entries = b.digit[at].tobytes() + places.astype("<u2").tobytes()
                         yield record_batch([[s], [batch.column("batch")[i].as_py()], [docs], [entries],
                                             [windows.astype("u1").tobytes()], [contents]], EDGE_FIELDS)
+                if (verdict == SPLIT).any():
+                    w = SplitWindows(b, verdict, shards)
+                    for s in range(shards):
+                        at = slice(w.edges[s], w.edges[s + 1])
+                        if at.start < at.stop:
+                            docs, places = packed_docs(b.ids, w.row[at])
+                            yield record_batch([[shards + s], [batch.column("batch")[i].as_py()], [docs],
+                                                [packed_entries(w.digit[at], w.hashes[at], places)], [b""], [b""]], EDGE_FIELDS)
 
     return arrow_map(judged, run, EDGE_FIELDS)
 
@@ -329,9 +375,12 @@ def radix_groups(data: np.ndarray, at: np.ndarray, group: np.ndarray, doc: np.nd
     return alive[doc[alive] > least]
 
 
-def judge_edges(depth: int):
+def judge_edges(depth: int, shards: int):
     def judge(table: pa.Table) -> pa.Table:
-        """Pass 3, one shard: for each entry the mask of its windows that are repeated."""
+        """Pass 3, one shard: for each entry the mask of its windows that are repeated; for window
+        entries a verdict as in pass 2, of which REPEATED alone counts."""
+        if table.column("shard")[0].as_py() >= shards:
+            return judge_entries(table, SPLIT_RUNS)
         digits, docs, sizes = [], [], []
         for packed, data in zip(table.column("docs").to_pylist(), table.column("entries").to_pylist(), strict=True):
             n = len(data) // 10
@@ -363,19 +412,25 @@ def remove_repeats(docs: DataFrame, depth: int = 50) -> DataFrame:
     size = batches.agg(F.sum("bytes")).first()[0] or 0
     shards = max(12, -(-size // SHARD_BYTES))
     schema = ddl(VERDICT_FIELDS)
-    judged = written(run_entries(batches, depth, shards).groupBy("shard").applyInArrow(judge_entries, schema), "suffix-verdicts")
+    split_runs = SPLIT_RUNS
+    judged = written(run_entries(batches, depth, shards).groupBy("shard")
+                     .applyInArrow(lambda table: judge_entries(table, split_runs), schema), "suffix-verdicts")
     masks = written(edge_entries(with_verdicts(batches, judged, "judged"), depth, shards)
-                    .groupBy("shard").applyInArrow(judge_edges(depth), schema), "suffix-masks")
+                    .groupBy("shard").applyInArrow(judge_edges(depth, shards), schema), "suffix-masks")
     fields = [("doc_id", "bigint"), ("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept", "binary")]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for i in range(batch.num_rows):
                 b = loaded(batch, i, depth, shards)
-                verdict = entry_verdicts(b, gathered(batch, "judged", i, "u1"))
+                verdict = entry_verdicts(gathered(batch, "judged", i, "u1"))
                 mask = np.zeros(len(verdict), "u4")
-                of_shard = gathered(batch, "masks", i, "<u4")
+                of_shard = gathered(batch, "masks", i, "<u4", range(shards))
                 mask[verdict == EDGE] = np.concatenate([of_shard[s] for s in sorted(of_shard)]) if of_shard else 0
+                if (verdict == SPLIT).any():
+                    w = SplitWindows(b, verdict, shards)
+                    hit = w.repeated(entry_verdicts(gathered(batch, "masks", i, "u1", range(shards, 2 * shards))))
+                    np.bitwise_or.at(mask, w.run[hit], np.uint32(1) << w.nth[hit].astype("u4"))
                 runs = b.runs
                 repeated = (verdict[b.entry] == REPEATED) | ~b.holder
                 change = np.zeros(len(b.data) + 1, "i4")

@@ -52,6 +52,30 @@ def test_overlapping_and_periodic_passages(spark, monkeypatch):
     assert rows_of(sd.removal_digests(docs)) == expected(rows)
 
 
+def test_hot_digits_are_split(spark, monkeypatch):
+    """A line that many documents hold in different surroundings: same result, and no shard of pass 3
+    has all its runs."""
+    monkeypatch.setattr(sd, "BATCH_BYTES", 2000)
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    line = "a line of more than fifty bytes that a lot of documents hold in other surroundings"
+    rows = [(rng.choice([i, i, 7, None]), f"{word(rng.randint(0, 60))}{line[rng.choice([0, 0, 3]):]}{word(rng.randint(0, 60))}") for i in range(150)]
+    docs = edge_docs(spark, rows).repartition(3)
+    seen, edge_entries = [], sd.edge_entries
+
+    def watched(*args):
+        out = edge_entries(*args)
+        seen.append({r["shard"]: r["n"] for r in out.selectExpr("shard", "length(windows) n").groupBy("shard").sum("n").toDF("shard", "n").collect()})
+        return out
+
+    monkeypatch.setattr(sd, "edge_entries", watched)
+    want = expected(rows)
+    assert rows_of(sd.removal_digests(docs)) == want
+    monkeypatch.setattr(sd, "SPLIT_RUNS", 8)
+    assert rows_of(sd.removal_digests(docs)) == want
+    assert max(seen[0].values()) > 60 and max(seen[1].values()) <= 24 and len([s for s in seen[1] if s >= 12]) > 6
+
+
 def test_other_depth(spark):
     docs = edge_docs(spark)
     assert rows_of(sd.removal_digests(docs, 21)) == expected(inputs(docs), 21)
