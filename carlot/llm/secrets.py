@@ -35,7 +35,7 @@ FIELDS = [("n_assign", "bigint"), ("n_access", "bigint"), ("n_hex", "bigint"), (
 
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
-#: How far behind the keyword "wif" its value may begin.
+#: How far behind a keyword of the rule "wif", or behind the key before it in a list, a key may begin.
 NEAR = 40
 
 
@@ -71,7 +71,7 @@ def json_web_token(secret: str) -> bool:
 @dataclass(frozen=True)
 class Rule:
     """``pattern`` is tried where a keyword begins, or anywhere within ``near`` characters behind
-    it; ``accept`` decides on a match. Matches that it drops still take their place."""
+    it and then behind each match; ``accept`` decides on a match. Matches that it drops still take their place."""
     kind: str
     keywords: tuple[str, ...]
     pattern: re.Pattern
@@ -87,7 +87,8 @@ RULES = (
     Rule("access", ("akia",), re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
     Rule("github", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: crc_base62(m[0])),
     Rule("npm", ("npm_",), re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: crc_base62(m[0])),
-    Rule("wif", ("wif",), re.compile(r"(?<![A-Za-z0-9])[5KL][1-9A-HJ-NP-Za-km-z]{50,51}(?![A-Za-z0-9])"), lambda m: base58_check(m[0]), NEAR),
+    Rule("wif", ("wif", "private key", "private_key", "private-key", "privatekey", "privkey", "wallet"),
+         re.compile(r"(?<![A-Za-z0-9])[5KL][1-9A-HJ-NP-Za-km-z]{50,51}(?![A-Za-z0-9])"), lambda m: base58_check(m[0]), NEAR),
     Rule("jwt", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), lambda m: json_web_token(m[0])),
 )
 HEX = re.compile(r"[0-9a-f]{16,}")
@@ -129,10 +130,11 @@ class Scanner:
                     m = rule.pattern.search(text, start, start + rule.near + 64)
                 else:
                     m = rule.pattern.match(text, start) if start >= free else None
-                if m and m.start() >= free:
+                while m:
                     free = m.end()
                     if rule.accept(m):
                         found.append((m.start(), m.end(), rule.kind))
+                    m = rule.pattern.search(text, free, free + rule.near + 64) if rule.near else None
         return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 

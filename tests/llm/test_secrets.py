@@ -80,3 +80,24 @@ def test_found_rows(spark):
     assert {r["kind"] for r in found} == {"assign", "access", "hex"}
     text = dict(inputs(edge_docs(spark)))[9]
     assert all(text[r["start"]:r["end"]] == r["secret"] for r in found)
+
+
+def wallet_key(n):
+    data = bytes([0x80]) + bytes([n]) * 32 + b"\x01"
+    data += hashlib.sha256(hashlib.sha256(data).digest()).digest()[:4]
+    value, key = int.from_bytes(data, "big"), ""
+    while value:
+        value, digit = divmod(value, 58)
+        key = s.BASE58[digit] + key
+    return key
+
+
+def test_wallet_keywords_and_lists_of_keys():
+    keys = [wallet_key(n) for n in range(1, 6)]
+    scan = s.Scanner().scan
+    found = lambda text: [text[a:b] for a, b, kind in scan(text) if kind == "wif"]
+    for heading in ("WIF:", "private key:", "Private_Key =", "privkey", "wallet import", "PRIVATEKEY"):
+        assert found(f"{heading} {keys[0]} and so on") == keys[:1], heading
+    assert found("WIF\n" + "\n".join(f"{n}. {k}" for n, k in enumerate(keys))) == keys
+    assert found(f"wif {keys[0][:-1]}1 {keys[1]}") == keys[1:2]  # behind one with a wrong checksum
+    assert found(f"wif {keys[0]} {'x ' * 60} {keys[1]}") == keys[:1]
