@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.llm import bpe, decontaminate, licenses, line_dedup, secrets, simhash, sketch, suffix_dedup, token_files, toxicity
+from carlot.llm import bpe, decontaminate, licenses, line_dedup, packing, secrets, simhash, sketch, suffix_dedup, token_files, toxicity
 from carlot.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 
+WORD_VOCABULARY = "word_bpe_49k.json"
+WORD_END_ID = 0
+SEQUENCE_TOKENS = 2048
+
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -55,6 +59,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_ID)
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY), WORD_END_ID, SEQUENCE_TOKENS)
+
+
 LINE_DEDUP_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
@@ -162,4 +170,5 @@ QUERIES = {
     "op8_line_dedup": (op8_line_dedup, LINE_DEDUP_SQL),
     "op9_secrets": (op9_secrets, SECRETS_SQL),
     "op10_token_files": (op10_token_files, None),
+    "op13_best_fit_packing": (op13_best_fit_packing, None),
 }
