@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.llm import bpe, decontaminate, licenses, line_dedup, packing, secrets, simhash, sketch, suffix_dedup, token_files, toxicity
+from carlot.llm import bpe, decontaminate, hard_negatives, licenses, line_dedup, packing, secrets, simhash, sketch, suffix_dedup, token_files, toxicity
 from carlot.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -59,6 +59,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_ID)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), every=100, positives=5, negatives=10, shares=(30, 90),
+                               scale=256, relabel=(7, 10))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY), WORD_END_ID, SEQUENCE_TOKENS)
 
@@ -159,6 +164,27 @@ SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(k.remov
 FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.label <> p.anchor_label
+  WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT * FROM n WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_bpe": (op2_bpe, None),
@@ -170,5 +196,6 @@ QUERIES = {
     "op8_line_dedup": (op8_line_dedup, LINE_DEDUP_SQL),
     "op9_secrets": (op9_secrets, SECRETS_SQL),
     "op10_token_files": (op10_token_files, None),
+    "op12_hard_negatives": (op12_hard_negatives, HARD_NEGATIVES_SQL),
     "op13_best_fit_packing": (op13_best_fit_packing, None),
 }
