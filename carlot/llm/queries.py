@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.llm import bpe, decontaminate, hard_negatives, licenses, line_dedup, packing, secrets, simhash, sketch, suffix_dedup, token_files, toxicity
+from carlot.llm import alignment, bpe, decontaminate, hard_negatives, licenses, line_dedup, packing, secrets, simhash, sketch, suffix_dedup, token_files, toxicity
 from carlot.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
 WORD_VOCABULARY = "word_bpe_49k.json"
 WORD_END_ID = 0
 SEQUENCE_TOKENS = 2048
@@ -59,6 +61,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_ID)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_corpus(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECE_MODEL))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), every=100, positives=5, negatives=10, shares=(30, 90),
                                scale=256, relabel=(7, 10))
@@ -196,6 +202,7 @@ QUERIES = {
     "op8_line_dedup": (op8_line_dedup, LINE_DEDUP_SQL),
     "op9_secrets": (op9_secrets, SECRETS_SQL),
     "op10_token_files": (op10_token_files, None),
+    "op11_alignment": (op11_alignment, None),
     "op12_hard_negatives": (op12_hard_negatives, HARD_NEGATIVES_SQL),
     "op13_best_fit_packing": (op13_best_fit_packing, None),
 }
