@@ -23,10 +23,13 @@ other than ``doc_id`` and ``text`` are ignored, whatever their names.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carlot.llm.bpe import Bounded, read_spec
+from carlot.llm.bpe import byte_characters, read_spec
 from carlot.llm.common import TEXTS_AT_ONCE, arrow_map, id_and_text, record_batch, written
 
 #: Nodes that the search for a better packing visits, and fillings that it tries at each.
 NODES, BREADTH = 4_000, 24
-#: Words longer than this are encoded anew each time.
+#: Longer words leave the cache with the texts that they came with.
 CACHED_CHARS = 64
 
 Counts = dict[int, int]
@@ -48,20 +51,74 @@ Filling = tuple[int, ...]
 
 # --- tokens ----------------------------------------------------------------------------
 
-class Words(Bounded):
-    """Word -> ids. The vocabulary drops white space, and no token reaches over it, so a text's
-    ids are those of what stands between its spaces and line breaks."""
+#: Letters whose normal form and lower case are one letter each, in any context.
+LATIN = "".join(c for c in map(chr, range(0xC0, 0x250))
+                if c.isalpha() and len(c.lower()) == 1 and unicodedata.normalize("NFC", c.lower()) == c.lower())
+#: Words of these and of printable signs are cut here; the library takes the others whole.
+CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN.lower()}]+|[0-9]|[^a-z0-9{LATIN.lower()}]+")
 
-    def __init__(self, spec: str, limit: int = 300_000):
-        from tokenizers import Tokenizer
-        encode = Tokenizer.from_str(spec).encode
-        super().__init__(lambda word: array("I", encode(word, add_special_tokens=False).ids).tobytes(), limit)
 
-    def __missing__(self, word: str) -> bytes:
-        return self.make(word) if len(word) > CACHED_CHARS else super().__missing__(word)
+class Words:
+    """Ids of whole texts, word by word. The vocabulary drops white space, and no token reaches over
+    it, so a text's ids are those of what stands between its spaces and line breaks. New words are
+    cut into parts (letters, a digit, other signs), which go to the library's model. Words that its normaliser could change other than by lower case,
+    and special tokens, go to the whole library."""
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def __init__(self, spec: str, limit: int = 400_000):
+        from tokenizers import Tokenizer
+        self.library = Tokenizer.from_str(spec)
+        self.model = self.library.model.tokenize
+        special = "|".join(re.escape(t["content"]) for t in json.loads(spec)["added_tokens"])
+        self.other = re.compile(f"[^ ]*(?:[^ !-~{LATIN}]{'|' * bool(special)}{special})[^ ]*")
+        of_byte = byte_characters()
+        self.shown = str.maketrans({c: "".join(of_byte[b] for b in c.encode()) for c in LATIN.lower()})
+        #: Word -> ids, and ids of the parts of words with more than one. A full cache starts anew, but
+        #: words that are met again come back from the one before.
+        self.limit, self.words, self.before, self.parts = limit, {"": b""}, {}, {}
+
+    def _learn(self, new: set[str]) -> None:
+        words = list(new)
+        for word in set(self.other.findall(" ".join(words))):
+            self.words[word] = array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+            new.remove(word)
+        words = list(new)
+        if len(self.parts) > self.limit:
+            self.parts.clear()
+        model, parts, shown, known = self.model, self.parts, self.shown, self.words
+        for word, lower in zip(words, " ".join(words).lower().split(" ") if words else ()):
+            ids = []
+            for part in CUT.findall(lower):
+                if (of_part := parts.get(part)) is None:
+                    of_part = [t.id for t in model(part if part.isascii() else part.translate(shown))]
+                    if part != lower:
+                        parts[part] = of_part
+                ids += of_part
+            known[word] = array("I", ids).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.words) > self.limit:
+            self.words, self.before = {"": b""}, self.words
+        cuts = [text.replace("\n", " ").split(" ") for text in texts]
+        new = set(chain.from_iterable(cuts)).difference(self.words)
+        long = [word for word in new if len(word) > CACHED_CHARS]
+        self.words.update((word, self.before[word]) for word in new & self.before.keys())
+        self._learn(new - self.before.keys())
+        ids = self.words.__getitem__
+        out = [b"".join(map(ids, words)) for words in cuts]
+        for word in long:
+            del self.words[word]
+        return out
+
+
+_WORDS: dict[tuple, Words] = {}
+
+
+def words_of(spec: str) -> Words:
+    """One a worker process, with its cache."""
+    key = len(spec), hash(spec)
+    if key not in _WORDS:
+        _WORDS[key] = Words(spec)
+    return _WORDS[key]
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
@@ -75,13 +132,13 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> D
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, seen = Words(spec.value), TaskContext.get().partitionId(), [0] * (capacity + 1)
+        words, part, seen = words_of(spec.value), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for whole in batches:
             for lo in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 rows = whole.slice(lo, TEXTS_AT_ONCE)
                 of, piece, start, length, crc, nth = [], [], [], [], [], []
-                for row, text in enumerate(rows.column(1)):
-                    ids = memoryview(words.encode(text.as_py()) + end)
+                for row, ids in enumerate(words.encode(rows.column(1).to_pylist())):
+                    ids = memoryview(ids + end)
                     for k, a in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[a:a + 4 * capacity]
                         n = len(cut) // 4
@@ -208,6 +265,37 @@ def fillings(counts: Counts, room: int, most: int) -> Iterator[Filling]:
         total = (reach[-1] & ((1 << total) - 1)).bit_length() - 1
 
 
+class Node:
+    """Where the search stands at one depth: a filling of the largest length left, and how many copies
+    of it are next. Fillings are enumerated anew on the way back, so that a node stays small."""
+
+    def __init__(self, largest: int, banned: frozenset = frozenset()):
+        self.largest, self.banned, self.seen, self.step, self.cut = largest, banned, 0, None, False
+
+    def advance(self, left: Counts, capacity: int, breadth: int, spare_waste: int) -> tuple[Filling, int] | None:
+        """The next (filling, copies), most copies first; None behind the last. ``spare_waste``: what
+        may still be wasted by a packing that beats the incumbent."""
+        if self.step and self.step[1] > 1:
+            self.step = self.step[0], self.step[1] - 1
+            return self.step
+        here = {x: n for x, n in left.items() if n}
+        beside = here | {self.largest: here[self.largest] - 1}
+        for found in islice(fillings(beside, capacity - self.largest, breadth), self.seen, None):
+            if found is None:
+                self.cut = True
+                return None
+            self.seen += 1
+            filling = (self.largest, *found)
+            if filling not in self.banned:
+                copies, waste = min(here[x] // filling.count(x) for x in set(filling)), capacity - sum(filling)
+                if waste:
+                    copies = min(copies, spare_waste // waste)
+                if copies > 0:
+                    self.step = filling, copies
+                    return self.step
+        return None
+
+
 def bin_completion(counts: Counts, capacity: int, nodes: int = NODES,
                    breadth: int = BREADTH) -> tuple[list[tuple[Filling, int]], bool]:
     """((filling, copies), ...) and whether no packing with fewer sequences exists."""
@@ -219,24 +307,6 @@ def bin_completion(counts: Counts, capacity: int, nodes: int = NODES,
     weight = sum(x * n for x, n in counts.items())
     left, plan, used, waste, visited, cut = dict(counts), [], 0, 0, 0, False
 
-    def options(largest: int, banned: frozenset) -> Iterator[tuple[Filling, int]]:
-        """(filling, copies) at the present node, most copies first."""
-        nonlocal cut
-        here = dict(left)
-        beside = here | {largest: here[largest] - 1}
-        for found in fillings(beside, capacity - largest, breadth):
-            if found is None:
-                cut = True
-                return
-            filling = (largest, *found)
-            if filling in banned:
-                continue
-            copies, spare = min(here[x] // filling.count(x) for x in set(filling)), capacity - sum(filling)
-            if spare:
-                copies = min(copies, ((fewest - 1) * capacity - weight - waste) // spare)
-            for n in range(copies, 0, -1):
-                yield filling, n
-
     def put(step: tuple[Filling, int], sign: int) -> None:
         nonlocal used, waste
         filling, n = step
@@ -245,16 +315,17 @@ def bin_completion(counts: Counts, capacity: int, nodes: int = NODES,
         used += sign * n
         waste += sign * n * (capacity - sum(filling))
 
-    # a frame is (options, fillings done with, largest); behind each but the last stands a step of the plan
-    largest = max(left)
-    stack = [(options(largest, frozenset()), frozenset(), largest)]
+    # behind each frame but the last stands a step of the plan
+    stack = [Node(max(left))]
     while stack:
-        choices, banned, largest = stack[-1]
+        node = stack[-1]
         if len(plan) == len(stack):
             put(plan.pop(), -1)  # back from below
-        step = next(choices, None) if visited < nodes and fewest > least else None
+        step = None
+        if visited < nodes and fewest > least:
+            step = node.advance(left, capacity, breadth, (fewest - 1) * capacity - weight - waste)
         if step is None:
-            cut |= visited >= nodes
+            cut |= node.cut or visited >= nodes
             stack.pop()
             continue
         visited += 1
@@ -267,8 +338,7 @@ def bin_completion(counts: Counts, capacity: int, nodes: int = NODES,
             continue
         plan.append(step)
         deeper = max(rest)
-        done = banned | {step[0]} if deeper == largest else frozenset()
-        stack.append((options(deeper, done), done, deeper))
+        stack.append(Node(deeper, node.banned | {step[0]} if deeper == node.largest else frozenset()))
     return best, fewest == least or not cut
 
 

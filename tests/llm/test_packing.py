@@ -145,10 +145,18 @@ def test_empty_table(spark):
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() == 0
 
 
-@pytest.mark.parametrize("text", [
-    "", " ", "It's we'll\tDON'T  \n\n x", "a<|endoftext|>b <|startoftext|>", " x y　z\u0085w", "é ́x İ ΑΣ ΣΑΣ",
-    "日本語テキスト 😀😀 ١٢٣ ²½", "x" * 500 + " " + "y" * 70, "\r\n\x0b\x0c\x1c\x1d\x1e\x1f᠎​﻿", "don’t ñ\ño"])
-def test_words_are_cut_as_the_library_does(text):
+TEXTS = [
+    "", " ", "It's we'll\tDON'T  \n\n x", "a<|endoftext|>b <|startoftext|>", " x y\u3000z\u0085w", "e\u0301 \u0301x \u0130 \u0391\u03a3 \u03a3\u0391\u03a3",
+    "日本語テキスト 😀😀 ١٢٣ ²½", "x" * 500 + " " + "y" * 70, "\r\n\x0b\x0c\x1c\x1d\x1e\x1f\u180e\u200b\ufeff", "don’t n\u0303\nn\u0303o",
+    "ÉÇÀ éÈ, œuvre's ÿŸ'S ǅ ŉ İı ſs ß ẞ ÄÖÜ&&& 12ab3. 'tis'll", "x\ty\rz a\x7fb a\x1fb",
+    'Émentvié&&& ouleou,%%% "q"--_[]{}~`', "".join(map(chr, range(0x21, 0x250))), " ".join(map(chr, range(0x21, 0x3000))),
+    "x".join(map(chr, range(0xC0, 0x250))), "Xé" * 90, "9" * 80 + "<|endoftext|" + "Ab" * 40]
+
+
+@pytest.mark.parametrize("limit", [300_000, 3])
+def test_words_are_cut_as_the_library_does(limit):
     from tokenizers import Tokenizer
-    ids = np.frombuffer(packing.Words(open(PATH, encoding="utf-8").read()).encode(text), "<u4").tolist()
-    assert ids == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    library, words = Tokenizer.from_file(PATH), packing.Words(open(PATH, encoding="utf-8").read(), limit)
+    for texts in (TEXTS, TEXTS[::-1], *([t] for t in TEXTS)):
+        for text, ids in zip(texts, words.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:80])
