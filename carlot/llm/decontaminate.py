@@ -2,7 +2,8 @@
 
 Texts and benchmark items are lower-cased word sequences, compared by greedy string tiling: search
 lengths go down, at each length Karp-Rabin hashes of all unmarked stretches of that length are looked
-up, matches are extended, and the longest ones are marked as tiles, which never overlap. An item
+up, matches are extended, and the longest match of unmarked words is marked as a tile, again and again,
+so tiles never overlap. An item
 leaks into a document if tiles cover at least ``coverage`` of its words, in whatever order they stand
 there; so reordered passages are caught.
 
@@ -15,8 +16,10 @@ Scale: the benchmark meets the documents as a broadcast of at most ``BENCHMARK_B
 larger benchmark is worked off in groups of items of that size, one pass over the documents each.
 Documents are read where they lie: no shuffle on either side, no pairs but those with common seeds.
 
-Edge cases: NULL and empty texts and items leak nothing; repeated items and rows are reported each; empty tables give
-an empty result; very long texts are hashed in one vectorised pass.
+Edge cases: NULL and empty texts and items leak nothing; repeated items and rows, and rows with NULL
+or repeated ids, are reported each; of equally long matches the first in the item, then in the text,
+is marked; empty tables give an empty result; very long texts are hashed and matched in vectorised
+passes; other columns are ignored (``drop_contaminated`` keeps them), whatever their names.
 """
 
 from __future__ import annotations
@@ -78,49 +81,75 @@ def unmarked(marked: np.ndarray, length: int) -> np.ndarray:
     return np.flatnonzero(sums[length:] == sums[:-length])
 
 
-def matches(a: Hashed, b: Hashed, marked_a: np.ndarray, marked_b: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """Maximal matches (words, place in a, place in b) of at least ``length`` unmarked words."""
+def equal_runs(a: np.ndarray, b: np.ndarray, n: int, i: int, j: int, length: int) -> list[tuple[int, int, int]]:
+    """The runs of at least ``length`` equal words in one stretch: all of it, unless hashes met by chance."""
+    equal = np.concatenate(([0], a[i:i + n] == b[j:j + n], [0]))
+    begin, end = np.flatnonzero(np.diff(equal) > 0), np.flatnonzero(np.diff(equal) < 0)
+    return [(y - x, i + x, j + x) for x, y in zip(begin.tolist(), end.tolist(), strict=True) if y - x >= length]
+
+
+def matches(a: Hashed, b: Hashed, marked_a: np.ndarray, marked_b: np.ndarray, length: int) -> np.ndarray:
+    """Maximal matches of at least ``length`` unmarked words: columns words, place in a, place in b."""
     at_a, at_b = unmarked(marked_a, length), unmarked(marked_b, length)
     hash_a, hash_b = a.stretches(length)[at_a], b.stretches(length)[at_b]
-    common = np.isin(hash_a, hash_b)
-    if not common.any():
-        return []
     order = np.argsort(hash_b, kind="stable")
     hash_b, at_b = hash_b[order], at_b[order]
-    out = []
-    for i, h in zip(at_a[common].tolist(), hash_a[common], strict=True):
-        for j in at_b[np.searchsorted(hash_b, h, "left"):np.searchsorted(hash_b, h, "right")].tolist():
-            if i and j and not marked_a[i - 1] and not marked_b[j - 1] and a.numbers[i - 1] == b.numbers[j - 1]:
-                continue  # part of the match that begins a word earlier
-            n = 0
-            while (i + n < len(marked_a) and j + n < len(marked_b) and not marked_a[i + n] and not marked_b[j + n]
-                   and a.numbers[i + n] == b.numbers[j + n]):
-                n += 1
-            if n >= length:  # else the hashes were equal by chance
-                out.append((n, i, j))
-    return out
+    left = np.searchsorted(hash_b, hash_a, "left")
+    count = np.searchsorted(hash_b, hash_a, "right") - left
+    if not count.any():
+        return np.empty((0, 3), "i8")
+    i = np.repeat(at_a, count)
+    j = at_b[np.arange(count.sum()) + np.repeat(left - np.cumsum(count) + count, count)]
+    # pairs of equal stretches that follow each other on a diagonal are one match
+    order = np.lexsort((i, j - i))
+    i, j = i[order], j[order]
+    first = np.flatnonzero(np.concatenate(([True], (i[1:] != i[:-1] + 1) | (j[1:] != j[:-1] + 1))))
+    found = np.stack((np.diff(np.concatenate((first, [len(i)]))) + length - 1, i[first], j[first]), axis=1)
+    n = found[:, 0]
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    equal = a.numbers[np.repeat(found[:, 1], n) + step] == b.numbers[np.repeat(found[:, 2], n) + step]
+    if equal.all():
+        return found
+    return np.array([run for m in found.tolist() for run in equal_runs(a.numbers, b.numbers, *m, length)], "i8").reshape(-1, 3)
+
+
+def without(found: np.ndarray, tile: np.ndarray, length: int) -> np.ndarray:
+    """What a new tile leaves of the matches, in stretches of at least ``length`` words."""
+    for side in (1, 2):
+        lo, hi = tile[side], tile[side] + tile[0]
+        n, at = found[:, 0], found[:, side]
+        hit = (at < hi) & (at + n > lo)
+        if hit.any():
+            cut = found[hit]
+            before, skip = lo - cut[:, side], hi - cut[:, side]
+            head, tail = cut.copy(), cut + skip[:, None]
+            head[:, 0], tail[:, 0] = before, cut[:, 0] - skip
+            found = np.concatenate((found[~hit], head, tail))
+            found = found[found[:, 0] >= length]
+    return found
 
 
 def tiles(item: np.ndarray, text: np.ndarray, shortest: int = SHORTEST_TILE) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (words, place in item, place in text), longest first, none overlapping."""
+    """Greedy string tiling: (words, place in item, place in text), longest first, none overlapping.
+
+    Always the longest match of words that are unmarked yet becomes the next tile, the first in the
+    item and then in the text among equals; what it leaves of other matches competes by its length."""
     a, b = Hashed(item), Hashed(text)
     marked_a, marked_b = np.zeros(len(item), bool), np.zeros(len(text), bool)
     out, length = [], max(shortest, len(item))
     while True:
-        found = sorted(matches(a, b, marked_a, marked_b, length), key=lambda m: (-m[0], m[1], m[2]))
-        for n, i, j in found:
-            if marked_a[i:i + n].any() or marked_b[j:j + n].any():
-                continue  # overlaps a longer tile; what is left of it is found at a shorter length
+        found = matches(a, b, marked_a, marked_b, length)
+        while len(found):
+            longest = found[found[:, 0] == found[:, 0].max()]
+            longest = longest[longest[:, 1] == longest[:, 1].min()]
+            tile = longest[longest[:, 2].argmin()]
+            n, i, j = tile.tolist()
             marked_a[i:i + n] = marked_b[j:j + n] = True
             out.append((n, i, j))
-        if marked_a.all():
-            break
-        if found:
-            continue  # the same length again, for what overlapping matches have left
-        if length == shortest:
-            break
+            found = without(found, tile, length)
+        if length == shortest or marked_a.all():
+            return out
         length = max(shortest, length // 2)
-    return out
 
 
 class Benchmark:

@@ -26,29 +26,66 @@ def brute_tiles(item, text, shortest):
         covered += n
 
 
-def test_tiles_against_definition():
-    rng = random.Random(2)
-    for _ in range(150):
-        item = [rng.randint(0, 6) for _ in range(rng.randint(5, 25))]
-        text = [rng.randint(0, 6) for _ in range(rng.randint(0, 40))]
+def random_pair(rng):
+    words = rng.randint(2, 6)
+    if rng.random() < 0.5:
+        return ([rng.randrange(words) for _ in range(rng.randint(3, 24))], [rng.randrange(words) for _ in range(rng.randint(0, 36))])
+    item = [rng.randrange(words) for _ in range(rng.randint(3, 24))]
+    text = []
+    for _ in range(rng.randint(1, 6)):  # pieces of the item, overlapping and out of order
+        i = rng.randrange(len(item))
+        text += item[i:i + rng.randint(1, 12)] + [rng.randrange(words)] * rng.randint(0, 2)
+    return item, text
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_tiles_against_definition(seed):
+    rng = random.Random(seed)
+    for _ in range(10_000):
+        item, text = random_pair(rng)
         found = dc.tiles(np.array(item, "i8"), np.array(text, "i8"))
-        assert sorted(i + k for n, i, _ in found for k in range(n)) == sorted({i + k for n, i, _ in found for k in range(n)})
+        for side, words in ((1, item), (2, text)):
+            taken = [m[side] + k for m in found for k in range(m[0])]
+            assert len(set(taken)) == len(taken) and all(0 <= k < len(words) for k in taken)
         assert all(item[i:i + n] == text[j:j + n] and n >= dc.SHORTEST_TILE for n, i, j in found)
-        assert sum(n for n, _, _ in found) == brute_tiles(item, text, dc.SHORTEST_TILE)
+        assert found == sorted(found, key=lambda m: -m[0])
+        assert sum(n for n, _, _ in found) == brute_tiles(item, text, dc.SHORTEST_TILE), (item, text)
+
+
+def test_equal_hashes_by_chance():
+    """With a hash that everything shares, the words decide."""
+    rng = random.Random(9)
+    for _ in range(300):
+        item, text = random_pair(rng)
+        a, b = dc.Hashed(np.array(item, "i8")), dc.Hashed(np.array(text, "i8"))
+        want = dc.matches(a, b, np.zeros(len(item), bool), np.zeros(len(text), bool), 3)
+        for h in (a, b):
+            h.stretches = lambda length, h=h: np.zeros(max(0, len(h.numbers) - length + 1), "u8")
+        got = dc.matches(a, b, np.zeros(len(item), bool), np.zeros(len(text), bool), 3)
+        assert sorted(map(tuple, got.tolist())) == sorted(map(tuple, want.tolist()))
+
+
+def test_repetitive_text_is_fast():
+    import time
+    benchmark = dc.Benchmark([(1, "word " * 20), (2, "one two three " * 8)])
+    began = time.process_time()
+    assert benchmark.leaks("word " * 300_000, 0.8) == [(1, 1.0, 1, 20)]
+    assert [x[0] for x in benchmark.leaks("one two three x " * 60_000, 0.8)] == [2]
+    assert time.process_time() - began < 8
 
 
 def expected(rows, items):
+    """Every pair whose document holds enough of the item's words at all, tiled by the definition."""
     out = []
+    items = [(item_id, dc.words_of(item)) for item_id, item in items]
     for doc_id, text in rows:
         words = dc.words_of(text)
-        if len(set(words)) < 2:
-            continue
-        grams = {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
-        for item_id, item in items:
-            own = dc.words_of(item)
-            if len(own) >= 5 and any(tuple(own[i:i + 5]) in grams for i in range(len(own) - 4)):
-                near = sorted({p for i in range(len(words) - 4) if tuple(words[i:i + 5]) in {tuple(own[k:k + 5]) for k in range(len(own) - 4)} for p in range(max(0, i - 80), i + 85)})
-                covered = brute_tiles(own, [words[p] for p in near if p < len(words)], 3) / len(own)
+        held = set(words)
+        for item_id, own in items:
+            if own and sum(w in held for w in own) >= 0.8 * len(own):
+                # the rest of the text can't be in a tile
+                near = {p + k for p, w in enumerate(words) if w in own for k in (-1, 0, 1)}
+                covered = brute_tiles(own, [w if p in near else None for p, w in enumerate(words)], min(3, len(own))) / len(own)
                 if covered >= 0.8:
                     out.append((doc_id, item_id, round(covered, 6)))
     return sorted(out, key=repr)
