@@ -168,7 +168,7 @@ def test_products():
 
 def test_shared_groups(tools, libraries):
     texts = [t for _, t in ODD]
-    m = al.align([tools.ids(t) for t in texts], tools.a_lengths, tools.b_lengths)
+    m = al.align(*al.text_ids(tools, texts), tools.a_lengths, tools.b_lengths)
     shared = m.shared_group_links()
     want = [len(x) * len(y) for t in texts for x, y in brute(*libraries.tokens(t))[1]]
     assert len(shared.column) == sum(want) == m.shared_group_sizes().sum()
@@ -178,8 +178,20 @@ def test_shared_groups(tools, libraries):
 def test_random_texts(tools, libraries):
     r = random.Random(3)
     alphabet = [*"abcdefg  \n\n\t.,'", "é", "日", "😀", "the", " and", "0x", "<", ">", "é", " "]
-    for _ in range(400):
-        text = "".join(r.choices(alphabet, k=r.randint(0, 60)))
-        a, b, _ = tools.ids(text)
+    for k in range(4000):
+        signs = alphabet + [*"\t\r\x0b\x1c\x85\xa0\u2003\u200b\u3000\ufeff\u180e"] * (k % 4 == 0)
+        text = "".join(r.choices(signs, k=r.randint(0, 60)))
         want = libraries.tokens(text)
-        assert (a.tolist(), b.tolist()) == ([i for i, _ in want[0]], [i for i, _ in want[1]]), repr(text)
+        got = [ids.tolist() for ids, _ in al.text_ids(tools, [text])]
+        assert got == [[i for i, _ in side] for side in want], repr(text)
+
+
+def test_words_are_forgotten(tools, libraries):
+    """A full memory starts anew and gives the same products."""
+    texts = [t for _, t in ODD] * 2
+    known, forgetful = al.Blocks(tools), al.Blocks(tools, limit=5)
+    for some in ([t] for t in texts):
+        for x, y in zip(known.products(some), forgetful.products(some), strict=True):
+            assert np.array_equal(x, y)
+    sizes = known.products(texts)[0]
+    assert sizes[:, 0].tolist() == [len(libraries.tokens(t)[0]) for t in texts]
