@@ -23,6 +23,7 @@ other than ``doc_id`` and ``text`` are ignored, whatever their names.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -64,7 +65,7 @@ class Words:
     cut into parts (letters, a digit, other signs), which go to the library's model. Words that its normaliser could change other than by lower case,
     and special tokens, go to the whole library."""
 
-    def __init__(self, spec: str, limit: int = 400_000):
+    def __init__(self, spec: str, limit: int = 600_000):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(spec)
         self.model = self.library.model.tokenize
@@ -72,9 +73,12 @@ class Words:
         self.other = re.compile(f"[^ ]*(?:[^ !-~{LATIN}]{'|' * bool(special)}{special})[^ ]*")
         of_byte = byte_characters()
         self.shown = str.maketrans({c: "".join(of_byte[b] for b in c.encode()) for c in LATIN.lower()})
-        #: Word -> ids, and ids of the parts of words with more than one. A full cache starts anew, but
-        #: words that are met again come back from the one before.
-        self.limit, self.words, self.before, self.parts = limit, {"": b""}, {}, {}
+        #: Word or part of one -> ids. A full cache starts anew, but words that are met again come back
+        #: from the one before.
+        self.limit, self.words, self.before = limit, {"": b""}, {}
+
+    def _part(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.model(part if part.isascii() else part.translate(self.shown))]).tobytes()
 
     def _learn(self, new: set[str]) -> None:
         words = list(new)
@@ -82,18 +86,19 @@ class Words:
             self.words[word] = array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
             new.remove(word)
         words = list(new)
-        if len(self.parts) > self.limit:
-            self.parts.clear()
-        model, parts, shown, known = self.model, self.parts, self.shown, self.words
+        known, of_part = self.words, self._part
         for word, lower in zip(words, " ".join(words).lower().split(" ") if words else ()):
-            ids = []
-            for part in CUT.findall(lower):
-                if (of_part := parts.get(part)) is None:
-                    of_part = [t.id for t in model(part if part.isascii() else part.translate(shown))]
-                    if part != lower:
-                        parts[part] = of_part
-                ids += of_part
-            known[word] = array("I", ids).tobytes()
+            if lower.isalpha():
+                known[word] = known.get(lower) or of_part(lower)
+            else:
+                ids = []
+                for part in CUT.findall(lower):
+                    if (found := known.get(part)) is None:
+                        found = of_part(part)
+                        if len(part) <= CACHED_CHARS:
+                            known[part] = found
+                    ids.append(found)
+                known[word] = b"".join(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.limit:
@@ -101,8 +106,11 @@ class Words:
         cuts = [text.replace("\n", " ").split(" ") for text in texts]
         new = set(chain.from_iterable(cuts)).difference(self.words)
         long = [word for word in new if len(word) > CACHED_CHARS]
-        self.words.update((word, self.before[word]) for word in new & self.before.keys())
-        self._learn(new - self.before.keys())
+        before = self.before
+        if again := [word for word in new if word in before]:
+            self.words.update(zip(again, map(before.__getitem__, again), strict=True))
+            new.difference_update(again)
+        self._learn(new)
         ids = self.words.__getitem__
         out = [b"".join(map(ids, words)) for words in cuts]
         for word in long:
@@ -133,6 +141,15 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, seen = words_of(spec.value), TaskContext.get().partitionId(), [0] * (capacity + 1)
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here makes cycles, and collections would walk through the tokens' objects
+        try:
+            yield from pieces(batches, words, part, seen)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def pieces(batches: Iterator[pa.RecordBatch], words: Words, part: int, seen: list[int]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 rows = whole.slice(lo, TEXTS_AT_ONCE)
