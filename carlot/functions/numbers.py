@@ -20,6 +20,12 @@ def price_to_double(c) -> Column:
     return F.nullif(F.regexp_extract(s, r"^([0-9.]*[0-9][0-9.]*)$", 1), F.lit("")).try_cast("double")
 
 
+def unreadable_price(c) -> Column:
+    """Digits and dots that are no number (``"1.2.3"``): the text passes for a price, but has no value."""
+    s = F.nullif(F.regexp_extract(pystrip(F.translate(_as_col(c), "€ \u202f\u00a0", "")), r"^([0-9.]*[0-9][0-9.]*)$", 1), F.lit(""))
+    return s.isNotNull() & s.try_cast("double").isNull()
+
+
 def mileage_to_double(c) -> Column:
     """J9 — as J8 with ``km`` removed and no dots allowed."""
     s = pystrip(F.translate(F.replace(_as_col(c), F.lit("km"), F.lit("")), " \u202f\u00a0", ""))

@@ -8,6 +8,7 @@ prices, resolution — is native column work.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
@@ -67,7 +68,7 @@ class _CardParser(HTMLParser):
                     "product-card-content-wrapper" in (attrs.get("class") or "").split():
                 card["has_wrap"], card["wrap_depth"] = True, depth
         if self._is_card(tag, attrs):
-            card = {"attrs": attrs, "parts": [], "wparts": [], "img": None, "href": None, "depth": depth,
+            card = {"attrs": attrs, "error": None, "parts": [], "wparts": [], "img": None, "href": None, "depth": depth,
                     "has_wrap": False, "wrap_depth": None}
             self.cards.append(card)
             self.open.append(card)
@@ -101,18 +102,39 @@ class _CardParser(HTMLParser):
                     card["wparts"].append(data)
 
     def found(self) -> list[dict]:
-        return [{"attrs": c["attrs"], "text": "\n".join(c["wparts"] if c["has_wrap"] else c["parts"]), "img": c["img"] or "",
+        return [{"attrs": c["attrs"], "error": c["error"], "text": "\n".join(c["wparts"] if c["has_wrap"] else c["parts"]), "img": c["img"] or "",
                  "href": (c["href"] or "") if self.layout == 1 else c["attrs"].get("href", "")} for c in self.cards]
 
 
 def parse_cards(html: str, layout: int = 1, href_marker: str = "/offres/") -> list[dict]:
-    """Python helper used inside the ``mapInPandas`` step (and by tests)."""
+    """Python helper used inside the ``mapInPandas`` step (and by tests).
+
+    A construct that the HTML parser can't read fails the cards around it: their ``error`` says why."""
     p = _CardParser(layout, href_marker)
-    p.feed(html or "")
-    p.close()
+    for error in _read(p, html or ""):
+        for card in p.open:
+            card["error"] = error
     return p.found()
 
 
+def _read(parser: HTMLParser, html: str) -> Iterator[str]:
+    """Feed a page; what the parser can't read is yielded as an error, passed over up to the next
+    ``>``, and the page goes on behind it."""
+    while True:
+        try:
+            parser.feed(html)
+            parser.close()
+            return
+        except AssertionError as e:  # what html.parser raises
+            yield f"{type(e).__name__}: {e}"
+            line, at = parser.getpos()
+            if line > 1:
+                at += [m.end() for m in re.finditer("\n", html)][line - 2]
+            end = html.find(">", at)
+            html = html[end + 1:] if end >= 0 else ""
+            parser.rawdata, parser.lineno, parser.offset = "", 1, 0
+
+
 class _AnchorParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -126,8 +148,8 @@ class _AnchorParser(HTMLParser):
 def parse_anchors(html: str) -> list[str]:
     """``href`` of every ``a`` that has one, in document order."""
     p = _AnchorParser()
-    p.feed(html or "")
-    p.close()
+    for _ in _read(p, html or ""):
+        pass
     return p.hrefs
 
 
@@ -139,8 +161,8 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
                id_col: str = "page_id", html_col: str = "html", extra: Sequence[str] = ()) -> DataFrame:
     """C1 / C2 — one row per card: ``page_id, card_pos, attrs, text, img, href, error``.
 
-    A page that fails to parse yields one row with ``error`` set and no card (D15: the
-    failure is isolated to that page). ``extra`` string columns of the page are carried
+    A card that can't be read has ``error`` set and nothing else but its place; so does a page as a
+    whole, without a place (D15: the failure is isolated to the card, or the page). ``extra`` string columns of the page are carried
     through to its cards (no join back to the pages is needed).
     """
     extra = list(extra)
@@ -157,7 +179,8 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
                 except Exception as e:  # noqa: BLE001 — isolate the page
                     rows.append((pid, None, None, None, None, None, f"{type(e).__name__}: {e}", *ex))
                     cards = []
-                rows += [(pid, i, dict(c["attrs"]), c["text"], c["img"], c["href"], None, *ex) for i, c in enumerate(cards)]
+                rows += [(pid, i, None, None, None, None, c["error"], *ex) if c["error"] else
+                         (pid, i, dict(c["attrs"]), c["text"], c["img"], c["href"], None, *ex) for i, c in enumerate(cards)]
                 if len(rows) >= CARDS_AT_ONCE:  # whole pages of text: never a whole batch's cards at once
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -341,18 +364,30 @@ def cards_to_listing_b(cards: DataFrame, base_url: str, source: str = "aramisaut
 
 # ── crawl control ──
 
-def crawl_prefix(pages: DataFrame, crawl_col: str, page_col: str, stop: Column,
-                 max_pages: int | None = None) -> DataFrame:
+def crawl_prefix(pages: DataFrame, crawl_col: str, page_col: str, stop: Column, max_pages: int | None = None,
+                 first_page: int | None = None, inclusive: bool = False) -> DataFrame:
     """G2 / H6 — keep pages before the first stop page of each crawl (timeout, blocked
-    page, zero cards or extraction error), and at most ``max_pages`` pages.
+    page, zero cards or extraction error), and at most ``max_pages`` pages. ``inclusive`` keeps
+    the stop page too (a page that was never captured can't be kept).
+
+    With ``first_page`` crawls are numbered from there without gaps, so a page that timed out is
+    one that was never captured: the crawl ends before it. A page whose predecessor is missing is
+    found by a self-join on (crawl, page), which no long crawl makes one task.
 
     The stop page per crawl is a hash aggregate (one row per crawl); it joins back to
     the pages by crawl — AQE broadcasts it once its measured size is small.
     """
     p = pages.where(F.col(page_col) <= max_pages) if max_pages is not None else pages
-    stops = (p.where(stop).groupBy(crawl_col).agg(F.min(page_col).alias("_stop")))
-    return (p.join(stops, crawl_col, "left")
-            .where(F.col("_stop").isNull() | (F.col(page_col) < F.col("_stop"))).drop("_stop"))
+    stops = p.where(stop).select(crawl_col, F.col(page_col).alias("_stop"))
+    if first_page is not None:
+        before = p.select(F.col(crawl_col).alias("_crawl"), (F.col(page_col) + 1).alias("_next")).distinct()
+        gap = p.select(crawl_col, page_col).where(F.col(page_col) > first_page).join(
+            before, F.col(crawl_col).eqNullSafe(F.col("_crawl")) & (F.col(page_col) == F.col("_next")), "left_anti")
+        stops = stops.unionByName(gap.select(crawl_col, (F.col(page_col) - 1).alias("_stop")))
+    stops = stops.groupBy(F.col(crawl_col).alias("_crawl")).agg(F.min("_stop").alias("_stop"))
+    kept = F.col(page_col) <= F.col("_stop") if inclusive else F.col(page_col) < F.col("_stop")
+    return (p.join(stops, F.col(crawl_col).eqNullSafe(F.col("_crawl")), "left")
+            .where(F.col("_stop").isNull() | kept).drop("_stop", "_crawl"))
 
 
 def is_blocked_page(html, markers: Sequence[str] = BLOCK_MARKERS_1) -> Column:

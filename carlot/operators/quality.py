@@ -24,8 +24,10 @@ def catalogue_coverage(listings: DataFrame, cat: Catalog, fuzzy: bool = True) ->
     """K12 — listings (``raw_make``, ``raw_model``, any other columns) with the resolved ``make`` and
     ``model`` and whether that is in the catalogue (``found``)."""
     from carlot.operators.resolve import resolve_models
-    res = resolve_models(listings, cat, fuzzy=fuzzy).select("raw_make", "raw_model", "make", "model")
-    return catalogue_member(listings.join(res, ["raw_make", "raw_model"], "left"), cat, "make", "model")
+    res = resolve_models(listings, cat, fuzzy=fuzzy).select(
+        F.col("raw_make").alias("_make"), F.col("raw_model").alias("_model"), "make", "model")
+    same = listings["raw_make"].eqNullSafe(res["_make"]) & listings["raw_model"].eqNullSafe(res["_model"])
+    return catalogue_member(listings.join(res, same, "left").drop("_make", "_model"), cat, "make", "model")
 
 
 def coverage(flagged: DataFrame, source_col: str = "source", found_col: str = "found") -> DataFrame:

@@ -303,9 +303,10 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
 def rejected_rows(resolved: DataFrame, listings: DataFrame) -> DataFrame:
     """B6 — unmatched values (``reason, make, slug, raw``) with the number of ``listings``
     (columns ``raw_make, raw_model``) that have them; ``resolved`` holds distinct pairs."""
-    seen = listings.groupBy("raw_make", "raw_model").agg(F.count("*").alias("n"))
+    seen = listings.groupBy(F.col("raw_make").alias("_make"), F.col("raw_model").alias("_model")).agg(F.count("*").alias("n"))
     bad = resolved.where(F.col("reject_reason").isNotNull())
-    return (bad.join(seen, ["raw_make", "raw_model"])
+    # a listing without a make is rejected like any other
+    return (bad.join(seen, bad["raw_make"].eqNullSafe(seen["_make"]) & bad["raw_model"].eqNullSafe(seen["_model"]))
             .groupBy(F.col("reject_reason").alias("reason"), "make",
                      F.col("slug_in").alias("slug"), F.col("raw_model").alias("raw"))
             .agg(F.sum("n").cast("long").alias("n")))

@@ -55,7 +55,8 @@ SQL_MAKE_INPUT = """CASE p_size % 6 WHEN 0 THEN p_type WHEN 1 THEN lower(p_type)
     ELSE 'Unknown ' || CAST(p_size AS VARCHAR) END"""
 
 
-def _model_inputs(p):
+def _model_inputs(p, missing_makes: bool = False):
+    """Makes and models as listings write them; with ``missing_makes`` some have no make at all."""
     k = F.col("p_size") % 5
     model = (F.when(k == 0, F.col("p_name"))
              .when(k == 1, F.regexp_replace("p_name", " ", ""))
@@ -63,6 +64,8 @@ def _model_inputs(p):
              .when(k == 3, F.expr("substring(p_name, 1, length(p_name) - 2)"))
              .otherwise(F.upper(F.regexp_replace("p_name", " ", "-"))))
     make = F.when(F.col("p_size") >= 48, F.lit("Nomake")).otherwise(F.col("p_type"))
+    if missing_makes:
+        make = F.when(F.col("p_size") != 46, make)
     return make, model
 
 
@@ -75,6 +78,8 @@ SQL_MODEL_INPUTS = """
   FROM part
 """
 
+SQL_MISSING_MAKES = f"SELECT p_partkey, source, CASE WHEN p_size <> 46 THEN raw_make END AS raw_make, raw_model FROM ({SQL_MODEL_INPUTS}) i JOIN part USING (p_partkey)"
+
 SQL_CATALOG = f"""
 cat_m AS (SELECT p_type AS make, min(p_partkey) AS o FROM part GROUP BY p_type),
 mk AS (SELECT make, row_number() OVER (ORDER BY o) - 1 AS make_pos, {sql_slug('make')} AS mslug FROM cat_m),
@@ -171,7 +176,7 @@ hits AS (SELECT w1.make, w1.slug_in, coalesce(m_exact, m_nospace, e7.m, e8.m, e9
                  LEFT JOIN e9 ON w1.make = e9.make AND w1.slug_in = e9.slug_in),
 res AS (SELECT pm.raw_make, pm.raw_model, pm.make, pm.make_stage, coalesce(hits.model, pm.raw_model) AS model,
           hits.model_stage,
-          CASE WHEN NOT pm.known_make AND NOT pm.has_models THEN 'UNKNOWN_MAKE'
+          CASE WHEN NOT coalesce(pm.known_make, false) AND NOT coalesce(pm.has_models, false) THEN 'UNKNOWN_MAKE'
                WHEN NOT pm.has_models THEN 'NO_MODELS' WHEN hits.model IS NULL THEN 'UNMATCHED' END AS reject_reason,
           pm.slug_in
         FROM pm LEFT JOIN hits ON pm.make = hits.make AND pm.slug_in = hits.slug_in)"""
@@ -355,7 +360,7 @@ FROM x JOIN iv ON iv.model = x.modele_unifie AND x.yr BETWEEN iv.f AND iv.t GROU
 
 def _coverage_base(spark, sf):
     p = table(spark, sf, "part")
-    mk, md = _model_inputs(p)
+    mk, md = _model_inputs(p, missing_makes=True)
     rows = p.select("p_partkey", F.col("p_brand").alias("source"), mk.alias("raw_make"), md.alias("raw_model"))
     return catalogue_coverage(rows, part_catalog(spark, sf))
 
@@ -372,11 +377,11 @@ def coverage_misses(spark, sf):
 
 _SQL_COVERAGE_BASE = f"""
 WITH RECURSIVE {SQL_CATALOG},
-{sql_model_resolution(SQL_MODEL_INPUTS)},
-rows AS ({SQL_MODEL_INPUTS}),
+{sql_model_resolution(SQL_MISSING_MAKES)},
+rows AS ({SQL_MISSING_MAKES}),
 j AS (SELECT rows.*, res.make, res.model,
         EXISTS (SELECT 1 FROM mm WHERE mm.make = res.make AND mm.model = res.model) AS found
-      FROM rows LEFT JOIN res ON rows.raw_make = res.raw_make AND rows.raw_model = res.raw_model)
+      FROM rows LEFT JOIN res ON rows.raw_make IS NOT DISTINCT FROM res.raw_make AND rows.raw_model = res.raw_model)
 """
 
 COVERAGE_REPORT_SQL = _SQL_COVERAGE_BASE + """
@@ -389,16 +394,20 @@ COVERAGE_MISSES_SQL = _SQL_COVERAGE_BASE + """
 SELECT source, raw_make, raw_model, min(p_partkey) AS first_pos FROM j WHERE NOT found GROUP BY ALL
 """
 
-def renormalize_backfill_q(spark, sf):
-    """K2 — stored listings whose resolved model changed (change set only)."""
-    from carlot.operators.lifecycle import renormalize_backfill
+def renormalize_store(spark, sf):
+    """Stored listings with resolved, raw and missing models."""
     p = table(spark, sf, "part")
     mk, md = _model_inputs(p)
     k = F.col("p_size") % 3
-    store = p.select(F.col("p_partkey").alias("id"), mk.alias("marque"), md.alias("modele"),
+    return p.select(F.col("p_partkey").alias("id"), mk.alias("marque"), md.alias("modele"),
                      F.when(k == 0, F.col("p_name")).when(k == 1, F.lit(None)).otherwise(md)
                      .cast("string").alias("modele_unifie"))
-    return renormalize_backfill(store, part_catalog(spark, sf))
+
+
+def renormalize_backfill_q(spark, sf):
+    """K2 — stored listings whose resolved model changed (change set only)."""
+    from carlot.operators.lifecycle import renormalize_backfill
+    return renormalize_backfill(renormalize_store(spark, sf), part_catalog(spark, sf))
 
 
 RENORMALIZE_BACKFILL_SQL = f"""

@@ -17,7 +17,7 @@ from carlot.operators.quality import value_counts
 from carlot.operators.resolve import Catalog, rejected_rows, resolve_models
 from carlot.operators.store import union_sources
 from carlot.plans.common import listing_view, sql_store_from_events, store_from_events, table
-from carlot.plans.resolve_queries import (SQL_CATALOG, SQL_MODEL_INPUTS, _model_inputs, part_catalog,
+from carlot.plans.resolve_queries import (SQL_CATALOG, SQL_MISSING_MAKES, _model_inputs, part_catalog,
                                           sql_model_resolution, sql_slug)
 from carlot.session import shared_scratch_dir
 from carlot.sources.sinks import latest_version, write_version
@@ -105,17 +105,17 @@ VERSION_WRITE_SQL = "SELECT p_partkey, p_name, p_brand FROM part"
 def reject_log(spark, sf):
     """B6 — rejected values with the number of listings that have them."""
     p = table(spark, sf, "part")
-    make, model = _model_inputs(p)
+    make, model = _model_inputs(p, missing_makes=True)
     listings = p.select(make.alias("raw_make"), model.alias("raw_model"))
     return rejected_rows(resolve_models(listings, part_catalog(spark, sf)), listings)
 
 
 REJECT_LOG_SQL = f"""
 WITH RECURSIVE {SQL_CATALOG},
-{sql_model_resolution(SQL_MODEL_INPUTS)},
-n AS (SELECT raw_make, raw_model, count(*) AS n FROM ({SQL_MODEL_INPUTS}) q GROUP BY ALL)
+{sql_model_resolution(SQL_MISSING_MAKES)},
+n AS (SELECT raw_make, raw_model, count(*) AS n FROM ({SQL_MISSING_MAKES}) q GROUP BY ALL)
 SELECT res.reject_reason AS reason, res.make, res.slug_in AS slug, res.raw_model AS raw, CAST(sum(n.n) AS BIGINT) AS n
-FROM res JOIN n ON res.raw_make = n.raw_make AND res.raw_model = n.raw_model WHERE res.reject_reason IS NOT NULL GROUP BY ALL
+FROM res JOIN n ON res.raw_make IS NOT DISTINCT FROM n.raw_make AND res.raw_model = n.raw_model WHERE res.reject_reason IS NOT NULL GROUP BY ALL
 """
 
 

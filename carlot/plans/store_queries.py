@@ -48,12 +48,22 @@ def _batch(spark, sf):
         "event_id", "lien_annonce", "source", "prix", "last_seen_at")
 
 
-def upsert_latest(spark, sf):
-    """B3 — store = links seen before the split, batch = observations after it."""
+#: Observations with a smaller price are rejected by a counted upsert.
+LEAST_PRICE = 1.0
+
+
+def upsert_run(spark, sf):
+    """A store of links seen before the split, a batch of observations after it, the order of the
+    batch's rows, and what makes a row of it a reject."""
     store = store_from_events(spark, sf, before=SPLIT_TS).select(
         "id", "lien_annonce", "source", "prix", "last_seen_at", "is_expired")
-    batch = _batch(spark, sf)
-    out = upsert(store, batch, "lien_annonce", batch_order=["last_seen_at", "event_id"])
+    return store, _batch(spark, sf), ["last_seen_at", "event_id"], {"prix_trop_bas": F.col("prix") < LEAST_PRICE}
+
+
+def upsert_latest(spark, sf):
+    """B3 — store = links seen before the split, batch = observations after it."""
+    store, batch, order, _ = upsert_run(spark, sf)
+    out = upsert(store, batch, "lien_annonce", batch_order=order)
     return out.select("id", "lien_annonce", "source", "prix", "last_seen_at", "is_expired")
 
 
@@ -75,6 +85,20 @@ SELECT NULL, lien_annonce, source, prix, last_seen_at, NULL FROM v WHERE lien_an
 """
 
 
+UPSERT_COUNTS_SQL = f"""
+WITH s AS ({sql_store_from_events(SPLIT_TS)}),
+v AS ({SQL_ODD_LINKS} ({SQL_LISTING_VIEW}) v WHERE last_seen_at >= TIMESTAMP '{SPLIT_TS}'),
+g AS (SELECT * FROM v WHERE prix IS NULL OR prix >= {LEAST_PRICE}),
+b AS (SELECT lien_annonce, arg_max(prix, (last_seen_at, event_id)) AS prix, max(last_seen_at) AS last_seen_at FROM g WHERE lien_annonce IS NOT NULL GROUP BY 1)
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM g) AS sent,
+       (SELECT CAST(count(*) AS BIGINT) FROM b WHERE lien_annonce NOT IN (SELECT lien_annonce FROM s))
+         + (SELECT CAST(count(*) AS BIGINT) FROM g WHERE lien_annonce IS NULL) AS inserted,
+       (SELECT CAST(count(*) AS BIGINT) FROM b JOIN s ON b.lien_annonce = s.lien_annonce) AS updated, CAST(0 AS BIGINT) AS unchanged,
+       (SELECT CAST(count(*) AS BIGINT) FROM s WHERE lien_annonce NOT IN (SELECT lien_annonce FROM b)) AS kept,
+       (SELECT CAST(count(*) AS BIGINT) FROM v WHERE prix < {LEAST_PRICE}) AS errors
+"""
+
+
 def insert_absent_q(spark, sf):
     """B4 — append the first batch row of every link not stored yet."""
     store = store_from_events(spark, sf, before=SPLIT_TS).select(
@@ -100,7 +124,7 @@ SELECT event_id, lien_annonce, source, prix, last_seen_at FROM v WHERE lien_anno
 """
 
 
-def _part_store(spark, sf):
+def part_store(spark, sf):
     p = table(spark, sf, "part")
     return p.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("marque"),
                     F.col("p_name").alias("modele"),
@@ -108,15 +132,18 @@ def _part_store(spark, sf):
                     .alias("modele_unifie"))
 
 
+def part_changes(spark, sf):
+    """D9 — rows of ``part_store`` whose recomputed model differs: (id, modele_unifie)."""
+    recomputed = part_store(spark, sf).where((F.col("marque") != "") & (F.col("modele") != "")).select(
+        "id", "modele_unifie", title_case("modele").alias("new"))
+    return changed_only(recomputed, "new", "modele_unifie").select("id", F.col("new").alias("modele_unifie"))
+
+
 def patch_changed(spark, sf):
     """K2 shape (D9 + B5): recompute a column, keep changed rows only, apply them by id.
 
     Returns the patched table with a flag telling which rows changed."""
-    store = _part_store(spark, sf)
-    recomputed = store.where((F.col("marque") != "") & (F.col("modele") != "")).select(
-        "id", "modele_unifie", title_case("modele").alias("new"))
-    changes = changed_only(recomputed, "new", "modele_unifie").select(
-        "id", F.col("new").alias("modele_unifie"))
+    store, changes = part_store(spark, sf), part_changes(spark, sf)
     out = patch(store, changes, "id", ["modele_unifie"])
     return out.join(changes.select("id", F.lit(True).alias("changed")), "id", "left").select(
         "id", "marque", "modele", "modele_unifie", F.coalesce("changed", F.lit(False)).alias("changed"))
@@ -134,6 +161,8 @@ SELECT s.id, s.marque, s.modele,
 FROM s LEFT JOIN n ON s.id = n.id
 """
 
+PART_CHANGES_SQL = f"SELECT id FROM ({PATCH_CHANGED_SQL}) q WHERE changed"
+
 STALE_SOURCES = ["view", "click"]
 
 

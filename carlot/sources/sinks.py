@@ -11,10 +11,14 @@ from __future__ import annotations
 import os
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from carlot.session import shared_scratch_dir
 
+#: What becomes of a row in a write (``store.upsert_rows``, ``store.patch_rows``).
+STATUSES = ("inserted", "updated", "unchanged", "kept")
+
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """B1 — JSON lines, UTF-8, non-ASCII kept as is."""
@@ -39,7 +43,7 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
     """B7 / B3 target — write a new immutable version ``base/v=<millis>`` as parquet."""
-    path = os.path.join(base, f"v={int(time.time() * 1000)}")
+    path = new_version(base)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -47,6 +51,28 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     return path
 
 
+def write_counted(df: DataFrame, path: str) -> dict[str, int]:
+    """F6 — write rows with ``_status`` and ``_sent`` to ``path`` (without these two) and return the
+    counters of the run. They are observed by the writing job's last stage itself, so there is no
+    second pass, and tasks that are run again count once."""
+    observed = Observation()
+    counts = [F.count_if(F.col("_status") == s).alias(s) for s in STATUSES]
+    df.observe(observed, F.coalesce(F.sum("_sent"), F.lit(0)).alias("sent"), *counts).drop("_status", "_sent").write.parquet(path)
+    return observed.get
+
+
+def write_rejects(rejects: DataFrame, path: str) -> int:
+    """Quarantine: rejected rows with their reason; how many, observed by the job that writes them."""
+    observed = Observation()
+    rejects.observe(observed, F.count("*").alias("n")).write.parquet(path)
+    return observed.get["n"]
+
+
+def new_version(base: str) -> str:
+    """Path of the version that comes next."""
+    return os.path.join(base, f"v={time.time_ns() // 1_000_000}")
+
+
 def latest_version(spark: SparkSession, base: str) -> DataFrame:
     """Read the newest complete version under ``base`` (one with a ``_SUCCESS`` marker)."""
     jvm = spark.sparkContext._jvm
