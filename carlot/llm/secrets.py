@@ -12,7 +12,9 @@ inner structure) accept a candidate only if it is valid:
 Spans count code points, end exclusive. Per-row work: no shuffle, any table size.
 
 Edge cases: NULL and empty texts have no spans; repeated rows give equal rows; an empty table
-gives an empty result; long texts are scanned whole, in linear time; letter case of keywords
+gives an empty result; long texts are scanned whole, in linear time (a run in which a token fails is
+not gone through again from the keywords inside it); columns other than ``doc_id`` and ``text`` are
+ignored, whatever their names; letter case of keywords
 means ASCII letters, so the Kelvin sign is no k.
 """
 
@@ -63,7 +65,7 @@ def base58_check(secret: str) -> bool:
 def json_web_token(secret: str) -> bool:
     try:
         header, payload = (json.loads(base64.urlsafe_b64decode(p + "=" * (-len(p) % 4))) for p in secret.split(".")[:2])
-    except ValueError:
+    except (ValueError, RecursionError):
         return False
     return isinstance(header, dict) and "alg" in header and isinstance(payload, dict)
 
@@ -71,12 +73,15 @@ def json_web_token(secret: str) -> bool:
 @dataclass(frozen=True)
 class Rule:
     """``pattern`` is tried where a keyword begins, or anywhere within ``near`` characters behind
-    it and then behind each match; ``accept`` decides on a match. Matches that it drops still take their place."""
+    it and then behind each match; ``accept`` decides on a match. Matches that it drops still take their
+    place. Where a pattern begins with a run that nothing but its end can fail, ``run`` is that run:
+    behind a failure, keywords inside it are not tried again."""
     kind: str
     keywords: tuple[str, ...]
     pattern: re.Pattern
     accept: Callable[[re.Match], bool]
     near: int = 0
+    run: re.Pattern | None = None
 
 
 #: In the order in which spans with equal starts are listed.
@@ -89,7 +94,8 @@ RULES = (
     Rule("npm", ("npm_",), re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: crc_base62(m[0])),
     Rule("wif", ("wif", "private key", "private_key", "private-key", "privatekey", "privkey", "wallet"),
          re.compile(r"(?<![A-Za-z0-9])[5KL][1-9A-HJ-NP-Za-km-z]{50,51}(?![A-Za-z0-9])"), lambda m: base58_check(m[0]), NEAR),
-    Rule("jwt", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), lambda m: json_web_token(m[0])),
+    Rule("jwt", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+"),
+         lambda m: json_web_token(m[0]), run=re.compile(r"[A-Za-z0-9_-]*+")),
 )
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "github", "npm", "wif", "jwt")
@@ -130,6 +136,8 @@ class Scanner:
                     m = rule.pattern.search(text, start, start + rule.near + 64)
                 else:
                     m = rule.pattern.match(text, start) if start >= free else None
+                    if not m and rule.run and start >= free:
+                        free = rule.run.match(text, start).end()
                 while m:
                     free = m.end()
                     if rule.accept(m):

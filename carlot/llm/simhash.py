@@ -8,8 +8,9 @@ which links like any other.
 Linking: texts with the same fingerprint collapse to one *class* first, so copies are never
 paired. Classes that differ in at most ``max_bits`` bits agree on ``agree`` of ``blocks`` bit
 blocks if ``blocks - agree >= max_bits``; the values of every such choice of blocks are the
-buckets in which classes meet (an equi-join key: no cross join). Inside a bucket each class has a row of
-the pivot table, its Hamming distances to ``PIVOTS`` reference fingerprints. By the triangle
+buckets in which classes meet (an equi-join key: no cross join). The pivot table, each class's Hamming
+distances to ``PIVOTS`` reference fingerprints, is computed once and written with the classes; its
+rows go with them into every bucket. By the triangle
 inequality two classes differ by at least any difference of their coordinates, so pairs whose
 maximum coordinate difference exceeds ``max_bits`` are discarded; the survivors are verified
 on the fingerprints. A bucket yields a spanning forest of its links, not all its pairs.
@@ -17,13 +18,16 @@ on the fingerprints. A bucket yields a spanning forest of its links, not all its
 Hot buckets: buckets over ``BUCKET`` classes are dealt as pairs of chunks, one task row set
 each, so no task holds more than two chunks; all pairs are still compared.
 
-Scale: the text is read once and not shuffled; what is shuffled are 8-byte fingerprints.
+Scale: the text is read once and not shuffled; what is shuffled are 8-byte fingerprints and their
+rows of the pivot table. A fingerprint, component or star centre that many rows share meets its value
+in chunks of these rows (``components.attached``).
 The number of blocks follows the number of classes, so that random classes rarely share a
 bucket at any size (every choice is exact).
 
 Edge cases: NULL and empty texts have fingerprint 0; repeated rows share a class; an empty
 table gives an empty result; rows with a NULL doc_id are linked, and a component of such rows
-alone has component_id NULL.
+alone has component_id NULL; texts of any length are hashed in slices; ties have no part in it; columns
+other than ``doc_id`` and ``text`` are ignored (``keep_one`` keeps them), whatever their names.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carlot.llm.common import arrow_map, map_texts, record_batch, written
-from carlot.llm.components import components
+from carlot.llm.components import attached, components
 
 PIVOTS = 24
 BUCKET = 2048
@@ -87,9 +91,29 @@ def plan_for(classes: int, max_bits: int) -> tuple[int, int]:
     return next((p for p in PLANS if 64 * p[1] / p[0] >= math.log2(max(classes, 2)) + 2), PLANS[-1])
 
 
-def bucket_links(keys: np.ndarray, fps: np.ndarray, max_bits: int, references: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links between equal keys (rows sorted by key), as a spanning forest: (fp, least fp linked to it)."""
-    table = np.bitwise_count(fps[:, None] ^ references[None, :]).astype(np.int8)
+def pivot_table(fps: np.ndarray) -> np.ndarray:
+    """Hamming distances (a row a fingerprint) to the references."""
+    return np.bitwise_count(fps[:, None] ^ pivots()[None, :]).astype(np.int8)
+
+
+def with_pivot_rows(classes: DataFrame) -> DataFrame:
+    """``classes`` with its rows of the pivot table (``pivot``, a byte a reference)."""
+    kinds = [(name, kind) for name, kind in classes.dtypes]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pivot_table(batch.column(batch.schema.names.index("fp")).to_numpy(zero_copy_only=False).view("u8"))
+            ends = np.arange(len(rows) + 1, dtype="i4") * PIVOTS
+            pivot = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows.tobytes())])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pivot], names=[*batch.schema.names, "pivot"])
+
+    return arrow_map(classes, run, [*kinds, ("pivot", "binary")])
+
+
+def bucket_links(keys: np.ndarray, fps: np.ndarray, table: np.ndarray, max_bits: int,
+                 seen: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links between equal keys (rows sorted by key), as a spanning forest: (fp, least fp linked to it).
+    ``seen`` gets (pairs, pairs that the pivots leave, links) added."""
     label = np.arange(len(fps))
     left, right = [], []
     rows = np.arange(len(fps) - 1)
@@ -99,12 +123,15 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, max_bits: int, references: n
         rows = rows[keys[rows] == keys[rows + step]]
         if not len(rows):
             break
-        near = rows
+        near, pairs = rows, len(rows)
         for k in range(table.shape[1]):  # discard by the greatest coordinate difference
             near = near[np.abs(table[near, k] - table[near + step, k]) <= max_bits]
             if not len(near):
                 break
+        left_over = len(near)
         near = near[np.bitwise_count(fps[near] ^ fps[near + step]) <= max_bits]
+        if seen is not None:
+            seen[:] = [a + b for a, b in zip(seen, (pairs, left_over, len(near)), strict=True)]
         left.append(near)
         right.append(near + step)
         step += 1
@@ -125,7 +152,7 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, max_bits: int, references: n
 
 
 def class_links(classes: DataFrame, max_bits: int, plan: tuple[int, int] | None = None, bucket: int = BUCKET) -> DataFrame:
-    """Edges (u, v) between the fingerprints ``fp`` that connect all within ``max_bits`` bits."""
+    """Edges (u, v) between the classes (``fp`` and ``pivot``) that connect all within ``max_bits`` bits."""
     blocks, agree = plan or plan_for(classes.count(), max_bits)
     parts = bit_blocks(blocks)
     if blocks - agree < max_bits:
@@ -133,33 +160,34 @@ def class_links(classes: DataFrame, max_bits: int, plan: tuple[int, int] | None
     # classes agree on a choice of blocks if they agree under its mask
     masks = [sum((1 << bits) - 1 << first for first, bits in chosen) for chosen in itertools.combinations(parts, agree)]
     signed = np.array(masks, "u8").view("i8").tolist()
-    keyed = classes.select("fp", F.posexplode(F.array(*[F.lit(m).cast("bigint") for m in signed])).alias("choice", "mask")).select(
-        "fp", F.xxhash64("choice", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
+    keyed = classes.select("fp", "pivot", F.posexplode(F.array(*[F.lit(m).cast("bigint") for m in signed])).alias("choice", "mask")).select(
+        "fp", "pivot", F.xxhash64("choice", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
     # a key is shared by classes that agree on a choice of blocks; keys of one class alone go
     many = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     met = keyed.join(many, "key")
     chunks = F.ceil(F.col("n") / bucket).cast("int")
     own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
     # (own, other) for every chunk, smaller first; a single chunk is the pair (0, 0)
-    dealt = met.select("key", "fp", chunks.alias("chunks"), own.alias("own")).select(
-        "key", "fp", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"), "own").select(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "fp")
+    dealt = met.select("key", "fp", "pivot", chunks.alias("chunks"), own.alias("own")).select(
+        "key", "fp", "pivot", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"), "own").select(
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "fp", "pivot")
     fields = [("u", "bigint"), ("v", "bigint")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        references = pivots()
-        keys, fps = np.empty(0, "i8"), np.empty(0, "u8")
+        keys, fps, table = np.empty(0, "i8"), np.empty(0, "u8"), np.empty((0, PIVOTS), "i1")
         for batch in batches:
+            rows = np.frombuffer(b"".join(batch.column(2).to_pylist()), "i1").reshape(-1, PIVOTS)
+            table = np.concatenate((table, rows))
             keys = np.concatenate((keys, batch.column(0).to_numpy(zero_copy_only=False)))
             fps = np.concatenate((fps, batch.column(1).to_numpy(zero_copy_only=False).view("u8")))
             if not len(keys):
                 continue
             whole = int(np.searchsorted(keys, keys[-1]))  # the last unit may go on in the next batch
-            u, v = bucket_links(keys[:whole], fps[:whole], max_bits, references)
-            keys, fps = keys[whole:], fps[whole:]
+            u, v = bucket_links(keys[:whole], fps[:whole], table[:whole], max_bits)
+            keys, fps, table = keys[whole:], fps[whole:], table[whole:]
             if len(u):
                 yield record_batch([u.view("i8"), v.view("i8")], fields)
-        u, v = bucket_links(keys, fps, max_bits, references)
+        u, v = bucket_links(keys, fps, table, max_bits)
         if len(u):
             yield record_batch([u.view("i8"), v.view("i8")], fields)
 
@@ -168,14 +196,14 @@ def class_links(classes: DataFrame, max_bits: int, plan: tuple[int, int] | None
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """Per row: doc_id, fp, fingerprint (hex), component_id (least doc_id reachable)."""
-    rows = written(fingerprints(docs, shingle), "simhash-rows")
-    classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    rows = written(fingerprints(docs, shingle).withColumn("place", F.monotonically_increasing_id()), "simhash-rows")
+    classes = written(with_pivot_rows(rows.groupBy("fp").agg(F.min("doc_id").alias("least"))), "simhash-classes")
     linked = components(class_links(classes, max_bits), "simhash-links")
     named = written(classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
                     .select("fp", "least", F.coalesce("component", "fp").alias("component")), "simhash-components")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "component").select("fp", "component_id")
-    return rows.join(ids, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    ids = attached(named.select("fp", "component"), least, "component", "fp").select("fp", "component_id")
+    return attached(rows, ids, "fp", "place").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:

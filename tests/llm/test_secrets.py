@@ -6,7 +6,7 @@ import zlib
 import pytest
 from helpers import all_docs, edge_docs, empty_docs, inputs, rows_of
 
-from carlot.llm import secrets as s
+from carlot.llm import secrets as sec
 
 BRUTE = (
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 12),
@@ -25,12 +25,12 @@ def expected(doc_id, text):
 @pytest.mark.parametrize("table", [edge_docs, all_docs])
 def test_base_spans(spark, table):
     docs = table(spark)
-    got = s.scan_secrets(docs).drop("spans")
+    got = sec.scan_secrets(docs).drop("spans")
     assert rows_of(got) == sorted((expected(*r) for r in inputs(docs)), key=repr)
 
 
 def test_empty_table(spark):
-    assert rows_of(s.scan_secrets(empty_docs(spark))) == []
+    assert rows_of(sec.scan_secrets(empty_docs(spark))) == []
 
 
 @pytest.mark.parametrize("text", [
@@ -39,15 +39,15 @@ def test_empty_table(spark):
     "password=secret=abcdefghijklmnop", "api_key=apikey=aaaaaaaaaaaaaaaa",
 ])
 def test_hard_texts(text):
-    spans = [x for x in s.Scanner().scan(text) if x[2] in s.BASE]
-    assert hashlib.sha256(s.joined(spans).encode()).hexdigest() == expected(0, text)[-1]
+    spans = [x for x in sec.Scanner().scan(text) if x[2] in sec.BASE]
+    assert hashlib.sha256(sec.joined(spans).encode()).hexdigest() == expected(0, text)[-1]
 
 
 def github(body: str, valid: bool = True) -> str:
     value, digits = zlib.crc32(body.encode()) + (not valid), ""
     for _ in range(6):
         value, d = divmod(value, 62)
-        digits = s.BASE62[d] + digits
+        digits = sec.BASE62[d] + digits
     return f"ghp_{body}{digits}"
 
 
@@ -57,14 +57,14 @@ def wif(valid: bool = True) -> str:
     n, out = int.from_bytes(data, "big") + (not valid), ""
     while n:
         n, d = divmod(n, 58)
-        out = s.BASE58[d] + out
+        out = sec.BASE58[d] + out
     return out
 
 
 def test_checksums():
     body = "abcdefghijklmnopqrstuvwxyz0123"
     jwt = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (b'{"alg":"none"}', b'{"a":1}', b"signature"))
-    kinds = lambda t: [k for _, _, k in s.Scanner().scan(t) if k not in s.BASE]
+    kinds = lambda t: [k for _, _, k in sec.Scanner().scan(t) if k not in sec.BASE]
     assert kinds(f"x {github(body)} y") == ["github"]
     assert kinds(f"x {github(body, valid=False)} y") == []
     assert kinds(github(body).replace("ghp_", "npm_")) == ["npm"]
@@ -76,7 +76,7 @@ def test_checksums():
 
 
 def test_found_rows(spark):
-    found = s.found_secrets(edge_docs(spark)).where("doc_id = 9").collect()
+    found = sec.found_secrets(edge_docs(spark)).where("doc_id = 9").collect()
     assert {r["kind"] for r in found} == {"assign", "access", "hex"}
     text = dict(inputs(edge_docs(spark)))[9]
     assert all(text[r["start"]:r["end"]] == r["secret"] for r in found)
@@ -88,16 +88,59 @@ def wallet_key(n):
     value, key = int.from_bytes(data, "big"), ""
     while value:
         value, digit = divmod(value, 58)
-        key = s.BASE58[digit] + key
+        key = sec.BASE58[digit] + key
     return key
 
 
 def test_wallet_keywords_and_lists_of_keys():
     keys = [wallet_key(n) for n in range(1, 6)]
-    scan = s.Scanner().scan
+    scan = sec.Scanner().scan
     found = lambda text: [text[a:b] for a, b, kind in scan(text) if kind == "wif"]
     for heading in ("WIF:", "private key:", "Private_Key =", "privkey", "wallet import", "PRIVATEKEY"):
         assert found(f"{heading} {keys[0]} and so on") == keys[:1], heading
     assert found("WIF\n" + "\n".join(f"{n}. {k}" for n, k in enumerate(keys))) == keys
     assert found(f"wif {keys[0][:-1]}1 {keys[1]}") == keys[1:2]  # behind one with a wrong checksum
     assert found(f"wif {keys[0]} {'x ' * 60} {keys[1]}") == keys[:1]
+
+
+def naive_tokens(text):
+    """Web tokens by trying the plain expression at every place."""
+    import re
+    pattern, out, at = re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), [], 0
+    while m := pattern.search(text, at):
+        if sec.json_web_token(m[0]):
+            out.append((m.start(), m.end(), "jwt"))
+        at = m.end()
+    return out
+
+
+def test_web_tokens_against_every_place():
+    import random
+    head = "eyJhbGciOiJub25lIn0"
+    body = "eyJhIjoxfQ"
+    rng, found = random.Random(6), 0
+    for _ in range(4000):
+        text = "".join(rng.choice([f"{head}.{body}.x", f"{head}.{body}", head, body, "eyJ", ".", ".", "x", "-_", " ", "ey", "é"]) for _ in range(rng.randint(1, 14)))
+        want = naive_tokens(text)
+        assert [s for s in sec.Scanner().scan(text) if s[2] == "jwt"] == want, text
+        found += len(want)
+    assert found > 100
+
+
+@pytest.mark.parametrize("unit", ["eyJ", "eyJa.", "eyJeyJ.eyJ", "eyJa.eyJb ", "token", "AKIA", "ghp_", "wif 5", "password=", "api_key "])
+def test_a_million_characters_take_linear_time(unit):
+    import time
+    scanner, text = sec.Scanner(), unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    scanner.scan(text)
+    assert time.process_time() - began < 6
+    if unit == "eyJ":
+        began = time.process_time()
+        scanner.scan(text)
+        assert time.process_time() - began < 1.5
+
+
+def test_deeply_nested_tokens_are_no_secret():
+    import base64
+    deep = base64.urlsafe_b64encode(b'{"a":' * 100_000).decode().rstrip("=")
+    assert sec.json_web_token(f"{deep}.{deep}.x") is False

@@ -6,7 +6,7 @@ import xxhash
 from helpers import all_docs, edge_docs, empty_docs, inputs, rows_of
 
 from carlot.llm import simhash
-from carlot.llm.components import components
+from carlot.llm.components import attached, components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -69,7 +69,7 @@ def planted(n_seeds=40, seed=3):
 @pytest.mark.parametrize("bucket", [simhash.BUCKET, 7])
 def test_links_find_all_components(spark, plan, bucket):
     values = planted()
-    classes = spark.createDataFrame([(int(v),) for v in values.view("i8")], "fp bigint")
+    classes = simhash.with_pivot_rows(spark.createDataFrame([(int(v),) for v in values.view("i8")], "fp bigint"))
     edges = simhash.class_links(classes, 4, plan, bucket)
     found = {r["node"]: r["component"] for r in components(edges).collect()}
     ours = [found.get(int(v), int(v)) for v in values.view("i8")]
@@ -110,3 +110,48 @@ def test_keep_one_row_of_each_component(spark):
     assert out.dtypes == docs.dtypes
     want = [(1, copy), (2, other), (None, nameless), rows[-1]]
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_pivots_discard_pairs():
+    """Of the pairs in a bucket the pivot table leaves few, and no link is lost."""
+    values = planted(400)
+    seen = [0, 0, 0]
+    simhash.bucket_links(np.zeros(len(values), "i8"), values, simhash.pivot_table(values), 4, seen)
+    pairs, left_over, links = seen
+    near = sum(int((np.bitwise_count(values[i + 1:] ^ v) <= 4).sum()) for i, v in enumerate(values))
+    assert pairs == len(values) * (len(values) - 1) // 2 and links == near
+    assert left_over < pairs / 20
+
+
+def test_pivot_rows_are_written_with_the_classes(spark):
+    values = planted(3)
+    rows = simhash.with_pivot_rows(spark.createDataFrame([(int(v), 5) for v in values.view("i8")], "fp bigint, least bigint")).collect()
+    table = simhash.pivot_table(np.array([r["fp"] for r in rows], "i8").view("u8"))
+    assert [r["pivot"] for r in rows] == [bytes(x.tobytes()) for x in table] and {r["least"] for r in rows} == {5}
+    references = simhash.pivots()
+    assert table[0][3] == (int(values[0]) ^ int(references[3])).bit_count()
+
+
+def test_a_hot_key_meets_its_value_in_chunks(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(1000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("i"))
+    values = rows.groupBy("k").agg(F.min("i").alias("m"))
+    out = attached(rows, values, "k", "i")
+    assert out.columns == ["k", "i", "m"]
+    assert {(r.i, r.m) for r in out.collect()} == {(i, 1 if i % 3 else i) if i != 7 else (7, 1) for i in range(1000)}
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sizes = attached(rows, values, "k", "i").rdd.glom().map(len).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 1000 and max(sizes) < 300  # of 667 rows of one key
+
+
+def test_a_star_is_one_component(spark):
+    edges = spark.createDataFrame([(500, i) for i in range(1, 400)] + [(3, 900), (901, 902)], "u bigint, v bigint")
+    found = {r["node"]: r["component"] for r in components(edges).collect()}
+    assert found == {i: 1 for i in [*range(1, 400), 500, 900]} | {901: 901, 902: 901}
