@@ -19,13 +19,17 @@ lines and about one in 10 000 others) go to the exact reference counts, by a joi
 
 Scale: postings are aggregated before the shuffle, so a line that a third of all documents
 hold is a row a task; the join of hits and counts has no aggregate above it on the key, so AQE
-splits hot keys. Filters are broadcast in groups of shards of at most ``FILTER_BYTES``; each
-group reads only its own shards of the postings, so any number of keys is handled exactly.
-Texts are shuffled once, to meet the keys that they lose.
+splits hot keys. The number of shards follows the number of keys (about ``SHARD_KEYS`` each), so each
+filter is built in a task of bounded memory. Filters are broadcast in groups of shards of at most
+``FILTER_BYTES``; each group reads only its own shards of the postings, and a shard whose filter is
+larger than that isn't broadcast: all its postings go to the exact join. Texts are shuffled once, to
+meet the keys that they lose, by their id and hash: rows that share an id, or have none, are dealt
+by their texts.
 
 Edge cases: NULL and empty texts are one empty line; rows that repeat a doc_id count as
-documents of their own; a NULL doc_id counts and never is the largest; an empty table gives an
-empty result.
+documents of their own; a NULL doc_id counts and never is the largest; among holders with the largest
+id (ties) all keep the line; texts and lines of any length are read whole; an empty table gives an
+empty result; extra columns are ignored (``rewrite_documents`` keeps them), whatever their names.
 """
 
 from __future__ import annotations
@@ -36,17 +40,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carlot.llm.common import arrow_map, id_and_text, record_batch, written
 from carlot.session import ship_package
 
-SHARDS = 64
+#: Keys of a shard, about; a filter has two to five bytes a key.
+SHARD_KEYS = 1 << 20
 FILTER_BYTES = 48 << 20
 SLOTS = 4
 WHITE = b" \t\n\x0b\x0c\r"
-KEY = ["shard", "hi", "lo"]
+KEY = ["hi", "lo"]
 
 
 # --- cuckoo filter -------------------------------------------------------------------------
@@ -99,35 +104,57 @@ class CuckooFilter:
 
     def insert(self, keys: np.ndarray) -> bool:
         """False if no free place was found: then the filter must be built anew, larger."""
-        marks, first, second = self.places(keys)
-        for mark, a, b in zip(marks.tolist(), first.tolist(), second.tolist(), strict=True):
-            if not self._place(mark, a, b):
-                return False
-        return True
-
-    def _place(self, mark: int, a: int, b: int) -> bool:
-        table = self.table
+        marks, at, other = self.places(keys)
+        marks, at = self._settle(marks, at, other)
         for turn in range(500):
-            for at in (a, b):
-                free = np.flatnonzero(table[at] == 0)
-                if len(free):
-                    table[at, free[0]] = mark
-                    return True
-            slot = turn % SLOTS  # a mark moves out to its other bucket
-            mark, table[b, slot] = int(table[b, slot]), mark
-            a = b
-            b = int(self.other(np.array([mark], np.uint16), np.array([a]))[0])
+            if not len(marks):
+                return True
+            # marks that found both buckets full: one a bucket takes the place of a mark that stands
+            # there, which moves on to its other bucket; the rest wait
+            _, one = np.unique(at, return_index=True)
+            slot = turn % SLOTS
+            out = self.table[at[one], slot].copy()
+            self.table[at[one], slot] = marks[one]
+            waiting = np.ones(len(marks), bool)
+            waiting[one] = False
+            marks = np.concatenate((out, marks[waiting]))
+            at = np.concatenate((self.other(out, at[one]), at[waiting]))
+            marks, at = self._settle(marks, at, self.other(marks, at))
         return False
 
+    def _settle(self, marks: np.ndarray, at: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Put marks into free places of one bucket or the other; those left over, each at its other bucket."""
+        for _ in range(2):
+            left = self._put(marks, at)
+            marks, at, other = marks[left], other[left], at[left]
+        return marks, other
+
+    def _put(self, marks: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Fill the free places of buckets; which marks found none."""
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        nth = np.arange(len(at)) - np.searchsorted(at, at)  # among the marks of the same bucket
+        free = self.table[at] == 0
+        fits = free & (np.cumsum(free, axis=1) == nth[:, None] + 1)
+        row, slot = np.nonzero(fits)
+        self.table[at[row], slot] = marks[order][row]
+        left = np.ones(len(at), bool)
+        left[order[row]] = False
+        return np.flatnonzero(left)
+
     def delete(self, keys: np.ndarray) -> None:
         """Take out keys that are in the filter."""
-        marks, first, second = self.places(keys)
-        for mark, a, b in zip(marks.tolist(), first.tolist(), second.tolist(), strict=True):
-            for at in (a, b):
-                held = np.flatnonzero(self.table[at] == mark)
-                if len(held):
-                    self.table[at, held[0]] = 0
-                    break
+        marks, at, other = self.places(keys)
+        for _ in range(2):
+            order = np.lexsort((marks, at))
+            same = at[order] * (1 << 16) + marks[order]
+            nth = np.arange(len(same)) - np.searchsorted(same, same)  # among equal marks of a bucket
+            held = self.table[at[order]] == marks[order][:, None]
+            row, slot = np.nonzero(held & (np.cumsum(held, axis=1) == nth[:, None] + 1))
+            self.table[at[order][row], slot] = 0
+            left = np.ones(len(at), bool)
+            left[order[row]] = False
+            marks, at, other = marks[left], other[left], at[left]
 
 
 # --- lines ---------------------------------------------------------------------------------
@@ -144,11 +171,17 @@ def digest_of(key: bytes) -> bytes:
     return xxhash.xxh3_128_digest(key)
 
 
-def postings(docs: DataFrame, min_chars: int, shards: int = SHARDS) -> DataFrame:
-    """(shard, hi, lo, doc_id): one row a document and distinct key of ``min_chars`` or more."""
-    texts = id_and_text(docs)
+def text_hash(text: str | Column) -> Column:
+    """What tells rows with one id apart."""
+    return F.xxhash64(text)
+
+
+def postings(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(hi, lo, doc_id, row): one row a document and distinct key of ``min_chars`` or more; ``row`` is
+    the document's text hash."""
+    texts = id_and_text(docs).withColumn("row", text_hash("text"))
     id_kind = texts.schema["doc_id"].dataType.simpleString()
-    fields = [("shard", "int"), ("hi", "bigint"), ("lo", "bigint"), ("doc_id", id_kind)]
+    fields = [("hi", "bigint"), ("lo", "bigint"), ("doc_id", id_kind), ("row", "bigint")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,14 +193,14 @@ def postings(docs: DataFrame, min_chars: int, shards: int = SHARDS) -> DataFrame
                     found += keys
                     rows += [row] * len(keys)
                 halves = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
-                shard = (halves[:, 0].view("u8") % np.uint64(shards)).astype("i4")
-                yield record_batch([shard, halves[:, 0], halves[:, 1], part.column(0).take(pa.array(rows, pa.int64()))], fields)
+                rows = pa.array(rows, pa.int64())
+                yield record_batch([halves[:, 0], halves[:, 1], part.column(0).take(rows), part.column(2).take(rows)], fields)
 
     return arrow_map(texts, run, fields)
 
 
 def reference_counts(held: DataFrame) -> DataFrame:
-    """(shard, hi, lo, n, keeper): documents that hold a key, and the largest of them."""
+    """(hi, lo, n, keeper): documents that hold a key, and the largest of them."""
     return held.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
 
 
@@ -179,11 +212,20 @@ class LineIndex:
     postings: DataFrame
     shared: DataFrame
     filters: DataFrame
+    shards: int
     min_chars: int
     min_docs: int
 
 
-def _filters(keys: DataFrame) -> DataFrame:
+def shards_for(keys: int) -> int:
+    return max(1, -(-keys // SHARD_KEYS))
+
+
+def in_shards(keys: DataFrame, shards: int) -> DataFrame:
+    return keys.withColumn("shard", F.pmod("hi", F.lit(shards)).cast("int"))
+
+
+def _filters(keys: DataFrame, shards: int) -> DataFrame:
     """(shard, keys, cuckoo): a filter of the distinct keys of each shard, built in its own task."""
     fields = [("shard", "int"), ("keys", "bigint"), ("cuckoo", "binary")]
 
@@ -197,7 +239,7 @@ def _filters(keys: DataFrame) -> DataFrame:
             marks = np.concatenate(parts).view("u8")
             yield record_batch([[s], [len(marks)], [CuckooFilter.of(marks).dump()]], fields)
 
-    return arrow_map(keys.select(*KEY).repartition("shard"), build, fields)
+    return arrow_map(in_shards(keys, shards).select("shard", *KEY).repartition("shard"), build, fields)
 
 
 def build_index(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> LineIndex:
@@ -207,7 +249,8 @@ def build_index(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Line
 
 def _indexed(held: DataFrame, min_chars: int, min_docs: int) -> LineIndex:
     shared = written(reference_counts(held).where(F.col("n") >= min_docs), "line-counts")
-    return LineIndex(held, shared, written(_filters(shared), "line-filters"), min_chars, min_docs)
+    shards = shards_for(shared.count())
+    return LineIndex(held, shared, written(_filters(shared, shards), "line-filters"), shards, min_chars, min_docs)
 
 
 def insert_documents(index: LineIndex, docs: DataFrame) -> LineIndex:
@@ -219,8 +262,8 @@ def insert_documents(index: LineIndex, docs: DataFrame) -> LineIndex:
 def delete_documents(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
     """The index without the documents whose ids are the column ``doc_id`` of ``doc_ids``."""
     gone = doc_ids.select("doc_id").distinct()
-    old = written(index.postings.join(gone, "doc_id", "left_semi").select(*KEY, "doc_id"), "line-deleted")
-    return _changed(index, written(index.postings.join(gone, "doc_id", "left_anti").select(*KEY, "doc_id"), "line-postings"), old)
+    old = written(index.postings.join(gone, "doc_id", "left_semi").select(*KEY, "doc_id", "row"), "line-deleted")
+    return _changed(index, written(index.postings.join(gone, "doc_id", "left_anti").select(*KEY, "doc_id", "row"), "line-postings"), old)
 
 
 def _changed(index: LineIndex, held: DataFrame, delta: DataFrame) -> LineIndex:
@@ -228,6 +271,9 @@ def _changed(index: LineIndex, held: DataFrame, delta: DataFrame) -> LineIndex:
     touched = delta.select(*KEY).distinct()
     counted = reference_counts(held.join(touched, KEY, "left_semi")).where(F.col("n") >= index.min_docs)
     shared = written(index.shared.join(touched, KEY, "left_anti").unionByName(counted), "line-counts")
+    shards = shards_for(shared.count())
+    if not shards / 2 <= index.shards <= 2 * shards:  # other shards: all filters are built anew
+        return LineIndex(held, shared, written(_filters(shared, shards), "line-filters"), shards, index.min_chars, index.min_docs)
     added = shared.join(index.shared, KEY, "left_anti").select(*KEY, F.lit(1).alias("change"))
     dropped = index.shared.join(shared, KEY, "left_anti").select(*KEY, F.lit(-1).alias("change"))
 
@@ -242,34 +288,39 @@ def _changed(index: LineIndex, held: DataFrame, delta: DataFrame) -> LineIndex:
         data = filled.dump() if n <= 0.9 * filled.table.size and filled.insert(plus) else None
         return pd.DataFrame({"shard": [key[0]], "keys": [n], "cuckoo": [data]})
 
-    moved = added.unionByName(dropped)
+    moved = in_shards(added.unionByName(dropped), index.shards)
     filters = written(index.filters.groupBy("shard").cogroup(moved.groupBy("shard")).applyInPandas(
         change, "shard int, keys bigint, cuckoo binary"), "line-filters")
-    full = filters.where("cuckoo is null").select("shard")
-    rebuilt = _filters(shared.join(F.broadcast(full), "shard", "left_semi"))  # at most SHARDS rows
+    full = [r["shard"] for r in filters.where("cuckoo is null").select("shard").collect()]  # numbers of shards
+    rebuilt = _filters(in_shards(shared, index.shards).where(F.col("shard").isin(full)), index.shards)
     filters = written(filters.where("cuckoo is not null").unionByName(rebuilt), "line-filters")
-    return LineIndex(held, shared, filters, index.min_chars, index.min_docs)
+    return LineIndex(held, shared, filters, index.shards, index.min_chars, index.min_docs)
 
 
 # --- dropping ------------------------------------------------------------------------------
 
 def candidate_hits(index: LineIndex, held: DataFrame) -> DataFrame:
-    """Postings whose key is in its shard's filter: all shared keys, few others."""
+    """Postings whose key is in its shard's filter: all shared keys, few others. Shards whose filter is
+    too large to be broadcast pass all their postings."""
     spark = held.sparkSession
     sizes = index.filters.select("shard", F.length("cuckoo").alias("bytes")).orderBy("shard").collect()  # one row a shard
-    groups, room = [], 0
+    groups, large, room = [], [], 0
     for row in sizes:
+        if row["bytes"] > FILTER_BYTES:
+            large.append(row["shard"])
+            continue
         if not groups or room + row["bytes"] > FILTER_BYTES:
             groups.append([])
             room = 0
         groups[-1].append(row["shard"])
         room += row["bytes"]
     id_kind = held.schema["doc_id"].dataType.simpleString()
-    fields = [("shard", "int"), ("hi", "bigint"), ("lo", "bigint"), ("doc_id", id_kind)]
-    parts = []
+    fields = [("shard", "int"), ("hi", "bigint"), ("lo", "bigint"), ("doc_id", id_kind), ("row", "bigint")]
+    dealt = in_shards(held, index.shards).select(*(name for name, _ in fields))
+    parts = [dealt.where(F.col("shard").isin(large))]
     for shards in groups:
         rows = index.filters.where(F.col("shard").isin(shards)).collect()
-        shared = spark.sparkContext.broadcast({r["shard"]: bytes(r["cuckoo"]) for r in rows})
+        shared = spark.sparkContext.broadcast({r["shard"]: bytes(r["cuckoo"]) for r in rows})  # at most FILTER_BYTES
 
         def probe(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             loaded: dict[int, CuckooFilter] = {}
@@ -283,9 +334,7 @@ def candidate_hits(index: LineIndex, held: DataFrame) -> DataFrame:
                     hit[at] = loaded[s].contains((hi[at] ^ lo[at]).view("u8"))
                 yield batch.filter(pa.array(hit))
 
-        parts.append(arrow_map(held.where(F.col("shard").isin(shards)).select(*KEY, "doc_id"), probe, fields))
-    if not parts:
-        return held.limit(0)
+        parts.append(arrow_map(dealt.where(F.col("shard").isin(shards)), probe, fields))
     hits = parts[0]
     for part in parts[1:]:
         hits = hits.unionByName(part)
@@ -293,11 +342,11 @@ def candidate_hits(index: LineIndex, held: DataFrame) -> DataFrame:
 
 
 def lost_keys(index: LineIndex, held: DataFrame) -> DataFrame:
-    """(doc_id, lost): digests of the keys whose lines a document loses, as one binary."""
+    """(doc_id, row, lost): digests of the keys whose lines a document loses."""
     exact = (candidate_hits(index, held).join(index.shared.select(*KEY, "keeper"), KEY)
              .where(~F.col("doc_id").eqNullSafe(F.col("keeper"))))
     keys = F.collect_set(F.struct("hi", "lo"))
-    return exact.groupBy("doc_id").agg(F.flatten(F.transform(keys, lambda k: F.array(k["hi"], k["lo"]))).alias("lost"))
+    return exact.groupBy("doc_id", "row").agg(F.flatten(F.transform(keys, lambda k: F.array(k["hi"], k["lo"]))).alias("lost"))
 
 
 def kept_lines(min_chars: int):
@@ -322,29 +371,34 @@ def kept_lines(min_chars: int):
     return cut
 
 
-def _cut(docs: DataFrame, index: LineIndex | None, min_chars: int, min_docs: int) -> DataFrame:
-    """``docs`` with the struct ``__cut``."""
+def _cut(docs: DataFrame, index: LineIndex | None, min_chars: int, min_docs: int) -> tuple[DataFrame, str]:
+    """``docs`` with a struct of what ``kept_lines`` gives, and the name of its column."""
     index = index or build_index(docs, min_chars, min_docs)
-    lost = lost_keys(index, index.postings).select(F.col("doc_id").alias("__id"), F.col("lost").alias("__lost"))
+    own = "cut"
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
+    doc, row, gone = f"{own}id", f"{own}row", f"{own}lost"
+    lost = lost_keys(index, index.postings).select(F.col("doc_id").alias(doc), F.col("row").alias(row), F.col("lost").alias(gone))
     ship_package(docs.sparkSession)
-    joined = docs.join(lost, docs["doc_id"].eqNullSafe(F.col("__id")), "left")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    return joined.withColumn("__cut", kept_lines(index.min_chars)(text, F.col("__lost"))).drop("__id", "__lost")
+    joined = docs.join(lost, docs["doc_id"].eqNullSafe(F.col(doc)) & (text_hash(text) == F.col(row)), "left")
+    return joined.withColumn(own, kept_lines(index.min_chars)(text, F.col(gone))).drop(doc, row, gone), own
 
 
 def dedup_lines(docs: DataFrame, index: LineIndex | None = None, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped, kept_text.
 
     With an ``index`` the documents must be among its own; without one it is built from them."""
-    return _cut(docs, index, min_chars, min_docs).select("doc_id", "__cut.*")
+    cut, own = _cut(docs, index, min_chars, min_docs)
+    return cut.select("doc_id", f"{own}.*")
 
 
 def rewrite_documents(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs`` with all its columns: shared lines are gone from ``text``, ``n_chars`` follows."""
-    cut = _cut(docs, None, min_chars, min_docs)
-    new = {"text": F.col("__cut.kept_text"), "n_chars": F.char_length("__cut.kept_text").cast("bigint")}
+    cut, own = _cut(docs, None, min_chars, min_docs)
+    new = {"text": F.col(f"{own}.kept_text"), "n_chars": F.char_length(f"{own}.kept_text").cast("bigint")}
     kinds = dict(docs.dtypes)
-    return cut.select(*[new[c].cast(kinds[c]).alias(c) if c in new else F.col(c) for c in docs.columns])
+    return cut.select(*[new[c].cast(kinds[c]).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
 def line_digests(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:

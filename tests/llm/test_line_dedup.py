@@ -33,13 +33,49 @@ def test_against_brute_force(spark, table):
     assert rows_of(ld.line_digests(docs)) == expected(inputs(docs))
 
 
-def test_filter_groups(spark, monkeypatch):
-    """More filters than one broadcast holds: each group of shards is worked off."""
-    monkeypatch.setattr(ld, "FILTER_BYTES", 16)
+@pytest.mark.parametrize("limit", [1 << 20, 64, 4])
+def test_filter_groups(spark, monkeypatch, limit):
+    """More filters than one broadcast holds: each group of shards is worked off, and shards whose
+    filter alone is larger go to the exact join as they are."""
+    monkeypatch.setattr(ld, "FILTER_BYTES", limit)
+    monkeypatch.setattr(ld, "SHARD_KEYS", 5)
     docs = all_docs(spark)
+    index = ld.build_index(docs)
+    sizes = [r["n"] for r in index.filters.select(F.length("cuckoo").alias("n")).collect()]
+    assert index.shards > 3 and (max(sizes) > limit) == (limit < 64)
     assert rows_of(ld.line_digests(docs)) == expected(inputs(docs))
 
 
+def test_shards_follow_the_keys(spark, monkeypatch):
+    monkeypatch.setattr(ld, "SHARD_KEYS", 5)
+    docs = all_docs(spark)
+    first = ld.build_index(docs.where("doc_id < 40"))
+    grown = ld.insert_documents(first, docs.where("doc_id >= 40"))
+    assert grown.shards > 2 * first.shards
+    digests = ld.dedup_lines(docs, grown).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256))
+    assert rows_of(digests) == expected(inputs(docs))
+
+
+def test_columns_named_like_its_own(spark):
+    """Every name that the operator uses itself may be a column of the documents."""
+    names = ["__id", "__lost", "__cut", "cut", "cutid", "cutrow", "cutlost", "cut_", "row", "hi", "lo", "shard", "n", "keeper", "lost",
+             "cuckoo", "keys", "change", "n_lines", "n_dropped", "kept_text", "kept_sha256"]
+    docs = edge_docs(spark)
+    wide = docs.select("doc_id", "text", "n_chars", *[F.lit("x").alias(c) for c in names])
+    assert rows_of(ld.line_digests(wide)) == rows_of(ld.line_digests(docs))
+    out = ld.rewrite_documents(wide)
+    assert out.columns == wide.columns and {r["cut"] for r in out.collect()} == {"x"}
+    want = rows_of(ld.rewrite_documents(docs).select("doc_id", "text"))
+    assert rows_of(out.select("doc_id", "text")) == want
+
+
+def test_rows_that_share_an_id_lose_their_own_lines(spark):
+    other = "another line that is long enough to count"
+    rows = [(None, f"{LINE}\na"), (None, f"{other}\nb"), (None, f"c\n{LINE}\n{other}"), (4, LINE), (4, f"{other}\nd"), (4, f"{other}\nd"),
+            (6, LINE), (6, "short"), (7, other)]
+    assert rows_of(ld.line_digests(edge_docs(spark, rows))) == expected(rows)
+
+
 def test_empty_table(spark):
     assert rows_of(ld.line_digests(empty_docs(spark))) == []
 
@@ -82,6 +118,23 @@ def test_cuckoo_filter():
     assert ld.CuckooFilter.load(f.dump()).contains(keys[2500:]).all()
 
 
+def test_cuckoo_filter_one_by_one():
+    """Small filters, full ones and equal marks: what is in is found, what is taken out once is gone once."""
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 3, 4, 5, 40, 333):
+        keys = rng.integers(0, 1 << 64, n, dtype="u8")
+        keys = np.concatenate((keys, keys[:n // 3]))  # twice
+        f = ld.CuckooFilter.of(keys)
+        assert f.contains(keys).all() and (f.table != 0).sum() == len(keys)
+        f.delete(keys[n:])
+        assert f.contains(keys[:n]).all() and (f.table != 0).sum() == n
+        f.delete(keys[:n])
+        assert not f.table.any()
+        assert f.insert(keys[:n]) and f.contains(keys[:n]).all()
+    tight = ld.CuckooFilter(np.zeros((2, ld.SLOTS), np.uint16))
+    assert not tight.insert(rng.integers(0, 1 << 64, 9, dtype="u8"))
+
+
 def test_shared_line_of_repeated_rows(spark):
     rows = [(1, LINE), (1, LINE), (2, f"{LINE}\nx")]
     assert rows_of(ld.line_digests(edge_docs(spark, rows))) == expected(rows)
