@@ -124,32 +124,47 @@ FROM d LEFT JOIN j USING (doc_id)
 """
 
 
+#: What Python counts as white space, in RE2's syntax.
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
 def _licenses_sql() -> str:
-    known = ", ".join(f"('{s}', '{name}')" for s, name in licenses.IDENTIFIERS.items())
+    """Known sentences of consecutive pieces, the longest first, then the rules over their identifiers."""
+    known = []
+    for sentence, name in licenses.IDENTIFIERS.items():
+        words = sentence.split(" ")
+        names = words.count("*")
+        pattern = " ".join(f"[a-z0-9]+(?: [a-z0-9]+){{0,{licenses.NAME_WORDS - 1}}}" if w == "*" else w for w in words)
+        known.append(f"('{words[0]}', '{pattern}', {len(words)}, {len(words) + names * (licenses.NAME_WORDS - 1)}, '{name}')")
     rules = [("".join(f"{i}," for i in sequence), name) for name, sequence in licenses.RULES]
     case = " ".join(f"WHEN '{sequence}' THEN '{name}'" for sequence, name in rules)
-    pattern = "|".join([*(sequence for sequence, _ in rules), "[^,]+,"])
-    normalised = (r"trim(regexp_replace(lower(regexp_replace({x}, '(?m)^[ \t]*(?:[#/*;>-]+|\(?[0-9a-z][.)])[ \t]+', ' ', 'g')), "
-                  r"'[^a-z0-9]+', ' ', 'g'))")
+    pattern = "|".join([*(sequence.replace(".", "[.]") for sequence, _ in rules), "[^,]+,"])
     return f"""
-WITH known(sentence, name) AS (VALUES {known}),
-d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-s AS (SELECT doc_id, i, parts[i] AS part FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (
-        SELECT doc_id, regexp_split_to_array(text, '[.!?;:]\\s|\\n[\\s#/*;-]*\\n') AS parts FROM d))),
-whole AS (SELECT s.*, known.name FROM s LEFT JOIN known ON known.sentence = {normalised.format(x='part')}),
-lines AS (SELECT doc_id, i, l, rows[l] AS part FROM (SELECT doc_id, i, rows, unnest(range(1, len(rows) + 1)) AS l FROM (
-        SELECT doc_id, i, string_split(part, chr(10)) AS rows FROM whole WHERE name IS NULL AND contains(part, chr(10))))),
-ids AS (SELECT doc_id, i, 0 AS l, name FROM whole WHERE name IS NOT NULL
-        UNION ALL SELECT doc_id, i, l, known.name FROM lines JOIN known ON known.sentence = {normalised.format(x='part')}),
-seq AS (SELECT doc_id, count(*) AS n, string_agg(name || ',', '' ORDER BY i, l) AS seq FROM ids GROUP BY doc_id),
-hit AS (SELECT doc_id, k, CASE toks[k] {case} END AS name FROM (
-        SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS k FROM (SELECT doc_id, regexp_extract_all(seq, '{pattern}') AS toks FROM seq))),
-first AS (SELECT doc_id, name, min(k) AS k FROM hit WHERE name IS NOT NULL GROUP BY ALL),
-named AS (SELECT doc_id, string_agg(name, ';' ORDER BY k) AS licenses FROM first GROUP BY doc_id),
-loose AS (SELECT doc_id, count(*) AS n_loose FROM hit WHERE name IS NULL GROUP BY doc_id)
+WITH RECURSIVE known(word, pattern, least, most, name) AS (VALUES {", ".join(known)}),
+d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT r, unnest(range(1, len(parts) + 1)) AS i, parts FROM (
+  SELECT r, string_split(regexp_replace(lower(text), '[.!?;:]({_SPACE})', chr(10) || '\\1', 'g'), chr(10)) AS parts FROM d)),
+normal AS (SELECT r, i, trim(regexp_replace(regexp_replace(parts[i], '^[^a-z0-9]*[0-9a-z]\\)[ \\t]', ''), '[^a-z0-9]+', ' ', 'g')) AS p FROM cut),
+piece AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY i) AS i, p, len(string_split(p, ' ')) AS n FROM normal WHERE p <> ''),
+whole AS (SELECT *, sum(n) OVER (PARTITION BY r ORDER BY i) AS upto FROM piece),
+line AS (SELECT r, list(p ORDER BY i) AS ps FROM piece GROUP BY r),
+may AS (SELECT a.r, a.i, b.i AS k, known.pattern, known.name FROM whole a JOIN known ON known.word = string_split(a.p, ' ')[1]
+        JOIN whole b ON b.r = a.r AND b.i >= a.i AND b.upto - a.upto + a.n BETWEEN known.least AND known.most),
+hit AS (SELECT may.r, may.i, max(may.k) AS k, arg_max(may.name, may.k) AS name FROM may JOIN line ON line.r = may.r
+        WHERE regexp_full_match(array_to_string(ps[may.i:may.k], ' '), may.pattern) GROUP BY may.r, may.i),
+after AS (SELECT h.r, h.i, h.k, h.name, min(g.i) AS next FROM hit h LEFT JOIN hit g ON g.r = h.r AND g.i > h.k GROUP BY ALL),
+taken(r, i, name, next) AS (
+  SELECT r, i, name, next FROM after WHERE (r, i) IN (SELECT (r, min(i)) FROM hit GROUP BY r)
+  UNION ALL SELECT a.r, a.i, a.name, a.next FROM taken t JOIN after a ON a.r = t.r AND a.i = t.next),
+seq AS (SELECT r, count(*) AS n, string_agg(name || ',', '' ORDER BY i) AS seq FROM taken GROUP BY r),
+rule AS (SELECT r, k, CASE toks[k] {case} END AS name FROM (
+        SELECT r, toks, unnest(range(1, len(toks) + 1)) AS k FROM (SELECT r, regexp_extract_all(seq, '{pattern}') AS toks FROM seq))),
+first AS (SELECT r, name, min(k) AS k FROM rule WHERE name IS NOT NULL GROUP BY ALL),
+named AS (SELECT r, string_agg(name, ';' ORDER BY k) AS licenses FROM first GROUP BY r),
+loose AS (SELECT r, count(*) AS n_loose FROM rule WHERE name IS NULL GROUP BY r)
 SELECT d.doc_id, coalesce(seq.n, 0) AS n_sentences, coalesce(loose.n_loose, 0) AS n_loose, coalesce(named.licenses, '') AS licenses,
        coalesce(rtrim(seq.seq, ','), '') AS sentence_ids
-FROM d LEFT JOIN seq ON d.doc_id = seq.doc_id LEFT JOIN named ON d.doc_id = named.doc_id LEFT JOIN loose ON d.doc_id = loose.doc_id
+FROM d LEFT JOIN seq ON d.r = seq.r LEFT JOIN named ON d.r = named.r LEFT JOIN loose ON d.r = loose.r
 """
 
 
