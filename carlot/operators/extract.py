@@ -8,6 +8,7 @@ prices, resolution — is native column work.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
@@ -193,6 +194,33 @@ def html_cards(pages: DataFrame, layout: int = 1, href_marker: str = "/offres/",
     return src.mapInPandas(run, schema)
 
 
+#: A page's cards as one JSON text (``page_card_lists``).
+CARD_LIST = "array<struct<attrs:map<string,string>,text:string,img:string,href:string,error:string>>"
+
+
+def page_card_lists(pages: DataFrame, layout: int, markers: Sequence[str], href_marker: str = "/offres/") -> DataFrame:
+    """(crawl, page_num, blocked, n_cards, cards): one row a page, for stateful streams. ``n_cards``
+    counts the cards that could be read; ``cards`` is a JSON text of all (``CARD_LIST``)."""
+    ship_package(pages.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [parse_cards(html, layout, href_marker) for html in pdf["html"]]
+            lists = [json.dumps([{k: c[k] for k in ("attrs", "text", "img", "href", "error")} for c in cards]) for cards in found]
+            yield pd.DataFrame({"crawl": pdf["crawl"], "page_num": pdf["page_num"], "blocked": pdf["blocked"],
+                                "n_cards": [sum(c["error"] is None for c in cards) for cards in found], "cards": lists})
+
+    given = pages.select("crawl", F.col("page_num").cast("int").alias("page_num"), "html", is_blocked_page("html", markers).alias("blocked"))
+    return given.mapInPandas(run, "crawl string, page_num int, blocked boolean, n_cards int, cards string")
+
+
+def listed_cards(lists: DataFrame) -> DataFrame:
+    """The cards of ``page_card_lists`` as ``html_cards`` gives them, with ``crawl`` and ``page_num``."""
+    page = ["crawl", "page_num"]
+    each = lists.select(*page, F.xxhash64(*page).alias("page_id"), F.posexplode(F.from_json("cards", CARD_LIST)).alias("card_pos", "card"))
+    return each.select(*page, "page_id", "card_pos", "card.*")
+
+
 def _inline_to_space() -> tuple[str, str]:
     chars = "".join(ch for ch in whitespace_chars() if ch not in LINE_BREAK_CHARS)
     return chars, " " * len(chars)

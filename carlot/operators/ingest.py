@@ -9,7 +9,7 @@ insert-if-absent join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,14 +133,36 @@ def best_roles(scores: DataFrame) -> DataFrame:
             .select("role", F.col("b.field").alias("field"), F.col("b.hits").alias("hits")))
 
 
+def decided_roles(items: DataFrame, prefix: str = "text-body-2") -> dict[str, str] | None:
+    """The ≤ 3-row mapping of roles to columns; None while year or mileage is undetected."""
+    if not any(c.startswith(prefix) for c in items.columns):
+        return None
+    mapping = {r["role"]: r["field"] for r in best_roles(field_role_scores(items, prefix)).collect()}
+    return mapping if "annee" in mapping and "km" in mapping else None
+
+
 def detect_roles(items: DataFrame, prefix: str = "text-body-2") -> dict[str, str]:
     """F3 — collect the ≤ 3-row mapping; abort when year or mileage is undetected."""
-    mapping = {r["role"]: r["field"] for r in best_roles(field_role_scores(items, prefix)).collect()}
-    if "annee" not in mapping or "km" not in mapping:
-        raise ValueError(f"year/mileage columns not detected (got {mapping})")
+    mapping = decided_roles(items, prefix)
+    if mapping is None:
+        raise ValueError("year/mileage columns not detected")
     return mapping
 
 
+#: Fields of a dump item that an import reads besides those of its roles.
+DUMP_FIELDS = ("text-body-1", "text-callout", "text-success", "absolute href", "absolute src")
+
+
+def field_columns(items: DataFrame, fields: Iterable[str] | None = None, prefix: str = "text-body-2") -> DataFrame:
+    """Items ``(_file, _pos, item map<string,string>)`` with a column for each field that an import reads;
+    ``fields`` are the columns of the roles, by default all that occur with ``prefix``."""
+    if fields is None:
+        names = items.select(F.explode(F.map_keys("item")).alias("k")).where(F.col("k").startswith(prefix)).distinct()
+        fields = sorted(r["k"] for r in names.collect())  # names of fields
+    wanted = [*dict.fromkeys([*fields, *DUMP_FIELDS])]
+    return items.select("_file", "_pos", *[F.col("item")[c].alias(c) for c in wanted])
+
+
 def dump_rows(items: DataFrame, mapping: dict[str, str], brands: DataFrame, words: DataFrame,
               source: str = "leboncoin", seen_at: Column | None = None,
               title_col: str = "text-body-1", price_cols: Sequence[str] = ("text-callout", "text-success"),

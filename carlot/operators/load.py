@@ -57,14 +57,20 @@ def crawl(pages: DataFrame, layout: int, base_url: str, source: str, max_pages:
     stop = F.col("_blocked") | F.col("_cards").isNull()
     visited = lambda inclusive: crawl_prefix(seen, "crawl", "page_num", stop, first_page=1, inclusive=inclusive)
     failed = cards.where(~good).join(visited(True).where(~F.col("_blocked")).select("page_id"), "page_id", "left_semi")
-    failed = failed.select(*PLACE, F.lit(None).cast("string").alias("lien"), F.concat(F.lit("carte_illisible: "), "error").alias("reason"))
     cards = cards.where(good).join(visited(False).select("page_id"), "page_id", "left_semi")
+    if layout == 1 and links_by_guid:
+        cards = with_guid_links(cards, guid_links(page_anchors(keyed), href_marker))
+    return card_listings(cards, failed, layout, base_url, source, href_marker)
+
+
+def card_listings(cards: DataFrame, failed: DataFrame, layout: int, base_url: str, source: str,
+                  href_marker: str = "/offres/") -> Crawled:
+    """Listings of good cards; rejects from cards that failed and listings that can't be typed."""
     if layout == 2:
         listings = cards_to_listing_b(cards, base_url, source=source, keep=PAGE)
     else:
-        if links_by_guid:
-            cards = with_guid_links(cards, guid_links(page_anchors(keyed), href_marker))
         listings = cards_to_listing_a(cards, base_url, source=source, href_marker=href_marker, keep=PAGE)
+    failed = failed.select(*PLACE, F.lit(None).cast("string").alias("lien"), F.concat(F.lit("carte_illisible: "), "error").alias("reason"))
     typed, untyped = split_rejects(cut_lineage(listings), {"prix_illisible": unreadable_price("prix")})
     return Crawled(typed, failed.unionByName(untyped.select(*PLACE, "lien", "reason")))
 

@@ -51,6 +51,12 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a complete table stands at ``path``, on any file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_counted(df: DataFrame, path: str) -> dict[str, int]:
     """F6 — write rows with ``_status`` and ``_sent`` to ``path`` (without these two) and return the
     counters of the run. They are observed by the writing job's last stage itself, so there is no
