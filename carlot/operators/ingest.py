@@ -20,22 +20,20 @@ from carlot.functions.numbers import digits_to_long, first_nonzero, is_year_like
 from carlot.functions.text import WS, pystrip, repair_encoding
 from carlot.operators.store import insert_absent
 from carlot.session import bounded_broadcast, cut_lineage, sized_broadcast
+from carlot.sources.json_arrays import array_items, text_fields
 
 ROLES = ("annee", "km", "carburant")
 
 
 def read_dumps(spark, paths: Sequence[str] | str) -> DataFrame:
     """A1 — JSON-array dump files, every value as text, with the place of each item: ``_file``
-    (place of its path among ``paths``, file name) and ``_pos``, in the order in which the
-    files are given and read.
-
-    A multi-line JSON file is read whole by one task, so the generated id increases in
-    item order inside a file and is the same on a recomputation."""
+    (place of its path among ``paths``, file name) and ``_pos`` (split, number in it), in the order
+    in which the files are given and read. A file is read by as many tasks as it has splits."""
     out = None
     for i, path in enumerate([paths] if isinstance(paths, str) else paths):
-        items = (spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
-                 .withColumn("_file", F.struct(F.lit(i).alias("place"), F.input_file_name().alias("name")))
-                 .withColumn("_pos", F.monotonically_increasing_id()))
+        items = array_items(spark, path).withColumns({
+            "_file": F.struct(F.lit(i).alias("place"), "name"), "_pos": F.struct("block", "nth")})
+        items = text_fields(items, ["_file", "_pos"])
         out = items if out is None else out.unionByName(items, allowMissingColumns=True)
     return out
 

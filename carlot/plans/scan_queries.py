@@ -44,12 +44,18 @@ def store_count(spark, sf):
 STORE_COUNT_SQL = f"SELECT CAST(count(*) AS BIGINT) AS n FROM ({sql_store_from_events()}) s WHERE prix > 50"
 
 
+def _array_texts(p, item):
+    """JSON arrays of a thousand items each, by ranges of the key."""
+    groups = p.groupBy(F.floor(F.col("p_partkey") / 1000)).agg(F.collect_list(item).alias("x"))
+    return groups.select(F.to_json("x").alias("value"))
+
+
 def saved_listings(spark, sf):
     """A8 — saved JSON arrays of listings, tagged with their source."""
     path = shared_scratch_dir(spark, "saved")
     p = table(spark, sf, "part")
-    arrays = p.groupBy(F.col("p_partkey") % 16).agg(F.collect_list(F.struct("p_partkey", "p_name", "p_brand")).alias("x"))
-    arrays.select(F.to_json("x").alias("value")).repartition(16).write.option("lineSep", "\n").text(path)
+    arrays = _array_texts(p, F.struct("p_partkey", "p_name", "p_brand"))
+    arrays.write.text(path)
     return read_saved_listings(spark, path, "saved").select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", "p_brand", "source")
 
 
@@ -69,8 +75,8 @@ PAGE_SCAN_SQL = "SELECT page_id, url, md5(html) AS html_md5 FROM pages"
 def sheet_scan(spark, sf):
     """A10 — link column of an exported sheet with row numbers."""
     path = shared_scratch_dir(spark, "sheet")
-    rows = table(spark, sf, "pages").select("page_id", F.col("url").alias("lien")).orderBy("page_id")
-    rows.coalesce(1).sortWithinPartitions("page_id").write.option("header", True).csv(path)
+    rows = table(spark, sf, "pages").select("page_id", F.col("url").alias("lien"))
+    rows.repartitionByRange("page_id").sortWithinPartitions("page_id").write.option("header", True).csv(path)
     return read_sheet_links(spark, path)
 
 
@@ -81,9 +87,8 @@ def dump_scan(spark, sf):
     """A1 — JSON-array dumps, every value as text."""
     path = shared_scratch_dir(spark, "dumps")
     p = table(spark, sf, "part")
-    arrays = p.groupBy(F.col("p_partkey") % 8).agg(F.collect_list(F.struct(
-        F.col("p_partkey").alias("absolute href"), F.col("p_size").alias("text-body-2a"), F.col("p_name").alias("text-body-1"))).alias("x"))
-    arrays.select(F.to_json("x").alias("value")).repartition(8).write.text(path)
+    _array_texts(p, F.struct(F.col("p_partkey").alias("absolute href"), F.col("p_size").alias("text-body-2a"),
+                             F.col("p_name").alias("text-body-1"))).write.text(path)
     return read_dumps(spark, path).select("absolute href", "text-body-1", "text-body-2a")
 
 

@@ -12,6 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from carlot.session import shared_scratch_dir
+from carlot.sources.json_arrays import array_items
+
 STORE_COLUMNS = ("id", "titre", "prix", "kilometrage", "date_voiture", "marque", "modele", "modele_unifie",
                  "generation", "carburant", "lien_annonce", "lien_image", "source", "last_seen_at",
                  "is_active", "is_expired")
@@ -42,8 +45,11 @@ def count_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def read_saved_listings(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """A8 — a saved JSON array of listings, tagged with its source."""
-    return spark.read.option("multiLine", True).json(path).withColumn("source", F.lit(source))
+    """A8 — a saved JSON array of listings, tagged with its source. The array is read by as many tasks as
+    it has splits; its items, one a line, are read with the types that they show."""
+    lines = shared_scratch_dir(spark, "saved-items")
+    array_items(spark, path).select(F.regexp_replace("item", r"[\r\n]+", " ")).write.text(lines)
+    return spark.read.json(lines).withColumn("source", F.lit(source))
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -55,22 +61,23 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
             .withColumn("page_id", F.xxhash64("url")))
 
 
-def with_row_numbers(df: DataFrame, col: str = "row_id") -> DataFrame:
-    """Row numbers from 0 without gaps, in the order of the scan (files, then rows).
+def with_row_numbers(scan: DataFrame, columns: Sequence[str | Column], col: str = "row_id") -> DataFrame:
+    """``columns`` of a file scan with row numbers from 0 without gaps, in the order of the files' names and
+    of the rows in them.
 
-    ``monotonically_increasing_id`` holds the partition and the place in it; a count per partition
-    (as many rows as there are partitions) closes the gaps."""
-    marked = df.withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    counts = marked.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
-    joined = marked.withColumn("_part", part).join(F.broadcast(starts), "_part")  # a row a partition
-    return joined.withColumn(col, F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_start", "_id")
+    Spark deals splits by size, so numbers come from the splits' own order: (file, block) with a count
+    each (as many rows as the scan has splits). The rows of a split stand together in a partition, so a
+    row's place in it is the distance of its generated id from the split's least."""
+    marked = scan.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                         F.monotonically_increasing_id().alias("_id"))
+    counts = marked.groupBy("_file", "_block").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_file", "_block", "_first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    joined = marked.join(F.broadcast(starts), ["_file", "_block"])  # a row a split
+    return joined.withColumn(col, F.col("_start") + F.col("_id") - F.col("_first")).drop("_file", "_block", "_id", "_first", "_start")
 
 
 def read_sheet_links(spark: SparkSession, path: str, link_col: str = "lien") -> DataFrame:
     """A10 — the link column of an exported sheet (header row skipped), with its row
     number (file order) so rows can be removed by position."""
-    df = spark.read.option("header", True).csv(path)
-    return with_row_numbers(df.select(F.col(link_col).alias("lien")))
+    return with_row_numbers(spark.read.option("header", True).csv(path), [F.col(link_col).alias("lien")])
