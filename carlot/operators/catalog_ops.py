@@ -6,12 +6,16 @@ Catalogues are long tables, so every patch is a join / union with explicit posit
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carlot.functions.text import variant_slug
 from carlot.operators.resolve import Catalog
-from carlot.session import sized_broadcast
+from carlot.session import cut_lineage, sized_broadcast
 
 
 def pending_makes(all_makes: DataFrame, done: DataFrame) -> DataFrame:
@@ -19,6 +23,39 @@ def pending_makes(all_makes: DataFrame, done: DataFrame) -> DataFrame:
     return all_makes.join(done.select("make").distinct(), "make", "left_anti")
 
 
+def complete_steps(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the steps that have been written whole."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    if not fs.exists(at):
+        return []
+    folders = [s.getPath() for s in fs.listStatus(at) if s.isDirectory()]
+    return sorted(f.toString() for f in folders if fs.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
+
+
+def read_steps(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What the complete steps hold; folders of a broken one are not read."""
+    folders = complete_steps(spark, path)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).drop("step")
+
+
+def build_in_steps(makes: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, schema: str, steps: int = 16) -> int:
+    """K16 with B7 per make — build a catalogue that can be taken up again. ``build`` gives the rows of
+    some makes (a column ``make`` among them, ``schema``); they are written step by step, a partition a
+    make. Makes that a complete step holds are done; a run that broke off leaves the rest to the next.
+    Returns the number of makes that were pending."""
+    spark = makes.sparkSession
+    pending = cut_lineage(pending_makes(makes.select("make").distinct(), read_steps(spark, path, schema)))
+    step = F.pmod(F.xxhash64("make"), F.lit(steps))
+    sizes = {r["s"]: r["n"] for r in pending.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()}  # a row a step
+    for s in sorted(sizes):
+        build(pending.where(step == s)).write.partitionBy("make").parquet(os.path.join(path, f"step={uuid.uuid4().hex}"))
+    return sum(sizes.values())
+
+
 def add_makes(cat: Catalog, additions: DataFrame) -> Catalog:
     """I3 — add makes (with their models) only when absent; new makes go last, in
     patch order. ``additions``: (add_pos ≥ 0, make, model_pos, model); a new make's

@@ -488,11 +488,11 @@ def jsonld_items(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> Data
     offers = lambda e: F.try_variant_get(e, "$.offers", "variant")
     sound = lambda e: text(e).startswith("{") & (offers(e).isNull() | F.coalesce(F.to_json(offers(e)).startswith("{"), F.lit(True)))
     kept = F.filter(items, lambda e: ~falsy(e))
-    # items before the first unsound one
-    marked = F.aggregate(kept, F.struct(F.array().cast("array<variant>").alias("ok"), F.lit(True).alias("go")),
-                         lambda acc, e: F.when(acc["go"] & sound(e), F.struct(F.concat(acc["ok"], F.array(e)).alias("ok"), F.lit(True).alias("go")))
-                         .otherwise(F.struct(acc["ok"].alias("ok"), F.lit(False).alias("go"))))
-    x = df.select(*keep, F.posexplode(marked["ok"]).alias("item_pos", "it"))
+    # items before the first unsound one: each item is marked once, the list is cut once
+    marked = df.select(*keep, kept.alias("_kept")).withColumn("_sound", F.transform("_kept", lambda e: F.coalesce(sound(e), F.lit(False))))
+    stop = F.array_position("_sound", False)
+    before = F.when(stop == 0, F.col("_kept")).otherwise(F.slice("_kept", F.lit(1), F.greatest(stop - 1, F.lit(0)).cast("int")))
+    x = marked.select(*keep, F.posexplode(before).alias("item_pos", "it"))
 
     def g(path: str, t: str = "string") -> Column:
         return F.try_variant_get(F.col("it"), path, t)

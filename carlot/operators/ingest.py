@@ -191,12 +191,12 @@ def dump_rows(items: DataFrame, mapping: dict[str, str], brands: DataFrame, word
 
 
 def import_dump(store: DataFrame, items: DataFrame, brands: DataFrame, words: DataFrame,
-                order: Sequence[str] | None = None, **kw) -> tuple[DataFrame, DataFrame]:
+                order: Sequence[str] | None = None, mapping: dict[str, str] | None = None, **kw) -> tuple[DataFrame, DataFrame]:
     """K13 — A1 → F1/F2/F3 → C6 → D3/D4 → B4. Returns ``(new_store, inserted)``.
 
     Inside the batch the first item per link wins, in ``order`` (default: file order,
-    ``_file`` then ``_pos`` from ``read_dumps``)."""
-    mapping = detect_roles(items)
+    ``_file`` then ``_pos`` from ``read_dumps``). ``mapping``: field roles that are known already."""
+    mapping = mapping or detect_roles(items)
     rows = dump_rows(items, mapping, brands, words, **kw)
     order = list(order) if order else [c for c in ("_file", "_pos") if c in rows.columns]
     new_store, inserted = insert_absent(store, rows, "lien_annonce", batch_order=order)

@@ -77,11 +77,11 @@ def classify_outcome(lien: Column, source: Column, status: Column, final_url: Co
         return F.struct(F.lit(expired).alias("expired"), r.alias("reason"))
 
     http_err = (error == "http") | (error.isNull() & (status >= 400))
-    code = status.cast("string")
+    code = F.coalesce(status.cast("string"), F.lit("inconnu"))
     return (
         F.when(error == "url", out(False, "url_error"))
         .when(error == "other", out(False, "erreur_inconnue"))
-        .when(http_err & status.isin(404, 410), out(True, F.concat(F.lit("http_"), code)))
+        .when(http_err & F.coalesce(status.isin(404, 410), F.lit(False)), out(True, F.concat(F.lit("http_"), code)))
         .when(http_err, out(False, F.concat(F.lit("http_"), code, F.lit("_ambigu"))))
         .when(source == "autoscout24",
               F.when(sold, out(True, "texte_expiration"))

@@ -10,9 +10,8 @@ Design
     - the similarity stages join on *compatible length* (an exact bound: a pair whose
       lengths violate ``2·min/(la+lb) ≥ cutoff`` can never reach the cut-off), so only
       plausible pairs reach the pandas UDF that scores them;
-    - the containment stages join on exploded substrings (input substrings of the
-      catalogue's slug lengths, or all substrings of catalogue slugs), so no
-      nested-loop join is needed.
+    - make containment is looked up in an index over the catalogue's slugs (one automaton
+      and grams, ``functions/containment.py``), so neither side's substrings are listed.
 * Each stage only sees what earlier stages left unresolved; the first stage that
   hits wins, and a ``stage`` column records which one.
 * Order-dependent picks are explicit: catalogue positions are columns, ties are broken
@@ -21,16 +20,19 @@ Design
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carlot.functions.codes import MAKE_ALIASES, MAKE_FUZZY_CUTOFF, MODEL_FUZZY_CUTOFF
 from carlot.functions.numbers import year_after_slash, year_prefix4
-from carlot.functions.similarity import compatible_lengths, ratio
+from carlot.functions.containment import SlugIndex
+from carlot.functions.similarity import compatible_lengths, ratio, ratio_bound, sign_mask
 from carlot.functions.text import is_short_or_numeric, nospace, pystrip, slug
-from carlot.session import bounded_broadcast, cut_lineage, ship_package, sized_broadcast, spread
+from carlot.session import BROADCAST_MAX_BYTES, bounded_broadcast, cut_lineage, ship_package, sized_broadcast, spread
 
 
 @dataclass
@@ -53,38 +55,12 @@ def alias_table(spark, aliases: dict | None = None) -> DataFrame:
     return spark.createDataFrame(rows, "alias_slug string, target string")
 
 
-def _substrings_of_lengths(s: Column, lengths: list[int]) -> Column:
-    """Distinct substrings of ``s`` having one of ``lengths`` (input side of a containment join)."""
-    n = F.length(s)
-    def at_length(L: int):
-        # one-argument lambda: transform() passes (element, index) to two-argument ones
-        return lambda i: F.substr(s, i, F.lit(L))
-
-    parts = [
-        F.when(n >= L, F.transform(F.sequence(F.lit(1), n - F.lit(L - 1)), at_length(L)))
-        .otherwise(F.array().cast("array<string>"))
-        for L in lengths
-    ]
-    if not parts:
-        return F.array().cast("array<string>")
-    return F.array_distinct(F.flatten(F.array(*parts)))
-
-
-def _all_substrings(s: Column) -> Column:
-    """Every non-empty substring of ``s`` (catalogue side of a containment join)."""
-    n = F.length(s)
-    return F.when(n >= 1, F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda L: F.transform(F.sequence(F.lit(1), n - L + F.lit(1)), lambda i: F.substr(s, i, L))))))
-
-
 def catalog_facts(cat: Catalog) -> dict[str, tuple[int, list[int]]]:
     """Row counts and distinct slug lengths of makes, models and aliases, measured in one
     aggregate job and kept on the catalogue object.
 
     Every table the cascade broadcasts is derived from these three, so its size has a
-    proven bound: ≤ n rows per slug table, ≤ n·L(L+1)/2 rows for all substrings of slugs
-    of length ≤ L."""
+    proven bound: ≤ n rows per slug table."""
     facts = getattr(cat, "_facts", None)
     if facts is not None:
         return facts
@@ -102,9 +78,36 @@ def catalog_facts(cat: Catalog) -> dict[str, tuple[int, list[int]]]:
     return facts
 
 
-def _substring_bound(n: int, lens: list[int]) -> int:
-    L = max(lens) if lens else 0
-    return n * L * (L + 1) // 2
+def can_reach(cutoff: float) -> Column:
+    """Whether a pair (``mslug``, ``slug_in`` and their sign masks) can reach the cut-off."""
+    return ratio_bound(F.col("mslug"), F.col("_cm"), F.col("slug_in"), F.col("_im")) >= cutoff - 1e-9
+
+
+def contained_makes(values: DataFrame, by_slug: DataFrame, n: int) -> DataFrame:
+    """E4 — (slug_in, m_contains): the first catalogue slug that stands in an input or holds it. The
+    catalogue goes to the workers as an index, in groups of bounded size; inputs aren't exploded."""
+    spark = values.sparkSession
+    ship_package(spark)
+    groups = max(1, -(-n * 256 // BROADCAST_MAX_BYTES))
+    schema, parts = "slug_in string, first_pos long, make string", []
+    for g in range(groups):
+        rows = by_slug.where(F.pmod(F.xxhash64("mslug"), F.lit(groups)) == g).orderBy("first_pos").collect()
+        shared = spark.sparkContext.broadcast([(r["mslug"], r["first_pos"], r["make"]) for r in rows])
+
+        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = SlugIndex(slug_ for slug_, _, _ in shared.value)
+            for batch in batches:
+                hits = [(text, *shared.value[i][1:]) for text in batch.column(0).to_pylist() if (i := index.hit(text)) is not None]
+                if hits:
+                    kinds = (pa.string(), pa.int64(), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*hits, strict=True), kinds, strict=True)],
+                                                     names=["slug_in", "first_pos", "make"])
+
+        parts.append(values.select("slug_in").mapInArrow(find, schema))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found.groupBy("slug_in").agg(F.min_by("make", "first_pos").alias("m_contains"))
 
 
 # ───────────────────────────── makes ─────────────────────────────
@@ -148,9 +151,9 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
     rest = d.where(F.col("m12").isNull() & (F.col("slug_in") != "")).select("slug_in").distinct()
 
     if fuzzy:
-        cand = bounded_broadcast(by_slug.select("mslug", "make", F.length("mslug").alias("clen")), n_mk)
-        pairs = (rest.withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff, mk_lens)))
-                 .join(cand, "clen")
+        cand = bounded_broadcast(by_slug.select("mslug", "make", F.length("mslug").alias("clen"), sign_mask(F.col("mslug")).alias("_cm")), n_mk)
+        pairs = (rest.withColumn("_im", sign_mask(F.col("slug_in"))).withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff, mk_lens)))
+                 .join(cand, "clen").where(can_reach(cutoff))
                  .withColumn("score", ratio("mslug", "slug_in"))
                  .where(F.col("score") >= cutoff))
         fz = pairs.groupBy("slug_in").agg(
@@ -160,14 +163,7 @@ def resolve_makes(values: DataFrame, cat: Catalog, fuzzy: bool = True,
     rest4 = rest  # E4 on the same remainder; a fuzzy hit wins in the final coalesce
 
     # Containment either way, first catalogue slug in dict order wins.
-    lens = mk_lens
-    a = bounded_broadcast(by_slug.select(F.col("mslug").alias("sub"), "first_pos", "make"), n_mk)
-    fwd = (rest4.withColumn("sub", F.explode(_substrings_of_lengths(F.col("slug_in"), lens)))
-           .join(a, "sub").select("slug_in", "first_pos", "make"))
-    cat_subs = bounded_broadcast(by_slug.select(F.explode(_all_substrings(F.col("mslug"))).alias("slug_in"),
-                                                "first_pos", "make"), _substring_bound(n_mk, mk_lens), 64 + 2 * max(mk_lens, default=0))
-    bwd = rest4.join(cat_subs, "slug_in").select("slug_in", "first_pos", "make")
-    ct = fwd.unionByName(bwd).groupBy("slug_in").agg(F.min_by("make", "first_pos").alias("m_contains"))
+    ct = contained_makes(spread(rest4, "slug_in"), by_slug, n_mk)
 
     out = d.join(ct, "slug_in", "left")
     if fz is not None:
@@ -250,10 +246,11 @@ def resolve_models(pairs: DataFrame, cat: Catalog, fuzzy: bool = True,
     # Guarded similarity on the remainder only; equi-join on compatible length.
     if fuzzy:
         cand = bounded_broadcast(by_slug.select("make", "mslug", F.col("model").alias("cmodel"),
-                                                F.length("mslug").alias("clen")), n_md)
+                                                F.length("mslug").alias("clen"), sign_mask(F.col("mslug")).alias("_cm")), n_md)
         scored = (spread(rest.where(~is_short_or_numeric(F.col("slug_in"))), "make", "slug_in")
+                  .withColumn("_im", sign_mask(F.col("slug_in")))
                   .withColumn("clen", F.explode(compatible_lengths(F.length("slug_in"), cutoff, md_lens)))
-                  .join(cand, ["make", "clen"])
+                  .join(cand, ["make", "clen"]).where(can_reach(cutoff))
                   .withColumn("score", ratio("mslug", "slug_in"))
                   .where(F.col("score") >= cutoff))
         fz = scored.groupBy("make", "slug_in").agg(

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carlot.operators.catalog_ops import (add_makes, append_models, catalogue_totals, extend_open_end,
-                                          model_aliases, replace_lists)
+from carlot.operators.catalog_ops import (add_makes, append_models, build_in_steps, catalogue_totals, extend_open_end,
+                                          model_aliases, read_steps, replace_lists)
 from carlot.plans.common import table
 from carlot.plans.resolve_queries import SQL_ORDER_GENS, order_generations, part_catalog
+from carlot.session import shared_scratch_dir
+from carlot.sources.catalog import load_generation_catalog, load_make_catalog
 from carlot.sources.sinks import csv_roundtrip, json_roundtrip
+from carlot.sources.store import with_row_numbers
 
 
 def _vslug(expr: str) -> str:
@@ -94,11 +97,11 @@ FROM allm JOIN mk2 ON allm.make = mk2.make
 
 
 def ranked_keys(keys):
-    """Numbered positions for keys in order of their names: the place in one sorted array (a
-    generation catalogue has a few hundred keys)."""
-    order = keys.agg(F.array_sort(F.collect_set("model")).alias("order"))
-    return (keys.drop("key_pos").withColumn("_one", F.lit(1)).join(F.broadcast(order.withColumn("_one", F.lit(1))), "_one")
-            .withColumn("key_pos", (F.array_position("order", F.col("model")) - 1).cast("int")).drop("order", "_one"))
+    """Numbered positions for keys in order of their names: written sorted, numbered as they are read."""
+    path = shared_scratch_dir(keys.sparkSession, "ranked-keys")
+    keys.drop("key_pos").repartitionByRange("model").sortWithinPartitions("model").write.parquet(path)
+    scan = keys.sparkSession.read.parquet(path)
+    return with_row_numbers(scan, scan.columns, "key_pos").withColumn("key_pos", F.col("key_pos").cast("int"))
 
 
 def generation_patch(spark, sf):
@@ -138,6 +141,83 @@ FROM nw LEFT JOIN og ON og.model = nw.model
 """
 
 
+def _broken_off(spark, sf, path):
+    """A first run of a catalogue's build that fails halfway, and a step that was never finished."""
+    p = table(spark, sf, "part")
+    built = []
+
+    def build(makes):
+        if len(built) == 2:
+            raise ConnectionError("the source went away")
+        built.append(makes)
+        return _make_models(p, makes)
+
+    try:
+        build_in_steps(p.select(F.col("p_type").alias("make")), build, path, MAKE_MODELS, steps=8)
+    except ConnectionError:
+        pass
+    junk = p.select(F.lit("half a model").alias("model"), F.col("p_partkey").alias("model_pos"), F.col("p_type").alias("make"))
+    junk.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("make").parquet(f"{path}/step=unfinished")
+
+
+MAKE_MODELS = "model string, model_pos long, make string"
+
+
+def _make_models(p, makes):
+    models = p.groupBy(F.col("p_type").alias("make"), F.col("p_name").alias("model")).agg(F.min("p_partkey").alias("model_pos"))
+    return models.join(makes, "make").select("model", "model_pos", "make")
+
+
+def catalog_resume(spark, sf):
+    """K16, D14 — a catalogue's build that broke off is taken up again: makes of complete steps are done."""
+    path, p = shared_scratch_dir(spark, "catalog-steps"), table(spark, sf, "part")
+    _broken_off(spark, sf, path)
+    build_in_steps(p.select(F.col("p_type").alias("make")), lambda makes: _make_models(p, makes), path, MAKE_MODELS, steps=8)
+    return read_steps(spark, path, MAKE_MODELS)
+
+
+CATALOG_RESUME_SQL = "SELECT p_name AS model, min(p_partkey) AS model_pos, p_type AS make FROM part GROUP BY p_type, p_name"
+
+
+def _write_text(df, path):
+    df.coalesce(1).write.text(path)  # a catalogue file is one document
+
+
+def catalog_file(spark, sf):
+    """A2 — a make → models document, written and read in its order."""
+    path, p = shared_scratch_dir(spark, "catalog-file"), table(spark, sf, "part")
+    lists = p.groupBy("p_type").agg(F.array_sort(F.collect_set("p_name")).alias("models"))
+    entries = lists.agg(F.array_sort(F.collect_list(F.struct("p_type", "models"))).alias("e"))
+    _write_text(entries.select(F.to_json(F.map_from_entries("e")).alias("value")), path)
+    cat = load_make_catalog(spark, path)
+    return cat.makes.join(cat.models, "make").select("make_pos", "make", "model_pos", "model")
+
+
+CATALOG_FILE_SQL = """
+WITH m AS (SELECT p_type AS make, row_number() OVER (ORDER BY p_type) - 1 AS make_pos FROM (SELECT DISTINCT p_type FROM part) x)
+SELECT CAST(make_pos AS INTEGER) AS make_pos, make, CAST(row_number() OVER (PARTITION BY make ORDER BY model) - 1 AS INTEGER) AS model_pos, model
+FROM (SELECT DISTINCT p_type AS make, p_name AS model FROM part) p JOIN m USING (make)
+"""
+
+
+def generation_file(spark, sf):
+    """A3 — a model → generations document, written and read in its order."""
+    path = shared_scratch_dir(spark, "generation-file")
+    gens = order_generations(spark, sf).select("model", F.transform("gens", lambda g: F.struct(
+        g["gen"].alias("gen"), g["from"].alias("from"), g["to"].alias("to"))).alias("gens"))
+    entries = gens.agg(F.array_sort(F.collect_list(F.struct("model", "gens"))).alias("e"))
+    _write_text(entries.select(F.to_json(F.map_from_entries("e")).alias("value")), path)
+    read = load_generation_catalog(spark, path)
+    return read.select("key_pos", "model", F.posexplode("gens").alias("gen_pos", "g")).select(
+        "key_pos", "model", "gen_pos", "g.gen", F.col("g.from").alias("from"), F.col("g.to").alias("to"))
+
+
+GENERATION_FILE_SQL = f"""
+WITH {SQL_ORDER_GENS}
+SELECT CAST(key_pos AS INTEGER) AS key_pos, model, CAST(gpos - 1 AS INTEGER) AS gen_pos, gen, CAST(f AS INTEGER) AS "from", CAST(t AS INTEGER) AS "to" FROM iv
+"""
+
+
 def csv_roundtrip_q(spark, sf):
     """B2 — ``;``-separated CSV with header written to the shared folder and read back."""
     return csv_roundtrip(table(spark, sf, "part"))
@@ -154,6 +234,9 @@ QUERIES = {
     "catalog_aliases": (catalog_aliases, CATALOG_ALIASES_SQL),
     "catalog_totals": (catalog_totals, CATALOG_TOTALS_SQL),
     "catalog_patch": (catalog_patch, CATALOG_PATCH_SQL),
+    "catalog_resume": (catalog_resume, CATALOG_RESUME_SQL),
+    "catalog_file": (catalog_file, CATALOG_FILE_SQL),
+    "generation_file": (generation_file, GENERATION_FILE_SQL),
     "generation_patch": (generation_patch, GENERATION_PATCH_SQL),
     "csv_roundtrip": (csv_roundtrip_q, ROUNDTRIP_SQL),
     "json_roundtrip": (json_roundtrip_q, ROUNDTRIP_SQL),

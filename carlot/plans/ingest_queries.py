@@ -146,8 +146,9 @@ def dump_import(spark, sf):
     items = dump_items(spark, sf).withColumn("_pos", F.regexp_extract("absolute src", r"/(\d+)\.jpg$", 1).cast("long"))
     brands, words = title_brand_tables(spark, sf)
     seen = F.lit(AS_OF).cast("timestamp_ntz")
-    earlier = dump_rows(items.where(F.col("_pos") % 7 == 0), detect_roles(items), brands, words, seen_at=seen)
-    _, inserted = import_dump(cut_lineage(earlier.drop("_pos")), items, brands, words, seen_at=seen)
+    roles = detect_roles(items)
+    earlier = dump_rows(items.where(F.col("_pos") % 7 == 0), roles, brands, words, seen_at=seen)
+    _, inserted = import_dump(cut_lineage(earlier.drop("_pos")), items, brands, words, seen_at=seen, mapping=roles)
     return inserted
 
 

@@ -41,8 +41,9 @@ def part_catalog(spark, sf):
 
 
 def _make_inputs(p):
-    k = F.col("p_size") % 6
-    return (F.when(k == 0, F.col("p_type"))
+    k = F.col("p_size") % 6  # some makes are thousands of characters long
+    return (F.when(F.col("p_size") == 35, F.concat(F.repeat(F.lit("unknown make "), F.lit(400)), F.col("p_type"), F.lit(" x")))
+            .when(k == 0, F.col("p_type"))
             .when(k == 1, F.concat(F.lower("p_type"), F.lit("-")))
             .when(k == 2, F.substring("p_type", 1, 4))
             .when(k == 3, F.concat(F.col("p_type"), F.lit(" Motors")))
@@ -50,9 +51,9 @@ def _make_inputs(p):
             .otherwise(F.concat(F.lit("Unknown "), F.col("p_size").cast("string"))))
 
 
-SQL_MAKE_INPUT = """CASE p_size % 6 WHEN 0 THEN p_type WHEN 1 THEN lower(p_type) || '-'
+SQL_MAKE_INPUT = """CASE WHEN p_size = 35 THEN repeat('unknown make ', 400) || p_type || ' x' ELSE CASE p_size % 6 WHEN 0 THEN p_type WHEN 1 THEN lower(p_type) || '-'
     WHEN 2 THEN substr(p_type, 1, 4) WHEN 3 THEN p_type || ' Motors' WHEN 4 THEN lower(substr(p_type, 1, 3))
-    ELSE 'Unknown ' || CAST(p_size AS VARCHAR) END"""
+    ELSE 'Unknown ' || CAST(p_size AS VARCHAR) END END"""
 
 
 def _model_inputs(p, missing_makes: bool = False):

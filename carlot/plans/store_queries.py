@@ -12,6 +12,8 @@ from carlot.operators.store import changed_only, first_per_key, insert_absent, p
 from carlot.plans.common import (AS_OF, SPLIT_TS, SQL_LISTING_VIEW, listing_view, sql_store_from_events,
                                  store_from_events, table)
 from carlot.plans.scalar_queries import _sql_title
+from carlot.session import shared_scratch_dir
+from carlot.sources.bucketed import BucketedStore
 
 
 def dedup_first(spark, sf):
@@ -48,6 +50,15 @@ def _batch(spark, sf):
         "event_id", "lien_annonce", "source", "prix", "last_seen_at")
 
 
+def upsert_touched(spark, sf):
+    """B3 in part — the same upsert into a store partitioned by a hash of the link."""
+    old, batch, order, _ = upsert_run(spark, sf)
+    store = BucketedStore(shared_scratch_dir(spark, "bucketed"), "lien_annonce", 32)
+    store.create(old)
+    store.upsert(batch, order)
+    return store.read(spark).select("id", "lien_annonce", "source", "prix", "last_seen_at", "is_expired")
+
+
 #: Observations with a smaller price are rejected by a counted upsert.
 LEAST_PRICE = 1.0
 
@@ -433,6 +444,7 @@ QUERIES = {
     "expiry_flags": (expiry_flags, EXPIRY_FLAGS_SQL),
     "run_counters": (run_counters_q, RUN_COUNTERS_SQL),
     "dedup_first": (dedup_first, DEDUP_FIRST_SQL),
+    "upsert_touched": (upsert_touched, UPSERT_LATEST_SQL),
     "upsert_latest": (upsert_latest, UPSERT_LATEST_SQL),
     "insert_absent": (insert_absent_q, INSERT_ABSENT_SQL),
     "patch_changed": (patch_changed, PATCH_CHANGED_SQL),

@@ -36,9 +36,19 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read back what ``write_csv`` wrote. Files with line breaks in values are one split each."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS | {"multiLine": True, "emptyValue": ""}).csv(path)
+def read_csv(spark: SparkSession, path: str, schema, line_breaks: bool = True) -> DataFrame:
+    """Read back what ``write_csv`` wrote. Where values may hold line breaks a file is one split; without
+    them (``line_breaks=False``) it is cut anywhere."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS | {"multiLine": line_breaks, "emptyValue": ""}).csv(path)
+
+
+def holds_line_breaks(df: DataFrame) -> bool:
+    """Whether a text column of the table has a line break in a value; stops at the first."""
+    texts = [F.col(f"`{c}`").rlike(r"[\r\n]") for c, kind in df.dtypes if kind == "string"]
+    found = F.lit(False)
+    for t in texts:
+        found = found | F.coalesce(t, F.lit(False))
+    return bool(texts) and not df.where(found).isEmpty()
 
 
 def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
@@ -62,11 +72,16 @@ def write_counted(df: DataFrame, path: str) -> dict[str, int]:
     counters of the run. They are observed by the writing job's last stage itself, so there is no
     second pass, and tasks that are run again count once."""
     observed = Observation()
-    counts = [F.count_if(F.col("_status") == s).alias(s) for s in STATUSES]
-    df.observe(observed, F.coalesce(F.sum("_sent"), F.lit(0)).alias("sent"), *counts).drop("_status", "_sent").write.parquet(path)
+    counted(df, observed).write.parquet(path)
     return observed.get
 
 
+def counted(df: DataFrame, observed: Observation) -> DataFrame:
+    """Rows without ``_status`` and ``_sent``, which the observation counts."""
+    counts = [F.count_if(F.col("_status") == s).alias(s) for s in STATUSES]
+    return df.observe(observed, F.coalesce(F.sum("_sent"), F.lit(0)).alias("sent"), *counts).drop("_status", "_sent")
+
+
 def write_rejects(rejects: DataFrame, path: str) -> int:
     """Quarantine: rejected rows with their reason; how many, observed by the job that writes them."""
     observed = Observation()
@@ -100,7 +115,7 @@ def latest_version(spark: SparkSession, base: str) -> DataFrame:
 def csv_roundtrip(df: DataFrame) -> DataFrame:
     path = shared_scratch_dir(df.sparkSession, "csv")
     write_csv(df, path)
-    return read_csv(df.sparkSession, path, df.schema)
+    return read_csv(df.sparkSession, path, df.schema, line_breaks=holds_line_breaks(df))
 
 
 def json_roundtrip(df: DataFrame) -> DataFrame:
