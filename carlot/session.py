@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     It is read from the session; lineage cuts must survive the loss of an executor, so a cluster
-    must name it. Only a local master, whose one process sees any folder, gets one of its own
-    where none is set (tests).
+    must name it. Only a local master gets one of its own where none is set: a folder in the
+    session's warehouse, never a temporary one of the machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,15 +68,55 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not current:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="carlot-checkpoints-"))
+        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/carlot-scratch")
         current = sc.getCheckpointDir()
     return current
 
 
 def shared_scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written intermediates."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _made().append(path)
+    return path
+
+
+_SCRATCH = threading.local()
+
+
+def _made() -> list[str]:
+    """Scratch folders of this thread that are still there."""
+    if not hasattr(_SCRATCH, "paths"):
+        _SCRATCH.paths = []
+    return _SCRATCH.paths
+
+
+def drop_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete written intermediates whose readers have been written themselves."""
+    made, jvm = _made(), spark.sparkContext._jvm
+    for path in list(paths):
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        if path in made:
+            made.remove(path)
+
+
+class Scratch:
+    """The scratch folders that a step makes: ``with Scratch(spark) as s: ...; s.keep(path)``. Those that
+    aren't kept are deleted when the step has ended well."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.kept = spark, set()
+
+    def __enter__(self) -> Scratch:
+        self.before = set(_made())
+        return self
+
+    def keep(self, *paths: str) -> None:
+        self.kept.update(paths)
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is None:
+            drop_scratch(self.spark, [p for p in _made() if p not in self.before and p not in self.kept])
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -32,3 +32,52 @@ def test_sheet_scan_and_prune(spark):
                                    "lien string, status int, html string, error string").withColumn("probed_at", F.lit("2024-01-01").cast("timestamp_ntz"))
     kept = sorted((r.lien, r.statut) for r in sheet_prune(links, probes).collect())
     assert kept == [("https://a/2", "ACTIF"), ("notes", None)]
+
+
+def test_scratch_folders_go_when_their_readers_are_written(spark):
+    import pytest
+
+    from carlot.session import Scratch, drop_scratch, shared_scratch_dir
+
+    def made(name):
+        path = shared_scratch_dir(spark, name)
+        spark.range(3).write.parquet(path)
+        return path
+
+    there = lambda path: os.path.exists(path.removeprefix("file:"))
+    outside = made("outside")
+    with Scratch(spark) as s:
+        a, b = made("a"), made("b")
+        s.keep(b)
+    assert (there(outside), there(a), there(b)) == (True, False, True)
+    with pytest.raises(RuntimeError), Scratch(spark):
+        c = made("c")
+        raise RuntimeError
+    assert there(c)
+    drop_scratch(spark, [b, c, outside])
+    assert not there(b) and not there(c) and not there(outside)
+
+
+def test_a_local_session_without_a_folder_uses_its_warehouse(spark, monkeypatch):
+    from carlot import session
+
+    set_to = []
+
+    class Context:
+        master = "local[2]"
+
+        def getCheckpointDir(self):
+            return set_to[-1] if set_to else None
+
+        def setCheckpointDir(self, path):
+            set_to.append(path)
+
+    class Session:
+        sparkContext, conf = Context(), {"spark.sql.warehouse.dir": "file:/w/"}
+
+    assert session.checkpoint_root(Session()) == "file:/w/carlot-scratch"
+    Session.sparkContext.master = "spark://x"
+    set_to.clear()
+    import pytest
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
