@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.session import ship_package, shared_scratch_dir
+from carlot.session import drop_scratch, ship_package, shared_scratch_dir
 
 #: Texts handed to Python code at once, inside one Arrow batch.
 TEXTS_AT_ONCE = 256
@@ -71,10 +71,18 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[lis
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: a lineage cut that outlives executors."""
+    """``df`` written to the shared folder and read again: a lineage cut that outlives executors. The
+    result's ``scratch_path`` names the folder, for ``dropped`` and ``Scratch.keep``."""
     path = shared_scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete ``written`` tables that nothing reads any more."""
+    drop_scratch(tables[0].sparkSession, [t.scratch_path for t in tables])
 
 
 def id_ranges(docs: DataFrame, ranges: int) -> Column:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carlot.llm.common import arrow_map, ddl, record_batch, written
+from carlot.llm.common import arrow_map, ddl, dropped, record_batch, written
 
 REFERENCES = 16
 SAMPLE = 4096
@@ -352,6 +352,8 @@ def mine(embeddings: DataFrame, every: int, positives: int, negatives: int, shar
     each = near.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("rank", "found_id", "found_score"))).alias("p"))
     asked = anchors.join(each, "anchor").select(*anchors.columns, F.col("p.found_id").alias("positive_ids"),
                                                 F.col("p.found_score").alias("positive_scores"))
-    found = best(in_cells(blocks, written(asked, "hard-negatives-positives"), cells, negatives, shares), ["anchor", "slot"], negatives)
+    asked = written(asked, "hard-negatives-positives")
+    dropped(anchors)
+    found = best(in_cells(blocks, asked, cells, negatives, shares), ["anchor", "slot"], negatives)
     return found.select("anchor_id", "positive_id", "rank", F.col("found_id").alias("negative_id"), "positive_score",
                         F.col("found_score").alias("negative_score"))

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carlot.llm.common import arrow_map, map_texts, record_batch, written
+from carlot.llm.common import arrow_map, dropped, map_texts, record_batch, written
 from carlot.llm.components import attached, components
 
 PIVOTS = 24
@@ -201,6 +201,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     linked = components(class_links(classes, max_bits), "simhash-links")
     named = written(classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
                     .select("fp", "least", F.coalesce("component", "fp").alias("component")), "simhash-components")
+    dropped(classes)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     ids = attached(named.select("fp", "component"), least, "component", "fp").select("fp", "component_id")
     return attached(rows, ids, "fp", "place").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

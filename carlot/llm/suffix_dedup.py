@@ -26,7 +26,8 @@ documents hold is one entry a batch). Verdicts come back as a few bits a run. Wo
 is bounded: the number of shards follows the bytes of text. Any task can be run again: batches
 are written before they are used.
 
-Edge cases: NULL and empty texts keep nothing and lose nothing; a NULL doc_id counts as smaller
+Edge cases: NULL and empty texts keep nothing and lose nothing; columns other than ``doc_id`` and
+``text`` are ignored, whatever their names; a NULL doc_id counts as smaller
 than any other; rows with equal ids never remove each other's bytes; an empty table gives an
 empty result; a text longer than a batch makes a batch of its own.
 """
@@ -209,6 +210,12 @@ def loaded(batch: pa.RecordBatch, row: int, depth: int, shards: int) -> Batch:
     return Batch(ids, lengths, data, depth, shards)
 
 
+def filled(edges: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The shards that get entries: a batch sends a row to these alone, at most one an entry."""
+    for s in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+        yield s, slice(int(edges[s]), int(edges[s + 1]))
+
+
 def run_entries(batches: DataFrame, depth: int, shards: int) -> DataFrame:
     """Pass 1 and 2, sending side: the entries of each batch by shard, 14 bytes and the document's place each."""
 
@@ -216,12 +223,10 @@ def run_entries(batches: DataFrame, depth: int, shards: int) -> DataFrame:
         for batch in rows:
             for i in range(batch.num_rows):
                 b = loaded(batch, i, depth, shards)
-                for s in range(shards):
-                    at = slice(b.edges[s], b.edges[s + 1])
-                    if at.start < at.stop:
-                        docs, places = packed_docs(b.ids, b.row[at])
-                        entries = packed_entries(b.digit[at], b.content[at], places)
-                        yield record_batch([[s], [batch.column("batch")[i].as_py()], [docs], [entries]], ENTRY_FIELDS)
+                for s, at in filled(b.edges):
+                    docs, places = packed_docs(b.ids, b.row[at])
+                    entries = packed_entries(b.digit[at], b.content[at], places)
+                    yield record_batch([[s], [batch.column("batch")[i].as_py()], [docs], [entries]], ENTRY_FIELDS)
 
     return arrow_map(batches, run, ENTRY_FIELDS)
 
@@ -318,23 +323,20 @@ def edge_entries(judged: DataFrame, depth: int, shards: int) -> DataFrame:
                 b = loaded(batch, i, depth, shards)
                 verdict = entry_verdicts(gathered(batch, "judged", i, "u1"))
                 edge = np.flatnonzero(verdict == EDGE)
-                for s in range(shards):
-                    at = edge[np.searchsorted(edge, b.edges[s]):np.searchsorted(edge, b.edges[s + 1])]
-                    if len(at):
-                        docs, places = packed_docs(b.ids, b.row[at])
-                        start, windows = b.runs.start[b.first[at]], b.runs.windows[b.first[at]]
-                        contents = b"".join(b.data[x:x + w - 1 + depth].tobytes() for x, w in zip(start.tolist(), windows.tolist(), strict=True))
-                        entries = b.digit[at].tobytes() + places.astype("<u2").tobytes()
-                        yield record_batch([[s], [batch.column("batch")[i].as_py()], [docs], [entries],
-                                            [windows.astype("u1").tobytes()], [contents]], EDGE_FIELDS)
+                for s, of_shard in filled(np.searchsorted(edge, b.edges)):
+                    at = edge[of_shard]
+                    docs, places = packed_docs(b.ids, b.row[at])
+                    start, windows = b.runs.start[b.first[at]], b.runs.windows[b.first[at]]
+                    contents = b"".join(b.data[x:x + w - 1 + depth].tobytes() for x, w in zip(start.tolist(), windows.tolist(), strict=True))
+                    entries = b.digit[at].tobytes() + places.astype("<u2").tobytes()
+                    yield record_batch([[s], [batch.column("batch")[i].as_py()], [docs], [entries],
+                                        [windows.astype("u1").tobytes()], [contents]], EDGE_FIELDS)
                 if (verdict == SPLIT).any():
                     w = SplitWindows(b, verdict, shards)
-                    for s in range(shards):
-                        at = slice(w.edges[s], w.edges[s + 1])
-                        if at.start < at.stop:
-                            docs, places = packed_docs(b.ids, w.row[at])
-                            yield record_batch([[shards + s], [batch.column("batch")[i].as_py()], [docs],
-                                                [packed_entries(w.digit[at], w.hashes[at], places)], [b""], [b""]], EDGE_FIELDS)
+                    for s, at in filled(w.edges):
+                        docs, places = packed_docs(b.ids, w.row[at])
+                        yield record_batch([[shards + s], [batch.column("batch")[i].as_py()], [docs],
+                                            [packed_entries(w.digit[at], w.hashes[at], places)], [b""], [b""]], EDGE_FIELDS)
 
     return arrow_map(judged, run, EDGE_FIELDS)
 

@@ -31,6 +31,57 @@ def test_held_out_accuracy(tables, lexicon):
     assert np.mean([s >= 0.5 for s in clean]) < 0.03
 
 
+def naive_score(lexicon, text):
+    """The score by looking for every term at every place, without an automaton."""
+    if lexicon.empty:
+        return 0.0
+    folded = tx.fold(text)
+
+    def places(phrase):
+        at = folded.find(phrase)
+        while at >= 0:
+            yield at, at + len(phrase) - 1
+            at = folded.find(phrase, at + 1)
+
+    spared = [p for phrase in lexicon.exceptions if phrase in folded for p in places(phrase)]
+    best = {}
+    for term, weight in lexicon.terms.items():
+        if term in folded:
+            for a, b in places(term):
+                if a not in best or weight > best[a][1]:
+                    best[a] = (b, weight)
+    total = sum(w for a, (b, w) in best.items() if not any(x <= a and b <= y for x, y in spared))
+    words = max(1, len(folded.split(" ")) - 2)
+    features = (np.log1p(total), total / words**0.5, 10 * total / (words + 10))
+    z = lexicon.logistic[0] + sum(w * f for w, f in zip(lexicon.logistic[1:], features, strict=True))
+    return 1 / (1 + np.exp(-min(30, max(-30, z))))
+
+
+def test_scores_by_brute_force(tables, lexicon):
+    """A lexicon learned from the larger table, every document of it scored by plain substring search."""
+    docs, _ = tables
+    texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id % 5 = 0 OR length(text) > 50000").collect()}
+    got = {r["doc_id"]: r["score"] for r in tx.score_texts(docs, lexicon).collect()}
+    assert len(lexicon.terms) > 3 and len(texts) > 1000
+    for i, text in texts.items():
+        assert abs(got[i] - naive_score(lexicon, text or "")) < 1e-9, i
+
+
+def test_hits_by_brute_force():
+    """Nested and overlapping terms and exceptions on small alphabets."""
+    import random
+    r = random.Random(8)
+    word = lambda n: "".join(r.choices("ab", k=r.randint(1, n)))
+    for _ in range(500):
+        terms = {(f" {word(3)} " if r.random() < 0.5 else f" {word(3)}"): float(r.randint(1, 9)) for _ in range(r.randint(1, 5))}
+        phrases = [p for _ in range(r.randint(0, 3)) if (p := f" {word(3)} {word(3)} " if r.random() < 0.5 else f" {word(4)} ") not in terms]
+        lexicon = tx.Lexicon(terms, sorted(set(phrases)), (-2.0, 1.0, 0.5, 0.25))
+        matcher = lexicon.matcher()
+        for _ in range(10):
+            text = " ".join(word(4) for _ in range(r.randint(0, 8)))
+            assert abs(matcher.score(text) - naive_score(lexicon, text)) < 1e-12, (lexicon, text)
+
+
 def test_held_out_flag(tables, lexicon):
     docs, _ = tables
     rows = tx.score_texts(docs, lexicon).collect()
