@@ -2,8 +2,13 @@
 group of near-duplicates stays, documents with benchmark passages go, and what is left is encoded.
 
 Every stage works on all that the one before has kept. Stages return the columns of
-``documents`` (``n_chars`` follows the text), the last one token counts and digests. Rows with a
-NULL doc_id are scored, cut, compared and encoded like others.
+``documents`` (``n_chars`` follows the text), the last one token counts and digests.
+
+Edge cases, in every stage: rows with a NULL doc_id are scored, cut, compared and encoded like
+others; rows that repeat an id, and whole repeated rows, are documents of their own, of which
+near-duplicates keep one; NULL and empty texts are clean and empty (one of them stays); very long
+texts are read whole; of equal ids (ties) all keep a shared line; an empty table passes all stages;
+extra columns are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +17,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from carlot.llm import bpe, decontaminate, line_dedup, simhash, toxicity
-from carlot.llm.common import table, written
+from carlot.llm.common import dropped, table, written
+from carlot.session import Scratch
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -56,8 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again by the next."""
+    """All stages over ``documents``; each result is written and read again by the next. A stage's own
+    intermediates, and the result that it has read, are deleted when its result has been written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with Scratch(spark) as scratch:
+            before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            scratch.keep(docs.scratch_path)
+        if name != STAGES[0][0]:
+            dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)
