@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +49,11 @@ def distinct_misses(flagged: DataFrame, order_col: str, source_col: str = "sourc
             .orderBy(source_col, "first_pos"))
 
 
+def preview(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
+    """H3 — the first rows of what a run is about to write (a top-N, no full sort)."""
+    return df.orderBy(*order).limit(n)
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """F8 — count per value (the "n found / n to fix" messages)."""
     return df.groupBy(col).agg(F.count("*").cast("long").alias("n"))

@@ -13,10 +13,10 @@ from carlot.functions.timefmt import iso_utc, report_day, report_minute
 from carlot.operators.catalog_ops import pending_makes
 from carlot.operators.extract import crawl_prefix
 from carlot.operators.ingest import read_dumps
-from carlot.operators.quality import value_counts
+from carlot.operators.quality import preview, value_counts
 from carlot.operators.resolve import Catalog, rejected_rows, resolve_models
 from carlot.operators.store import union_sources
-from carlot.plans.common import listing_view, sql_store_from_events, store_from_events, table
+from carlot.plans.common import SQL_LISTING_VIEW, listing_view, sql_store_from_events, store_from_events, table
 from carlot.plans.resolve_queries import (SQL_CATALOG, SQL_MISSING_MAKES, _model_inputs, part_catalog,
                                           sql_model_resolution, sql_slug)
 from carlot.session import shared_scratch_dir
@@ -95,6 +95,14 @@ def dump_scan(spark, sf):
 DUMP_SCAN_SQL = """SELECT CAST(p_partkey AS VARCHAR) AS "absolute href", p_name AS "text-body-1", CAST(p_size AS VARCHAR) AS "text-body-2a" FROM part"""
 
 
+def preview_rows(spark, sf):
+    """H3 — the first three observations."""
+    return preview(listing_view(spark, sf), ["event_id"]).select("event_id", "lien_annonce", "source")
+
+
+PREVIEW_ROWS_SQL = f"SELECT event_id, lien_annonce, source FROM ({SQL_LISTING_VIEW}) v ORDER BY event_id LIMIT 3"
+
+
 def version_write(spark, sf):
     """B7 — a second version of a table replaces the first for its readers."""
     base = shared_scratch_dir(spark, "versions")
@@ -238,6 +246,7 @@ QUERIES = {
     "page_scan": (page_scan, PAGE_SCAN_SQL),
     "sheet_scan": (sheet_scan, SHEET_SCAN_SQL),
     "dump_scan": (dump_scan, DUMP_SCAN_SQL),
+    "preview_rows": (preview_rows, PREVIEW_ROWS_SQL),
     "version_write": (version_write, VERSION_WRITE_SQL),
     "reject_log": (reject_log, REJECT_LOG_SQL),
     "pending_makes": (pending_makes_q, PENDING_MAKES_SQL),
