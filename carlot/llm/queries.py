@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from carlot.llm import alignment, bpe, decontaminate, hard_negatives, licenses, line_dedup, packing, secrets, simhash, sketch, suffix_dedup, token_files, toxicity
 from carlot.llm.common import table
