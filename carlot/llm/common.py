@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,7 +92,7 @@ def id_ranges(docs: DataFrame, ranges: int) -> Column:
     edges = docs.agg(F.percentile_approx("doc_id", fractions, 10 * ranges).alias("q")).first()["q"]
     if not edges:
         return F.lit(0)
-    quantiles = F.array(*[F.lit(e).cast("bigint") for e in edges])
+    quantiles = F.lit(np.array(edges, "i8"))  # one literal, however many ranges
     halves = F.array(*[F.lit(ranges >> i) for i in range(1, ranges.bit_length())])
     return F.coalesce(F.aggregate(halves, F.lit(0), lambda low, half: F.when(
         F.get(quantiles, low + half - 1) < F.col("doc_id"), low + half).otherwise(low)), F.lit(0))
